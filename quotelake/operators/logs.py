@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.times import seconds_between
@@ -40,14 +40,14 @@ SECRET_MARK = "token="
 def parse_log_lines(lines: DataFrame) -> DataFrame:
     """Text lines (``value``) to columns; any prefix before the JSON object is ignored.
 
-    Lines without a readable object are kept with null fields. ``log_time`` is the
-    parsed timestamp.
+    Lines without a readable object are kept with null fields; other input columns stay.
+    ``log_time`` is the parsed timestamp.
     """
     start = F.instr("value", "{")
     document = F.when(start > 0, F.substring(F.col("value"), start, F.length("value")))
     return (
-        lines.select("value", F.from_json(document, LOG_SCHEMA).alias("entry"))
-        .select(F.col("value").alias("line"), "entry.*")
+        lines.withColumn("entry", F.from_json(document, LOG_SCHEMA))
+        .withColumnRenamed("value", "line").select("*", "entry.*").drop("entry")
         .withColumn("log_time", F.try_to_timestamp("timestamp"))
     )
 
@@ -75,39 +75,42 @@ def route_counts(entries: DataFrame) -> DataFrame:
     )
 
 
+def _overran(minutes: int) -> Column:
+    return (F.col("event") == CYCLE_FINISHED) & (F.col("duracao_ms") > minutes * 60_000)
+
+
 def cycles(entries: DataFrame, minutes: int = POLL_MINUTES) -> DataFrame:
     """Collections per polling cycle: successes, failures, time from first to last.
 
-    Cycles start on multiples of the interval, so each is one tumbling window. A cycle
-    whose collections took longer than the interval in sum is an overrun of a serial
-    collector; ``overruns`` reads the scheduler's own measure.
+    Cycles start on multiples of the interval, so each is one tumbling window. It
+    overran when the scheduler reports a duration above the interval.
     """
-    outcome = F.col("event").isin(COLLECTED, *NOT_COLLECTED)
+    collection = F.col("event").isin(COLLECTED, *NOT_COLLECTED)
+    when = F.when(collection, F.col("log_time"))
     return (
-        entries.filter(outcome & F.col("log_time").isNotNull())
+        entries.filter((collection | (F.col("event") == CYCLE_FINISHED))
+                       & F.col("log_time").isNotNull())
         .groupBy(F.window("log_time", f"{minutes} minutes").alias("cycle"))
         .agg(
             F.count_if(F.col("event") == COLLECTED).alias("successes"),
-            F.count_if(F.col("event") != COLLECTED).alias("failures"),
-            F.min("log_time").alias("first_log"),
-            F.max("log_time").alias("last_log"),
-            F.round(F.sum("duracao_ms"), 2).alias("total_ms"),
+            F.count_if(F.col("event").isin(*NOT_COLLECTED)).alias("failures"),
+            F.min(when).alias("first_log"),
+            F.max(when).alias("last_log"),
+            F.round(F.sum(F.when(collection, F.col("duracao_ms"))), 2).alias("collecting_ms"),
+            (F.count_if(_overran(minutes)) > 0).alias("overran"),
         )
         .select(
             F.col("cycle.start").alias("cycle_start"), "successes", "failures",
             seconds_between("first_log", "last_log").alias("span_s"),
-            "total_ms",
-            (F.col("total_ms") > minutes * 60_000).alias("overrun"),
-        )
+            "collecting_ms", "overran")
         .orderBy("cycle_start")
     )
 
 
 def overruns(entries: DataFrame, minutes: int = POLL_MINUTES) -> DataFrame:
     """Finished scheduler cycles that took longer than the interval."""
-    return entries.filter(
-        (F.col("event") == CYCLE_FINISHED) & (F.col("duracao_ms") > minutes * 60_000)
-    ).select("log_time", "sucessos", "falhas", "duracao_ms")
+    return entries.filter(_overran(minutes)).select(
+        "log_time", "sucessos", "falhas", "duracao_ms")
 
 
 def secret_lines(lines: DataFrame, mark: str = SECRET_MARK) -> DataFrame:

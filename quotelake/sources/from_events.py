@@ -16,9 +16,15 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table with a zoned timestamp."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
-        "ts", F.col("ts").cast("timestamp"))
+    """The events table with a zoned timestamp, split over the session's cores.
+
+    A table with fewer splits than cores is spread while its rows are still narrow;
+    with more it is read as it is.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    cores = spark.sparkContext.defaultParallelism
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
 def plus_seconds(moment: Column, seconds: Column) -> Column:
@@ -162,22 +168,31 @@ def raw_responses(events: DataFrame) -> DataFrame:
 def log_lines(events: DataFrame) -> DataFrame:
     """(event_id, value) log lines, one per event.
 
-    Errors come from ``error`` events; even ids are source calls, odd ids collections
-    (failed for every seventh), every 97th line carries a credential.
+    ``error`` events are errors, ``signup`` events warnings. Ids ending in 01 finish a
+    scheduler cycle; of the others even ids are source calls (failed for every eighth),
+    odd ids collections (failed for every seventh). Every 97th line carries a
+    credential, every third a container prefix.
     """
     number = F.col("event_id")
+    finished = number % 100 == 1
     entry = F.struct(
         F.date_format("ts", ISO_MICROS).alias("timestamp"),
-        F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
+        F.when(F.col("event_type") == "error", "ERROR")
+        .when(F.col("event_type") == "signup", "WARNING").otherwise("INFO").alias("level"),
         F.lit("collector").alias("service"),
-        F.when(number % 2 == 0, "brapi_request_succeeded")
+        F.when(finished, "scheduler_cycle_finished")
+        .when(number % 8 == 0, "brapi_request_failed")
+        .when(number % 2 == 0, "brapi_request_succeeded")
         .when(number % 7 == 0, "ticker_collection_failed")
         .otherwise("ticker_collection_succeeded").alias("event"),
         F.when(number % 97 == 0, "GET /quote?token=REDACTED")
         .otherwise("done").alias("message"),
         F.upper("event_type").alias("ticker"),
         F.when(number % 5 == 0, "v1_legado").otherwise("v2").alias("endpoint_versao"),
-        F.col("value").alias("duracao_ms"),
+        F.when(finished, F.round(F.col("value") * 10_000, 0)).otherwise(F.col("value"))
+        .alias("duracao_ms"),
+        F.when(finished, number % 15).alias("sucessos"),
+        F.when(finished, 15 - number % 15).alias("falhas"),
     )
     prefix = F.when(number % 3 == 0, "api  | ").otherwise("")
     return events.select("event_id", F.concat(prefix, F.to_json(entry)).alias("value"))
