@@ -30,3 +30,14 @@ def share(part: Column, whole: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole, two decimals; null for an empty whole."""
     return F.round(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), 2)
+
+
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays where it is.
+
+    Spark moves a filter below the columns it reads by repeating their expressions,
+    which would parse and check every document again. Rows that pass through a
+    generator are kept without that.
+    """
+    return df.select("*", F.explode(F.when(condition, F.array(F.lit(True)))).alias("_kept")).drop(
+        "_kept")

@@ -32,21 +32,13 @@ def _as(value: Column, data_type: str) -> Column:
     return F.try_variant_get(value, "$", data_type)
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def _is_object(value: Column) -> Column:
-    return F.coalesce(_kind(value).startswith("OBJECT<"), F.lit(False))
-
-
 def _bare_text(value: Column) -> Column:
     return F.regexp_replace(_as(value, "string"), _OUTER_SPACE, "")
 
 
 def is_document(payload: Column) -> Column:
     """Whether the parsed payload is a JSON object."""
-    return _is_object(payload)
+    return _as(payload, "map<string,variant>").isNotNull()
 
 
 def results_of(payload: Column) -> Column:
@@ -54,121 +46,128 @@ def results_of(payload: Column) -> Column:
     return F.try_variant_get(payload, "$.results", "array<variant>")
 
 
-def lift_nested(result: Column) -> Column:
-    """Raise the fields of an object under ``data`` to the result itself.
+def normalised_results(payload: Column) -> Column:
+    """All results, each with the fields of an object under ``data`` raised to itself.
 
-    Outer keys win by being present, even with a null value. Anything without such an
+    Outer keys win by being present, even with a null value. A result without such an
     object is passed on unchanged.
     """
-    outer = F.map_filter(_as(result, "map<string,variant>"), lambda key, _: key != _NESTED)
-    nested = F.try_variant_get(result, f"$.{_NESTED}", "map<string,variant>")
-    missing_outside = F.map_filter(nested, lambda key, _: ~F.map_contains_key(outer, key))
-    lifted = F.call_function("to_variant_object", F.map_concat(missing_outside, outer))
-    return F.when(nested.isNotNull(), lifted).otherwise(result)
+    def open_up(result: Column) -> Column:
+        nested = F.try_variant_get(result, f"$.{_NESTED}", "map<string,variant>")
+        outer = F.map_filter(_as(result, "map<string,variant>"), lambda key, _: key != _NESTED)
+        return F.struct(result.alias("result"), nested.alias("nested"),
+                        F.when(nested.isNotNull(), outer).alias("outer"))
 
+    def lift(parts: Column) -> Column:
+        outer = parts["outer"]
+        added = F.map_filter(parts["nested"], lambda key, _: ~F.map_contains_key(outer, key))
+        lifted = F.call_function("to_variant_object", F.map_concat(added, outer))
+        return F.when(outer.isNotNull(), lifted).otherwise(parts["result"])
 
-def normalised_results(payload: Column) -> Column:
-    """All results with nested fields lifted."""
-    return F.transform(results_of(payload), lift_nested)
+    return F.transform(F.transform(results_of(payload), open_up), lift)
 
 
-def _fits_text(value: Column) -> Column:
-    return _kind(value) == "STRING"
+# The checks take a value and its JSON type, so that the type is found once per value.
 
+def _fits_text(value: Column, kind: Column) -> Column:
+    return kind == "STRING"
 
-def _fits_number(value: Column) -> Column:
+
+def _fits_number(value: Column, kind: Column) -> Column:
     text = _bare_text(value)
     return (
-        _kind(value).rlike(_NUMBER_TYPE) | (_kind(value) == "BOOLEAN")
-        | ((_kind(value) == "STRING") & (text.rlike(_NUMBER_TEXT) | text.rlike(_NUMBER_WORD)))
+        kind.rlike(_NUMBER_TYPE) | (kind == "BOOLEAN")
+        | ((kind == "STRING") & (text.rlike(_NUMBER_TEXT) | text.rlike(_NUMBER_WORD)))
     )
 
 
-def _fits_whole(value: Column) -> Column:
+def _fits_whole(value: Column, kind: Column) -> Column:
     number = _as(value, "double")
     return (
-        (_kind(value) == "BIGINT") | (_kind(value) == "BOOLEAN")
-        | (_kind(value).rlike(_NUMBER_TYPE) & (number == F.floor(number)))
-        | ((_kind(value) == "STRING") & _bare_text(value).rlike(_WHOLE_TEXT))
+        (kind == "BIGINT") | (kind == "BOOLEAN")
+        | (kind.rlike(_NUMBER_TYPE) & (number == F.floor(number)))
+        | ((kind == "STRING") & _bare_text(value).rlike(_WHOLE_TEXT))
     )
 
 
-def _fits_flag(value: Column) -> Column:
+def _fits_flag(value: Column, kind: Column) -> Column:
     return (
-        (_kind(value) == "BOOLEAN")
-        | (_kind(value).rlike(_NUMBER_TYPE) & _as(value, "double").isin(0.0, 1.0))
-        | ((_kind(value) == "STRING")
+        (kind == "BOOLEAN")
+        | (kind.rlike(_NUMBER_TYPE) & _as(value, "double").isin(0.0, 1.0))
+        | ((kind == "STRING")
            & F.lower(_as(value, "string")).isin(*_TRUE_TEXT, *_FALSE_TEXT))
     )
 
 
-def _fits(value: Column, check) -> Column:
+_CHECKS = (
+    (TEXT_FIELDS + EDGE_TEXT_FIELDS, _fits_text),
+    (NUMBER_FIELDS, _fits_number),
+    (WHOLE_FIELDS, _fits_whole),
+    (EDGE_FLAG_FIELDS, _fits_flag),
+)
+
+
+def _fits(value: Column, kind: Column, check) -> Column:
     """Absent and null values always fit."""
-    return value.isNull() | (_kind(value) == "VOID") | F.coalesce(check(value), F.lit(False))
+    return kind.isNull() | (kind == "VOID") | F.coalesce(check(value, kind), F.lit(False))
 
 
 def result_fits(result: Column) -> Column:
     """Whether one normalised result is an object whose known fields all fit."""
     def entry_fits(entry: Column) -> Column:
-        name, value = entry["key"], entry["value"]
-        return (
-            F.when(name.isin(*TEXT_FIELDS, *EDGE_TEXT_FIELDS), _fits(value, _fits_text))
-            .when(name.isin(*NUMBER_FIELDS), _fits(value, _fits_number))
-            .when(name.isin(*WHOLE_FIELDS), _fits(value, _fits_whole))
-            .when(name.isin(*EDGE_FLAG_FIELDS), _fits(value, _fits_flag))
-            .otherwise(F.lit(True))
-        )
-    entries = F.map_entries(_as(result, "map<string,variant>"))
-    return _is_object(result) & F.coalesce(F.forall(entries, entry_fits), F.lit(False))
+        verdict = F.lit(True)
+        for fields, check in _CHECKS:
+            verdict = F.when(entry["name"].isin(*fields),
+                             _fits(entry["value"], entry["kind"], check)).otherwise(verdict)
+        return verdict
+
+    typed = F.transform(
+        F.map_entries(_as(result, "map<string,variant>")),
+        lambda entry: F.struct(
+            entry["key"].alias("name"), entry["value"].alias("value"),
+            F.when(entry["key"].isin(*CONTRACT_FIELDS), F.schema_of_variant(entry["value"]))
+            .alias("kind")))
+    return F.coalesce(F.forall(typed, entry_fits), F.lit(False))
 
 
 def envelope_fits(payload: Column) -> Column:
     """Whether ``requestedAt`` and ``took`` fit."""
-    return (
-        _fits(F.try_variant_get(payload, "$.requestedAt", "variant"), _fits_text)
-        & _fits(F.try_variant_get(payload, "$.took", "variant"), _fits_whole)
-    )
-
-
-def _number(value: Column) -> Column:
-    text = F.regexp_replace(_bare_text(value), "_", "")
-    return F.when(_kind(value) == "STRING", text.try_cast("double")).otherwise(
-        _as(value, "double"))
-
-
-def _whole(value: Column) -> Column:
-    text = F.regexp_replace(_bare_text(value), r"_|\.0+$", "")
-    return F.when(_kind(value) == "STRING", text.try_cast("bigint")).otherwise(
-        _as(value, "bigint"))
+    verdict = F.lit(True)
+    for field, check in (("requestedAt", _fits_text), ("took", _fits_whole)):
+        value = F.try_variant_get(payload, f"$.{field}", "variant")
+        verdict = verdict & _fits(value, F.schema_of_variant(value), check)
+    return verdict
 
 
-def _flag(value: Column) -> Column:
-    return F.when(
-        _kind(value) == "STRING", F.lower(_as(value, "string")).isin(*_TRUE_TEXT)
-    ).otherwise(_as(value, "boolean"))
+def _read(value: Column, field: str) -> Column:
+    """A value that passed the checks, in its contract type.
 
-
-def _read(field: str, value: Column) -> Column:
+    The cast of the variant covers all but the looser text forms.
+    """
+    text = _bare_text(value)
     if field in NUMBER_FIELDS:
-        return _number(value)
-    if field in WHOLE_FIELDS:
-        return _whole(value)
-    if field in EDGE_FLAG_FIELDS:
-        return _flag(value)
-    return _as(value, "string")
-
-
-def contract_result(result: Column) -> Column:
-    """One result as a struct of exactly the contract fields."""
-    def field_of(field: str) -> Column:
-        return F.try_variant_get(result, f"$.{field}", "variant")
-    return F.struct(*[_read(field, field_of(field)).alias(field) for field in CONTRACT_FIELDS])
+        kind, loose = "double", F.regexp_replace(text, "_", "").try_cast("double")
+    elif field in WHOLE_FIELDS or field == "took":
+        kind, loose = "bigint", F.regexp_replace(text, r"_|\.0+$", "").try_cast("bigint")
+    elif field in EDGE_FLAG_FIELDS:
+        kind, loose = "boolean", F.lower(text).isin(*_TRUE_TEXT)
+    else:
+        return _as(value, "string")
+    return F.when(value.isNotNull(), F.coalesce(_as(value, kind), loose))
 
 
 def contract_payload(payload: Column, results: Column) -> Column:
     """The whole payload as a struct of exactly the contract fields."""
+    def field_of(document: Column, field: str) -> Column:
+        return F.try_variant_get(document, f"$.{field}", "variant")
+
+    # Fields are looked up first and read second, so an absent one costs one lookup.
+    found = F.transform(results, lambda result: F.struct(
+        *[field_of(result, field).alias(field) for field in CONTRACT_FIELDS]))
+    read = F.transform(found, lambda values: F.struct(
+        *[_read(values[field], field).alias(field) for field in CONTRACT_FIELDS]))
     return F.struct(
-        F.transform(results, contract_result).alias("results"),
-        F.try_variant_get(payload, "$.requestedAt", "string").alias("requestedAt"),
-        _whole(F.try_variant_get(payload, "$.took", "variant")).alias("took"),
+        read.alias("results"),
+        _read(field_of(payload, "requestedAt"), "requestedAt").alias("requestedAt"),
+        _read(field_of(payload, "took"), "took").alias("took"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions import payload as P
+from quotelake.functions.columns import keep_where
 from quotelake.functions.tickers import normalise_ticker, valid_ticker
 
 ACCEPTED = "ok"
@@ -64,9 +65,9 @@ def gate(responses: DataFrame, ticker: str = "ticker", body: str = "body") -> Da
 
 def publishable(gated: DataFrame) -> DataFrame:
     """(key, value) of accepted responses: the only rows that may reach the topic."""
-    return gated.filter(F.col("gate_status") == ACCEPTED).select("key", "value")
+    return keep_where(gated, F.col("gate_status") == ACCEPTED).select("key", "value")
 
 
 def refused(gated: DataFrame) -> DataFrame:
     """Responses held back, with the cause; everything but the message value."""
-    return gated.filter(F.col("gate_status") != ACCEPTED).drop("value")
+    return keep_where(gated, F.col("gate_status") != ACCEPTED).drop("value")

@@ -45,9 +45,10 @@ def parse_log_lines(lines: DataFrame) -> DataFrame:
     """
     start = F.instr("value", "{")
     document = F.when(start > 0, F.substring(F.col("value"), start, F.length("value")))
+    # Behind a generator, so that a filter on a field does not parse the line again.
     return (
-        lines.withColumn("entry", F.from_json(document, LOG_SCHEMA))
-        .withColumnRenamed("value", "line").select("*", "entry.*").drop("entry")
+        lines.select("*", F.inline(F.array(F.from_json(document, LOG_SCHEMA))))
+        .withColumnRenamed("value", "line")
         .withColumn("log_time", F.try_to_timestamp("timestamp"))
     )
 

@@ -18,7 +18,7 @@ from quotelake.operators.silver import to_silver, typed_quotes
 from quotelake.plans.build import build_lake
 from quotelake.plans.catalogue import catalogue
 from quotelake.plans.dashboard import panels
-from quotelake.plans.report import report
+from quotelake.plans.report import sections
 from quotelake.plans.window import ReportWindow, session_windows
 from quotelake.schema import BRONZE_COLUMNS, SILVER_COLUMNS
 from quotelake.session import configure, shared_dir
@@ -37,6 +37,7 @@ WHOLE_MONTH = ReportWindow.utc("2024-01-01T00:00:00", "2024-02-01T00:00:00")
 NOW = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
 
 _stored: dict[tuple, str] = {}
+_opened: dict[str, lake.Lake] = {}
 _lock = threading.RLock()
 
 
@@ -98,7 +99,12 @@ def lake_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
-    return lake.open_lake(spark, lake_root(spark, sf_dir))
+    root = lake_root(spark, sf_dir)
+    with _lock:
+        # The tables no longer change: their file listing is read once.
+        if root not in _opened:
+            _opened[root] = lake.open_lake(spark, root)
+        return _opened[root]
 
 
 def _flow(spark: SparkSession, root: str, **options) -> jobs.Flow:
@@ -231,7 +237,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 def _reports() -> dict[str, Query]:
     def section(title: str) -> Query:
-        return lambda s, d: _shown(report(_lake(s, d), WHOLE_MONTH, TICKERS)[title])
+        return lambda s, d: _shown(sections(_lake(s, d), WHOLE_MONTH, TICKERS)[title]())
 
     def metric(name: str) -> Query:
         return lambda s, d: _shown(catalogue(_lake(s, d), NOW, TICKERS)[name]())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,8 +54,8 @@ def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec,
         return spark.read.format(fmt).load(place).columns, list(detail[0])
     try:
         frame = spark.read.format(fmt).load(place)
-    except Exception as problem:
-        if any(mark in str(problem) for mark in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
+    except AnalysisException as problem:
+        if any(mark in str(problem) for mark in ("PATH_NOT_FOUND", "nable to infer schema")):
             return None
         raise
     first = frame.select(F.col("_metadata.file_path")).limit(1).collect()
