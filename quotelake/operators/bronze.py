@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotelake.functions.columns import optional_column, stamp
 from quotelake.schema import (
-    BRONZE_COLUMNS, BRONZE_META, CORRUPT_RECORD, NO_RESULT, PARSE_ERROR, PARSE_OK,
+    BRONZE_META, CORRUPT_RECORD, NO_RESULT, PARSE_ERROR, PARSE_OK,
     PAYLOAD_SCHEMA, QUOTE_FIELDS,
 )
 
@@ -42,6 +42,4 @@ def to_bronze(messages: DataFrame, clock: Column | None = None) -> DataFrame:
     ).withColumns({"parse_status": parse_status("payload"), "ingest_time": stamp(clock)})
 
     quotes = parsed.select(*BRONZE_META, F.explode_outer("payload.results").alias("quote"))
-    return quotes.select(
-        *BRONZE_META, *[F.col(f"quote.{field}").alias(field) for field in QUOTE_FIELDS]
-    ).select(*BRONZE_COLUMNS)
+    return quotes.select(*BRONZE_META, *[f"quote.{field}" for field in QUOTE_FIELDS])

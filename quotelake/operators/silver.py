@@ -20,15 +20,14 @@ def typed_quotes(bronze: DataFrame, clock: Column | None = None,
 
     ``clock`` may use Bronze columns; it stamps silver_time.
     """
-    def typed(source: str, name: str, data_type: str) -> Column:
-        if data_type == "timestamp":
-            return event_time(F.col(source), strict_time).alias(name)
-        return F.col(source).cast(data_type).alias(name)
-
+    typed = {
+        source: F.expr(f"CAST({source} AS {data_type}) AS {name}")
+        for source, (name, data_type) in SILVER_FROM_BRONZE.items() if data_type != "timestamp"
+    }
+    quote_time = event_time(F.col("regularMarketTime"), strict_time).alias("quote_time")
     return bronze.select(
         "kafka_time",
-        *[typed(source, name, data_type)
-          for source, (name, data_type) in SILVER_FROM_BRONZE.items()],
+        *[typed.get(source, quote_time) for source in SILVER_FROM_BRONZE],
         "ingest_time",
         stamp(clock).alias("silver_time"),
         optional_column(bronze, "partition", "int").alias(_ORDER_PARTITION),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotelake.functions.columns import keep_where
 from quotelake.operators import edge, logs, measures
 from quotelake.operators.bronze import to_bronze
 from quotelake.operators.gold import to_gold_financial, to_gold_operational
@@ -264,7 +265,8 @@ def _edge() -> dict[str, Query]:
     def payload(s: SparkSession, d: str) -> DataFrame:
         quote = "array<struct<symbol:string,regularMarketPrice:double," \
                 "regularMarketVolume:bigint,changed:boolean>>"
-        published = edge.project_contract(checked(s, d)).filter(F.col("value").isNotNull())
+        published = keep_where(
+            edge.project_contract(checked(s, d)), F.col("contract_status") == edge.ACCEPTED)
         return published.select(
             "event_id", F.explode(F.from_json("value", f"results {quote}")["results"]).alias("q")
         ).select(
@@ -273,7 +275,7 @@ def _edge() -> dict[str, Query]:
             F.col("q.regularMarketVolume").alias("volume"), F.col("q.changed").alias("changed"))
 
     def messages(s: SparkSession, d: str) -> DataFrame:
-        ready = edge.gate(responses(s, d)).filter(F.col("gate_status") == edge.ACCEPTED)
+        ready = keep_where(edge.gate(responses(s, d)), F.col("gate_status") == edge.ACCEPTED)
         shape = F.from_json("value", "results array<map<string,string>>, took int")
         return ready.select("event_id", "key", shape.alias("m")).select(
             "event_id", "key", F.size("m.results").alias("quotes"),

@@ -27,36 +27,41 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
-def plus_seconds(moment: Column, seconds: Column) -> Column:
-    return F.timestamp_micros(F.unix_micros(moment) + seconds * 1_000_000)
+def plus_seconds(moment: str, seconds: str) -> str:
+    """SQL text: a timestamp moved by whole seconds."""
+    return f"timestamp_micros(unix_micros({moment}) + ({seconds}) * 1000000)"
 
 
-def _quote(symbol: Column, price: Column, time_text: Column, volume: Column) -> Column:
-    value, number = F.col("value"), F.col("event_id")
+def _case(cases: dict[int, str], of: str, otherwise: str) -> str:
+    branches = " ".join(f"WHEN {remainder} THEN {sql}" for remainder, sql in cases.items())
+    return f"CASE {of} {branches} ELSE {otherwise} END"
+
+
+def _quote(symbol: str, price: str, time_text: str, volume: str) -> str:
     fields = {
         "symbol": symbol,
-        "shortName": F.col("symbol"),
-        "longName": F.concat(F.col("symbol"), F.lit(" SA")),
-        "currency": F.lit("BRL"),
+        "shortName": "symbol",
+        "longName": "symbol || ' SA'",
+        "currency": "'BRL'",
         "regularMarketPrice": price,
-        "regularMarketDayHigh": value + 1,
-        "regularMarketDayLow": value - 1,
-        "regularMarketDayRange": F.concat_ws(" - ", F.col("user_id"), number),
-        "regularMarketChange": F.when(number % 7 != 0, value / 100),
-        "regularMarketChangePercent": value / 10,
+        "regularMarketDayHigh": "value + 1",
+        "regularMarketDayLow": "value - 1",
+        "regularMarketDayRange": "user_id || ' - ' || event_id",
+        "regularMarketChange": "IF(event_id % 7 <> 0, value / 100, NULL)",
+        "regularMarketChangePercent": "value / 10",
         "regularMarketTime": time_text,
-        "marketCap": F.when(number % 10 == 3, F.lit(0.0)).when(number % 10 != 0, value * 1e6),
+        "marketCap": _case({0: "NULL", 3: "0D"}, "event_id % 10", "value * 1e6D"),
         "regularMarketVolume": volume,
-        "regularMarketPreviousClose": value - 0.5,
-        "regularMarketOpen": value + 0.25,
-        "fiftyTwoWeekRange": F.concat_ws(" - ", number, F.col("user_id")),
-        "fiftyTwoWeekLow": value * 0.5,
-        "fiftyTwoWeekHigh": value * 2,
-        "priceEarnings": value / 4,
-        "earningsPerShare": value / 8,
-        "logourl": F.concat(F.lit("https://example.org/"), F.col("symbol"), F.lit(".svg")),
+        "regularMarketPreviousClose": "value - 0.5D",
+        "regularMarketOpen": "value + 0.25D",
+        "fiftyTwoWeekRange": "event_id || ' - ' || user_id",
+        "fiftyTwoWeekLow": "value * 0.5D",
+        "fiftyTwoWeekHigh": "value * 2",
+        "priceEarnings": "value / 4",
+        "earningsPerShare": "value / 8",
+        "logourl": "'https://example.org/' || symbol || '.svg'",
     }
-    return F.struct(*[column.alias(name) for name, column in fields.items()])
+    return f"named_struct({', '.join(f'{name!r}, {sql}' for name, sql in fields.items())})"
 
 
 def quote_messages(events: DataFrame) -> DataFrame:
@@ -66,52 +71,46 @@ def quote_messages(events: DataFrame) -> DataFrame:
     5 negative price, 6 unreadable time, 7 volume above 2^31, 8 sent twice,
     9 a second quote ``EXTRA`` in the message, 10 a ``took`` of the wrong type.
     """
-    kind, value = F.col("event_id") % 50, F.col("value")
-    base = events.withColumn("symbol", F.upper("event_type"))
-    time_text = F.date_format("ts", ISO_MICROS)
+    kind = "event_id % 50"
     main = _quote(
-        F.when(kind == 3, "   ").when(kind != 2, F.col("symbol")),
-        F.when(kind == 5, -value).when(kind != 4, value),
-        F.when(kind == 6, "not-a-time").otherwise(time_text),
-        F.when(kind == 7, F.lit(3_000_000_000)).otherwise(F.col("event_id")))
-    extra = _quote(F.lit("EXTRA"), value, time_text, F.col("event_id"))
-    results = F.when(kind == 9, F.array(main, extra)).otherwise(F.array(main))
-    body = F.concat(
-        F.lit('{"results":'), F.to_json(results), F.lit(',"requestedAt":"'), time_text,
-        F.lit('","took":'), F.when(kind == 10, '"x"').otherwise("1"), F.lit("}"))
-    text = (
-        F.when(kind == 0, '{"results": [').when(kind == 1, '{"results":[],"took":1}')
-        .otherwise(body))
-    copies = F.when(kind == 8, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    arrival = plus_seconds(F.col("ts"), F.col("event_id") * 37 % 900)
+        _case({2: "NULL", 3: "'   '"}, kind, "symbol"),
+        _case({4: "NULL", 5: "-value"}, kind, "value"),
+        _case({6: "'not-a-time'"}, kind, "iso"),
+        _case({7: "3000000000L"}, kind, "event_id"))
+    extra = _quote("'EXTRA'", "value", "iso", "event_id")
+    took = _case({10: "'\"x\"'"}, kind, "'1'")
+    body = (
+        f"concat('{{\"results\":', to_json(IF({kind} = 9, array({main}, {extra}), array({main}))),"
+        f" ',\"requestedAt\":\"', iso, '\",\"took\":', {took}, '}}')")
+    text = _case({0: "'{\"results\": ['", 1: "'{\"results\":[],\"took\":1}'"}, kind, body)
     return (
-        base.select(
-            "user_id", "event_id", "symbol", arrival.alias("arrival"), text.alias("value"),
-            F.explode(copies).alias("copy"))
-        .select(
-            F.lit(TOPIC).alias("topic"),
-            (F.col("user_id") % 4).cast("int").alias("partition"),
-            (F.col("event_id") + F.col("copy") * F.lit(COPY_OFFSET)).alias("offset"),
-            F.col("symbol").alias("key"),
-            plus_seconds(F.col("arrival"), F.col("copy") * 60).alias("timestamp"),
-            "value")
+        events.selectExpr(
+            "user_id", "event_id", "value", "upper(event_type) AS symbol", "ts",
+            f"date_format(ts, {ISO_MICROS!r}) AS iso")
+        .selectExpr(
+            "user_id", "event_id", "symbol",
+            f"{plus_seconds('ts', 'event_id * 37 % 900')} AS arrival", f"{text} AS value",
+            f"explode(IF({kind} = 8, array(0, 1), array(0))) AS copy")
+        .selectExpr(
+            f"'{TOPIC}' AS topic", "CAST(user_id % 4 AS INT) AS partition",
+            f"event_id + copy * {COPY_OFFSET}L AS offset", "symbol AS key",
+            f"{plus_seconds('arrival', 'copy * 60')} AS timestamp", "value")
     )
 
 
 def ingest_clock() -> Column:
     """Bronze stamp: up to 10 minutes after arrival; null for ``offset % 50 = 11``."""
-    seconds = F.col("offset") * 13 % 600
-    return F.when(F.col("offset") % 50 != 11, plus_seconds(F.col("kafka_time"), seconds))
+    return F.expr(f"IF(offset % 50 <> 11, {plus_seconds('kafka_time', 'offset * 13 % 600')}, NULL)")
 
 
 def silver_clock() -> Column:
     """Silver stamp: up to 5 minutes after ingestion."""
-    return plus_seconds(F.col("ingest_time"), F.col("offset") * 7 % 300)
+    return F.expr(plus_seconds("ingest_time", "offset * 7 % 300"))
 
 
-def gold_clock(time_col: str = "window_end") -> Column:
+def gold_clock() -> Column:
     """Gold stamp: ten minutes after the window closed."""
-    return plus_seconds(F.col(time_col), F.lit(600))
+    return F.expr(plus_seconds("window_end", "600"))
 
 
 def raw_responses(events: DataFrame) -> DataFrame:
@@ -123,46 +122,41 @@ def raw_responses(events: DataFrame) -> DataFrame:
     12 flag as text, 13 flag as price, 14 took as text, 15 two results,
     16 array at the top, 17 no results key, 18 bad ticker, 19 padded lower-case ticker.
     """
-    kind, number = F.col("event_id") % 20, F.col("event_id").cast("string")
-    symbol, price = F.upper("event_type"), F.to_json(F.struct(F.col("value").alias("v")))
-    amount = F.regexp_extract(price, r":([^}]*)\}", 1)
-
-    def text(*parts: str | Column) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-    def result(*parts: str | Column) -> Column:
-        return text('{"results":[{', *parts, '}],"requestedAt":"2024-01-01T00:00:00Z","took":1}')
-
-    head = ('"symbol":"', symbol, '"')
-    flat = result(*head, ',"regularMarketPrice":', amount, ',"regularMarketVolume":', number)
-    bodies = {
-        1: result(*head, ',"data":{"symbol":"INNER","regularMarketPrice":', amount,
-                  ',"regularMarketVolume":', number, "}"),
-        2: result('"symbol":null,"data":{"symbol":"INNER","regularMarketPrice":', amount, "}"),
-        3: F.lit('{"results":[],"took":1}'),
-        4: text('{"results":"', symbol, '"}'),
-        5: result(*head, ',"regularMarketPrice":" ', amount, ' "'),
-        6: result(*head, ',"regularMarketVolume":', number, ".0"),
-        7: result(*head, ',"regularMarketVolume":', number, ".5"),
-        8: result('"symbol":', number),
-        9: result(*head, ',"regularMarketPrice":', amount, ',"unknown":{"a":[1,2]}'),
-        10: F.lit('{"results":['),
-        11: F.lit('{"results":["x"]}'),
-        12: result(*head, ',"changed":"Yes"'),
-        13: result(*head, ',"regularMarketPrice":true'),
-        14: text('{"results":[{', *head, '}],"took":"7"}'),
-        15: text('{"results":[{', *head, ',"regularMarketPrice":', amount,
-                 '},{"symbol":"EXTRA"}]}'),
-        16: F.lit("[1]"),
-        17: F.lit('{"took":1}'),
+    symbol = '"symbol":"%1$s"'
+    price, volume = '"regularMarketPrice":%2$s', '"regularMarketVolume":%3$s'
+
+    def one(result: str) -> str:
+        return f'{{"results":[{{{result}}}],"requestedAt":"2024-01-01T00:00:00Z","took":1}}'
+
+    templates = {
+        1: one(f'{symbol},"data":{{"symbol":"INNER",{price},{volume}}}'),
+        2: one(f'"symbol":null,"data":{{"symbol":"INNER",{price}}}'),
+        3: '{"results":[],"took":1}',
+        4: '{"results":"%1$s"}',
+        5: one(f'{symbol},"regularMarketPrice":" %2$s "'),
+        6: one(f"{symbol},{volume}.0"),
+        7: one(f"{symbol},{volume}.5"),
+        8: one('"symbol":%3$s'),
+        9: one(f'{symbol},{price},"unknown":{{"a":[1,2]}}'),
+        10: '{"results":[',
+        11: '{"results":["x"]}',
+        12: one(f'{symbol},"changed":"Yes"'),
+        13: one(f'{symbol},"regularMarketPrice":true'),
+        14: f'{{"results":[{{{symbol}}}],"took":"7"}}',
+        15: f'{{"results":[{{{symbol},{price}}},{{"symbol":"EXTRA"}}]}}',
+        16: "[1]",
+        17: '{"took":1}',
     }
-    body = flat
-    for remainder, document in bodies.items():
-        body = F.when(kind == remainder, document).otherwise(body)
-    ticker = (
-        F.when(kind == 18, text(symbol, "?token=x"))
-        .when(kind == 19, text(" ", F.lower("event_type"), "\t")).otherwise(symbol))
-    return events.select("event_id", ticker.alias("ticker"), body.alias("body"))
+
+    def filled(template: str) -> str:
+        return f"format_string('{template}', symbol, CAST(value AS STRING), CAST(event_id AS STRING))"
+
+    kind = "event_id % 20"
+    body = _case({k: filled(t) for k, t in templates.items()}, kind,
+                 filled(one(f"{symbol},{price},{volume}")))
+    ticker = _case({18: "symbol || '?token=x'", 19: "' ' || lower(symbol) || '\\t'"}, kind, "symbol")
+    return events.selectExpr("event_id", "upper(event_type) AS symbol", "value").selectExpr(
+        "event_id", f"{ticker} AS ticker", f"{body} AS body")
 
 
 def log_lines(events: DataFrame) -> DataFrame:
@@ -173,26 +167,25 @@ def log_lines(events: DataFrame) -> DataFrame:
     odd ids collections (failed for every seventh). Every 97th line carries a
     credential, every third a container prefix.
     """
-    number = F.col("event_id")
-    finished = number % 100 == 1
-    entry = F.struct(
-        F.date_format("ts", ISO_MICROS).alias("timestamp"),
-        F.when(F.col("event_type") == "error", "ERROR")
-        .when(F.col("event_type") == "signup", "WARNING").otherwise("INFO").alias("level"),
-        F.lit("collector").alias("service"),
-        F.when(finished, "scheduler_cycle_finished")
-        .when(number % 8 == 0, "brapi_request_failed")
-        .when(number % 2 == 0, "brapi_request_succeeded")
-        .when(number % 7 == 0, "ticker_collection_failed")
-        .otherwise("ticker_collection_succeeded").alias("event"),
-        F.when(number % 97 == 0, "GET /quote?token=REDACTED")
-        .otherwise("done").alias("message"),
-        F.upper("event_type").alias("ticker"),
-        F.when(number % 5 == 0, "v1_legado").otherwise("v2").alias("endpoint_versao"),
-        F.when(finished, F.round(F.col("value") * 10_000, 0)).otherwise(F.col("value"))
-        .alias("duracao_ms"),
-        F.when(finished, number % 15).alias("sucessos"),
-        F.when(finished, 15 - number % 15).alias("falhas"),
-    )
-    prefix = F.when(number % 3 == 0, "api  | ").otherwise("")
-    return events.select("event_id", F.concat(prefix, F.to_json(entry)).alias("value"))
+    finished = "event_id % 100 = 1"
+    entry = {
+        "timestamp": f"date_format(ts, {ISO_MICROS!r})",
+        "level": "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' "
+                 "ELSE 'INFO' END",
+        "service": "'collector'",
+        "event": f"CASE WHEN {finished} THEN 'scheduler_cycle_finished' "
+                 "WHEN event_id % 8 = 0 THEN 'brapi_request_failed' "
+                 "WHEN event_id % 2 = 0 THEN 'brapi_request_succeeded' "
+                 "WHEN event_id % 7 = 0 THEN 'ticker_collection_failed' "
+                 "ELSE 'ticker_collection_succeeded' END",
+        "message": "IF(event_id % 97 = 0, 'GET /quote?token=REDACTED', 'done')",
+        "ticker": "upper(event_type)",
+        "endpoint_versao": "IF(event_id % 5 = 0, 'v1_legado', 'v2')",
+        "duracao_ms": f"IF({finished}, round(value * 10000, 0), value)",
+        "sucessos": f"IF({finished}, event_id % 15, NULL)",
+        "falhas": f"IF({finished}, 15 - event_id % 15, NULL)",
+    }
+    fields = ", ".join(f"{name!r}, {sql}" for name, sql in entry.items())
+    return events.selectExpr(
+        "event_id",
+        f"IF(event_id % 3 = 0, 'api  | ', '') || to_json(named_struct({fields})) AS value")
