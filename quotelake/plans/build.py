@@ -14,17 +14,20 @@ from quotelake.sources import lake
 def build_lake(spark: SparkSession, messages: DataFrame, root: str, *,
                bronze_clock: Column | None = None, silver_clock: Column | None = None,
                gold_clock: Column | None = None, fmt: str = "parquet") -> lake.Lake:
-    """Refine all messages into the five tables under ``root``.
+    """Refine all messages into the five tables under ``root``, replacing what is there.
 
     Every layer reads the stored one before it, so messages are parsed once and a lost
-    executor costs its own tasks only.
+    executor costs its own tasks only; a build that broke off is simply run again.
     """
-    lake.append_table(to_bronze(messages, bronze_clock), root, lake.BRONZE, fmt)
+    def store(df: DataFrame, spec: lake.TableSpec) -> None:
+        lake.write_table(df, root, spec, fmt, "overwrite")
+
+    store(to_bronze(messages, bronze_clock), lake.BRONZE)
     bronze = lake.read_table(spark, root, lake.BRONZE, fmt)
-    lake.append_table(to_quarantine(bronze), root, lake.QUARANTINE, fmt)
-    lake.append_table(to_silver(bronze, clock=silver_clock), root, lake.SILVER, fmt)
+    store(to_quarantine(bronze), lake.QUARANTINE)
+    store(to_silver(bronze, clock=silver_clock), lake.SILVER)
     silver = lake.read_table(spark, root, lake.SILVER, fmt)
     for spec, refine in ((lake.GOLD_OPERATIONAL, to_gold_operational),
                          (lake.GOLD_FINANCIAL, to_gold_financial)):
-        lake.append_table(lake.partition_gold(refine(silver, clock=gold_clock)), root, spec, fmt)
+        store(lake.partition_gold(refine(silver, clock=gold_clock)), spec)
     return lake.open_lake(spark, root, fmt)

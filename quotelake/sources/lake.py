@@ -72,19 +72,21 @@ def stream_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "pa
     return reader.load(location(root, spec)).select(*spec.columns)
 
 
-def append_table(df: DataFrame, root: str, spec: TableSpec, fmt: str = "parquet") -> None:
-    """Batch append in the table's layout.
+def write_table(df: DataFrame, root: str, spec: TableSpec, fmt: str = "parquet",
+                mode: str = "append") -> None:
+    """Batch write in the table's layout; ``overwrite`` replaces the whole table.
 
     Partitioned tables are rebalanced on the partition columns: few files per
     partition, and adaptive execution splits a partition that is too large for a task.
     Rows are ordered by Kafka time inside each file, which keeps the file statistics
-    that the report windows prune on narrow.
+    that the report windows prune on narrow. A parquet table a stream appends to is not
+    written in batch as well: its readers follow the stream's own file log.
     """
     if spec.partitions:
         df = df.hint("rebalance", *spec.partitions)
         if "kafka_time" in df.columns:
             df = df.sortWithinPartitions(*spec.partitions, "kafka_time")
-    writer = df.write.format(fmt).mode("append")
+    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
     if spec.partitions:
         writer = writer.partitionBy(*spec.partitions)
     writer.save(location(root, spec))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from quotelake.schema import ddl
@@ -57,17 +58,18 @@ def _rewrite(root: str, spec: TableSpec, fmt: str) -> Callable[[DataFrame, int],
 
 
 def _upsert(root: str, spec: TableSpec, fmt: str) -> Callable[[DataFrame, int], None]:
+    (day,) = spec.partitions
+
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
         changed = partition_gold(batch).select(*spec.stored_columns).persist()
         try:
-            stored = spark.read.format(fmt)
+            # As many values as the batch has days; literals prune the table's folders.
+            days = [row[0] for row in changed.select(day).distinct().collect()]
+            stored = batch.sparkSession.read.format(fmt)
             if fmt == "parquet":
                 stored = stored.schema(ddl(spec.stored_columns))
-            days = changed.select(*spec.partitions).distinct()
             kept = (
-                stored.load(location(root, spec))
-                .join(days, list(spec.partitions), "left_semi")
+                stored.load(location(root, spec)).filter(F.col(day).isin(days))
                 .join(changed, list(GOLD_KEY), "left_anti")
             )
             _replace_days(kept.select(*spec.stored_columns).unionByName(changed),
