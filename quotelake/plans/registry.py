@@ -28,7 +28,7 @@ from quotelake.sources import lake
 from quotelake.sources.kafka import message_files_stream
 from quotelake.sources.layout import layout_differences, stored_file_layout
 from quotelake.streaming import jobs
-from quotelake.streaming.sinks import ALL_AVAILABLE
+from quotelake.streaming.sinks import ALL_AVAILABLE, gold_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,18 +108,14 @@ def _lake(spark: SparkSession, sf_dir: str) -> lake.Lake:
         return _opened[root]
 
 
-def _flow(spark: SparkSession, root: str, **options) -> jobs.Flow:
-    clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock(), source.gold_clock())
-    return jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks, **options)
-
-
 def stream_root(spark: SparkSession, sf_dir: str) -> str:
     """The tables written by the streaming Bronze, Silver and quarantine jobs."""
     configure(spark)
 
     def run(root: str) -> None:
         _messages(spark, sf_dir).write.parquet(f"{root}/messages")
-        flow = _flow(spark, root)
+        clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock())
+        flow = jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks)
         messages = message_files_stream(spark, f"{root}/messages")
         jobs.drain(lambda: jobs.start_bronze(flow, messages, ALL_AVAILABLE))
         jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE),
@@ -133,16 +129,15 @@ def _streamed(spec: lake.TableSpec, without: tuple[str, ...] = ()) -> Query:
     return query
 
 
-def _gold_streamed(mode: str, spec: lake.TableSpec, start: Callable) -> Query:
+def _gold_streamed(mode: str, spec: lake.TableSpec, refine: Callable) -> Query:
     """A Gold job fed by the stored Silver table as a stream."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        silver = lake.location(lake_root(spark, sf_dir), lake.SILVER)
+        silver = lake.stream_table(spark, lake_root(spark, sf_dir), lake.SILVER)
 
         def run(root: str) -> None:
-            (spark.read.schema(lake.ddl(lake.SILVER.stored_columns)).parquet(silver)
-             .write.partitionBy(*lake.SILVER.partitions)
-             .parquet(lake.location(root, lake.SILVER)))
-            jobs.drain(lambda: start(_flow(spark, root, gold_mode=mode), ALL_AVAILABLE))
+            gold = refine(silver, clock=source.gold_clock())
+            gold_stream(gold, root, spec, f"gold_{mode}", f"{root}/checkpoints", mode,
+                        ALL_AVAILABLE).awaitTermination()
         root = _place(spark, sf_dir, f"gold_{mode}", run)
         return naive(even_average(lake.read_table(spark, root, spec)))
     return query
@@ -191,11 +186,11 @@ def _streams() -> dict[str, Query]:
         "stream_silver": _streamed(lake.SILVER, ("kafka_time", "ingest_time", "silver_time")),
         "stream_quarantine": _streamed(lake.QUARANTINE, ("raw_json",)),
         "gold_stream_complete": _gold_streamed(
-            "complete", lake.GOLD_OPERATIONAL, jobs.start_gold_operational),
+            "complete", lake.GOLD_OPERATIONAL, to_gold_operational),
         "gold_stream_update": _gold_streamed(
-            "update", lake.GOLD_FINANCIAL, jobs.start_gold_financial),
+            "update", lake.GOLD_FINANCIAL, to_gold_financial),
         "gold_stream_append": _gold_streamed(
-            "append", lake.GOLD_FINANCIAL, jobs.start_gold_financial),
+            "append", lake.GOLD_FINANCIAL, to_gold_financial),
     }
 
 
