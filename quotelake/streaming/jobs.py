@@ -44,6 +44,7 @@ class Flow:
     clocks: Clocks = Clocks()
     max_files_per_trigger: int | None = None
     lanes: int | None = 8
+    writers: int = 4
     gold_mode: str = "complete"
 
     def checkpoint(self, job: str) -> str:
@@ -67,7 +68,7 @@ def start_silver(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQu
     silver = to_silver(flow.upstream(lake.BRONZE), clock=flow.clocks.silver, lanes=flow.lanes)
     require_layout(flow.spark, flow.root, lake.SILVER, silver, flow.fmt)
     return append_stream(silver, flow.root, lake.SILVER, "silver",
-                         flow.checkpoint("silver"), trigger, flow.fmt)
+                         flow.checkpoint("silver"), trigger, flow.fmt, flow.writers)
 
 
 def start_quarantine(flow: Flow, trigger: dict | None = None) -> StreamingQuery:

@@ -32,9 +32,26 @@ def _triggered(writer: DataStreamWriter, name: str, checkpoint: str,
     return writer.trigger(**trigger) if trigger else writer
 
 
+def gathered(df: DataFrame, spec: TableSpec, writers: int) -> DataFrame:
+    """Rows of one partition value brought to at most ``writers`` tasks.
+
+    Left as they come, the rows of each partition sit in every task, and each trigger
+    would leave tasks x partitions small files. Several writers share a partition value,
+    so that one that holds most rows does not end up in a single task.
+    """
+    lane = F.pmod(F.xxhash64(*df.columns), F.lit(writers))
+    return df.repartition(*spec.partitions, lane)
+
+
 def append_stream(df: DataFrame, root: str, spec: TableSpec, name: str, checkpoint: str,
-                  trigger: dict | None = None, fmt: str = "parquet") -> StreamingQuery:
-    """Append new rows; without a trigger, batches follow each other at once."""
+                  trigger: dict | None = None, fmt: str = "parquet",
+                  writers: int = 4) -> StreamingQuery:
+    """Append new rows; without a trigger, batches follow each other at once.
+
+    ``writers`` bounds the files per partition value and trigger.
+    """
+    if spec.partitions:
+        df = gathered(df, spec, writers)
     writer = df.writeStream.format(fmt).outputMode("append")
     if spec.partitions:
         writer = writer.partitionBy(*spec.partitions)

@@ -173,3 +173,37 @@ def test_late_start_of_an_upstream_table(spark, root):
         flow, message_files_stream(spark, f"{root}/messages"), ALL_AVAILABLE))
     jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
     assert [r.symbol for r in lake.read_table(spark, root, lake.SILVER).collect()] == ["A"]
+
+
+def test_gate_feeds_bronze_as_a_stream(spark, root):
+    """Responses are gated, published as files and parsed, all as streams."""
+    from quotelake.operators import edge
+
+    good = '{"results":[{"symbol":"PETR4","data":{"regularMarketPrice":"7.5"}}]}'
+    spark.createDataFrame(
+        [(" petr4 ", good), ("PETR4", "{"), ("no", good)], "ticker string, body string"
+    ).write.parquet(f"{root}/responses")
+    responses = spark.readStream.schema("ticker string, body string").parquet(f"{root}/responses")
+    sent = edge.publishable(edge.gate(responses)).selectExpr(
+        "'quotes' AS topic", "0 AS partition", "0L AS offset", "key",
+        "current_timestamp() AS timestamp", "value")
+    finish(sent.writeStream.format("parquet"), f"{root}/cp", f"{root}/messages")
+    flow = flow_for(spark, root)
+    jobs.drain(lambda: jobs.start_bronze(
+        flow, message_files_stream(spark, f"{root}/messages"), ALL_AVAILABLE))
+    row, = lake.read_table(spark, root, lake.BRONZE).collect()
+    assert (row.key, row.symbol, row.regularMarketPrice, row.parse_status) == (
+        "PETR4", "PETR4", 7.5, "parse_ok")
+
+
+def test_files_per_partition_and_trigger_are_bounded(spark, root):
+    import glob
+
+    source.quote_messages(source.read_events(spark, SMALL)).write.parquet(f"{root}/messages")
+    flow = jobs.Flow(spark, root, f"{root}/checkpoints", writers=1)
+    jobs.drain(lambda: jobs.start_bronze(
+        flow, message_files_stream(spark, f"{root}/messages"), ALL_AVAILABLE))
+    jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    folders = glob.glob(f"{root}/silver/quotes/symbol=*/trade_date=*")
+    files = glob.glob(f"{root}/silver/quotes/symbol=*/trade_date=*/*.parquet")
+    assert len(folders) > 100 and len(files) == len(folders)
