@@ -396,6 +396,15 @@ FROM gold_financial ORDER BY window_start DESC, symbol LIMIT 10"""),
         "dashboard_completeness": _panel(
             "completeness_pct", _pct(_COMPLETE, "count(*)"), 90, 90),
         "dashboard_freshness": _panel("freshness_pct", _pct(_FRESH, "count(*)"), 85, 85),
+        "dashboard_scores": _with("silver", f"""
+SELECT *, {", ".join(
+            f"CASE WHEN {score}_pct >= {green} THEN 'green' WHEN {score}_pct >= {yellow} "
+            f"THEN 'yellow' ELSE 'red' END AS {score}_band"
+            for score, yellow, green in (("overall", 80, 95), ("validity", 98, 98),
+                                         ("completeness", 90, 90), ("freshness", 85, 85)))}
+FROM (SELECT TIMESTAMP '{NOW}' AS time, {_OVERALL} AS overall_pct,
+    {_pct(_VALID, "count(*)")} AS validity_pct, {_pct(_COMPLETE, "count(*)")} AS completeness_pct,
+    {_pct(_FRESH, "count(*)")} AS freshness_pct FROM silver)"""),
         "dashboard_latency": _with("silver", f"""
 SELECT p50, p95, p99, {", ".join(
             f"CASE WHEN {p} >= 900 THEN 'red' WHEN {p} >= 660 THEN 'yellow' ELSE 'green' END "
@@ -416,6 +425,14 @@ FROM (SELECT *, row_number() OVER (
             "GROUP BY 1, 2", everything),
         "edge_ticker": f"""WITH edge AS ({_EDGE})
 SELECT event_id, key, regexp_full_match(key, '\\^?[A-Z0-9]{{3,12}}') AS ticker_valid FROM edge""",
+        "edge_normalise": f"""WITH edge AS ({_EDGE})
+SELECT event_id, kind <> 11 AS is_object,
+  CASE WHEN second = 1 THEN 'EXTRA' WHEN kind IN (2, 11) THEN NULL
+    WHEN kind = 8 THEN CAST(n AS VARCHAR) ELSE sym END AS symbol,
+  CASE WHEN second = 1 OR kind IN (6, 7, 8, 11, 12, 14) THEN NULL WHEN kind = 13 THEN 1.0::DOUBLE
+    ELSE value END AS price, false AS still_nested
+FROM edge CROSS JOIN (VALUES (0), (1)) AS quotes(second)
+WHERE (second = 0 OR kind = 15) AND kind NOT IN (3, 4, 10, 16, 17)""",
         "edge_contract": f"""WITH edge AS ({_EDGE})
 SELECT event_id, {_EDGE_STATUS} AS contract_status FROM edge""",
         "edge_payload": f"""WITH edge AS ({_EDGE}),

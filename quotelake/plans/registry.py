@@ -18,7 +18,7 @@ from quotelake.operators.quarantine import reason_codes, row_accounting, to_quar
 from quotelake.operators.silver import to_silver, typed_quotes
 from quotelake.plans.build import build_lake
 from quotelake.plans.catalogue import catalogue
-from quotelake.plans.dashboard import panels
+from quotelake.plans.dashboard import panels, score_panels
 from quotelake.plans.report import sections
 from quotelake.plans.window import ReportWindow, session_windows
 from quotelake.schema import BRONZE_COLUMNS, SILVER_COLUMNS
@@ -247,6 +247,7 @@ def _reports() -> dict[str, Query]:
         **{name: section(title) for name, title in _REPORT.items()},
         **{f"catalogue_{name}": metric(name) for name in _CATALOGUE},
         **{f"dashboard_{name}": panel(name) for name in _PANELS},
+        "dashboard_scores": lambda s, d: naive(score_panels(_lake(s, d).silver, F.lit(NOW))),
     }
 
 
@@ -257,6 +258,15 @@ def _edge() -> dict[str, Query]:
     def checked(s: SparkSession, d: str) -> DataFrame:
         return edge.check_contract(edge.normalise_payloads(responses(s, d)))
 
+    def normalised(s: SparkSession, d: str) -> DataFrame:
+        results = edge.normalise_payloads(responses(s, d)).select(
+            "event_id", F.explode("results").alias("result"))
+        return results.selectExpr(
+            "event_id", "schema_of_variant(result) LIKE 'OBJECT%' AS is_object",
+            "try_variant_get(result, '$.symbol', 'string') AS symbol",
+            "try_variant_get(result, '$.regularMarketPrice', 'double') AS price",
+            "try_variant_get(result, '$.data', 'variant') IS NOT NULL AS still_nested")
+
     def payload(s: SparkSession, d: str) -> DataFrame:
         quote = "array<struct<symbol:string,regularMarketPrice:double," \
                 "regularMarketVolume:bigint,changed:boolean>>"
@@ -279,6 +289,7 @@ def _edge() -> dict[str, Query]:
     return {
         "edge_ticker": lambda s, d: edge.check_tickers(responses(s, d)).select(
             "event_id", "key", "ticker_valid"),
+        "edge_normalise": normalised,
         "edge_contract": lambda s, d: checked(s, d).select("event_id", "contract_status"),
         "edge_payload": payload,
         "edge_refused": lambda s, d: edge.refused(edge.gate(responses(s, d))).select(
