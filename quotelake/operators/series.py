@@ -61,6 +61,8 @@ def coverage(bronze: DataFrame, expected: Sequence[str], cycles: int) -> DataFra
     message or repeated messages can lift the share above 100.
     """
     tickers = list(dict.fromkeys(expected))
+    if not tickers:
+        raise ValueError("coverage needs at least one expected ticker")
     listed = F.array(*[F.lit(ticker) for ticker in tickers])
     wanted = bronze.sparkSession.range(1).select(F.explode(listed).alias("symbol"))
     received = (

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from quotelake.sources.lake import TableSpec, location
 
+# How a missing or still empty table shows when it is read.
+_ABSENT = ("PATH_NOT_FOUND", "nable to infer schema", "DELTA_TABLE_NOT_FOUND",
+           "DELTA_MISSING_DELTA_TABLE")
 DIFFERENCE_SCHEMA = "difference string, stored array<string>, planned array<string>"
 
 
@@ -49,15 +52,15 @@ def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec,
     partition columns, in order.
     """
     place = location(root, spec)
-    if fmt == "delta":
-        detail = spark.sql(f"DESCRIBE DETAIL delta.`{place}`").select("partitionColumns").first()
-        return spark.read.format(fmt).load(place).columns, list(detail[0])
     try:
         frame = spark.read.format(fmt).load(place)
     except AnalysisException as problem:
-        if any(mark in str(problem) for mark in ("PATH_NOT_FOUND", "nable to infer schema")):
+        if any(mark in str(problem) for mark in _ABSENT):
             return None
         raise
+    if fmt == "delta":
+        detail = spark.sql(f"DESCRIBE DETAIL delta.`{place}`").select("partitionColumns").first()
+        return frame.columns, list(detail[0])
     first = frame.select(F.col("_metadata.file_path")).limit(1).collect()
     tail = first[0][0].split(f"/{spec.path}/", 1)[1] if first else ""
     return frame.columns, [part.split("=", 1)[0] for part in tail.split("/")[:-1] if "=" in part]
