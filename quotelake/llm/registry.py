@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quotelake.llm.decontamination import op4_decontamination
 from quotelake.llm.substring_dedup import op3_substring_dedup
 
 QUERIES = (
     op3_substring_dedup,
+    op4_decontamination,
 )
 ORACLES: dict[str, str] = {}
 
