@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.llm.decontamination import op4_decontamination
+from quotelake.llm.quality import op10_quality_rules
 from quotelake.llm.substring_dedup import op3_substring_dedup
 
 QUERIES = (
     op3_substring_dedup,
     op4_decontamination,
+    op10_quality_rules,
 )
 ORACLES: dict[str, str] = {}
 
