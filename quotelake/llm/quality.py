@@ -30,9 +30,7 @@ H = 0.75                    # share of a group that an estimate is made from
 SPREAD = 1.41               # what that share of a five-dimensional normal law lacks in variance
 STEPS = 3
 LEAST = 100                 # rows that a group needs for an estimate of its own
-# Squared distance; a five-dimensional normal law exceeds 40 once in about 7 million rows,
-# and counts of real texts have longer tails.
-CUTOFF = 80.0
+CUTOFF = 25.74              # squared distance that one row in 10,000 of that law exceeds
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Transformed counts, and the smallest deviation that each is measured by.
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats")
