@@ -103,6 +103,12 @@ def _windows(window: int):
     return batch_windows
 
 
+def _earliest(rows: DataFrame, key: str) -> DataFrame:
+    """The first document of each key that several documents hold."""
+    return stored(rows.groupBy(key).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+                  .where("first < last").select(key, "first"), "earliest")
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Maximal spans of words that repeat an earlier document: (rk, spans), spans an array
@@ -115,13 +121,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     anchors = stored(texts.mapInArrow(
         _anchors(window, seed), "seed long, whole long, doc long, rk long, low int, high int"),
         "anchors")
-    shared = (anchors.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
-              .where("a < b").select("seed"))
+    # Written, so that the join's sides are plain exchanges and a hot seed can be split.
+    shared = stored(anchors.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
+                    .where("a < b").select("seed"), "shared")
     seeded = stored(anchors.join(shared, "seed").select("whole", "doc", "rk", "low", "high"), "seeded")
-    earliest = seeded.groupBy("whole").agg(F.min("doc").alias("first"))
     judged = stored(
-        seeded.join(earliest, "whole")
-        .select("rk", "doc", "low", "high", (F.col("first") < F.col("doc")).alias("repeat")), "judged")
+        seeded.join(_earliest(seeded, "whole"), "whole", "left")
+        .select("rk", "doc", "low", "high",
+                F.coalesce(F.col("first") < F.col("doc"), F.lit(False)).alias("repeat")), "judged")
     known = judged.where("repeat").select("rk", "low", (F.col("high") + window).alias("high"))
     # Ranges of one document only meet here: as many as it has anchors at most.
     open_ranges = (judged.where("not repeat").groupBy("rk")
@@ -129,8 +136,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     grams = (texts.join(open_ranges, "rk").select("rk", "doc", "text", "ranges")
              .mapInArrow(_windows(window), "hash long, doc long, rk long, at int"))
     grams = stored(grams, "windows")
-    first = grams.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    found = (grams.join(first, "hash").where("first < doc")
+    found = (grams.join(_earliest(grams, "hash"), "hash").where("first < doc")
              .select("rk", F.col("at").alias("low"), (F.col("at") + window).alias("high")))
     return (known.unionByName(found).groupBy("rk")
             .agg(F.sort_array(F.collect_set(F.struct("low", "high"))).alias("spans"))
