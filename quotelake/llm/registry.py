@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from quotelake.llm.decontamination import op4_decontamination
 from quotelake.llm.jaccard_join import op2_jaccard_join
 from quotelake.llm.quality import op10_quality_rules
+from quotelake.llm.sentencepieces import op6_sentencepiece
 from quotelake.llm.substring_dedup import op3_substring_dedup
 
 QUERIES = (
     op2_jaccard_join,
     op3_substring_dedup,
     op4_decontamination,
+    op6_sentencepiece,
     op10_quality_rules,
 )
 ORACLES: dict[str, str] = {}
