@@ -146,8 +146,10 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant estimate per ``grp`` of rows with FEATURES."""
-    middle = rows.groupBy("grp").agg(
-        *[F.percentile_approx(name, 0.5).alias(f"m{i}") for i, name in enumerate(FEATURES)])
+    # What rows are joined with is written first: the join's sides are then plain exchanges,
+    # and Spark can split a group that holds much of the rows.
+    middle = stored(rows.groupBy("grp").agg(
+        *[F.percentile_approx(name, 0.5).alias(f"m{i}") for i, name in enumerate(FEATURES)]), "middle")
     spread = rows.join(middle, "grp").groupBy("grp").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in _DIM],
         *[(F.percentile_approx(F.abs(F.col(name) - F.col(f"m{i}")), 0.5) * 1.4826).alias(f"d{i}")
@@ -158,7 +160,8 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     estimate = stored(_whitened(start), "estimates")
     for _ in range(STEPS):
         apart = rows.join(estimate, "grp").select("grp", *FEATURES, _distance().alias("d"))
-        near = apart.groupBy("grp").agg(F.percentile_approx("d", H, 10000).alias("most"))
+        near = stored(apart.groupBy("grp").agg(F.percentile_approx("d", H, 10000).alias("most")),
+                      "nearest")
         estimate = stored(_whitened(_moments(apart.join(near, "grp").where("d <= most"))),
                           "estimates")
     return estimate
