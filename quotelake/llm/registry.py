@@ -11,12 +11,14 @@ from quotelake.llm.jaccard_join import op2_jaccard_join
 from quotelake.llm.quality import op10_quality_rules
 from quotelake.llm.sentencepieces import op6_sentencepiece
 from quotelake.llm.substring_dedup import op3_substring_dedup
+from quotelake.llm.token_files import op8_token_files
 
 QUERIES = (
     op2_jaccard_join,
     op3_substring_dedup,
     op4_decontamination,
     op6_sentencepiece,
+    op8_token_files,
     op10_quality_rules,
 )
 ORACLES: dict[str, str] = {}
