@@ -10,6 +10,7 @@ from quotelake.llm.decontamination import op4_decontamination
 from quotelake.llm.jaccard_join import op2_jaccard_join
 from quotelake.llm.quality import op10_quality_rules
 from quotelake.llm.sentencepieces import op6_sentencepiece
+from quotelake.llm.sharding import op9_kd_shards
 from quotelake.llm.substring_dedup import op3_substring_dedup
 from quotelake.llm.token_files import op8_token_files
 
@@ -19,6 +20,7 @@ QUERIES = (
     op4_decontamination,
     op6_sentencepiece,
     op8_token_files,
+    op9_kd_shards,
     op10_quality_rules,
 )
 ORACLES: dict[str, str] = {}
