@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.llm.decontamination import op4_decontamination
+from quotelake.llm.html_text import op5_html_text
 from quotelake.llm.jaccard_join import op2_jaccard_join
 from quotelake.llm.quality import op10_quality_rules
 from quotelake.llm.sentencepieces import op6_sentencepiece
@@ -18,6 +19,7 @@ QUERIES = (
     op2_jaccard_join,
     op3_substring_dedup,
     op4_decontamination,
+    op5_html_text,
     op6_sentencepiece,
     op8_token_files,
     op9_kd_shards,
