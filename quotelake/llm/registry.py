@@ -13,9 +13,11 @@ from quotelake.llm.quality import op10_quality_rules
 from quotelake.llm.sentencepieces import op6_sentencepiece
 from quotelake.llm.sharding import op9_kd_shards
 from quotelake.llm.substring_dedup import op3_substring_dedup
+from quotelake.llm.token_counts import op1_token_counts
 from quotelake.llm.token_files import op8_token_files
 
 QUERIES = (
+    op1_token_counts,
     op2_jaccard_join,
     op3_substring_dedup,
     op4_decontamination,
