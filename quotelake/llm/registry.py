@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quotelake.llm.decontamination import op4_decontamination
 from quotelake.llm.html_text import op5_html_text
 from quotelake.llm.jaccard_join import op2_jaccard_join
+from quotelake.llm.licenses import op7_license_scan
 from quotelake.llm.quality import op10_quality_rules
 from quotelake.llm.sentencepieces import op6_sentencepiece
 from quotelake.llm.sharding import op9_kd_shards
@@ -23,6 +24,7 @@ QUERIES = (
     op4_decontamination,
     op5_html_text,
     op6_sentencepiece,
+    op7_license_scan,
     op8_token_files,
     op9_kd_shards,
     op10_quality_rules,
