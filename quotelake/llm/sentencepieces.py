@@ -31,7 +31,7 @@ from quotelake.llm import words as W
 from quotelake.llm.store import prepared
 
 LONG = 48                   # characters of a word that is merged on its own
-CELLS = 1 << 21             # substrings probed at once
+CELLS = 1 << 19             # substrings probed at once
 CACHE_WORDS = 1 << 18
 _NONE = np.int32(2 ** 31 - 1)
 
