@@ -39,7 +39,7 @@ MAGIC = int.from_bytes(b"QTOKENS1", "little")
 FOOT = 6 * 8
 BLOCK_IDS = 1 << 15
 READ_DOCS = 2048            # documents that one task row reads
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 21     # of about 30 bytes each
 
 
 def bits_for(vocabulary: int) -> int:
