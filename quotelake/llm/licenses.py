@@ -4,8 +4,8 @@ Words are those of letters and digits in lower case. Of every ``SPAN`` consecuti
 ``GRAM``-grams of a template the one with the smallest hash is a fingerprint; the inverted
 index has its templates and places. Every gram of a document probes the index. Hits of a
 template whose diagonals (place in the document less place in the template) differ by at
-most ``BAND`` and whose places are no further apart than the template is long form a
-candidate, whose words are aligned with the template's inside that band: the longest common
+most its band, an eighth of its words and ``BAND`` at most, and whose places are no further
+apart than the template is long form a candidate, whose words are aligned with the template's inside that band: the longest common
 subsequence there gives matched words and their span. Candidates with at least ``COVERAGE``
 of the template matched are reported; of reports that overlap, those with more matched words
 stay, then the longer template, then its name.
@@ -89,7 +89,8 @@ class Index:
             keys.append(grams[at])
             owners.append(np.full(len(at), number))
             places.append(at)
-        self.sizes = np.array([len(w) for w in self.words])
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.bands = np.minimum(BAND, np.maximum(1, self.sizes // 8))
         keys, owners, places = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, owners, places))
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners, self.places = keys[order].astype(np.uint64), owners[order], places[order]
@@ -112,17 +113,18 @@ class Index:
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def candidates(self, words: W.Words):
-        """(text, template, least place, greatest place, least and greatest diagonal)."""
+        """(text, template, least and greatest diagonal)."""
         at, owner, place = self.hits(words)
         if not len(at):
             return []
         text = np.searchsorted(words.bounds, at, "right") - 1
         diagonal = at - place
-        order = np.lexsort((at, diagonal // (BAND + 1), owner, text))
-        text, owner, at, diagonal = text[order], owner[order], at[order], diagonal[order]
+        strip = diagonal // (self.bands[owner] + 1)
+        order = np.lexsort((at, strip, owner, text))
+        text, owner, at, diagonal, strip = (x[order] for x in (text, owner, at, diagonal, strip))
         new = np.ones(len(at), bool)
         new[1:] = ((text[1:] != text[:-1]) | (owner[1:] != owner[:-1])
-                   | (diagonal[1:] // (BAND + 1) != diagonal[:-1] // (BAND + 1))
+                   | (strip[1:] != strip[:-1])
                    | (at[1:] - at[:-1] > self.sizes[owner[1:]]))
         first = np.flatnonzero(new)
         return list(zip(
@@ -176,9 +178,9 @@ def _scan(shared, names):
                 found: list[dict[tuple, tuple]] = [{} for _ in range(run.count)]
                 for text, owner, low, high in index.candidates(words):
                     base, end = words.bounds[text], words.bounds[text + 1]
-                    template = index.words[owner]
+                    template, band = index.words[owner], int(index.bands[owner])
                     matched, first, last = align(
-                        template, words.hash[base:end], low - base - BAND, high - base + BAND)
+                        template, words.hash[base:end], low - base - band, high - base + band)
                     if matched >= COVERAGE * len(template):
                         found[text].setdefault((first, last, owner), (matched, len(template)))
                 for own in found:
