@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 NOW = "2024-01-30 12:00:00"
-START, END = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+# 8 January 09:45 to 20 January 18:00 local time, three hours behind UTC.
+START, END = "2024-01-08 12:45:00", "2024-01-20 21:00:00"
+CYCLES = 3555
+HALF = "2024-01-16 00:00:00"
 TICKERS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW", "MISSING1")
 
 
@@ -239,10 +242,10 @@ covered AS (
   FROM (VALUES {values}) AS wanted(symbol) LEFT JOIN received USING (symbol))""")
 
 
-def _gaps(where: str) -> str:
-    return _with("bronze", """
+def _gaps(where: str, limit: str = "LIMIT 200") -> str:
+    return _with("bronze", f"""
 SELECT symbol, previous_message, current_message, gap_s FROM gaps
-WHERE gap_s > 420 ORDER BY gap_s DESC, symbol, current_message LIMIT 200""", extra=f"""
+WHERE gap_s > 420 ORDER BY gap_s DESC, symbol, current_message {limit}""", extra=f"""
 ordered AS (
   SELECT symbol, kafka_time AS current_message,
     lag(kafka_time) OVER (PARTITION BY symbol ORDER BY kafka_time) AS previous_message
@@ -368,7 +371,7 @@ FROM gold_operational WHERE {_GOLD_IN_WINDOW}"""),
   {_pct(_VALID, "count(*)")} AS validity_pct, {_pct(_COMPLETE, "count(*)")} AS completeness_pct,
   {_pct(_FRESH, "count(*)")} AS freshness_pct, {_pct("count(change)", "count(*)")} AS change_pct,
   {_OVERALL} AS overall_pct""", "GROUP BY symbol"),
-        "report_14_coverage": _coverage(_IN_WINDOW, 8928, cover),
+        "report_14_coverage": _coverage(_IN_WINDOW, CYCLES, cover),
         "report_15_gaps": _gaps(_IN_WINDOW),
         "catalogue_bronze_quality": _bronze_quality(everything),
         "catalogue_silver_quality": _residue("silver_time", everything),
@@ -391,6 +394,7 @@ FROM gold_financial ORDER BY window_start DESC, symbol LIMIT 10"""),
         "catalogue_coverage_24h": _coverage(
             _LAST_DAY, 288, "symbol, parse_ok_rows, expected_cycles, coverage_pct"),
         "catalogue_gaps_24h": _gaps(_LAST_DAY),
+        "gaps_all": _gaps("true", ""),
         "dashboard_overall_score": _panel("overall_pct", _OVERALL, 80, 95),
         "dashboard_validity": _panel("validity_pct", _pct(_VALID, "count(*)"), 98, 98),
         "dashboard_completeness": _panel(
@@ -462,10 +466,10 @@ UNION ALL SELECT 'gold.prices_by_ingest_5min', count(*) FROM gold_operational
 UNION ALL SELECT 'gold.prices_by_quote_5min', count(*) FROM gold_financial"""),
         "layout_guard": _with(
             "bronze silver quarantine gold_operational gold_financial", """
-SELECT 'bronze/quotes' AS table_path, '' AS partitions, 0::INTEGER AS differences,
+SELECT 'bronze/quotes' AS table_path, 'kafka_date' AS partitions, 0::INTEGER AS differences,
   count(*) AS rows FROM bronze
-UNION ALL SELECT 'silver/quotes', 'symbol,trade_date', 0, count(*) FROM silver
-UNION ALL SELECT 'silver/quotes_rejected', '', 0, count(*) FROM quarantine
+UNION ALL SELECT 'silver/quotes', 'kafka_date,symbol,trade_date', 0, count(*) FROM silver
+UNION ALL SELECT 'silver/quotes_rejected', 'kafka_date', 0, count(*) FROM quarantine
 UNION ALL SELECT 'gold/prices_by_ingest_5min', 'window_date', 0, count(*) FROM gold_operational
 UNION ALL SELECT 'gold/prices_by_quote_5min', 'window_date', 0, count(*) FROM gold_financial"""),
         "log_topics": f"""WITH logs AS ({_LOGS})
@@ -491,7 +495,28 @@ SELECT ts AS log_time, event_id % 15 AS sucessos, 15 - event_id % 15 AS falhas,
 FROM logs WHERE finished AND duracao_ms > 300000""",
         "log_secrets": "SELECT event_id FROM events WHERE event_id % 97 = 0",
     }
+    kept = ("symbol", "regularMarketPrice", "regularMarketTime", "regularMarketChange", "marketCap")
+    kinds = {"VARCHAR": "string", "BIGINT": "bigint"}
+    other = [(c, kinds.get(_TYPES.get(c, "DOUBLE"), "double"), None) for c in _FIELDS if c not in kept]
+    other += [("quote_time", None, "timestamp"), ("rejection_reason", None, "string")]
+    values = ", ".join("(" + ", ".join(f"'{x}'" if x else "NULL" for x in row) + ")" for row in other)
+    sql["layout_mismatch"] = _with("bronze", f"""
+SELECT "column", stored, planned, (SELECT count(*) FROM bronze) AS rows
+FROM (VALUES {values}) AS found("column", stored, planned)""")
+    sql["stream_audit_texts"] = _with("bronze quarantine", """
+SELECT 'quotes' AS table_name, count(*) AS rows, count(*) AS unchanged FROM bronze
+UNION ALL SELECT 'quotes_rejected', count(*), count(*) FROM quarantine""")
+    # Keys that only messages of the earlier half hold came behind the watermark.
+    sql["stream_silver_reconciled"] = _with("judged silver", f"""
+SELECT silver.* EXCLUDE (kafka_time, ingest_time, silver_time), last < TIMESTAMP '{HALF}' AS late
+FROM silver JOIN (
+  SELECT symbol, quote_time, "regularMarketPrice" AS price, max(kafka_time) AS last
+  FROM judged WHERE accepted GROUP BY ALL) USING (symbol, quote_time, price)""")
+    sql["stream_published"] = f"""SELECT key, quotes, fields, took, count(*) AS messages
+FROM ({sql["publish_messages"]}) GROUP BY ALL"""
+    sql["stream_refused"] = sql["edge_refused"]
     sql["gold_stream_complete"] = sql["gold_operational"]
+    sql["gold_stream_complete_financial"] = sql["gold_financial"]
     sql["gold_stream_update"] = sql["gold_financial"]
     # Append mode writes a window once the watermark, 10 minutes late, has passed it.
     sql["gold_stream_append"] = sql["gold_financial"] + (

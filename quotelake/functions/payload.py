@@ -81,12 +81,19 @@ def _fits_number(value: Column, kind: Column) -> Column:
     )
 
 
+def _whole_text(value: Column) -> Column:
+    """Text of a whole number as a long; null beyond 64 bit."""
+    return F.regexp_replace(_bare_text(value), r"_|\.0+$", "").try_cast("bigint")
+
+
 def _fits_whole(value: Column, kind: Column) -> Column:
+    """Whole and within 64 bit, as a number or as text: what is sent is published, or the
+    payload is refused."""
     number = _as(value, "double")
     return (
         (kind == "BIGINT") | (kind == "BOOLEAN")
-        | (kind.rlike(_NUMBER_TYPE) & (number == F.floor(number)))
-        | ((kind == "STRING") & _bare_text(value).rlike(_WHOLE_TEXT))
+        | (kind.rlike(_NUMBER_TYPE) & (number == F.floor(number)) & _as(value, "bigint").isNotNull())
+        | ((kind == "STRING") & _bare_text(value).rlike(_WHOLE_TEXT) & _whole_text(value).isNotNull())
     )
 
 
@@ -148,7 +155,7 @@ def _read(value: Column, field: str) -> Column:
     if field in NUMBER_FIELDS:
         kind, loose = "double", F.regexp_replace(text, "_", "").try_cast("double")
     elif field in WHOLE_FIELDS or field == "took":
-        kind, loose = "bigint", F.regexp_replace(text, r"_|\.0+$", "").try_cast("bigint")
+        kind, loose = "bigint", _whole_text(value)
     elif field in EDGE_FLAG_FIELDS:
         kind, loose = "boolean", F.lower(text).isin(*_TRUE_TEXT)
     else:

@@ -21,6 +21,7 @@ STAGES = {
 }
 CLOCKS = ("quote_time", "kafka_time", "ingest_time", "silver_time")
 PERCENTILES = {"p50": 50, "p95": 95, "p99": 99}
+STRIP = 3600
 
 
 def _rows(name: str = "rows") -> Column:
@@ -177,13 +178,44 @@ def _percentile(rank: int) -> Column:
 def latency_percentiles(silver: DataFrame, keys: Sequence[str] = ("symbol",),
                         ranks: Mapping[str, int] = PERCENTILES) -> DataFrame:
     """Exact percentiles of the Kafka-to-Silver seconds, with the number of rows."""
+    seconds = _stage_seconds("kafka_to_silver")
+    if not keys:
+        return _whole_percentiles(silver, seconds, ranks)
     result = (
-        _histogram(silver, _stage_seconds("kafka_to_silver"), keys)
+        _histogram(silver, seconds, keys)
         .groupBy(*keys)
         .agg(*[_percentile(rank).alias(name) for name, rank in ranks.items()],
              F.sum("n").alias("samples"))
     )
-    return result.orderBy(F.desc("p95"), *keys) if keys else result
+    return result.orderBy(F.desc("p95"), *keys)
+
+
+def _whole_percentiles(df: DataFrame, value: Column, ranks: Mapping[str, int]) -> DataFrame:
+    """The same over all rows in one row, without all distinct seconds in one task.
+
+    Counts per strip of ``STRIP`` seconds, of which there are few, tell in which strip each
+    rank lies; seconds are counted out inside those strips only.
+    """
+    counts = (
+        df.select(value.alias("value")).filter(F.col("value").isNotNull())
+        .groupBy("value").agg(_rows("n")).withColumn("strip", F.floor(F.col("value") / STRIP)))
+    before = Window.orderBy("strip").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(F.lit(1))
+    strips = counts.groupBy("strip").agg(F.sum("n").alias("held")).withColumns({
+        "below": F.coalesce(F.sum("held").over(before), F.lit(0)), "total": F.sum("held").over(whole)})
+    wanted = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(rank).alias("rank")) for name, rank in ranks.items()]))
+    wanted = strips.withColumn("want", wanted).filter(
+        (F.col("below") * 100 < F.col("total") * F.col("want.rank"))
+        & ((F.col("below") + F.col("held")) * 100 >= F.col("total") * F.col("want.rank")))
+    inner = Window.partitionBy("name").orderBy("value").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    inside = counts.join(wanted.select("strip", "below", "total", "want.*"), "strip").withColumn(
+        "running", F.col("below") + F.sum("n").over(inner))
+    found = inside.filter(F.col("running") * 100 >= F.col("total") * F.col("rank"))
+    return found.agg(
+        *[F.min(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in ranks],
+        F.max("total").alias("samples"))
 
 
 def source_lag(silver: DataFrame, limit_seconds: int = SOURCE_LAG_SECONDS) -> DataFrame:

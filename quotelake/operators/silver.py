@@ -41,7 +41,8 @@ def to_silver(bronze: DataFrame, *, watermark: str = "15 minutes", clock: Column
     """Valid quotes, one per (symbol, quote_time, price).
 
     Rows are filtered before the watermark is declared, so a rejected row never moves
-    it. A stream drops rows behind the watermark (``streaming.progress`` counts them);
+    it. A stream drops rows behind the watermark (``streaming.sinks.ProgressLog`` counts
+    them, ``operators.late`` finds them);
     a batch keeps the earliest copy by (kafka_time, offset, partition).
     """
     rules = row_rules(bronze, strict_parse=strict_parse, reject_nan=reject_nan,

@@ -14,7 +14,7 @@ from quotelake.sources.lake import register_tables
 
 if __name__ == "__main__":
     parser = argparse.ArgumentParser(prog="quotelake.plans")
-    parser.add_argument("day", help="local date, YYYY-MM-DD")
+    parser.add_argument("day", nargs="?", help="local date, YYYY-MM-DD; today if left out")
     parser.add_argument("start", nargs="?", default=SESSION_START, help="local time, HH:MM")
     parser.add_argument("end", nargs="?", default=SESSION_END, help="local time, HH:MM")
     parser.add_argument("--root", help="register the tables under this folder first")

@@ -29,5 +29,5 @@ def build_lake(spark: SparkSession, messages: DataFrame, root: str, *,
     silver = lake.read_table(spark, root, lake.SILVER, fmt)
     for spec, refine in ((lake.GOLD_OPERATIONAL, to_gold_operational),
                          (lake.GOLD_FINANCIAL, to_gold_financial)):
-        store(lake.partition_gold(refine(silver, clock=gold_clock)), spec)
+        store(refine(silver, clock=gold_clock), spec)
     return lake.open_lake(spark, root, fmt)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ def catalogue(lake: Lake, now: datetime,
     day = ReportWindow.last_day(now)
     # Up to now and later: a message stamped ahead of the clock counts as well.
     recent = lake.bronze.filter(F.col("kafka_time") >= F.lit(day.start))
+    if "kafka_date" in recent.columns:
+        recent = recent.filter(F.col("kafka_date") >= f"{day.start.astimezone(timezone.utc):%Y-%m-%d}")
     return {
         "bronze_quality": lambda: measures.bronze_quality(lake.bronze),
         "silver_quality": lambda: measures.silver_residue(lake.silver, "silver_time"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake.functions.columns import keep_where
-from quotelake.operators import edge, logs, measures
+from quotelake.operators import edge, logs, measures, series
 from quotelake.operators.bronze import to_bronze
 from quotelake.operators.gold import to_gold_financial, to_gold_operational
 from quotelake.operators.quarantine import reason_codes, row_accounting, to_quarantine
@@ -21,12 +21,14 @@ from quotelake.plans.catalogue import catalogue
 from quotelake.plans.dashboard import panels, score_panels
 from quotelake.plans.report import sections
 from quotelake.plans.window import ReportWindow, session_windows
-from quotelake.schema import BRONZE_COLUMNS, SILVER_COLUMNS
+from quotelake.schema import BRONZE_COLUMNS, MESSAGE_SCHEMA, SILVER_COLUMNS
 from quotelake.session import configure, shared_dir
 from quotelake.sources import from_events as source
 from quotelake.sources import lake
-from quotelake.sources.kafka import message_files_stream
-from quotelake.sources.layout import layout_differences, stored_file_layout
+from quotelake.sources.kafka import message_files_sink, message_files_stream
+from quotelake.sources.layout import (
+    layout_differences, planned_layout, stored_file_layout,
+)
 from quotelake.streaming import jobs
 from quotelake.streaming.sinks import ALL_AVAILABLE, gold_stream
 
@@ -34,8 +36,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The five symbols of the events table and one that never sends anything.
 TICKERS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW", "MISSING1")
-WHOLE_MONTH = ReportWindow.utc("2024-01-01T00:00:00", "2024-02-01T00:00:00")
+# Both bounds lie inside the data, so that a window that cut nothing would show.
+REPORT_WINDOW = ReportWindow.local("2024-01-08 09:45", "2024-01-20 18:00")
 NOW = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
+NOW_HALF = datetime(2024, 1, 16, tzinfo=timezone.utc)
 
 _stored: dict[tuple, str] = {}
 _opened: dict[str, lake.Lake] = {}
@@ -138,11 +142,82 @@ def _gold_streamed(mode: str, spec: lake.TableSpec, refine: Callable) -> Query:
             gold = refine(silver, clock=source.gold_clock())
             gold_stream(gold, root, spec, f"gold_{mode}", f"{root}/checkpoints", mode,
                         ALL_AVAILABLE).awaitTermination()
-        root = _place(spark, sf_dir, f"gold_{mode}", run)
+        root = _place(spark, sf_dir, f"gold_{mode}_{spec.name}", run)
         return naive(even_average(lake.read_table(spark, root, spec)))
     return query
 
 
+def _audit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored Bronze and quarantine rows whose audit text is the message as it was sent."""
+    root = stream_root(spark, sf_dir)
+    sent = _messages(spark, sf_dir).select("offset", F.sha2("value", 256).alias("sent"))
+    parts = [
+        lake.read_table(spark, root, spec).select(
+            "offset", F.sha2("raw_json", 256).alias("kept"), F.lit(spec.name).alias("table_name"))
+        for spec in (lake.BRONZE, lake.QUARANTINE)]
+    return _union(parts).join(sent, "offset").groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("kept") == F.col("sent")).alias("unchanged"))
+
+
+def _halves_root(spark: SparkSession, sf_dir: str) -> str:
+    """Silver streamed from Bronze whose later half arrived first, so that the watermark
+    leaves the earlier half behind, and the quotes so lost kept beside it."""
+    configure(spark)
+
+    def run(root: str) -> None:
+        clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock())
+        flow = jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks)
+        late = F.col("kafka_time") >= F.lit(NOW_HALF)
+        for part in (late, ~late):
+            lake.write_table(_bronze(spark, sf_dir).filter(part), root, lake.BRONZE)
+            jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+        jobs.append_lost_quotes(flow)
+    return _place(spark, sf_dir, "halves", run)
+
+
+def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which table each quote of that Silver is in."""
+    root = _halves_root(spark, sf_dir)
+    shown = [c for c in SILVER_COLUMNS if c not in ("kafka_time", "ingest_time", "silver_time")]
+    parts = [lake.read_table(spark, root, spec).select(*shown, F.lit(late).alias("late"))
+             for spec, late in ((lake.SILVER, False), (lake.SILVER_LATE, True))]
+    return naive(_union(parts))
+
+
+def _edge_root(spark: SparkSession, sf_dir: str) -> str:
+    """Responses as files, streamed through the gate to message files and refused rows."""
+    configure(spark)
+
+    def run(root: str) -> None:
+        source.raw_responses(_events(spark, sf_dir)).write.parquet(f"{root}/responses")
+        responses = spark.readStream.schema("event_id long, ticker string, body string").parquet(
+            f"{root}/responses")
+        flow = jobs.Flow(spark, root, f"{root}/checkpoints")
+        for query in jobs.start_edge(flow, responses, message_files_sink(f"{root}/topic", "quotes"),
+                                     ALL_AVAILABLE):
+            query.awaitTermination()
+    return _place(spark, sf_dir, "edge", run)
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages on the topic, per key and text."""
+    sent = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{_edge_root(spark, sf_dir)}/topic")
+    return _message_shape(sent).groupBy("key", "quotes", "fields", "took").agg(
+        F.count(F.lit(1)).alias("messages"))
+
+
+def _refused_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = spark.read.parquet(f"{_edge_root(spark, sf_dir)}/edge/refused")
+    return held.select("event_id", "key", "gate_status")
+
+
+def _message_shape(messages: DataFrame) -> DataFrame:
+    shape = F.from_json("value", "results array<map<string,string>>, took int")
+    return messages.select("*", shape.alias("m")).select(
+        *[c for c in messages.columns if c in ("event_id", "key")], F.size("m.results").alias("quotes"),
+        F.size(F.col("m.results")[0]).alias("fields"), F.col("m.took").alias("took"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages to five-minute price windows by quote time."""
     gold = to_gold_financial(_silver(spark, sf_dir), clock=source.gold_clock())
@@ -182,11 +257,17 @@ def _layers() -> dict[str, Query]:
 def _streams() -> dict[str, Query]:
     return {
         "stream_bronze": _streamed(lake.BRONZE, ("raw_json",)),
+        "stream_audit_texts": _audit_texts,
         # Which of two copies of a quote survives a stream is open, hence no clocks.
         "stream_silver": _streamed(lake.SILVER, ("kafka_time", "ingest_time", "silver_time")),
         "stream_quarantine": _streamed(lake.QUARANTINE, ("raw_json",)),
+        "stream_silver_reconciled": _reconciled,
+        "stream_published": _published,
+        "stream_refused": _refused_stream,
         "gold_stream_complete": _gold_streamed(
             "complete", lake.GOLD_OPERATIONAL, to_gold_operational),
+        "gold_stream_complete_financial": _gold_streamed(
+            "complete", lake.GOLD_FINANCIAL, to_gold_financial),
         "gold_stream_update": _gold_streamed(
             "update", lake.GOLD_FINANCIAL, to_gold_financial),
         "gold_stream_append": _gold_streamed(
@@ -233,7 +314,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 def _reports() -> dict[str, Query]:
     def section(title: str) -> Query:
-        return lambda s, d: _shown(sections(_lake(s, d), WHOLE_MONTH, TICKERS)[title]())
+        return lambda s, d: _shown(sections(_lake(s, d), REPORT_WINDOW, TICKERS)[title]())
 
     def metric(name: str) -> Query:
         return lambda s, d: _shown(catalogue(_lake(s, d), NOW, TICKERS)[name]())
@@ -246,6 +327,7 @@ def _reports() -> dict[str, Query]:
             session_windows(_lake(s, d).bronze, len(TICKERS))),
         **{name: section(title) for name, title in _REPORT.items()},
         **{f"catalogue_{name}": metric(name) for name in _CATALOGUE},
+        "gaps_all": lambda s, d: naive(series.message_gaps(_lake(s, d).bronze, limit=None)),
         **{f"dashboard_{name}": panel(name) for name in _PANELS},
         "dashboard_scores": lambda s, d: naive(score_panels(_lake(s, d).silver, F.lit(NOW))),
     }
@@ -281,10 +363,7 @@ def _edge() -> dict[str, Query]:
 
     def messages(s: SparkSession, d: str) -> DataFrame:
         ready = keep_where(edge.gate(responses(s, d)), F.col("gate_status") == edge.ACCEPTED)
-        shape = F.from_json("value", "results array<map<string,string>>, took int")
-        return ready.select("event_id", "key", shape.alias("m")).select(
-            "event_id", "key", F.size("m.results").alias("quotes"),
-            F.size(F.col("m.results")[0]).alias("fields"), F.col("m.took").alias("took"))
+        return _message_shape(ready)
 
     return {
         "edge_ticker": lambda s, d: edge.check_tickers(responses(s, d)).select(
@@ -311,15 +390,26 @@ def _catalog() -> dict[str, Query]:
         root = lake_root(s, d)
         rows = []
         for spec in lake.TABLES:
-            columns, partitions = stored_file_layout(s, root, spec)
-            found = layout_differences(columns, partitions, spec.stored_columns, spec.partitions)
+            stored = stored_file_layout(s, root, spec)
+            order = sorted((p.partition, c) for c, p in stored.items() if p.partition)
+            found = layout_differences(stored, planned_layout(spec))
             rows.append(lake.read_table(s, root, spec).agg(F.count(F.lit(1)).alias("rows"))
                         .select(F.lit(spec.path).alias("table_path"),
-                                F.lit(",".join(partitions)).alias("partitions"),
+                                F.lit(",".join(c for _, c in order)).alias("partitions"),
                                 F.lit(len(found)).alias("differences"), "rows"))
         return _union(rows)
 
-    return {"register_tables": registered, "layout_guard": guarded}
+    def mismatched(s: SparkSession, d: str) -> DataFrame:
+        """What tells Bronze from the layout of quarantine, with the rows it is about."""
+        root = lake_root(s, d)
+        found = layout_differences(stored_file_layout(s, root, lake.BRONZE), planned_layout(lake.QUARANTINE))
+        listed = F.array(*[F.struct(*[
+            F.lit(text).cast("string").alias(name) for name, text in zip(("column", "stored", "planned"), row)])
+            for row in found])
+        return lake.read_table(s, root, lake.BRONZE).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.explode(listed).alias("found"), "rows").select("found.*", "rows")
+
+    return {"register_tables": registered, "layout_guard": guarded, "layout_mismatch": mismatched}
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

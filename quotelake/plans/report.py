@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from quotelake.operators import measures, series
-from quotelake.plans.window import ReportWindow, describe_window
+from quotelake.plans.window import ReportWindow, describe_window, local_today
 from quotelake.schema import DEFAULT_TICKERS, GOLD_COLUMNS
 from quotelake.sources.lake import Lake, catalog_lake
 
@@ -91,24 +91,37 @@ SILVER_REPORT_COLUMNS = (
 )
 
 
-def export_report(spark: SparkSession, day: str, out: str, *, start: str = "09:45",
+BRONZE_REPORT_COLUMNS = (
+    "kafka_time", "symbol", "regularMarketPrice", "regularMarketTime", "ingest_time",
+    "parse_status",
+)
+
+
+def export_report(spark: SparkSession, day: str | None, out: str, *, start: str = "09:45",
                   end: str = "18:00", prefix: str = "", fmt: str = "parquet",
                   tickers: Sequence[str] = DEFAULT_TICKERS) -> list[str]:
     """Write every section of one session as a dataset of its own; returns the titles.
 
-    Needs all five tables registered and names any that is not. Ten sections read the
-    session's Silver rows, so that narrow slice is kept for the length of the export;
-    lost blocks are read again from the table.
+    Without a day it is today's session, local time. Every row carries the window's label,
+    and CSV files have headings. Needs all five tables registered and names any that is not.
+    Ten sections read the session's Silver rows and four its Bronze rows, so those narrow
+    slices are kept for the length of the export; lost blocks are read again.
     """
-    window = ReportWindow.session(day, start, end)
+    window = ReportWindow.session(day or local_today(), start, end)
     lake = catalog_lake(spark, prefix)
-    slice_of_silver = window.apply(lake.silver.select(*SILVER_REPORT_COLUMNS), "kafka_time")
-    slice_of_silver.persist(StorageLevel.MEMORY_AND_DISK)
+    slices = {
+        layer: window.apply(getattr(lake, layer), "kafka_time").select(*columns)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+        for layer, columns in (("silver", SILVER_REPORT_COLUMNS), ("bronze", BRONZE_REPORT_COLUMNS))}
     try:
-        parts = report(replace(lake, silver=slice_of_silver), window, tickers)
+        parts = report(replace(lake, **slices), window, tickers)
         for title, frame in parts.items():
-            frame.write.format(fmt).mode("overwrite").save(
-                f"{out.rstrip('/')}/{title.replace(' ', '_')}")
+            labelled = frame.select(F.lit(window.label).alias("report_window"), "*")
+            writer = labelled.write.format(fmt).mode("overwrite")
+            if fmt == "csv":
+                writer = writer.option("header", "true")
+            writer.save(f"{out.rstrip('/')}/{title.replace(' ', '_')}")
     finally:
-        slice_of_silver.unpersist()
+        for kept in slices.values():
+            kept.unpersist()
     return list(parts)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -10,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.schema import LOCAL_UTC_OFFSET_HOURS, LOCAL_ZONE, POLL_MINUTES
+from quotelake.sources.lake import DAY_OF
 
-_DAY = re.compile(r"\d{4}-\d{2}-\d{2}")
-_CLOCK = re.compile(r"[0-2]\d:[0-5]\d")
 _LOCAL = timezone(timedelta(hours=LOCAL_UTC_OFFSET_HOURS))
 # The default session, local time.
 SESSION_START, SESSION_END = "09:45", "18:00"
@@ -33,13 +31,13 @@ class ReportWindow:
     def session(cls, day: str, start: str = SESSION_START,
                 end: str = SESSION_END) -> ReportWindow:
         """Local date and clock times; the local offset is fixed (no daylight saving)."""
-        if not _DAY.fullmatch(day):
-            raise ValueError(f"date must be YYYY-MM-DD, got {day!r}")
-        for clock in (start, end):
-            if not _CLOCK.fullmatch(clock):
-                raise ValueError(f"time must be HH:MM, got {clock!r}")
-        return cls(*(datetime.strptime(f"{day} {clock}", "%Y-%m-%d %H:%M").replace(tzinfo=_LOCAL)
-                     for clock in (start, end)))
+        return cls.local(f"{day} {start}", f"{day} {end}")
+
+    @classmethod
+    def local(cls, start: str, end: str) -> ReportWindow:
+        """Local dates and times, ``YYYY-MM-DD HH:MM``."""
+        return cls(*(datetime.strptime(text, "%Y-%m-%d %H:%M").replace(tzinfo=_LOCAL)
+                     for text in (start, end)))
 
     @classmethod
     def utc(cls, start: str, end: str) -> ReportWindow:
@@ -65,10 +63,25 @@ class ReportWindow:
         """Predicate on a timestamp column; literal bounds, so it reaches the scan."""
         return (F.col(time_col) >= _instant(self.start)) & (F.col(time_col) < _instant(self.end))
 
+    @property
+    def label(self) -> str:
+        first, last = (moment.astimezone(_LOCAL) for moment in (self.start, self.end))
+        return f"{first:%Y-%m-%d %H:%M} to {last:%Y-%m-%d %H:%M} {LOCAL_ZONE}"
+
     def apply(self, df: DataFrame, time_col: str) -> DataFrame:
+        """Rows in the window; folders of other days are not read where the day is at hand."""
+        day = next((c for c, source in DAY_OF.items() if source == time_col and c in df.columns), None)
+        if day:
+            first, last = (moment.astimezone(timezone.utc) for moment in (self.start, self.end))
+            df = df.filter(F.col(day).between(f"{first:%Y-%m-%d}", f"{last:%Y-%m-%d}"))
         return df.filter(self.holds(time_col))
 
 
+def local_today() -> str:
+    """Today's local date."""
+    return f"{datetime.now(_LOCAL):%Y-%m-%d}"
+
+
 def _instant(moment: datetime) -> Column:
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
     return F.timestamp_micros(F.lit((moment - epoch) // timedelta(microseconds=1)))

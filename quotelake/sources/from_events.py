@@ -16,15 +16,9 @@ ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table with a zoned timestamp, split over the session's cores.
-
-    A table with fewer splits than cores is spread while its rows are still narrow;
-    with more it is read as it is.
-    """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    """The events table with a zoned timestamp, as its files are split."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
-    cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
 def plus_seconds(moment: str, seconds: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from quotelake.schema import MESSAGE_SCHEMA
@@ -46,6 +47,24 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
         **publish_options(servers, topic)).save()
 
 
+def message_files_sink(path: str, topic: str, fmt: str = "parquet"):
+    """A publisher of message files in the shape of Kafka records, where no broker is at hand:
+    ``publish(messages, checkpoint)``. Offsets are left null; a broker gives them."""
+    def publish(messages: DataFrame, checkpoint: str) -> DataStreamWriter:
+        rows = messages.select(
+            F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
+            F.lit(None).cast("bigint").alias("offset"), "key",
+            F.current_timestamp().alias("timestamp"), "value")
+        return (rows.writeStream.format(fmt).outputMode("append")
+                .option("path", path).option("checkpointLocation", checkpoint))
+    return publish
+
+
+def topic_sink(servers: str, topic: str):
+    """A publisher to a Kafka topic: ``publish(messages, checkpoint)``."""
+    return lambda messages, checkpoint: publish_stream(messages, servers, topic, checkpoint)
+
+
 def publish_stream(messages: DataFrame, servers: str, topic: str,
                    checkpoint: str) -> DataStreamWriter:
     """Stream: (key, value) rows to a topic; the caller sets the trigger and starts it."""

@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.schema import (
-    BRONZE_COLUMNS, GOLD_COLUMNS, GOLD_PARTITIONS, QUARANTINE_COLUMNS, SILVER_COLUMNS,
-    SILVER_PARTITIONS, ddl,
+    BRONZE_COLUMNS, BRONZE_PARTITIONS, GOLD_COLUMNS, GOLD_KEY, GOLD_PARTITIONS, GOLD_VERSION,
+    QUARANTINE_COLUMNS, SILVER_COLUMNS, SILVER_PARTITIONS, ddl,
 )
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Name, columns and partition columns of one table."""
+    """Name, columns and partition columns of one table; ``version`` names a column that
+    tells the newest of several rows of a window."""
 
     schema: str
     name: str
     columns: tuple[str, ...]
     partitions: tuple[str, ...] = ()
+    version: str | None = None
 
     @property
     def path(self) -> str:
@@ -28,41 +31,78 @@ class TableSpec:
 
     @property
     def stored_columns(self) -> tuple[str, ...]:
-        return self.columns + tuple(p for p in self.partitions if p not in self.columns)
+        added = ((self.version,) if self.version else ()) + self.partitions
+        return self.columns + tuple(c for c in added if c not in self.columns)
 
 
-BRONZE = TableSpec("bronze", "quotes", BRONZE_COLUMNS)
+BRONZE = TableSpec("bronze", "quotes", BRONZE_COLUMNS, BRONZE_PARTITIONS)
 SILVER = TableSpec("silver", "quotes", SILVER_COLUMNS, SILVER_PARTITIONS)
-QUARANTINE = TableSpec("silver", "quotes_rejected", QUARANTINE_COLUMNS)
-GOLD_OPERATIONAL = TableSpec("gold", "prices_by_ingest_5min", GOLD_COLUMNS, GOLD_PARTITIONS)
-GOLD_FINANCIAL = TableSpec("gold", "prices_by_quote_5min", GOLD_COLUMNS, GOLD_PARTITIONS)
+QUARANTINE = TableSpec("silver", "quotes_rejected", QUARANTINE_COLUMNS, BRONZE_PARTITIONS)
+GOLD_OPERATIONAL = TableSpec("gold", "prices_by_ingest_5min", GOLD_COLUMNS, GOLD_PARTITIONS,
+                             GOLD_VERSION)
+GOLD_FINANCIAL = TableSpec("gold", "prices_by_quote_5min", GOLD_COLUMNS, GOLD_PARTITIONS,
+                           GOLD_VERSION)
+# Quotes behind the Silver stream's watermark, found again in batch; not one of the five.
+SILVER_LATE = TableSpec("silver", "quotes_late", SILVER_COLUMNS, SILVER_PARTITIONS)
 TABLES = (BRONZE, SILVER, QUARANTINE, GOLD_OPERATIONAL, GOLD_FINANCIAL)
+# Partition column -> the time whose day it is.
+DAY_OF = {"kafka_date": "kafka_time", "window_date": "window_start"}
 
 
 def location(root: str, spec: TableSpec) -> str:
     return f"{root.rstrip('/')}/{spec.path}"
 
 
-def partition_gold(gold: DataFrame) -> DataFrame:
-    """Adds the day of the window, the partition column of the Gold tables."""
-    return gold.withColumn("window_date", F.date_format("window_start", "yyyy-MM-dd"))
+def placed(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The stored columns of a table: with its days, and for Gold the time of writing."""
+    for column in spec.partitions:
+        if column in DAY_OF:
+            df = df.withColumn(column, F.date_format(DAY_OF[column], "yyyy-MM-dd"))
+    if spec.version:
+        df = df.withColumn(spec.version, F.lit(time.time_ns() // 1000))
+    return df.select(*spec.stored_columns)
 
 
-def read_table(spark: SparkSession, root: str, spec: TableSpec,
-               fmt: str = "parquet") -> DataFrame:
-    """A stored table with its columns in order."""
+def newest(stored: DataFrame, spec: TableSpec) -> DataFrame:
+    """The newest row of each window; other tables as they are. The key holds the day, so a
+    filter on it still prunes folders."""
+    if not spec.version:
+        return stored
+    rest = [c for c in stored.columns if c not in GOLD_KEY]
+    last = stored.groupBy(*GOLD_KEY).agg(
+        F.max_by(F.struct(*rest), spec.version).alias("row"))
+    return last.select(*[c if c in GOLD_KEY else F.col(f"row.{c}").alias(c) for c in stored.columns])
+
+
+def shown(stored: DataFrame, spec: TableSpec, partitions: bool = False) -> DataFrame:
+    """The columns of a layer in order, from all rows that are stored."""
+    rows = newest(stored, spec)
+    return rows.select(*spec.columns, *[
+        c for c in spec.partitions if partitions and c not in spec.columns])
+
+
+def stored_rows(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet") -> DataFrame:
+    """All rows of a stored table, older versions of Gold windows included."""
     reader = spark.read.format(fmt)
     if fmt == "parquet":
         # Declared, so that partition values such as 2024-01-05 stay text.
         reader = reader.schema(ddl(spec.stored_columns))
-    return reader.load(location(root, spec)).select(*spec.columns)
+    return reader.load(location(root, spec)).select(*spec.stored_columns)
+
+
+def read_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet",
+               partitions: bool = False) -> DataFrame:
+    """A stored table with its columns in order, followed by its days if asked for."""
+    return shown(stored_rows(spark, root, spec, fmt), spec, partitions)
 
 
 def stream_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """A stored table as a stream of appended rows.
 
-    ``max_files_per_trigger`` bounds a micro-batch during a backfill.
+    ``max_files_per_trigger`` bounds a micro-batch of a job without a watermark. In front
+    of one it would lose rows: files are not in the order of their quotes, so the
+    watermark of an early file passes the quotes of later ones.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "parquet":
@@ -76,20 +116,17 @@ def write_table(df: DataFrame, root: str, spec: TableSpec, fmt: str = "parquet",
                 mode: str = "append") -> None:
     """Batch write in the table's layout; ``overwrite`` replaces the whole table.
 
-    Partitioned tables are rebalanced on the partition columns: few files per
-    partition, and adaptive execution splits a partition that is too large for a task.
-    Rows are ordered by Kafka time inside each file, which keeps the file statistics
-    that the report windows prune on narrow. A parquet table a stream appends to is not
-    written in batch as well: its readers follow the stream's own file log.
+    Tables are rebalanced on their partition columns: few files per partition, and
+    adaptive execution splits a partition that is too large for a task. Rows are ordered
+    by their time inside each file, which keeps the file statistics that report windows
+    prune on narrow. A parquet table a stream appends to is not written in batch as well:
+    its readers follow the stream's own file log.
     """
-    if spec.partitions:
-        df = df.hint("rebalance", *spec.partitions)
-        if "kafka_time" in df.columns:
-            df = df.sortWithinPartitions(*spec.partitions, "kafka_time")
-    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
-    if spec.partitions:
-        writer = writer.partitionBy(*spec.partitions)
-    writer.save(location(root, spec))
+    rows = placed(df, spec).hint("rebalance", *spec.partitions)
+    order = next(DAY_OF[c] for c in spec.partitions if c in DAY_OF)
+    (rows.sortWithinPartitions(*spec.partitions, order)
+     .write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
+     .partitionBy(*spec.partitions).save(location(root, spec)))
 
 
 @dataclass(frozen=True)
@@ -104,8 +141,8 @@ class Lake:
 
 
 def open_lake(spark: SparkSession, root: str, fmt: str = "parquet") -> Lake:
-    """The stored tables under ``root``."""
-    return Lake(*(read_table(spark, root, spec, fmt) for spec in TABLES))
+    """The stored tables under ``root``, with their days."""
+    return Lake(*(read_table(spark, root, spec, fmt, True) for spec in TABLES))
 
 
 def qualified(spec: TableSpec, prefix: str = "") -> str:
@@ -119,12 +156,28 @@ def missing_tables(spark: SparkSession, prefix: str = "") -> list[str]:
 
 
 def catalog_lake(spark: SparkSession, prefix: str = "") -> Lake:
-    """The registered tables; names every table that is missing."""
+    """The registered tables as they are now; names every table that is missing.
+
+    The catalog gives each table's place and format. Rows are read from there, so that
+    partitions written after the registration count, and files of an unfinished stream
+    batch do not.
+    """
     missing = missing_tables(spark, prefix)
     if missing:
         raise LookupError(f"tables not registered: {', '.join(missing)}")
-    return Lake(*(spark.table(qualified(spec, prefix)).select(*spec.columns)
-                  for spec in TABLES))
+    tables = []
+    for spec in TABLES:
+        root, fmt = _registered(spark, spec, prefix)
+        tables.append(read_table(spark, root, spec, fmt, True))
+    return Lake(*tables)
+
+
+def _registered(spark: SparkSession, spec: TableSpec, prefix: str) -> tuple[str, str]:
+    """Root folder and format of a registered table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {qualified(spec, prefix)}").filter(
+        F.col("col_name").isin("Location", "Provider")).collect()
+    found = {row.col_name: row.data_type for row in rows}
+    return found["Location"].rstrip("/").removesuffix(f"/{spec.path}"), found["Provider"].lower()
 
 
 def register_tables(spark: SparkSession, root: str, fmt: str = "parquet",

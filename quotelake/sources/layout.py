@@ -1,72 +1,108 @@
-"""Layout guard: does a stored table still have the layout a job will write?"""
+"""Layout guard: does a stored table still have the layout a job will write?
+
+A layout maps each column to its type and its place among the partition columns (from 1;
+0 for a column inside the files). Two layouts are compared column by column, and every
+column in which they differ makes one row.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from quotelake.schema import ddl
 from quotelake.sources.lake import TableSpec, location
 
 # How a missing or still empty table shows when it is read.
-_ABSENT = ("PATH_NOT_FOUND", "nable to infer schema", "DELTA_TABLE_NOT_FOUND",
-           "DELTA_MISSING_DELTA_TABLE")
-DIFFERENCE_SCHEMA = "difference string, stored array<string>, planned array<string>"
+_ABSENT = ("PATH_NOT_FOUND", "nable to infer schema", "UNABLE_TO_INFER_SCHEMA",
+           "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
+DIFFERENCE_SCHEMA = "column string, stored string, planned string"
+
+
+class Place(NamedTuple):
+    """Type of a column, and its place in the partitioning."""
+
+    type: str
+    partition: int = 0
+
+    def __str__(self) -> str:
+        return f"partition {self.partition}" if self.partition else self.type
+
+
+Layout = dict[str, Place]
 
 
 class LayoutMismatch(RuntimeError):
     """The stored table and the planned output differ."""
 
 
-def layout_differences(stored_columns: Iterable[str], stored_partitions: Sequence[str],
-                       planned_columns: Iterable[str],
-                       planned_partitions: Sequence[str]) -> list[tuple]:
-    """(difference, stored, planned) for each kind of difference; names only, no types.
+def layout_of(schema: T.StructType, partitions: Sequence[str] = ()) -> Layout:
+    return {f.name: Place(f.dataType.simpleString(), list(partitions).index(f.name) + 1
+                          if f.name in partitions else 0) for f in schema}
+
+
+def planned_layout(spec: TableSpec) -> Layout:
+    """What the writers of a table produce."""
+    return layout_of(T.StructType.fromDDL(ddl(spec.stored_columns)), spec.partitions)
+
+
+def layout_differences(stored: Layout, planned: Layout) -> list[tuple[str, str | None, str | None]]:
+    """(column, stored, planned) for each column that differs; None where it is absent.
 
-    Partition columns are compared as a sequence, all columns as a set.
+    Partition values have no type of their own in a path, so partition columns are compared
+    by their place alone.
     """
-    have, want = set(stored_columns), set(planned_columns)
-    checks = (
-        ("partitioning", list(stored_partitions), list(planned_partitions)),
-        ("missing columns", [], sorted(want - have)),
-        ("obsolete columns", sorted(have - want), []),
-    )
-    return [check for check in checks if check[1] != check[2]]
+    found = []
+    for column in sorted({*stored, *planned}):
+        have, want = stored.get(column), planned.get(column)
+        if have is None or want is None or str(have) != str(want):
+            found.append((column, have and str(have), want and str(want)))
+    return found
 
 
-def stored_layout(spark: SparkSession, table: str) -> tuple[list[str], list[str]] | None:
-    """Columns and partition columns of a catalog table; None if it does not exist."""
+def stored_layout(spark: SparkSession, table: str) -> Layout | None:
+    """Layout of a catalog table; None if it does not exist."""
     if not spark.catalog.tableExists(table):
         return None
     columns = spark.catalog.listColumns(table)
-    return [c.name for c in columns], [c.name for c in columns if c.isPartition]
+    order = [c.name for c in columns if c.isPartition]
+    return {c.name: Place(c.dataType, order.index(c.name) + 1 if c.isPartition else 0)
+            for c in columns}
 
 
 def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec,
-                       fmt: str = "parquet") -> tuple[list[str], list[str]] | None:
-    """The same from the files of a table; None where nothing has been written yet.
+                       fmt: str = "parquet") -> Layout | None:
+    """Layout of all files of a table; None where nothing has been written yet.
 
-    Directory levels ``name=value`` between the table folder and a file are its
-    partition columns, in order.
+    Directory levels ``name=value`` between the table folder and a file are its partition
+    columns, in order. Files of several partitionings are a mismatch of their own.
     """
     place = location(root, spec)
     try:
-        frame = spark.read.format(fmt).load(place)
+        reader = spark.read.format(fmt)
+        frame = (reader.option("mergeSchema", "true") if fmt == "parquet" else reader).load(place)
     except AnalysisException as problem:
         if any(mark in str(problem) for mark in _ABSENT):
             return None
-        raise
+        raise LayoutMismatch(f"{spec.path} can not be read as one table: {problem}") from problem
     if fmt == "delta":
         detail = spark.sql(f"DESCRIBE DETAIL delta.`{place}`").select("partitionColumns").first()
-        return frame.columns, list(detail[0])
-    first = frame.select(F.col("_metadata.file_path")).limit(1).collect()
-    tail = first[0][0].split(f"/{spec.path}/", 1)[1] if first else ""
-    return frame.columns, [part.split("=", 1)[0] for part in tail.split("/")[:-1] if "=" in part]
+        return layout_of(frame.schema, list(detail[0]))
+    levels = {
+        tuple(part.split("=", 1)[0] for part in file.rsplit(f"/{spec.path}/", 1)[-1].split("/")[:-1]
+              if "=" in part)
+        for file in frame.inputFiles()}
+    if len(levels) > 1:
+        raise LayoutMismatch(f"{spec.path} holds files of several partitionings: {sorted(levels)}")
+    return layout_of(frame.schema, levels.pop() if levels else ())
 
 
 def differences_frame(spark: SparkSession, differences: list[tuple]) -> DataFrame:
+    """Differences as rows, for a table of check outcomes."""
     return spark.createDataFrame(differences, DIFFERENCE_SCHEMA)
 
 
@@ -76,7 +112,8 @@ def require_layout(spark: SparkSession, root: str, spec: TableSpec,
     stored = stored_file_layout(spark, root, spec, fmt)
     if stored is None:
         return
-    planned_columns = set(planned.columns) | set(spec.partitions)
-    found = layout_differences(*stored, planned_columns, spec.partitions)
+    made = {c: p for c, p in layout_of(planned.schema).items() if c in spec.columns}
+    added = {c: p for c, p in planned_layout(spec).items() if c not in made or p.partition}
+    found = layout_differences(stored, {**made, **added})
     if found:
         raise LayoutMismatch(f"{spec.path} has another layout: {found}")

@@ -101,6 +101,7 @@ def create_legacy_views(spark: SparkSession, prefix: str = "") -> list[str]:
     views = []
     for spec, table in TABLES.items():
         view = f"{spec.schema}_{table}"
-        to_legacy(spark.table(lake.qualified(spec, prefix)), spec).createOrReplaceTempView(view)
+        to_legacy(lake.newest(spark.table(lake.qualified(spec, prefix)), spec),
+                  spec).createOrReplaceTempView(view)
         views.append(view)
     return views

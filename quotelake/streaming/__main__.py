@@ -1,4 +1,4 @@
-"""Runs one of the five jobs: ``python -m quotelake.streaming bronze --root … --checkpoints …``."""
+"""Runs one job: ``python -m quotelake.streaming bronze --root … --checkpoints …``."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ import argparse
 from pyspark.sql import SparkSession
 
 from quotelake.session import configure
-from quotelake.sources.kafka import kafka_stream, message_files_stream
+from quotelake.sources.kafka import (
+    kafka_stream, message_files_sink, message_files_stream, topic_sink,
+)
 from quotelake.streaming import jobs
-from quotelake.streaming.sinks import ALL_AVAILABLE, GOLD_MODES
+from quotelake.streaming.sinks import ALL_AVAILABLE, GOLD_MODES, ProgressLog
 
 STARTS = {
     "silver": jobs.start_silver,
@@ -21,20 +23,26 @@ STARTS = {
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="quotelake.streaming")
-    parser.add_argument("job", choices=["bronze", *STARTS])
+    parser.add_argument("job", choices=["edge", "bronze", *STARTS, "late"])
     parser.add_argument("--root", required=True, help="folder of the lake tables")
     parser.add_argument("--checkpoints", required=True, help="folder of offsets and state")
     parser.add_argument("--format", default="parquet", choices=["parquet", "delta"])
-    parser.add_argument("--servers", help="Kafka bootstrap servers (bronze)")
-    parser.add_argument("--topic", default="cotacoes", help="Kafka topic (bronze)")
-    parser.add_argument("--files", help="folder of message files instead of Kafka (bronze)")
+    parser.add_argument("--servers", help="Kafka bootstrap servers (edge, bronze)")
+    parser.add_argument("--topic", default="cotacoes", help="Kafka topic (edge, bronze)")
+    parser.add_argument("--files", help="folder of message files instead of Kafka (edge, bronze)")
+    parser.add_argument("--responses", help="folder of raw responses, JSON lines (edge)")
+    parser.add_argument("--progress", help="folder that gets a line for every batch")
     parser.add_argument("--max-offsets", type=int, help="messages per batch (bronze)")
-    parser.add_argument("--max-files", type=int, help="files per batch")
+    parser.add_argument("--max-files", type=int, help="files per batch (bronze, quarantine)")
     parser.add_argument("--gold-mode", default="complete", choices=GOLD_MODES)
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     options = parser.parse_args(given)
-    if options.job == "bronze" and not (options.servers or options.files):
-        parser.error("bronze needs --servers or --files")
+    if options.job in ("edge", "bronze") and not (options.servers or options.files):
+        parser.error(f"{options.job} needs --servers or --files")
+    if options.job == "edge" and not options.responses:
+        parser.error("edge needs --responses")
+    if options.max_files and options.job not in ("bronze", "quarantine"):
+        parser.error("--max-files loses rows in front of a watermark")
     return options
 
 
@@ -42,17 +50,29 @@ def start(spark: SparkSession, options: argparse.Namespace):
     flow = jobs.Flow(spark, options.root, options.checkpoints, options.format,
                      max_files_per_trigger=options.max_files, gold_mode=options.gold_mode)
     trigger = {"trigger": ALL_AVAILABLE} if options.once else {}
+    if options.progress:
+        spark.streams.addListener(ProgressLog(spark, options.progress))
+    if options.job == "edge":
+        responses = spark.readStream.schema("ticker string, body string").json(options.responses)
+        sink = (message_files_sink(options.files, options.topic) if options.files
+                else topic_sink(options.servers, options.topic))
+        return jobs.start_edge(flow, responses, sink, **trigger)
     if options.job != "bronze":
-        return STARTS[options.job](flow, **trigger)
+        return [STARTS[options.job](flow, **trigger)]
     messages = (
         message_files_stream(spark, options.files, max_files_per_trigger=options.max_files)
         if options.files else
         kafka_stream(spark, options.servers, options.topic,
                      max_offsets_per_trigger=options.max_offsets))
-    return jobs.start_bronze(flow, messages, **trigger)
+    return [jobs.start_bronze(flow, messages, **trigger)]
 
 
 if __name__ == "__main__":
     chosen = arguments()
     session = configure(SparkSession.builder.appName(f"quotelake-{chosen.job}").getOrCreate())
-    start(session, chosen).awaitTermination()
+    if chosen.job == "late":
+        flow = jobs.Flow(session, chosen.root, chosen.checkpoints, chosen.format)
+        print(jobs.append_lost_quotes(flow).count(), "late quotes kept")
+    else:
+        for query in start(session, chosen):
+            query.awaitTermination()

@@ -6,16 +6,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from quotelake.operators import edge
 from quotelake.operators.bronze import to_bronze
 from quotelake.operators.gold import to_gold_financial, to_gold_operational
+from quotelake.operators.late import lost_quotes
 from quotelake.operators.quarantine import to_quarantine
 from quotelake.operators.silver import to_silver
 from quotelake.sources import lake
 from quotelake.sources.layout import require_layout
 from quotelake.streaming.sinks import (
-    ALL_AVAILABLE, FIVE_MINUTES, append_stream, ensure_table, gold_stream,
+    ALL_AVAILABLE, FIVE_MINUTES, append_stream, ensure_table, gold_stream, table_exists,
 )
 
 
@@ -50,17 +52,23 @@ class Flow:
     def checkpoint(self, job: str) -> str:
         return f"{self.checkpoints.rstrip('/')}/{job}"
 
-    def upstream(self, spec: lake.TableSpec) -> DataFrame:
+    def upstream(self, spec: lake.TableSpec, watermark: bool = True) -> DataFrame:
+        """A layer as a stream. Jobs with a watermark read all that is there: a bound on
+        files would let an early file's watermark drop the rows of later ones."""
+        if watermark and self.max_files_per_trigger:
+            raise ValueError("max_files_per_trigger loses rows in front of a watermark")
         ensure_table(self.spark, self.root, spec, self.fmt)
         return lake.stream_table(self.spark, self.root, spec, self.fmt,
-                                 self.max_files_per_trigger)
+                                 None if watermark else self.max_files_per_trigger)
 
 
 def start_bronze(flow: Flow, messages: DataFrame,
                  trigger: dict | None = FIVE_MINUTES) -> StreamingQuery:
     """Messages to Bronze, every five minutes."""
-    return append_stream(to_bronze(messages, flow.clocks.bronze), flow.root, lake.BRONZE,
-                         "bronze", flow.checkpoint("bronze"), trigger, flow.fmt)
+    bronze = to_bronze(messages, flow.clocks.bronze)
+    require_layout(flow.spark, flow.root, lake.BRONZE, bronze, flow.fmt)
+    return append_stream(bronze, flow.root, lake.BRONZE, "bronze", flow.checkpoint("bronze"),
+                         trigger, flow.fmt, flow.writers)
 
 
 def start_silver(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQuery:
@@ -73,15 +81,16 @@ def start_silver(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQu
 
 def start_quarantine(flow: Flow, trigger: dict | None = None) -> StreamingQuery:
     """Bronze to quarantine, as fast as batches finish; same layout check."""
-    quarantine = to_quarantine(flow.upstream(lake.BRONZE))
+    quarantine = to_quarantine(flow.upstream(lake.BRONZE, watermark=False))
     require_layout(flow.spark, flow.root, lake.QUARANTINE, quarantine, flow.fmt)
     return append_stream(quarantine, flow.root, lake.QUARANTINE, "quarantine",
-                         flow.checkpoint("quarantine"), trigger, flow.fmt)
+                         flow.checkpoint("quarantine"), trigger, flow.fmt, flow.writers)
 
 
 def start_gold_operational(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQuery:
     """Silver to windows by ingestion time, every five minutes."""
     gold = to_gold_operational(flow.upstream(lake.SILVER), clock=flow.clocks.gold)
+    require_layout(flow.spark, flow.root, lake.GOLD_OPERATIONAL, gold, flow.fmt)
     return gold_stream(gold, flow.root, lake.GOLD_OPERATIONAL, "gold_operational",
                        flow.checkpoint("gold_operational"), flow.gold_mode, trigger, flow.fmt)
 
@@ -89,10 +98,42 @@ def start_gold_operational(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> S
 def start_gold_financial(flow: Flow, trigger: dict | None = None) -> StreamingQuery:
     """Silver to windows by quote time, as fast as batches finish."""
     gold = to_gold_financial(flow.upstream(lake.SILVER), clock=flow.clocks.gold)
+    require_layout(flow.spark, flow.root, lake.GOLD_FINANCIAL, gold, flow.fmt)
     return gold_stream(gold, flow.root, lake.GOLD_FINANCIAL, "gold_financial",
                        flow.checkpoint("gold_financial"), flow.gold_mode, trigger, flow.fmt)
 
 
+def append_lost_quotes(flow: Flow) -> DataFrame:
+    """Batch: the accepted quotes that Silver lacks, written beside it under
+    ``silver/quotes_late`` in Silver's layout; returns them.
+
+    A table of its own, since readers of Silver follow the stream's file log. Runs any
+    number of times: what is already there is not lost any more.
+    """
+    bronze = lake.read_table(flow.spark, flow.root, lake.BRONZE, flow.fmt)
+    known = lake.read_table(flow.spark, flow.root, lake.SILVER, flow.fmt)
+    if table_exists(flow.spark, flow.root, lake.SILVER_LATE):
+        known = known.unionByName(lake.read_table(flow.spark, flow.root, lake.SILVER_LATE, flow.fmt))
+    lost = lost_quotes(bronze, known, flow.clocks.silver)
+    lake.write_table(lost, flow.root, lake.SILVER_LATE, flow.fmt)
+    return lake.read_table(flow.spark, flow.root, lake.SILVER_LATE, flow.fmt)
+
+
+def start_edge(flow: Flow, responses: DataFrame,
+               publish: Callable[[DataFrame, str], DataStreamWriter],
+               trigger: dict | None = None) -> list[StreamingQuery]:
+    """Raw responses (ticker, body) through the gate: accepted ones to the topic, refused
+    ones with their cause to ``edge/refused``. ``publish`` makes the topic's writer from the
+    messages and a checkpoint, as ``sources.kafka`` does."""
+    gated = edge.gate(responses)
+    sent = publish(edge.publishable(gated), flow.checkpoint("published")).queryName("published")
+    held = edge.refused(gated).writeStream.format(flow.fmt).outputMode("append").queryName(
+        "refused").option("checkpointLocation", flow.checkpoint("refused"))
+    if trigger:
+        sent, held = sent.trigger(**trigger), held.trigger(**trigger)
+    return [sent.start(), held.start(f"{flow.root.rstrip('/')}/edge/refused")]
+
+
 def drain(*starts: Callable[[], StreamingQuery]) -> list[StreamingQuery]:
     """Start the given jobs together and wait for all of them."""
     running = [start() for start in starts]

@@ -1,29 +1,39 @@
-"""Streaming writers: appended tables and rewritten or upserted Gold."""
+"""Streaming writers: appended tables, and Gold kept current by appended versions."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from quotelake.schema import ddl
-from quotelake.sources.lake import TableSpec, location, partition_gold
+from quotelake.schema import GOLD_KEY, ddl
+from quotelake.sources.lake import TableSpec, location, placed, read_table, write_table
 
 FIVE_MINUTES = {"processingTime": "5 minutes"}
 ALL_AVAILABLE = {"availableNow": True}
 GOLD_MODES = ("complete", "update", "append")
-GOLD_KEY = ("window_start", "symbol")
+# What tells a changed window; its times do not.
+GOLD_VALUES = ("avg_price", "min_price", "max_price", "samples", "time_basis")
+PROGRESS = ("query string, batch_id long, input_rows long, dropped_rows long, state_rows long, "
+            "watermark string, started string")
+
+
+def table_exists(spark: SparkSession, root: str, spec: TableSpec) -> bool:
+    """Whether the table's folder is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location(root, spec))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def ensure_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet") -> None:
-    """Create the table's folder if absent, so that a downstream stream can start first."""
+    """Create the table if absent, so that a downstream stream can start first. A table that
+    is there is left alone."""
+    if table_exists(spark, root, spec):
+        return
     empty = spark.createDataFrame([], ddl(spec.stored_columns))
-    writer = empty.write.format(fmt).mode("append")
-    if spec.partitions:
-        writer = writer.partitionBy(*spec.partitions)
-    writer.save(location(root, spec))
+    empty.write.format(fmt).mode("append").partitionBy(*spec.partitions).save(location(root, spec))
 
 
 def _triggered(writer: DataStreamWriter, name: str, checkpoint: str,
@@ -37,9 +47,10 @@ def gathered(df: DataFrame, spec: TableSpec, writers: int) -> DataFrame:
 
     Left as they come, the rows of each partition sit in every task, and each trigger
     would leave tasks x partitions small files. Several writers share a partition value,
-    so that one that holds most rows does not end up in a single task.
+    so that one that holds most rows does not end up in a single task; ``writers`` is to
+    follow the rows that the largest partition value gets in a trigger.
     """
-    lane = F.pmod(F.xxhash64(*df.columns), F.lit(writers))
+    lane = F.pmod(F.xxhash64(*[c for c in df.columns if c not in spec.partitions]), F.lit(writers))
     return df.repartition(*spec.partitions, lane)
 
 
@@ -50,49 +61,31 @@ def append_stream(df: DataFrame, root: str, spec: TableSpec, name: str, checkpoi
 
     ``writers`` bounds the files per partition value and trigger.
     """
-    if spec.partitions:
-        df = gathered(df, spec, writers)
-    writer = df.writeStream.format(fmt).outputMode("append")
-    if spec.partitions:
-        writer = writer.partitionBy(*spec.partitions)
-    return _triggered(writer, name, checkpoint, trigger).start(location(root, spec))
+    writer = gathered(placed(df, spec), spec, writers).writeStream.format(fmt).outputMode("append")
+    return _triggered(writer.partitionBy(*spec.partitions), name, checkpoint, trigger).start(
+        location(root, spec))
 
 
-def _replace_days(rows: DataFrame, root: str, spec: TableSpec, fmt: str) -> None:
-    """Replace the window days present in ``rows``; each day changes in the commit.
+def _changed(batch: DataFrame, root: str, spec: TableSpec, fmt: str) -> DataFrame:
+    """Windows of a complete result that are new or differ from the table."""
+    rows = placed(batch, spec)
+    keys = list(GOLD_KEY)
+    have = read_table(batch.sparkSession, root, spec, fmt, True).select(
+        *keys, F.struct(*GOLD_VALUES).alias("have"))
+    differs = ~F.struct(*GOLD_VALUES).eqNullSafe(F.col("have"))
+    return rows.join(have, keys, "left").filter(differs).select(*spec.columns)
 
-    A day holds one row per window and symbol, whatever the traffic, hence one file.
-    """
-    (rows.select(*spec.stored_columns).repartition(*spec.partitions)
-     .write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*spec.partitions).save(location(root, spec)))
 
+def _versions(root: str, spec: TableSpec, fmt: str, mode: str) -> Callable[[DataFrame, int], None]:
+    """Appends the windows that a batch changed.
 
-def _rewrite(root: str, spec: TableSpec, fmt: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, _: int) -> None:
-        _replace_days(partition_gold(batch), root, spec, fmt)
-    return write
-
-
-def _upsert(root: str, spec: TableSpec, fmt: str) -> Callable[[DataFrame, int], None]:
-    (day,) = spec.partitions
-
+    Nothing is replaced, so a crash at any moment leaves the rows that were there, and a
+    batch that comes again adds rows that say the same. Readers take the newest row of a
+    window; rows of one day are written by as many tasks as their size asks for.
+    """
     def write(batch: DataFrame, _: int) -> None:
-        changed = partition_gold(batch).select(*spec.stored_columns).persist()
-        try:
-            # As many values as the batch has days; literals prune the table's folders.
-            days = [row[0] for row in changed.select(day).distinct().collect()]
-            stored = batch.sparkSession.read.format(fmt)
-            if fmt == "parquet":
-                stored = stored.schema(ddl(spec.stored_columns))
-            kept = (
-                stored.load(location(root, spec)).filter(F.col(day).isin(days))
-                .join(changed, list(GOLD_KEY), "left_anti")
-            )
-            _replace_days(kept.select(*spec.stored_columns).unionByName(changed),
-                          root, spec, fmt)
-        finally:
-            changed.unpersist()
+        rows = _changed(batch, root, spec, fmt) if mode == "complete" else batch
+        write_table(rows, root, spec, fmt, "append")
     return write
 
 
@@ -101,34 +94,54 @@ def gold_stream(gold: DataFrame, root: str, spec: TableSpec, name: str, checkpoi
                 fmt: str = "parquet") -> StreamingQuery:
     """Keep a Gold table current.
 
-    ``complete`` rewrites every window per trigger: late rows always count, state never
-    expires. ``update`` touches only the days of changed windows and lets state expire.
-    ``append`` writes a window once, after the watermark has passed it. A repeated batch
-    leaves the same table in each mode.
+    ``complete`` looks at every window per trigger and appends those that changed: late
+    rows always count, state never expires. ``update`` gets the changed windows only and
+    lets state expire. ``append`` writes a window once, after the watermark has passed it.
+    A repeated batch leaves the same windows in each mode.
     """
     if mode not in GOLD_MODES:
         raise ValueError(f"mode must be one of {GOLD_MODES}, got {mode!r}")
     if mode == "append":
-        return append_stream(partition_gold(gold), root, spec, name, checkpoint, trigger, fmt)
+        return append_stream(gold, root, spec, name, checkpoint, trigger, fmt)
     ensure_table(gold.sparkSession, root, spec, fmt)
-    write = _rewrite if mode == "complete" else _upsert
-    writer = gold.writeStream.outputMode(mode).foreachBatch(write(root, spec, fmt))
+    writer = gold.writeStream.outputMode(mode).foreachBatch(_versions(root, spec, fmt, mode))
     return _triggered(writer, name, checkpoint, trigger).start()
 
 
+def _progress_row(progress: dict) -> dict:
+    states = progress["stateOperators"]
+    return {
+        "batch_id": progress["batchId"],
+        "input_rows": progress["numInputRows"],
+        "dropped_rows": sum(s["numRowsDroppedByWatermark"] for s in states),
+        "state_rows": sum(s["numRowsTotal"] for s in states),
+        "watermark": (progress.get("eventTime") or {}).get("watermark"),
+    }
+
+
 def batch_progress(query: StreamingQuery) -> list[dict]:
-    """Per finished batch: rows read, rows dropped behind the watermark, rows in state.
+    """Rows read, dropped behind the watermark and in state, of the batches that the query
+    still remembers (the newest 100 by default); ``ProgressLog`` keeps all."""
+    return [_progress_row(progress) for progress in query.recentProgress]
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends a row for every batch of every query to a table of JSON lines.
 
-    Dropped rows reach neither Silver nor quarantine, so this is where they show.
+    Dropped rows reach neither Silver nor quarantine; this is where they show, and
+    ``operators.late.lost_quotes`` finds them. Add it with ``spark.streams.addListener``.
     """
-    rows = []
-    for progress in query.recentProgress:
-        states = progress["stateOperators"]
-        rows.append({
-            "batch_id": progress["batchId"],
-            "input_rows": progress["numInputRows"],
-            "dropped_rows": sum(s["numRowsDroppedByWatermark"] for s in states),
-            "state_rows": sum(s["numRowsTotal"] for s in states),
-            "watermark": (progress["eventTime"] or {}).get("watermark"),
-        })
-    return rows
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = json.loads(event.progress.json)
+        row = {"query": progress.get("name"), "started": progress.get("timestamp"), **_progress_row(progress)}
+        self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").json(self.path)
+
+    def onQueryTerminated(self, event) -> None:
+        pass

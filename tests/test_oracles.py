@@ -2,10 +2,12 @@
 
 import __spark_entry__ as entry_points
 import compare
+import oracles
 import pytest
 from conftest import SMALL
+from quotelake.plans import registry
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = registry.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def duck():
 
 def test_each_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
