@@ -40,7 +40,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    both = sentencepieces.with_text(sentencepieces.with_ids(docs, path), path)
+    both = sentencepieces.with_ids_and_text(docs, path)
     return both.select(
         "doc_id", "lang", "source", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
         "ids", F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))

@@ -31,7 +31,7 @@ from quotelake.llm.substring_dedup import _merged
 
 WINDOW = 10
 PHRASE_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 @dataclass

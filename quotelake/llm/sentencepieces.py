@@ -346,22 +346,28 @@ class _Shared:
         return self._broadcast.value
 
 
-def _encode(blob, names):
+def _encode(blob, names, decode: bool = False):
+    """Adds the ids of each text, and with ``decode`` the text of these ids."""
     def batch_encode(batches):
         encoder = _encoder(blob)
         for batch in batches:
-            ids, sizes = [], []
+            ids, sizes, texts = [], [], []
             # The white space sign itself counts as a blank.
             for run in W.runs(pc.replace_substring(batch.column(0), "▁", " ")):
                 own, bounds = encoder.encode(run)
                 ids.append(own)
                 sizes.append(np.diff(bounds))
+                if decode:
+                    texts += decoded(encoder.model, own, bounds)
             sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()),
                 pa.array(np.concatenate(ids) if ids else [], pa.int32()),
                 mask=batch.column(0).is_null())
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=names)
+            made = [lists]
+            if decode:
+                made.append(pa.array(texts, pa.binary(), mask=np.asarray(batch.column(0).is_null())).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
 
     return batch_encode
 
@@ -379,28 +385,39 @@ def _decode(blob, names):
     return batch_decode
 
 
-def _mapped(df: DataFrame, column: str, made: str, kind: str, function) -> DataFrame:
-    """``df`` with ``made`` from ``column``; an input column of that name is replaced."""
-    kept = [c for c in df.columns if c != made or c == column]
+def _mapped(df: DataFrame, column: str, made: dict[str, str], function) -> DataFrame:
+    """``df`` with the columns ``made`` (name -> type) from ``column``; input columns of these
+    names are replaced."""
+    kept = [c for c in df.columns if c not in made or c == column]
     inner = df.select(F.col(f"`{column}`").alias("x"), *[
         F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept) if c != column])
-    schema = inner.select("*", F.lit(None).cast(kind).alias("y")).schema
-    out = inner.mapInArrow(function([*inner.columns, "y"]), schema)
+    new = [F.lit(None).cast(kind).alias(f"y{i}") for i, kind in enumerate(made.values())]
+    schema = inner.select("*", *new).schema
+    out = inner.mapInArrow(function(schema.names), schema)
     return out.select(*[
         F.col("x").alias(c) if c == column else F.col(f"c{i}").alias(c)
-        for i, c in enumerate(kept) if c != made], F.col("y").alias(made))
+        for i, c in enumerate(kept) if c not in made],
+        *[F.col(f"y{i}").alias(name) for i, name in enumerate(made)])
 
 
 def with_ids(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Adds the ids of each text (array<int>)."""
     blob = _Shared(prepared(df.sparkSession), model_path)
-    return _mapped(df, text_col, ids_col, "array<int>", lambda names: _encode(blob, names))
+    return _mapped(df, text_col, {ids_col: "array<int>"}, lambda names: _encode(blob, names))
 
 
 def with_text(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """Adds the text of each list of ids."""
     blob = _Shared(prepared(df.sparkSession), model_path)
-    return _mapped(df, ids_col, text_col, "string", lambda names: _decode(blob, names))
+    return _mapped(df, ids_col, {text_col: "string"}, lambda names: _decode(blob, names))
+
+
+def with_ids_and_text(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids",
+                      decoded_col: str = "decoded") -> DataFrame:
+    """Adds the ids of each text and the text that they decode to, in one pass."""
+    blob = _Shared(prepared(df.sparkSession), model_path)
+    return _mapped(df, text_col, {ids_col: "array<int>", decoded_col: "string"},
+                   lambda names: _encode(blob, names, True))
 
 
 def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:
@@ -409,7 +426,7 @@ def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = with_text(with_ids(docs, path), path)
+    both = with_ids_and_text(docs, path)
     return both.select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
         F.crc32(F.array_join("ids", ",")).alias("ids_crc32"),

@@ -1,11 +1,9 @@
+"""Texts, and tables with odd rows, that the tests share."""
+
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 SF = "/root/testdata/sf0.001"
 SYLLABLES = "an er in th re st on ha ti sh ou ly".split()
 

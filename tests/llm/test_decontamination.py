@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 import brute
-from conftest import SF, empty, sentence
+from common import SF, clashing, empty, odd, sentence  # noqa: F401
 from quotelake.llm import decontamination as op
 from quotelake.llm.fm_index import FMIndex
 

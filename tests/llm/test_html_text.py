@@ -1,7 +1,7 @@
 import html
 import re
 
-from conftest import SF, empty, sentence
+from common import SF, empty, sentence
 from quotelake.llm import html_text as op
 
 NAV = "<nav><ul><li>Home<li>News</ul></nav>"

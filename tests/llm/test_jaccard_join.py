@@ -1,5 +1,5 @@
 import brute
-from conftest import SF, empty, sentence
+from common import SF, clashing, empty, odd, sentence  # noqa: F401
 from quotelake.llm import jaccard_join as op
 from quotelake.llm.components import components
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from conftest import SF, empty, sentence
+from common import SF, clashing, empty, odd, sentence  # noqa: F401
 from quotelake.llm import licenses as op
 
 SHORT = {text: name for name, text in op.TEMPLATES.items() if len(text) < 90}

@@ -1,6 +1,6 @@
 import corpus_pipeline
 import __spark_entry__ as entry
-from conftest import SF, empty
+from common import SF, empty, odd  # noqa: F401
 from quotelake.llm import registry
 
 

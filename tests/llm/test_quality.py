@@ -1,7 +1,7 @@
 import random
 
 import brute
-from conftest import SF, empty
+from common import SF, clashing, empty, odd  # noqa: F401
 from pyspark.sql import functions as F
 from quotelake.llm import quality as op
 

@@ -5,7 +5,7 @@ import pyarrow as pa
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from conftest import SF, empty
+from common import SF, clashing, empty, odd  # noqa: F401
 from quotelake.llm import sentencepieces as op
 from quotelake.llm import words as W
 
@@ -75,9 +75,9 @@ def test_query_round_trips(spark):
 
 
 def test_odd_rows(spark, clashing):
-    both = op.with_text(op.with_ids(clashing, PATH), PATH)
-    assert sorted(both.columns) == sorted(clashing.columns)
-    rows = both.collect()
-    assert len(rows) == clashing.count() and all(r.text == r.decoded for r in rows)
-    assert all((r.ids is None) == (r.text is None) for r in rows)
+    for both in (op.with_text(op.with_ids(clashing, PATH), PATH), op.with_ids_and_text(clashing, PATH)):
+        assert sorted(both.columns) == sorted(clashing.columns)
+        rows = both.collect()
+        assert len(rows) == clashing.count() and all(r.text == r.decoded for r in rows)
+        assert all((r.ids is None) == (r.text is None) for r in rows)
     assert op.with_text(op.with_ids(empty(clashing), PATH), PATH).count() == 0

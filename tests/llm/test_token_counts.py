@@ -2,7 +2,7 @@ import random
 
 import public_tokenizers
 
-from conftest import SF, empty
+from common import SF, clashing, empty, odd  # noqa: F401
 from pyspark.sql import functions as F
 from quotelake.llm import token_counts as op
 

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from conftest import SF, empty
+from common import SF, clashing, empty, odd  # noqa: F401
 from quotelake.llm import token_files as op
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
