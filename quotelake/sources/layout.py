@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -85,7 +85,7 @@ def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec,
     try:
         reader = spark.read.format(fmt)
         frame = (reader.option("mergeSchema", "true") if fmt == "parquet" else reader).load(place)
-    except AnalysisException as problem:
+    except PySparkException as problem:
         if any(mark in str(problem) for mark in _ABSENT):
             return None
         raise LayoutMismatch(f"{spec.path} can not be read as one table: {problem}") from problem
@@ -112,8 +112,8 @@ def require_layout(spark: SparkSession, root: str, spec: TableSpec,
     stored = stored_file_layout(spark, root, spec, fmt)
     if stored is None:
         return
-    made = {c: p for c, p in layout_of(planned.schema).items() if c in spec.columns}
-    added = {c: p for c, p in planned_layout(spec).items() if c not in made or p.partition}
+    made = layout_of(planned.schema)
+    added = {c: p for c, p in planned_layout(spec).items() if p.partition or c == spec.version}
     found = layout_differences(stored, {**made, **added})
     if found:
         raise LayoutMismatch(f"{spec.path} has another layout: {found}")

@@ -8,37 +8,44 @@ from conftest import SMALL
 from quotelake.plans import registry
 from quotelake.plans.report import export_report
 from quotelake.sources import lake
+from quotelake.streaming.sinks import ensure_table
 from quotelake.sources.layout import (
-    LayoutMismatch, layout_differences, require_layout, stored_file_layout, stored_layout,
+    LayoutMismatch, Place, layout_differences, planned_layout, require_layout, stored_file_layout,
+    stored_layout,
 )
 
-COLUMNS = ["symbol", "price", "trade_date"]
+BASE = {"symbol": Place("string", 1), "price": Place("double"), "day": Place("string", 2)}
 
 
-def test_equal_layouts_have_no_differences():
-    assert layout_differences(COLUMNS, ["symbol", "trade_date"], reversed(COLUMNS),
-                              ["symbol", "trade_date"]) == []
-
-
-def test_partition_change_is_one_difference():
-    found = layout_differences(COLUMNS, ["symbol", "day"], COLUMNS, ["symbol", "trade_date"])
-    assert [f[0] for f in found] == ["partitioning"]
-    assert layout_differences(COLUMNS, ["trade_date", "symbol"], COLUMNS,
-                              ["symbol", "trade_date"])
-
-
-def test_renamed_column_is_missing_and_obsolete():
-    found = layout_differences(["a", "old"], [], ["a", "new"], [])
-    assert found == [("missing columns", [], ["new"]), ("obsolete columns", ["old"], [])]
+@pytest.mark.parametrize("change, found", [
+    ({}, []),
+    ({"price": Place("float")}, [("price", "double", "float")]),
+    ({"price": Place("double", 3)}, [("price", "double", "partition 3")]),
+    ({"symbol": Place("string", 2), "day": Place("string", 1)},
+     [("day", "partition 2", "partition 1"), ("symbol", "partition 1", "partition 2")]),
+    ({"day": Place("date", 2)}, []),
+    ({"more": Place("int")}, [("more", None, "int")]),
+])
+def test_one_difference_per_column(change, found):
+    assert layout_differences(BASE, {**BASE, **change}) == found
+    assert layout_differences({**BASE, **change}, BASE) == [(c, b, a) for c, a, b in found]
 
 
 def test_guard_on_files(spark, root):
     planned = spark.createDataFrame([], lake.ddl(lake.SILVER.columns))
     require_layout(spark, root, lake.SILVER, planned)
-    spark.range(3).selectExpr("id", "'A' AS symbol", "'2024-01-01' AS day").write.partitionBy(
-        "symbol", "day").parquet(lake.location(root, lake.SILVER))
-    assert stored_file_layout(spark, root, lake.SILVER)[1] == ["symbol", "day"]
-    with pytest.raises(LayoutMismatch, match="partitioning.*missing columns.*obsolete columns"):
+    place = lake.location(root, lake.SILVER)
+    rows = planned.sparkSession.range(3).selectExpr("CAST(id AS string) symbol", "'2024-01-01' trade_date",
+                                                    "timestamp '2024-01-01' kafka_time")
+    full = planned.unionByName(rows, allowMissingColumns=True)
+    lake.write_table(full, root, lake.SILVER)
+    require_layout(spark, root, lake.SILVER, planned)
+    for wrong in (full.withColumn("price", full.price.cast("string")), full.withColumn("other", full.price)):
+        with pytest.raises(LayoutMismatch, match="another layout"):
+            require_layout(spark, root, lake.SILVER, wrong.drop("price") if "other" in wrong.columns else wrong)
+    # One file elsewhere among many is enough.
+    full.limit(1).write.parquet(f"{place}/extra=1")
+    with pytest.raises(LayoutMismatch, match="one table|several partitionings"):
         require_layout(spark, root, lake.SILVER, planned)
 
 
@@ -50,9 +57,7 @@ def test_registration_is_idempotent_and_export_needs_it(spark, tmp_path):
     for _ in range(2):
         names = lake.register_tables(spark, root, prefix="exp_")
     assert len(names) == 5 and lake.missing_tables(spark, "exp_") == []
-    columns, partitions = stored_layout(spark, "exp_silver.quotes")
-    assert partitions == ["symbol", "trade_date"]
-    assert set(columns) == set(lake.SILVER.stored_columns)
+    assert layout_differences(stored_layout(spark, "exp_silver.quotes"), planned_layout(lake.SILVER)) == []
     titles = export_report(spark, "2024-01-05", out, prefix="exp_", tickers=["CLICK", "NONE"])
     assert len(titles) == len(os.listdir(out)) == 19
     coverage = spark.read.parquet(f"{out}/14_coverage").collect()
@@ -64,9 +69,40 @@ def test_registration_is_idempotent_and_export_needs_it(spark, tmp_path):
         (stored.kafka_time >= window.start_utc) & (stored.kafka_time < window.end_utc)).count() > 0
 
 
+def test_export_sees_days_written_after_the_registration_and_names_its_columns(spark, root, tmp_path):
+    def add(day):
+        row = spark.range(1).selectExpr(
+            "'A' symbol", "2D price", f"timestamp '{day} 15:00:00' kafka_time", f"'{day}' trade_date",
+            f"timestamp '{day} 15:00:00' quote_time", f"timestamp '{day} 15:00:09' ingest_time",
+            f"timestamp '{day} 15:00:11' silver_time")
+        whole = spark.createDataFrame([], lake.ddl(lake.SILVER.columns)).unionByName(row, allowMissingColumns=True)
+        lake.write_table(whole, root, lake.SILVER)
+
+    for spec in lake.TABLES:
+        ensure_table(spark, root, spec)
+    add("2024-03-04")
+    lake.register_tables(spark, root, prefix="new_")
+    add("2024-03-05")
+    out = str(tmp_path / "report")
+    export_report(spark, "2024-03-05", out, prefix="new_", fmt="csv", tickers=["A"])
+    rows = {r.layer: r["rows"] for r in spark.read.csv(f"{out}/01_overview", header=True).collect()}
+    assert rows["Silver"] == "1"
+    prices = spark.read.csv(f"{out}/03_prices_by_symbol", header=True)
+    assert prices.columns == ["report_window", "symbol", "samples", "avg_price", "min_price", "max_price",
+                              "price_spread"]
+    assert prices.first().report_window.startswith("2024-03-05 09:45 to 2024-03-05 18:00")
+
+
+def test_an_existing_table_is_left_alone(spark, root):
+    for _ in range(2):
+        ensure_table(spark, root, lake.SILVER)
+        files = sorted(os.listdir(lake.location(root, lake.SILVER)))
+        before = locals().get("before", files)
+        assert files == before
+
+
 def test_partition_values_stay_text(spark, root):
-    rows = [("007", "2024-01-01")]
-    frame = spark.createDataFrame(rows, "symbol string, trade_date string")
+    frame = spark.range(1).selectExpr("'007' symbol", "'2024-01-01' trade_date", "timestamp '2024-01-01' kafka_time")
     for column in lake.SILVER.columns:
         if column not in frame.columns:
             frame = frame.selectExpr("*", f"CAST(NULL AS {lake.ddl([column]).split()[1]}) AS {column}")

@@ -15,11 +15,18 @@ from quotelake.schema import (
 )
 
 UTC = timezone.utc
-NOON = datetime(2023, 10, 27, 12, 0, tzinfo=UTC)
+NOON = datetime(2025, 3, 9, 12, 0, tzinfo=UTC)
 QUOTE = {
-    "symbol": "PETR4", "shortName": "PETROBRAS", "currency": "BRL", "regularMarketPrice": 35.5,
-    "regularMarketTime": "2023-10-27T10:00:00.000Z", "regularMarketChange": 0.5,
-    "marketCap": 450e9, "regularMarketVolume": 1000,
+    "symbol": "KLM8", "shortName": "Klm", "currency": "XTS", "regularMarketPrice": 8.25,
+    "regularMarketTime": "2025-03-09T07:30:15.000Z", "regularMarketChange": -2.0,
+    "marketCap": 64.0, "regularMarketVolume": 12,
+}
+# Rule -> values of its field that break it.
+BROKEN = {
+    "invalid_symbol": ("symbol", [None, "", "   "]),
+    "invalid_price": ("regularMarketPrice", [None, 0.0, -0.01, float("-inf")]),
+    "invalid_quote_time": ("regularMarketTime", [None, "", "2025-13-01T00:00:00Z", "tomorrow"]),
+    "invalid_ingest_time": ("ingest_time", [None]),
 }
 BARE_BRONZE = "kafka_time timestamp, ingest_time timestamp, " + ddl(QUOTE_FIELDS)
 
@@ -43,14 +50,14 @@ def test_valid_and_truncated_message(spark):
     good = json.dumps({"results": [QUOTE], "took": 1})
     rows = to_bronze(bodies(spark, good, '{"results": [')).orderBy("parse_status").collect()
     broken, fine = rows
-    assert (fine.symbol, fine.regularMarketPrice, fine.raw_json) == ("PETR4", 35.5, good)
+    assert (fine.symbol, fine.regularMarketPrice, fine.raw_json) == ("KLM8", 8.25, good)
     assert (broken.parse_status, broken.symbol, broken.raw_json) == (
         "parse_error", None, '{"results": [')
     assert fine.topic is None and fine.ingest_time is not None
 
 
 def test_metadata_is_kept_and_columns_are_in_order(spark):
-    message = [("quotes", 2, 7, b"PETR4", NOON, json.dumps({"results": [QUOTE]}).encode())]
+    message = [("quotes", 2, 7, b"KLM8", NOON, json.dumps({"results": [QUOTE]}).encode())]
     frame = spark.createDataFrame(
         message, "topic string, partition int, offset bigint, key binary, "
                  "timestamp timestamp, value binary")
@@ -58,7 +65,7 @@ def test_metadata_is_kept_and_columns_are_in_order(spark):
     assert tuple(bronze.columns) == BRONZE_COLUMNS
     assert {n: t for n, t in bronze.dtypes} == {n: COLUMN_TYPES[n] for n in BRONZE_COLUMNS}
     row = bronze.first()
-    assert (row.topic, row.partition, row.offset, row.key) == ("quotes", 2, 7, "PETR4")
+    assert (row.topic, row.partition, row.offset, row.key) == ("quotes", 2, 7, "KLM8")
 
 
 STATUSES = [
@@ -83,27 +90,24 @@ def test_silver_types(spark):
     assert tuple(silver.columns) == SILVER_COLUMNS
     assert {n: t for n, t in silver.dtypes} == {n: COLUMN_TYPES[n] for n in SILVER_COLUMNS}
     row = silver.first()
-    assert row.trade_date == "2023-10-27"
-    assert row.quote_time == datetime(2023, 10, 27, 10, 0)
-    assert row.price == 35.5 and row.volume == 1000 and row.silver_time is not None
+    assert (row.trade_date, row.quote_time) == ("2025-03-09", datetime(2025, 3, 9, 7, 30, 15))
+    assert (row.price, row.volume) == (8.25, 12) and row.silver_time is not None
 
 
-def test_silver_keeps_only_valid_rows(spark):
-    bad = [{"symbol": None}, {"symbol": "  "}, {"regularMarketPrice": None},
-           {"regularMarketPrice": 0.0}, {"regularMarketPrice": -1.0},
-           {"regularMarketTime": "soon"}, {"ingest_time": None}]
-    bronze = bronze_rows(spark, {}, *bad)
+def test_each_broken_rule_is_named_and_keeps_a_row_out(spark):
+    changes = [(reason, {field: value}) for reason, (field, values) in BROKEN.items() for value in values]
+    bronze = bronze_rows(spark, {}, *[change for _, change in changes])
     assert to_silver(bronze).count() == 1
-    assert to_quarantine(bronze).count() == len(bad)
+    assert sorted(r.rejection_reason for r in to_quarantine(bronze).collect()) == sorted(
+        reason for reason, _ in changes)
 
 
 def test_dedup_key_and_survivor(spark):
-    later = NOON + timedelta(minutes=1)
-    bronze = bronze_rows(
-        spark, {"kafka_time": later}, {}, {"regularMarketPrice": 36.0},
-        {"regularMarketTime": "2023-10-27T10:01:00.000Z"})
-    rows = to_silver(bronze).collect()
-    assert len(rows) == 3
+    """Each part of the key tells quotes apart; the earliest copy survives."""
+    copies = [{"kafka_time": NOON + timedelta(seconds=s)} for s in (90, 0, 5)]
+    others = [{"symbol": "KLM9"}, {"regularMarketPrice": 8.26}, {"regularMarketTime": "2025-03-09T07:30:16Z"}]
+    rows = to_silver(bronze_rows(spark, *copies, *others)).collect()
+    assert len(rows) == 1 + len(others)
     assert {row.kafka_time for row in rows} == {NOON.replace(tzinfo=None)}
 
 
@@ -119,16 +123,15 @@ def test_tab_is_no_blank_symbol(spark):
     assert to_silver(bronze_rows(spark, {"symbol": "\t"})).count() == 1
 
 
-def test_quarantine_reasons_and_layout(spark):
-    bronze = to_bronze(bodies(
-        spark, json.dumps({"results": [QUOTE]}),
-        json.dumps({"results": [{**QUOTE, "symbol": None}]}),
-        json.dumps({"results": [{**QUOTE, "regularMarketPrice": -1}]}), "{"))
-    held = to_quarantine(bronze)
+def test_quarantine_keeps_layout_text_and_all_reasons(spark):
+    texts = ["not json", json.dumps({"results": [{**QUOTE, "symbol": " ", "regularMarketPrice": -4}]}),
+             json.dumps({"results": []}), json.dumps({"results": [QUOTE]})]
+    held = to_quarantine(to_bronze(bodies(spark, *texts)))
     assert tuple(held.columns) == QUARANTINE_COLUMNS
-    assert sorted(row.rejection_reason for row in held.collect()) == [
-        "invalid_price", "invalid_symbol",
-        "parse_error,invalid_symbol,invalid_price,invalid_quote_time"]
+    nothing = "invalid_symbol,invalid_price,invalid_quote_time"
+    assert {row.raw_json: row.rejection_reason for row in held.collect()} == {
+        texts[0]: f"parse_error,{nothing}", texts[1]: "invalid_symbol,invalid_price",
+        texts[2]: f"no_result,{nothing}"}
 
 
 def test_parse_error_with_usable_quote_goes_both_ways(spark):
@@ -146,19 +149,19 @@ def ticks(spark, *rows):
         "quote_time timestamp, ingest_time timestamp, symbol string, price double")
 
 
-def test_gold_operational_uses_ingest_time(spark):
-    silver = ticks(spark, (0, 1, "PETR4", 35.0), (0, 4, "PETR4", 37.0), (0, 4, "VALE3", 60.0))
-    rows = {r.symbol: r for r in to_gold_operational(silver).collect()}
-    petr = rows["PETR4"]
-    assert (petr.avg_price, petr.min_price, petr.max_price, petr.samples) == (36.0, 35.0, 37.0, 2)
-    assert rows["VALE3"].samples == 1 and petr.time_basis == "ingest_time"
-    assert tuple(to_gold(silver).columns) == GOLD_COLUMNS
+def test_each_gold_table_has_its_clock(spark):
+    """Prices 1, 2, 4 of one symbol: quoted in one window, ingested in two."""
+    silver = ticks(spark, (1, 2, "KLM8", 1.0), (2, 7, "KLM8", 2.0), (3, 9, "KLM8", 4.0), (3, 2, "XYZ", 9.0))
 
+    def windows(gold, symbol="KLM8"):
+        return sorted((r.window_start.minute, r.window_end.minute, r.avg_price, r.min_price, r.max_price,
+                       r.samples, r.time_basis) for r in gold.collect() if r.symbol == symbol)
 
-def test_gold_financial_uses_quote_time(spark):
-    row = to_gold_financial(ticks(spark, (0, 16, "PETR4", 35.0))).first()
-    assert row.window_start == NOON.replace(tzinfo=None)
-    assert row.window_end == datetime(2023, 10, 27, 12, 5) and row.time_basis == "quote_time"
+    assert windows(to_gold_operational(silver)) == [
+        (0, 5, 1.0, 1.0, 1.0, 1, "ingest_time"), (5, 10, 3.0, 2.0, 4.0, 2, "ingest_time")]
+    assert windows(to_gold_financial(silver)) == [(0, 5, 7 / 3, 1.0, 4.0, 3, "quote_time")]
+    assert windows(to_gold(silver), "XYZ") == [(0, 5, 9.0, 9.0, 9.0, 1, "ingest_time")]
+    assert tuple(to_gold(silver).columns) == GOLD_COLUMNS
 
 
 def test_window_is_half_open(spark):

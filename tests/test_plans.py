@@ -46,12 +46,35 @@ def test_validity_rules_reach_the_scan_of_stored_bronze(tables):
 
 
 def test_report_window_and_columns_reach_the_scan(tables):
-    text = plan(sections(tables, registry.WHOLE_MONTH)["03 prices by symbol"]())
-    assert "GreaterThanOrEqual(kafka_time,2024-01-01" in text
-    assert "LessThan(kafka_time,2024-02-01" in text
+    text = plan(sections(tables, registry.REPORT_WINDOW)["03 prices by symbol"]())
+    assert "GreaterThanOrEqual(kafka_time,2024-01-08" in text
+    assert "LessThan(kafka_time,2024-01-20" in text
     assert "ReadSchema: struct<kafka_time:timestamp,price:double>" in text
 
 
+def test_windows_skip_the_folders_of_other_days(tables):
+    from quotelake.plans.catalogue import catalogue
+
+    jobs = {t: job for t, job in sections(tables, registry.REPORT_WINDOW).items() if t != "00 window"}
+    jobs |= {n: j for n, j in catalogue(tables, registry.NOW).items() if n.endswith("_24h")}
+    for title, job in jobs.items():
+        text = plan(job())
+        scans = re.findall(r"PartitionFilters: \[(.*?)\]", text)
+        assert scans and all("_date" in scan for scan in scans), title
+
+
+def test_no_query_deals_its_source_anew(spark):
+    for name, query in registry.queries().items():
+        assert "REPARTITION_BY_NUM" not in plan(query(spark, SMALL)) and "RoundRobin" not in plan(
+            query(spark, SMALL)), name
+
+
+def test_whole_percentiles_sort_strips_not_seconds(tables):
+    text = plan(measures.latency_percentiles(tables.silver, ()))
+    single = text[:text.rindex("SinglePartition")]
+    assert "strip" in text and "Window" in single
+
+
 def test_dedup_and_latest_prune_before_the_shuffle(tables):
     for frame in (to_silver(tables.bronze), series.latest_quotes(tables.silver)):
         text = plan(frame)

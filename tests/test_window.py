@@ -22,7 +22,7 @@ def test_cycles_round_up():
 
 
 @pytest.mark.parametrize("arguments", [
-    ("02/10/2026",), ("2026-13-01",), ("2026-10-02", "9:45"), ("2026-10-02", "09:45", "29:00"),
+    ("02/10/2026",), ("2026-13-01",), ("2026-10-02", "9.45"), ("2026-10-02", "09:45", "29:00"),
     ("2026-10-02", "18:00", "09:45"), ("2026-10-02", "10:00", "10:00"),
 ])
 def test_bad_windows(arguments):
