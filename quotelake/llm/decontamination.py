@@ -245,4 +245,4 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        (hit > 0).alias("contaminated"), "hits")
+        (hit > 0).alias("contaminated"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quotelake.llm import sql
 from quotelake.llm.decontamination import op4_decontamination
 from quotelake.llm.html_text import op5_html_text
 from quotelake.llm.jaccard_join import op2_jaccard_join
@@ -29,7 +30,7 @@ QUERIES = (
     op9_kd_shards,
     op10_quality_rules,
 )
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_jaccard_join": sql.OP2, "op3_substring_dedup": sql.OP3, "op4_decontamination": sql.OP4}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

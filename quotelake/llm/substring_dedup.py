@@ -243,12 +243,11 @@ def _digest(batches):
             "doc_id": batch.column(0),
             "n_words": pa.array(np.concatenate(counts) if counts else [], pa.int64()),
             "n_removed": pa.array(np.concatenate(removed) if removed else [], pa.int64()),
-            "kept_sha256": pa.array(digests, pa.string()), "repeats": spans})
+            "kept_sha256": pa.array(digests, pa.string())})
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: its words, the repeated ones among them, the digest of the others."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return with_repeats(docs).select("doc_id", "text", "repeats").mapInArrow(
-        _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string, "
-                 "repeats array<struct<low:int,high:int>>")
+        _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
