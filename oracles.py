@@ -445,9 +445,11 @@ results AS (
   WHERE (second = 0 OR kind = 15) AND {_EDGE_STATUS} = 'ok')
 SELECT event_id, CASE WHEN second = 1 THEN 'EXTRA' WHEN kind = 2 THEN NULL ELSE sym END AS symbol,
   CASE WHEN second = 1 OR kind IN (6, 12, 14) THEN NULL WHEN kind = 13 THEN 1.0::DOUBLE
-    ELSE value END AS price,
-  CASE WHEN kind IN (0, 1, 6, 18, 19) THEN n END AS volume,
-  CASE WHEN kind = 12 THEN true END AS changed
+    ELSE value END AS "regularMarketPrice",
+  CASE WHEN kind IN (0, 1, 6, 18, 19) THEN n END AS "regularMarketVolume",
+  CASE WHEN kind = 12 THEN true END AS changed, CAST(NULL AS VARCHAR) AS "requestedSymbol",
+  {", ".join(f'CAST(NULL AS {_TYPES.get(c, "DOUBLE")}) AS "{c}"' for c in _FIELDS
+             if c not in ("symbol", "regularMarketPrice", "regularMarketVolume"))}
 FROM results""",
         "publish_messages": f"""WITH edge AS ({_EDGE})
 SELECT event_id, key, CAST(CASE WHEN kind = 15 THEN 2 ELSE 1 END AS INTEGER) AS quotes,
@@ -480,6 +482,11 @@ SELECT event_id, ts AS log_time, level, event, ticker FROM logs WHERE level <> '
         "log_route_counts": f"""WITH logs AS ({_LOGS})
 SELECT route AS endpoint_version, count(*) AS calls FROM logs
 WHERE event = 'brapi_request_succeeded' GROUP BY 1""",
+        "log_recent_calls": f"""WITH logs AS ({_LOGS})
+SELECT route AS endpoint_version, count(*) FILTER (event = 'brapi_request_succeeded') AS successes,
+  count(*) FILTER (event = 'brapi_request_failed') AS failures, {_round("avg(duracao_ms)")} AS avg_ms
+FROM logs WHERE event LIKE 'brapi_request%' AND ts > TIMESTAMP '{NOW}' - INTERVAL '3 days'
+  AND ts <= TIMESTAMP '{NOW}' GROUP BY 1""",
         "log_cycles": f"""WITH logs AS ({_LOGS}),
 kept AS (SELECT *, event LIKE 'ticker_collection%' AS collection FROM logs
          WHERE event LIKE 'ticker_collection%' OR finished)

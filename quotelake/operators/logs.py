@@ -30,6 +30,8 @@ TOPIC_EVENTS = {
     "layout_checks": ("delta_table_schema_compatible", "delta_table_schema_incompatible"),
 }
 SOURCE_CALL_OK = "brapi_request_succeeded"
+SOURCE_CALL_FAILED = "brapi_request_failed"
+LAYOUT_FITS, LAYOUT_DIFFERS = TOPIC_EVENTS["layout_checks"]
 COLLECTED = "ticker_collection_succeeded"
 NOT_COLLECTED = ("ticker_collection_failed", "ticker_collection_unexpected_error")
 CYCLE_FINISHED = "scheduler_cycle_finished"
@@ -76,6 +78,21 @@ def route_counts(entries: DataFrame) -> DataFrame:
     )
 
 
+def recent_calls(entries: DataFrame, now: Column, minutes: int = POLL_MINUTES) -> DataFrame:
+    """Source calls of the last minutes per endpoint version: successes, failures and the mean
+    time of a call. A line stamped after ``now`` does not count."""
+    since = F.col("log_time") > now - F.make_dt_interval(mins=F.lit(minutes))
+    return (
+        entries.filter(F.col("event").isin(SOURCE_CALL_OK, SOURCE_CALL_FAILED)
+                       & since & (F.col("log_time") <= now))
+        .groupBy(F.col("endpoint_versao").alias("endpoint_version"))
+        .agg(F.count_if(F.col("event") == SOURCE_CALL_OK).alias("successes"),
+             F.count_if(F.col("event") == SOURCE_CALL_FAILED).alias("failures"),
+             F.round(F.avg("duracao_ms"), 2).alias("avg_ms"))
+        .orderBy("endpoint_version")
+    )
+
+
 def _overran(minutes: int) -> Column:
     return (F.col("event") == CYCLE_FINISHED) & (F.col("duracao_ms") > minutes * 60_000)
 

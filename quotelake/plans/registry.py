@@ -21,7 +21,10 @@ from quotelake.plans.catalogue import catalogue
 from quotelake.plans.dashboard import panels, score_panels
 from quotelake.plans.report import sections
 from quotelake.plans.window import ReportWindow, session_windows
-from quotelake.schema import BRONZE_COLUMNS, MESSAGE_SCHEMA, SILVER_COLUMNS
+from quotelake.schema import (
+    BRONZE_COLUMNS, EDGE_FLAG_FIELDS, EDGE_TEXT_FIELDS, MESSAGE_SCHEMA, NUMBER_FIELDS, SILVER_COLUMNS,
+    TEXT_FIELDS, WHOLE_FIELDS,
+)
 from quotelake.session import configure, shared_dir
 from quotelake.sources import from_events as source
 from quotelake.sources import lake
@@ -350,16 +353,14 @@ def _edge() -> dict[str, Query]:
             "try_variant_get(result, '$.data', 'variant') IS NOT NULL AS still_nested")
 
     def payload(s: SparkSession, d: str) -> DataFrame:
-        quote = "array<struct<symbol:string,regularMarketPrice:double," \
-                "regularMarketVolume:bigint,changed:boolean>>"
+        types = {**{f: "string" for f in TEXT_FIELDS + EDGE_TEXT_FIELDS}, **{f: "double" for f in NUMBER_FIELDS},
+                 **{f: "bigint" for f in WHOLE_FIELDS}, **{f: "boolean" for f in EDGE_FLAG_FIELDS}}
+        quote = f"array<struct<{', '.join(f'{f}:{kind}' for f, kind in types.items())}>>"
         published = keep_where(
             edge.project_contract(checked(s, d)), F.col("contract_status") == edge.ACCEPTED)
         return published.select(
             "event_id", F.explode(F.from_json("value", f"results {quote}")["results"]).alias("q")
-        ).select(
-            "event_id", F.col("q.symbol").alias("symbol"),
-            F.col("q.regularMarketPrice").alias("price"),
-            F.col("q.regularMarketVolume").alias("volume"), F.col("q.changed").alias("changed"))
+        ).select("event_id", "q.*")
 
     def messages(s: SparkSession, d: str) -> DataFrame:
         ready = keep_where(edge.gate(responses(s, d)), F.col("gate_status") == edge.ACCEPTED)
@@ -432,6 +433,8 @@ def _logs() -> dict[str, Query]:
         "log_alerts": lambda s, d: naive(logs.alerts(entries(s, d)).select(
             "event_id", "log_time", "level", "event", "ticker")),
         "log_route_counts": lambda s, d: logs.route_counts(entries(s, d)),
+        "log_recent_calls": lambda s, d: logs.recent_calls(
+            entries(s, d), F.lit(NOW), minutes=3 * 24 * 60),
         "log_cycles": lambda s, d: naive(logs.cycles(entries(s, d))),
         "log_overruns": lambda s, d: naive(logs.overruns(entries(s, d))),
         "log_secrets": lambda s, d: logs.secret_lines(lines(s, d)).select("event_id"),

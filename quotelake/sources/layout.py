@@ -8,19 +8,22 @@ column in which they differ makes one row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quotelake.operators.logs import LAYOUT_DIFFERS, LAYOUT_FITS
 from quotelake.schema import ddl
 from quotelake.sources.lake import TableSpec, location
 
 # How a missing or still empty table shows when it is read.
 _ABSENT = ("PATH_NOT_FOUND", "nable to infer schema", "UNABLE_TO_INFER_SCHEMA",
            "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
-DIFFERENCE_SCHEMA = "column string, stored string, planned string"
+CHECK_SCHEMA = ("timestamp string, level string, service string, event string, message string, "
+                "erro string")
 
 
 class Place(NamedTuple):
@@ -101,19 +104,27 @@ def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec,
     return layout_of(frame.schema, levels.pop() if levels else ())
 
 
-def differences_frame(spark: SparkSession, differences: list[tuple]) -> DataFrame:
-    """Differences as rows, for a table of check outcomes."""
-    return spark.createDataFrame(differences, DIFFERENCE_SCHEMA)
+def record_check(spark: SparkSession, place: str, spec: TableSpec, differences: list[tuple]) -> None:
+    """Appends the outcome of a check as a log line: one event, its table and differences."""
+    line = {
+        "timestamp": datetime.now(timezone.utc).isoformat(), "service": "layout", "message": spec.path,
+        "level": "ERROR" if differences else "INFO",
+        "event": LAYOUT_DIFFERS if differences else LAYOUT_FITS, "erro": str(differences) if differences else None,
+    }
+    spark.createDataFrame([line], CHECK_SCHEMA).coalesce(1).write.mode("append").json(place)
 
 
-def require_layout(spark: SparkSession, root: str, spec: TableSpec,
-                   planned: DataFrame, fmt: str = "parquet") -> None:
-    """Stop before a stream starts on a table of another layout; no table passes."""
+def require_layout(spark: SparkSession, root: str, spec: TableSpec, planned: DataFrame,
+                   fmt: str = "parquet", checks: str | None = None) -> None:
+    """Stop before a stream starts on a table of another layout; no table passes. With
+    ``checks`` every outcome is appended to the log lines in that folder."""
     stored = stored_file_layout(spark, root, spec, fmt)
     if stored is None:
         return
     made = layout_of(planned.schema)
     added = {c: p for c, p in planned_layout(spec).items() if p.partition or c == spec.version}
     found = layout_differences(stored, {**made, **added})
+    if checks:
+        record_check(spark, checks, spec, found)
     if found:
         raise LayoutMismatch(f"{spec.path} has another layout: {found}")

@@ -31,6 +31,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--topic", default="cotacoes", help="Kafka topic (edge, bronze)")
     parser.add_argument("--files", help="folder of message files instead of Kafka (edge, bronze)")
     parser.add_argument("--responses", help="folder of raw responses, JSON lines (edge)")
+    parser.add_argument("--checks", help="folder that gets a log line for every layout check")
     parser.add_argument("--progress", help="folder that gets a line for every batch")
     parser.add_argument("--max-offsets", type=int, help="messages per batch (bronze)")
     parser.add_argument("--max-files", type=int, help="files per batch (bronze, quarantine)")
@@ -48,7 +49,8 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 
 def start(spark: SparkSession, options: argparse.Namespace):
     flow = jobs.Flow(spark, options.root, options.checkpoints, options.format,
-                     max_files_per_trigger=options.max_files, gold_mode=options.gold_mode)
+                     max_files_per_trigger=options.max_files, gold_mode=options.gold_mode,
+                     checks=options.checks)
     trigger = {"trigger": ALL_AVAILABLE} if options.once else {}
     if options.progress:
         spark.streams.addListener(ProgressLog(spark, options.progress))

@@ -48,6 +48,7 @@ class Flow:
     lanes: int | None = 8
     writers: int = 4
     gold_mode: str = "complete"
+    checks: str | None = None
 
     def checkpoint(self, job: str) -> str:
         return f"{self.checkpoints.rstrip('/')}/{job}"
@@ -66,7 +67,7 @@ def start_bronze(flow: Flow, messages: DataFrame,
                  trigger: dict | None = FIVE_MINUTES) -> StreamingQuery:
     """Messages to Bronze, every five minutes."""
     bronze = to_bronze(messages, flow.clocks.bronze)
-    require_layout(flow.spark, flow.root, lake.BRONZE, bronze, flow.fmt)
+    require_layout(flow.spark, flow.root, lake.BRONZE, bronze, flow.fmt, flow.checks)
     return append_stream(bronze, flow.root, lake.BRONZE, "bronze", flow.checkpoint("bronze"),
                          trigger, flow.fmt, flow.writers)
 
@@ -74,7 +75,7 @@ def start_bronze(flow: Flow, messages: DataFrame,
 def start_silver(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQuery:
     """Bronze to Silver, every five minutes; refuses a table of another layout."""
     silver = to_silver(flow.upstream(lake.BRONZE), clock=flow.clocks.silver, lanes=flow.lanes)
-    require_layout(flow.spark, flow.root, lake.SILVER, silver, flow.fmt)
+    require_layout(flow.spark, flow.root, lake.SILVER, silver, flow.fmt, flow.checks)
     return append_stream(silver, flow.root, lake.SILVER, "silver",
                          flow.checkpoint("silver"), trigger, flow.fmt, flow.writers)
 
@@ -82,7 +83,7 @@ def start_silver(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQu
 def start_quarantine(flow: Flow, trigger: dict | None = None) -> StreamingQuery:
     """Bronze to quarantine, as fast as batches finish; same layout check."""
     quarantine = to_quarantine(flow.upstream(lake.BRONZE, watermark=False))
-    require_layout(flow.spark, flow.root, lake.QUARANTINE, quarantine, flow.fmt)
+    require_layout(flow.spark, flow.root, lake.QUARANTINE, quarantine, flow.fmt, flow.checks)
     return append_stream(quarantine, flow.root, lake.QUARANTINE, "quarantine",
                          flow.checkpoint("quarantine"), trigger, flow.fmt, flow.writers)
 
@@ -90,7 +91,7 @@ def start_quarantine(flow: Flow, trigger: dict | None = None) -> StreamingQuery:
 def start_gold_operational(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQuery:
     """Silver to windows by ingestion time, every five minutes."""
     gold = to_gold_operational(flow.upstream(lake.SILVER), clock=flow.clocks.gold)
-    require_layout(flow.spark, flow.root, lake.GOLD_OPERATIONAL, gold, flow.fmt)
+    require_layout(flow.spark, flow.root, lake.GOLD_OPERATIONAL, gold, flow.fmt, flow.checks)
     return gold_stream(gold, flow.root, lake.GOLD_OPERATIONAL, "gold_operational",
                        flow.checkpoint("gold_operational"), flow.gold_mode, trigger, flow.fmt)
 
@@ -98,7 +99,7 @@ def start_gold_operational(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> S
 def start_gold_financial(flow: Flow, trigger: dict | None = None) -> StreamingQuery:
     """Silver to windows by quote time, as fast as batches finish."""
     gold = to_gold_financial(flow.upstream(lake.SILVER), clock=flow.clocks.gold)
-    require_layout(flow.spark, flow.root, lake.GOLD_FINANCIAL, gold, flow.fmt)
+    require_layout(flow.spark, flow.root, lake.GOLD_FINANCIAL, gold, flow.fmt, flow.checks)
     return gold_stream(gold, flow.root, lake.GOLD_FINANCIAL, "gold_financial",
                        flow.checkpoint("gold_financial"), flow.gold_mode, trigger, flow.fmt)
 

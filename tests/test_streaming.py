@@ -14,6 +14,7 @@ from quotelake.schema import QUOTE_FIELDS, ddl
 from quotelake.sources import from_events as source
 from quotelake.sources import lake
 from quotelake.sources.kafka import message_files_stream
+from quotelake.operators import logs
 from quotelake.operators.late import late_counts
 from quotelake.streaming import jobs, sinks
 from quotelake.streaming.sinks import ALL_AVAILABLE, batch_progress, gold_stream
@@ -155,8 +156,14 @@ def test_all_jobs_agree_with_batch_and_a_rerun_adds_nothing(spark, root):
 
 def test_jobs_refuse_a_table_of_another_layout(spark, root):
     spark.range(1).selectExpr("id AS other").write.parquet(lake.location(root, lake.QUARANTINE))
+    flow = jobs.Flow(spark, root, f"{root}/checkpoints", checks=f"{root}/checks")
     with pytest.raises(RuntimeError, match="another layout"):
-        jobs.start_quarantine(flow_for(spark, root), ALL_AVAILABLE)
+        jobs.start_quarantine(flow, ALL_AVAILABLE)
+    jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    entries = logs.by_topic(logs.parse_log_lines(spark.read.text(f"{root}/checks")))
+    assert [(r.message, r.level, r.log_topic) for r in entries.collect()] == [
+        (lake.QUARANTINE.path, "ERROR", "layout_checks")]
 
 
 def test_late_start_of_an_upstream_table(spark, root):
