@@ -8,7 +8,7 @@ even number), until a node is one shard. All nodes of a level are split together
 Weighted quantiles are exact to ``TOLERANCE`` of a shard: bytes are summed in ``BINS`` equal
 bins of each node's range, the bin that holds the quantile becomes the range, and where one
 value holds too much, the unit's hash goes on as a further dimension. The driver sees one
-line per node and bin; documents are only ever aggregated.
+line per node and bin, a bounded number; documents are only ever aggregated.
 
 A unit of the tree is all documents of one text, with the metadata of the first of them, so
 that copies stay in one shard. Texts whose copies hold more than ``HEAVY`` of a shard are
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from quotelake.llm.store import prepared, stored
 
-BINS = 512
+BINS = 512                  # of a node, fewer where nodes are many
+DRIVER_ROWS = 1 << 18       # bins of all nodes that the driver sees at once, 8 a node at least
 TOLERANCE = 0.0005
 HEAVY = 0.01
 MOST_SHARDS = 100_000
@@ -111,13 +112,16 @@ def _split(units: DataFrame, dims: list[str], cuts: list[_Cut]) -> DataFrame:
         inside = units.join(F.broadcast(ranges), "node").withColumn("v", _pick(dims, "dim"))
         inside = inside.where("value is null or v = value").withColumn(
             "x", F.when(F.col("value").isNull(), F.col("v")).otherwise(F.col("tie")))
+        count = max(8, min(BINS, DRIVER_ROWS // len(open_cuts)))
         place = F.least(F.floor((F.col("x") - F.col("low")) / F.greatest(
-            F.col("high") - F.col("low"), F.lit(1e-300)) * BINS), F.lit(BINS - 1))
+            F.col("high") - F.col("low"), F.lit(1e-300)) * count), F.lit(count - 1))
         bins = (inside.where("x >= low and x <= high").groupBy("node", place.alias("bin"))
                 .agg(F.sum("w").alias("w"), F.min("x").alias("a"), F.max("x").alias("b")).collect())
+        by_node: dict[int, list] = {}
+        for r in sorted(bins, key=lambda r: r.bin):
+            by_node.setdefault(r.node, []).append((r.w, r.a, r.b))
         for cut in open_cuts:
-            cut.narrow([(r.w, r.a, r.b) for r in sorted(
-                (r for r in bins if r.node == cut.node), key=lambda r: r.bin)])
+            cut.narrow(by_node[cut.node])
     table = spark.createDataFrame([(c.node, c.dim, *map(float, c.cut)) for c in cuts],
                                   "node long, dim int, at double, tie_at double")
     joined = units.join(F.broadcast(table), "node", "left").withColumn("v", _pick(dims, "dim"))
@@ -151,8 +155,9 @@ def kd_shards(docs: DataFrame, dimensions: Mapping[str, Column], n_shards: int |
         if extent is None:
             extent = [max((r[f"max_{d}"] - r[f"min_{d}"] for r in stats), default=0.0) for d in dims]
         cuts, new = [], {}
+        by_node = {r.node: r for r in stats}
         for node, k in shards.items():
-            row = next((r for r in stats if r.node == node), None)
+            row = by_node.get(node)
             if k == 1 or row is None:
                 new[node] = k
                 continue
