@@ -34,7 +34,7 @@ CUTOFF = 25.74              # squared distance that one row in 10,000 of that la
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Transformed counts, and the smallest deviation that each is measured by.
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats")
-FLOORS = (0.7, 0.6, 0.06, 0.35, 0.08)
+FLOORS = (0.7, 0.6, 0.06, 0.35, 0.1)
 
 _PLACE = (1 << 26) - 1      # bits of a window's place; its hash has the others
 _DIM = range(len(FEATURES))
