@@ -11,7 +11,7 @@ from quotelake.session import configure, shared_dir
 
 # A batch holds this many rows on its way to Python; long texts are cut into runs
 # of whole rows again (words.runs), so a batch costs its text and little more.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 
 
 def prepared(spark: SparkSession) -> SparkSession:
