@@ -31,6 +31,7 @@ SPREAD = 1.41               # what that share of a five-dimensional normal law l
 STEPS = 3
 LEAST = 100                 # rows that a group needs for an estimate of its own
 CUTOFF = 25.74              # squared distance that one row in 10,000 of that law exceeds
+BROADCAST_GROUPS = 20_000   # rows of about 200 bytes
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Transformed counts, and the smallest deviation that each is measured by.
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats")
@@ -144,11 +145,17 @@ def _moments(rows: DataFrame) -> DataFrame:
           for i in _DIM for j in range(i + 1)])
 
 
+def _small(groups: DataFrame, kind: str) -> DataFrame:
+    """One row per group, written and counted. Up to ``BROADCAST_GROUPS`` they are broadcast,
+    so rows are not dealt by group to be joined; beyond that Spark joins two plain exchanges
+    and can split a group that holds much of the rows."""
+    groups = stored(groups, kind)
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant estimate per ``grp`` of rows with FEATURES."""
-    # What rows are joined with is written first: the join's sides are then plain exchanges,
-    # and Spark can split a group that holds much of the rows.
-    middle = stored(rows.groupBy("grp").agg(
+    middle = _small(rows.groupBy("grp").agg(
         *[F.percentile_approx(name, 0.5).alias(f"m{i}") for i, name in enumerate(FEATURES)]), "middle")
     spread = rows.join(middle, "grp").groupBy("grp").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in _DIM],
@@ -157,12 +164,12 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     start = spread.select("grp", *[f"m{i}" for i in _DIM], *[
         (F.col(f"d{i}") * F.col(f"d{i}") if i == j else F.lit(0.0)).alias(f"c{i}{j}")
         for i in _DIM for j in range(i + 1)])
-    estimate = stored(_whitened(start), "estimates")
+    estimate = _small(_whitened(start), "estimates")
     for _ in range(STEPS):
         apart = rows.join(estimate, "grp").select("grp", *FEATURES, _distance().alias("d"))
-        near = stored(apart.groupBy("grp").agg(F.percentile_approx("d", H, 10000).alias("most")),
+        near = _small(apart.groupBy("grp").agg(F.percentile_approx("d", H, 10000).alias("most")),
                       "nearest")
-        estimate = stored(_whitened(_moments(apart.join(near, "grp").where("d <= most"))),
+        estimate = _small(_whitened(_moments(apart.join(near, "grp").where("d <= most"))),
                           "estimates")
     return estimate
 
