@@ -66,7 +66,7 @@ _NOISE_WORDS = frozenset(
     "navigation menu breadcrumb breadcrumbs sidebar footer comment comments disqus respond reply replies "
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup "
     "share sharing social related recommended recommendations teaser teasers widget login search pagination "
-    "pager toolbar masthead topbar copyright skip".split())
+    "pager toolbar masthead topbar topnav sitenav copyright skip alert alerts toast disclaimer paywall".split())
 _MAIN = frozenset(("article", "main"))
 _PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tfoot tr td th "
                    "figure figcaption caption header hgroup address".split())
@@ -191,7 +191,8 @@ class Page:
                         name == "style" and re.search(r"display\s*:\s*none", value)):
                     hidden = True
         words = set(_LETTERS.findall(names)) if tag not in ("html", "body", "main") else ()
-        marked = hidden or role in _NOISE_ROLES or not _NOISE_WORDS.isdisjoint(words)
+        marked = (hidden or role in _NOISE_ROLES or not _NOISE_WORDS.isdisjoint(words)
+                  or ("header" in words and not above.main and tag not in _MAIN))
         article = (tag in _MAIN or role == "main" or "articlebody" in rest.lower()) and not marked
         noise = marked or tag in _NOISE_TAGS or (tag == "header" and not above.main)
         main = (above.main or article) and not noise

@@ -26,7 +26,7 @@ def test_query_equals_brute_force(spark):
 
 def test_what_an_article_has_around_and_inside(spark):
     page = (f"<html><head><title>no</title><style>p{{}}</style></head><body class='has-sidebar'><header>Site</header>{NAV}"
-            "<div class='cookie-notice'>We use cookies</div><main><article><header><h1>Title &amp; more</h1></header>"
+            "<div class='cookie-notice'>We use cookies</div><div id='page-header'>Top</div><main><article><header><h1>Title &amp; more</h1></header>"
             "<p>One\n  two<br>three <b>bo</b>ld &eacute;&#233;<p>Second<ul><li>a<li>b</ul><form>x<input></form>"
             "<div class='share'>Share</div><script>if (a<b) '</p>'</script><!-- <p>no</p> -->"
             "<table><tr><td>1<td>2</table><aside>aside</aside>tail</article>"
