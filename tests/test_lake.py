@@ -10,8 +10,7 @@ from quotelake.plans.report import export_report
 from quotelake.sources import lake
 from quotelake.streaming.sinks import ensure_table
 from quotelake.sources.layout import (
-    LayoutMismatch, Place, layout_differences, planned_layout, require_layout, stored_file_layout,
-    stored_layout,
+    LayoutMismatch, Place, layout_differences, planned_layout, require_layout, stored_layout,
 )
 
 BASE = {"symbol": Place("string", 1), "price": Place("double"), "day": Place("string", 2)}
