@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm import words as W
 from quotelake.llm.fm_index import FMIndex
-from quotelake.llm.store import prepared
+from quotelake.llm.store import freeing, prepared
 from quotelake.llm.substring_dedup import _merged
 
 WINDOW = 10
@@ -185,7 +185,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         schema = found.select("*", F.lit(0).cast("long").alias(names[-3]),
                               F.expr("cast(array() as array<struct<low:int,high:int>>)").alias(names[-2]),
                               F.expr("cast(array() as array<string>)").alias(names[-1])).schema
-        found = found.mapInArrow(_scan(phrases, names), schema)
+        found = found.mapInArrow(freeing(_scan(phrases, names)), schema)
         count += 1
     hits = F.col("h0") if count == 1 else _merged(
         "sort_array(concat(" + ", ".join(f"h{i}" for i in range(count)) + "))")
@@ -231,7 +231,7 @@ def without_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     mark = found.withColumn("whole", F.when(F.size("hits") == 0, F.struct("text")))
     cut = mark.select("text", "hits", *[f"c{i}" for i in range(len(rest))], "whole")
     schema = cut.drop("hits").schema
-    cut = cut.mapInArrow(_cut, schema)
+    cut = cut.mapInArrow(freeing(_cut), schema)
     return cut.select(*[
         F.when(F.col("whole").isNotNull(), F.col("whole.text")).otherwise(F.col("text")).alias(c)
         if c == text_col else F.col(f"c{rest.index(c)}").alias(c) for c in columns])

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm import words as W
 from quotelake.llm.components import components
-from quotelake.llm.store import prepared, stored
+from quotelake.llm.store import freeing, prepared, stored
 
 SHINGLE = 5
 THRESHOLD = Fraction(4, 5)
@@ -280,7 +280,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text")).where("id is not null")
     signed = stored(rows.where("text is not null").select("id", "text", F.xxhash64("text").alias("x"))
-                    .mapInArrow(_signatures, "id long, x long, y long, bands array<bigint>, sig binary"),
+                    .mapInArrow(freeing(_signatures), "id long, x long, y long, bands array<bigint>, sig binary"),
                     "signatures")
     heads = stored(signed.groupBy("x", "y").agg(F.min("id").alias("head"), F.count("*").alias("n_copies")),
                    "heads")
@@ -293,7 +293,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = (members.join(nodes.select("id", "sig"), "id")
              .select("bucket", "i", "j", "side", "id", "sig")
              .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-             .mapInArrow(_prune, "a long, b long").distinct())
+             .mapInArrow(freeing(_prune), "a long, b long").distinct())
     groups = stored(components(edges), "candidates")
     sizes = stored(groups.groupBy("root").agg(F.count("*").alias("n")), "sizes")
     blocks = _blocked(groups, "root", sizes).select(F.col("root").alias("comp"), "i", "j", "side", "id")
@@ -301,13 +301,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .agg(F.collect_list(F.struct("i", "j")).alias("tasks")))
     shingled = (rows.where("text is not null").join(tasks, "id")
                 .select("text", "comp", "side", "id", "tasks")
-                .mapInArrow(_sets, "comp long, side int, id long, tasks array<struct<i:int,j:int>>, "
+                .mapInArrow(freeing(_sets), "comp long, side int, id long, tasks array<struct<i:int,j:int>>, "
                                    "shingles binary"))
     checked = stored(
         shingled.select("comp", F.explode("tasks").alias("t"), "side", "id", "shingles")
         .select("comp", "t.i", "t.j", "side", "id", "shingles")
         .repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
-        .mapInArrow(_verify, "id long, links long, root long"), "checked")
+        .mapInArrow(freeing(_verify), "id long, links long, root long"), "checked")
     links = checked.groupBy("id").agg(F.sum("links").alias("n_links"))
     roots = components(checked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     classes = stored(links.join(roots, "id", "left").select(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm import words as W
-from quotelake.llm.store import prepared
+from quotelake.llm.store import freeing, prepared
 
 LONG = 48                   # characters of a word that is merged on its own
 CELLS = 1 << 19             # substrings probed at once
@@ -393,7 +393,7 @@ def _mapped(df: DataFrame, column: str, made: dict[str, str], function) -> DataF
         F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept) if c != column])
     new = [F.lit(None).cast(kind).alias(f"y{i}") for i, kind in enumerate(made.values())]
     schema = inner.select("*", *new).schema
-    out = inner.mapInArrow(function(schema.names), schema)
+    out = inner.mapInArrow(freeing(function(schema.names)), schema)
     return out.select(*[
         F.col("x").alias(c) if c == column else F.col(f"c{i}").alias(c)
         for i, c in enumerate(kept) if c not in made],

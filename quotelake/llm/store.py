@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from quotelake.session import configure, shared_dir
 
 # A batch holds this many rows on its way to Python; long texts are cut into runs
 # of whole rows again (words.runs), so a batch costs its text and little more.
-BATCH_ROWS = 256
+BATCH_ROWS = 1000
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -35,6 +38,19 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freeing(function):
+    """A batch function that gives unused memory back when its task ends: Python workers wait
+    for their next task beside those that run, and share an executor's memory with them."""
+    def batches_of(batches):
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux":
+                ctypes.CDLL(None).malloc_trim(0)
+    return batches_of
+
+
 def row_key(id_col: str, text_col: str):
     """Key of a row: rows of equal id and text share it, for they share their result."""
     return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))

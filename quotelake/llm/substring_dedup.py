@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.llm import words as W
-from quotelake.llm.store import prepared, row_key, stored
+from quotelake.llm.store import freeing, prepared, row_key, stored
 
 WINDOW = 50
 SEED = 20
@@ -119,7 +119,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         row_key(id_col, text_col).alias("rk"), F.col(f"`{id_col}`").cast("long").alias("doc"),
         F.col(f"`{text_col}`").alias("text")).where("doc is not null and text is not null")
     anchors = stored(texts.mapInArrow(
-        _anchors(window, seed), "seed long, whole long, doc long, rk long, low int, high int"),
+        freeing(_anchors(window, seed)), "seed long, whole long, doc long, rk long, low int, high int"),
         "anchors")
     # Written, so that the join's sides are plain exchanges and a hot seed can be split.
     shared = stored(anchors.groupBy("seed").agg(F.min("doc").alias("a"), F.max("doc").alias("b"))
@@ -134,7 +134,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_ranges = (judged.where("not repeat").groupBy("rk")
                    .agg(F.array_distinct(F.collect_list(F.struct("low", "high"))).alias("ranges")))
     grams = (texts.join(open_ranges, "rk").select("rk", "doc", "text", "ranges")
-             .mapInArrow(_windows(window), "hash long, doc long, rk long, at int"))
+             .mapInArrow(freeing(_windows(window)), "hash long, doc long, rk long, at int"))
     grams = stored(grams, "windows")
     found = (grams.join(_earliest(grams, "hash"), "hash").where("first < doc")
              .select("rk", F.col("at").alias("low"), (F.col("at") + window).alias("high")))
@@ -213,7 +213,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)]).schema
     cut = (hit.select(F.col(f"`{text_col}`").alias("text"), "repeats",
                       *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
-           .mapInArrow(_cut, schema))
+           .mapInArrow(freeing(_cut), schema))
     cut = cut.select(*[F.col("text").alias(text_col) if c == text_col
                        else F.col(f"c{rest.index(c)}").alias(c) for c in columns])
     return found.where("repeats is null").select(*[f"`{c}`" for c in columns]).unionByName(cut)
@@ -250,4 +250,4 @@ def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: its words, the repeated ones among them, the digest of the others."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return with_repeats(docs).select("doc_id", "text", "repeats").mapInArrow(
-        _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        freeing(_digest), "doc_id long, n_words long, n_removed long, kept_sha256 string")
