@@ -15,7 +15,6 @@ from quotelake.session import configure, shared_dir
 # A batch holds this many rows on its way to Python; long texts are cut into runs
 # of whole rows again (words.runs), so a batch costs its text and little more.
 BATCH_ROWS = 1000
-_C = ctypes.CDLL(None) if sys.platform == "linux" else None
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -47,7 +46,8 @@ def freeing(function):
             yield from function(batches)
         finally:
             pa.default_memory_pool().release_unused()
-            trim = getattr(_C, "malloc_trim", None)
+            # Looked up here: the function is sent to the workers with what it refers to.
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
             if trim:
                 trim(0)
     return batches_of
