@@ -5,12 +5,15 @@ the hashes of a text's three-word windows inside its row, so no word is shuffled
 are taken for equal only if their words are.
 
 Outliers: per language and source the minimum-covariance-determinant estimate of the mean
-and covariance of transformed counts, reached by concentration steps: keep the share ``H``
-of a group's rows with the smallest Mahalanobis distances, estimate again from those. A row
-beyond ``CUTOFF`` from the centre of its group is rejected. Every step aggregates a narrow
-table of all rows that pass the limits, combining a group of any size before it is shuffled.
-Groups of fewer than ``LEAST`` rows are put together per language, and what is fewer still
-over all languages. Only DataFrame operations are used.
+and covariance of transformed counts, reached by concentration steps from four starts: keep
+the share ``H`` of a group's rows with the smallest Mahalanobis distances, estimate again from
+those, until the determinant stops falling. The start that ends with the smallest determinant
+counts, and the rows within ``NEAR`` of it give the estimate. Rows of equal counts weigh once,
+so copies of a text do not make it ordinary, and other junk may be just under half of a group.
+A row beyond ``CUTOFF`` from the centre of its group is rejected. Every step aggregates a narrow
+table of all different rows that pass the limits, combining a group of any size before it is
+shuffled. Groups of fewer than ``LEAST`` different rows are put together per language, and what
+is fewer still over all languages. Only DataFrame operations are used.
 
 Defined results: a null text has no words and fails the limits; null languages and sources
 are values of their own; floors on the deviations keep rows that differ little from a group
@@ -19,6 +22,8 @@ whose counts hardly vary; equal rows get the same verdict.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +31,12 @@ from quotelake.llm.store import prepared, stored
 
 LEAST_WORDS = 50
 MOST_REPEATED = 50          # per cent of the words
-H = 0.75                    # share of a group that an estimate is made from
-SPREAD = 1.41               # what that share of a five-dimensional normal law lacks in variance
-STEPS = 3
-LEAST = 100                 # rows that a group needs for an estimate of its own
+H = 0.5                     # share of a group that a determinant is made from
+SPREAD = 1.91               # what that share of a five-dimensional normal law lacks in variance
+FALL = 1e-3                 # a logarithm of a determinant that falls by less has stopped
+NEAR = 12.83                # squared distance that one row in 40 of that law exceeds
+NEAR_SPREAD = 1.06          # what the others lack in variance
+LEAST = 100                 # different rows that a group needs for an estimate of its own
 CUTOFF = 25.74              # squared distance that one row in 10,000 of that law exceeds
 BROADCAST_GROUPS = 20_000   # rows of about 200 bytes
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -113,7 +120,8 @@ def _distance() -> Column:
 
 
 def _whitened(moments: DataFrame) -> DataFrame:
-    """Per group the centre m and the inverse u of the Cholesky factor of the covariance."""
+    """Per group the centre m, the inverse u of the Cholesky factor of the covariance, and
+    the logarithm ``size`` of its determinant."""
     df = moments
     for i in _DIM:
         df = df.withColumn(f"c{i}{i}", F.col(f"c{i}{i}") + FLOORS[i] ** 2)
@@ -134,14 +142,17 @@ def _whitened(moments: DataFrame) -> DataFrame:
                     u = u - F.col(f"l{i}{k}") * F.col(f"u{k}{j}")
                 u = u / F.col(f"l{i}{i}")
             df = df.withColumn(f"u{i}{j}", u)
-    return df.select("grp", *[f"m{i}" for i in _DIM],
-                     *[f"u{i}{j}" for i in _DIM for j in range(i + 1)])
+    size = F.lit(0.0)
+    for i in _DIM:
+        size = size + 2 * F.log(F.col(f"l{i}{i}"))
+    return df.select(*[c for c in ("grp", "start") if c in moments.columns], size.alias("size"),
+                     *[f"m{i}" for i in _DIM], *[f"u{i}{j}" for i in _DIM for j in range(i + 1)])
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("grp").agg(
+def _moments(rows: DataFrame, spread: float, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(
         *[F.avg(FEATURES[i]).alias(f"m{i}") for i in _DIM],
-        *[(SPREAD * F.covar_pop(FEATURES[i], FEATURES[j])).alias(f"c{i}{j}")
+        *[(spread * F.covar_pop(FEATURES[i], FEATURES[j])).alias(f"c{i}{j}")
           for i in _DIM for j in range(i + 1)])
 
 
@@ -153,33 +164,64 @@ def _small(groups: DataFrame, kind: str) -> DataFrame:
     return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
 
 
+def _starts(rows: DataFrame) -> DataFrame:
+    """Four centres per group: medians, middles of the shortest halves, and both quartiles;
+    deviations are those of a normal law whose half is as short."""
+    twentieths = F.array(*[F.lit(k / 20) for k in range(21)])
+    parts = rows.groupBy("grp").agg(*[
+        F.percentile_approx(name, twentieths, 10000).alias(f"q{i}") for i, name in enumerate(FEATURES)])
+
+    def half(q: str) -> Column:
+        return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(10)), lambda k: F.struct(
+            (F.get(q, k + 10) - F.get(q, k)).alias("length"),
+            ((F.get(q, k + 10) + F.get(q, k)) / 2).alias("middle"))))
+
+    parts = parts.select("grp", *[f"q{i}" for i in _DIM], *[half(f"q{i}").alias(f"h{i}") for i in _DIM])
+    centres = [[F.get(f"q{i}", F.lit(10)) for i in _DIM], [F.col(f"h{i}.middle") for i in _DIM],
+               [F.get(f"q{i}", F.lit(5)) for i in _DIM], [F.get(f"q{i}", F.lit(15)) for i in _DIM]]
+    starts = F.array(*[F.struct(F.lit(k).alias("start"), *[m.alias(f"m{i}") for i, m in enumerate(centre)])
+                       for k, centre in enumerate(centres)])
+    return parts.select("grp", *[f"h{i}" for i in _DIM], F.explode(starts).alias("s")).select(
+        "grp", "s.*", *[(F.pow(F.col(f"h{i}.length") / 1.349, F.lit(2)) if i == j else F.lit(0.0)).alias(f"c{i}{j}")
+                        for i in _DIM for j in range(i + 1)])
+
+
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant estimate per ``grp`` of rows with FEATURES."""
-    middle = _small(rows.groupBy("grp").agg(
-        *[F.percentile_approx(name, 0.5).alias(f"m{i}") for i, name in enumerate(FEATURES)]), "middle")
-    spread = rows.join(middle, "grp").groupBy("grp").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in _DIM],
-        *[(F.percentile_approx(F.abs(F.col(name) - F.col(f"m{i}")), 0.5) * 1.4826).alias(f"d{i}")
-          for i, name in enumerate(FEATURES)])
-    start = spread.select("grp", *[f"m{i}" for i in _DIM], *[
-        (F.col(f"d{i}") * F.col(f"d{i}") if i == j else F.lit(0.0)).alias(f"c{i}{j}")
-        for i in _DIM for j in range(i + 1)])
-    estimate = _small(_whitened(start), "estimates")
-    for _ in range(STEPS):
-        apart = rows.join(estimate, "grp").select("grp", *FEATURES, _distance().alias("d"))
-        near = _small(apart.groupBy("grp").agg(F.percentile_approx("d", H, 10000).alias("most")),
-                      "nearest")
-        estimate = _small(_whitened(_moments(apart.join(near, "grp").where("d <= most"))),
-                          "estimates")
-    return estimate
+    state = stored(_whitened(_starts(rows)).withColumn("size", F.lit(float("inf")))
+                   .withColumn("done", F.lit(False)), "estimates")
+    # As in _small, but groups do not become more from one step to the next.
+    held = F.broadcast if state.count() <= BROADCAST_GROUPS else (lambda groups: groups)
+    ended = []
+    while not state.where("not done").isEmpty():
+        before = state.where("not done").drop("done")
+        apart = rows.join(held(before), "grp").select(
+            "grp", "start", F.col("size").alias("before"), *FEATURES, _distance().alias("d"))
+        near = apart.groupBy("grp", "start").agg(F.percentile_approx("d", H, 10000).alias("most"))
+        after = _whitened(_moments(apart.join(held(near), ["grp", "start"]).where("d <= most"),
+                                   SPREAD, "grp", "start"))
+        sizes = before.select("grp", "start", F.col("size").alias("before"))
+        state = stored(after.join(held(sizes), ["grp", "start"]).withColumn(
+            "done", F.col("size") > F.col("before") - FALL).drop("before"), "estimates")
+        ended.append(state.where("done").drop("done"))
+    if not ended:
+        return state.drop("start", "done")
+    estimates = reduce(DataFrame.unionByName, ended)
+    names = [c for c in estimates.columns if c != "grp"]
+    best = _small(estimates.groupBy("grp").agg(
+        F.min(F.struct("size", "start", *names[2:])).alias("e")).select("grp", "e.*").drop("start"), "estimates")
+    apart = rows.join(best, "grp").select("grp", *FEATURES, _distance().alias("d"))
+    return _small(_whitened(_moments(apart.where(F.col("d") <= NEAR), NEAR_SPREAD, "grp")), "estimates")
 
 
 def _assigned(rows: DataFrame) -> DataFrame:
     """Rows with ``grp``, the group whose estimate judges them."""
-    pairs = rows.groupBy("pair").count().where(F.col("count") >= LEAST).select("pair")
+    unlike = stored(rows.select("pair", "lang", *FEATURES).distinct(), "unlike")
+    pairs = _small(unlike.groupBy("pair").count().where(F.col("count") >= LEAST).select("pair"), "pairs")
+    langs = _small(unlike.join(pairs, "pair", "left_anti").select("lang", *FEATURES).distinct()
+                   .groupBy("lang").count().where(F.col("count") >= LEAST).select("lang"), "langs")
     own = rows.join(pairs, "pair", "left_semi").withColumn("grp", F.col("pair"))
     others = rows.join(pairs, "pair", "left_anti")
-    langs = others.groupBy("lang").count().where(F.col("count") >= LEAST).select("lang")
     return (own
             .unionByName(others.join(langs, "lang", "left_semi").withColumn("grp", F.col("lang")))
             .unionByName(others.join(langs, "lang", "left_anti")
@@ -200,7 +242,7 @@ def verdicts(docs: DataFrame, keys: dict[str, Column], text_col: str = "text",
     counted = with_counts(keyed).drop("text").withColumn("base_failed", base_failed())
     counted = stored(counted.select("*", *_features()), "counts")
     rows = stored(_assigned(counted.where("not base_failed")), "grouped")
-    estimate = robust_estimates(rows.select("grp", *FEATURES))
+    estimate = robust_estimates(stored(rows.select("grp", *FEATURES).distinct(), "unlike"))
     far = rows.join(estimate, "grp").select("key", *COUNTS, "base_failed",
                                             _distance().alias("distance"))
     failed = counted.where("base_failed").select(

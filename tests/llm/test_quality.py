@@ -46,3 +46,31 @@ def test_outliers_of_their_group_go_and_no_others(spark):
 def test_only_dataframe_operations(spark):
     plan = op.op10_quality_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+
+
+def _group(rnd, lang, good, junk, copied, first, bad):
+    """``good`` ordinary texts of one language and source, and ``junk`` made by ``bad``."""
+    rows, hot = [], bad(rnd)
+    for k in range(good + junk):
+        n = int(200 * 2.718 ** rnd.gauss(0, 0.5)) + 60
+        text = " ".join("w" * rnd.randint(3, 6) + str(rnd.random()) for _ in range(n))
+        rows.append((first + k, text if k < good else hot if copied else bad(rnd), lang, "s"))
+    return rows
+
+
+def _symbols(rnd):
+    """A text with symbols for a third of its characters."""
+    return " ".join("######" if k % 2 else "w" * rnd.randint(3, 6) + f"{rnd.random():.6f}"
+                    for k in range(rnd.randint(150, 500)))
+
+
+def test_junk_of_more_than_a_quarter_of_a_group_goes(spark):
+    rnd, rows = random.Random(4), []
+    cases = [(200 - j, j, copied) for j in (60, 80) for copied in (False, True)] + [(140, 300, True)]
+    for c, (good, junk, copied) in enumerate(cases):
+        rows += _group(rnd, f"l{c}", good, junk, copied, 1000 * c, _symbols)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()}
+    for c, (good, junk, _) in enumerate(cases):
+        assert not any(got[1000 * c + good + k] for k in range(junk)), cases[c]
+        assert sum(got[1000 * c + k] for k in range(good)) >= 0.99 * good, cases[c]
