@@ -17,7 +17,7 @@ is fewer still over all languages. Only DataFrame operations are used.
 
 Defined results: a null text has no words and fails the limits; null languages and sources
 are values of their own; floors on the deviations keep rows that differ little from a group
-whose counts hardly vary; equal rows get the same verdict.
+whose counts hardly vary, for shares their sampling error; equal rows get the same verdict.
 """
 
 from __future__ import annotations
@@ -42,7 +42,9 @@ BROADCAST_GROUPS = 20_000   # rows of about 200 bytes
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # Transformed counts, and the smallest deviation that each is measured by.
 FEATURES = ("log_words", "word_length", "symbols", "dup_lines", "repeats")
-FLOORS = (0.7, 0.6, 0.06, 0.35, 0.1)
+# The symbols' is the sampling error of the root of a share of 200 characters, which the
+# shortest texts have; that of repeats follows the texts' own words, see _error.
+FLOORS = (0.7, 0.6, 0.035, 0.35, 0.0)
 
 _PLACE = (1 << 26) - 1      # bits of a window's place; its hash has the others
 _DIM = range(len(FEATURES))
@@ -115,16 +117,28 @@ def _distance() -> Column:
         z = F.lit(0.0)
         for j in range(i + 1):
             z = z + F.col(f"u{i}{j}") * (F.col(FEATURES[j]) - F.col(f"m{j}"))
-        total = total + z * z
+        if i == _DIM[-1]:
+            # The estimate has the error of its mean row; a shorter text has more.
+            more = F.greatest(_error() - F.col("error"), F.lit(0.0))
+            total = total + z * z / (1 + more * F.col(f"u{i}{i}") * F.col(f"u{i}{i}"))
+        else:
+            total = total + z * z
     return total
 
 
+def _error() -> Column:
+    """Greatest sampling variance of a share of a text's words that come by windows of three:
+    that of repeats, which are last."""
+    return 0.75 * F.exp(-F.col("log_words"))
+
+
 def _whitened(moments: DataFrame) -> DataFrame:
     """Per group the centre m, the inverse u of the Cholesky factor of the covariance, and
     the logarithm ``size`` of its determinant."""
     df = moments
     for i in _DIM:
-        df = df.withColumn(f"c{i}{i}", F.col(f"c{i}{i}") + FLOORS[i] ** 2)
+        df = df.withColumn(f"c{i}{i}", F.col(f"c{i}{i}") + FLOORS[i] ** 2
+                           + (F.col("error") if i == _DIM[-1] else F.lit(0.0)))
     for i in _DIM:
         for j in range(i + 1):
             rest = F.col(f"c{i}{j}")
@@ -145,7 +159,7 @@ def _whitened(moments: DataFrame) -> DataFrame:
     size = F.lit(0.0)
     for i in _DIM:
         size = size + 2 * F.log(F.col(f"l{i}{i}"))
-    return df.select(*[c for c in ("grp", "start") if c in moments.columns], size.alias("size"),
+    return df.select(*[c for c in ("grp", "start") if c in moments.columns], size.alias("size"), "error",
                      *[f"m{i}" for i in _DIM], *[f"u{i}{j}" for i in _DIM for j in range(i + 1)])
 
 
@@ -153,7 +167,7 @@ def _moments(rows: DataFrame, spread: float, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(
         *[F.avg(FEATURES[i]).alias(f"m{i}") for i in _DIM],
         *[(spread * F.covar_pop(FEATURES[i], FEATURES[j])).alias(f"c{i}{j}")
-          for i in _DIM for j in range(i + 1)])
+          for i in _DIM for j in range(i + 1)], F.avg(_error()).alias("error"))
 
 
 def _small(groups: DataFrame, kind: str) -> DataFrame:
@@ -169,20 +183,21 @@ def _starts(rows: DataFrame) -> DataFrame:
     deviations are those of a normal law whose half is as short."""
     twentieths = F.array(*[F.lit(k / 20) for k in range(21)])
     parts = rows.groupBy("grp").agg(*[
-        F.percentile_approx(name, twentieths, 10000).alias(f"q{i}") for i, name in enumerate(FEATURES)])
+        F.percentile_approx(name, twentieths, 10000).alias(f"q{i}") for i, name in enumerate(FEATURES)],
+        F.avg(_error()).alias("error"))
 
     def half(q: str) -> Column:
         return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(10)), lambda k: F.struct(
             (F.get(q, k + 10) - F.get(q, k)).alias("length"),
             ((F.get(q, k + 10) + F.get(q, k)) / 2).alias("middle"))))
 
-    parts = parts.select("grp", *[f"q{i}" for i in _DIM], *[half(f"q{i}").alias(f"h{i}") for i in _DIM])
+    parts = parts.select("grp", "error", *[f"q{i}" for i in _DIM], *[half(f"q{i}").alias(f"h{i}") for i in _DIM])
     centres = [[F.get(f"q{i}", F.lit(10)) for i in _DIM], [F.col(f"h{i}.middle") for i in _DIM],
                [F.get(f"q{i}", F.lit(5)) for i in _DIM], [F.get(f"q{i}", F.lit(15)) for i in _DIM]]
     starts = F.array(*[F.struct(F.lit(k).alias("start"), *[m.alias(f"m{i}") for i, m in enumerate(centre)])
                        for k, centre in enumerate(centres)])
-    return parts.select("grp", *[f"h{i}" for i in _DIM], F.explode(starts).alias("s")).select(
-        "grp", "s.*", *[(F.pow(F.col(f"h{i}.length") / 1.349, F.lit(2)) if i == j else F.lit(0.0)).alias(f"c{i}{j}")
+    return parts.select("grp", "error", *[f"h{i}" for i in _DIM], F.explode(starts).alias("s")).select(
+        "grp", "error", "s.*", *[(F.pow(F.col(f"h{i}.length") / 1.349, F.lit(2)) if i == j else F.lit(0.0)).alias(f"c{i}{j}")
                         for i in _DIM for j in range(i + 1)])
 
 

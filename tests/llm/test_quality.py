@@ -74,3 +74,24 @@ def test_junk_of_more_than_a_quarter_of_a_group_goes(spark):
     for c, (good, junk, _) in enumerate(cases):
         assert not any(got[1000 * c + good + k] for k in range(junk)), cases[c]
         assert sum(got[1000 * c + k] for k in range(good)) >= 0.99 * good, cases[c]
+
+
+def test_repeats_and_symbols_of_a_clean_group(spark):
+    rnd = random.Random(6)
+    rows = _group(rnd, "en", 300, 0, False, 0, _symbols)
+
+    def words(n):
+        return ["w" * rnd.randint(3, 6) + str(rnd.random()) for _ in range(n)]
+
+    for k in range(20):
+        n = rnd.randint(150, 600)
+        passage, line = words(n * 45 // 200), words(13)
+        rows.append((1000 + k, " ".join(passage + words(n - 2 * len(passage)) + passage), "en", "s"))
+        rows.append((2000 + k, "\n".join(" ".join(x) for x in (line, words(50), line)), "en", "s"))
+        rows.append((3000 + k, " ".join("####" + w if i % 4 == 0 else w for i, w in enumerate(words(n))), "en", "s"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()}
+    assert not any(got[1000 + k] for k in range(20))    # 45 per cent of the words repeated
+    assert all(got[2000 + k] for k in range(20))        # a short text with one line twice
+    assert sum(got[k] for k in range(300)) >= 297
+    assert not any(got[3000 + k] for k in range(20))
