@@ -243,6 +243,12 @@ def _assigned(rows: DataFrame) -> DataFrame:
                          .withColumn("grp", F.lit(0).cast("long"))))
 
 
+def _group_key(*cols: str) -> Column:
+    """Hash of values, nulls included, and of how many they are."""
+    values = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)])
+    return F.xxhash64(F.lit(len(cols)), F.to_json(values, {"ignoreNullFields": "false"}))
+
+
 def verdicts(docs: DataFrame, keys: dict[str, Column], text_col: str = "text",
              lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: the ``keys`` (name -> expression over docs), COUNTS,
@@ -251,9 +257,7 @@ def verdicts(docs: DataFrame, keys: dict[str, Column], text_col: str = "text",
     keyed = docs.select(
         F.struct(*[c.alias(n) for n, c in keys.items()]).alias("key"),
         F.col(f"`{text_col}`").alias("text"),
-        F.xxhash64(F.to_json(F.struct(F.col(f"`{lang_col}`").alias("a")))).alias("lang"),
-        F.xxhash64(F.to_json(F.struct(F.col(f"`{lang_col}`").alias("a"),
-                                      F.col(f"`{source_col}`").alias("b")))).alias("pair"))
+        _group_key(lang_col).alias("lang"), _group_key(lang_col, source_col).alias("pair"))
     counted = with_counts(keyed).drop("text").withColumn("base_failed", base_failed())
     counted = stored(counted.select("*", *_features()), "counts")
     rows = stored(_assigned(counted.where("not base_failed")), "grouped")

@@ -95,3 +95,12 @@ def test_repeats_and_symbols_of_a_clean_group(spark):
     assert all(got[2000 + k] for k in range(20))        # a short text with one line twice
     assert sum(got[k] for k in range(300)) >= 297
     assert not any(got[3000 + k] for k in range(20))
+
+
+def test_a_null_source_is_a_group_of_its_own(spark):
+    rnd = random.Random(8)
+    rows = [(i, t, "en", None) for i, t, _, _ in _group(rnd, "en", 300, 0, False, 0, _symbols)]
+    rows += [(i, t, "en", f"small{i % 6}") for i, t, _, _ in _group(rnd, "en", 0, 120, False, 1000, _symbols)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()}
+    assert sum(got[i] for i in range(300)) >= 297 and sum(got[1000 + i] for i in range(120)) >= 118
