@@ -7,7 +7,8 @@ template whose diagonals (place in the document less place in the template) diff
 most its band, an eighth of its words and ``BAND`` at most, and whose places are no further
 apart than the template is long form a candidate, whose words are aligned with the template's inside that band: the longest common
 subsequence there gives matched words and their span. Candidates with at least ``COVERAGE``
-of the template matched are reported; of reports that overlap, those with more matched words
+of the template matched are reported if their span has the phrases that tell the template
+from its neighbours (``REQUIRED``: version and variant, as unbroken words); of reports that overlap, those with more matched words
 stay, then the longer template, then its name.
 
 Templates are a parameter of bounded size (``TEMPLATE_BYTES``); the index goes to all tasks.
@@ -17,7 +18,7 @@ licenses; a template without words is never found; equal templates are both name
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,19 @@ COVERAGE = 0.8
 TEMPLATE_BYTES = 16 << 20
 FOUND = "array<struct<license:string,low:int,high:int,matched:int,coverage:double>>"
 
+_GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} "
+    "as published by the Free Software Foundation, either version {} of the License, or "
+    "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
+    "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+    "PURPOSE. See the GNU {} for more details.")
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+    "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution.")
+
 # Short notices as their licenses give them.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -48,12 +62,21 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
-        "(at your option) any later version. This program is distributed in the hope that it will be useful, but "
-        "WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
-        "PURPOSE. See the GNU General Public License for more details."),
+    "GPL-3.0-header": _GPL.format("General Public License", 3, "General Public License"),
+    "GPL-2.0-header": _GPL.format("General Public License", 2, "General Public License"),
+    "LGPL-3.0-header": _GPL.format("Lesser General Public License", 3, "Lesser General Public License"),
+    "LGPL-2.1-header": _GPL.format("Lesser General Public License", 2.1, "Lesser General Public License"),
+    "AGPL-3.0-header": _GPL.format("Affero General Public License", 3, "Affero General Public License"),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+        "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "BSD-2-Clause": _BSD,
+    "BSD-3-Clause": _BSD + (
+        " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission."),
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -67,12 +90,31 @@ TEMPLATES = {
         "copies or substantial portions of the Software."),
 }
 
+# Phrases that a report of a template must have, word for word.
+REQUIRED = {
+    "Apache-2.0": ("Apache", "2.0"), "Apache-2.0-header": ("Apache License", "Version 2.0"),
+    "CC-BY-4.0": ("CC BY 4.0",), "CC-BY-NC-4.0": ("CC BY-NC 4.0",), "CC-BY-SA-4.0": ("CC BY-SA 4.0",),
+    "CC-BY-ND-4.0": ("CC BY-ND 4.0",), "CC-BY-NC-SA-4.0": ("CC BY-NC-SA 4.0",),
+    "CC-BY-NC-ND-4.0": ("CC BY-NC-ND 4.0",),
+    "GPL-3.0": ("GNU General Public", "3"), "GPL-3.0-header": ("GNU General Public", "version 3 of"),
+    "GPL-2.0-header": ("GNU General Public", "version 2 of"),
+    "LGPL-3.0-header": ("GNU Lesser General Public", "version 3 of"),
+    "LGPL-2.1-header": ("GNU Lesser General Public", "version 2.1 of"),
+    "AGPL-3.0-header": ("GNU Affero General Public", "version 3 of"),
+    "MPL-2.0-header": ("Mozilla Public", "2.0"), "BSD-3-Clause": ("endorse or promote",), "MIT": ("MIT",),
+}
+
+
+def _hashes(text: str) -> np.ndarray:
+    return W.words_of(next(W.runs(pa.array([text]))), W.ALNUM, W.LOWER).hash
+
 
 class Index:
     """Words of the templates and the inverted index of their fingerprints."""
 
-    def __init__(self, templates: Mapping[str, str]):
+    def __init__(self, templates: Mapping[str, str], required: Mapping[str, Sequence[str]] = REQUIRED):
         self.names = sorted(templates)
+        self.required = [[_hashes(x) for x in required.get(name, ())] for name in self.names]
         self.words: list[np.ndarray] = []
         keys, owners, places = [], [], []
         for number, name in enumerate(self.names):
@@ -97,6 +139,11 @@ class Index:
         # Sizes of grams in use: short templates have shorter ones.
         self.grams = sorted({min(GRAM, int(s)) for s in self.sizes if s})
 
+    def told(self, owner: int, span: np.ndarray) -> bool:
+        """Whether the words have all phrases of the template."""
+        return all(any(np.array_equal(span[i:i + len(x)], x) for i in np.flatnonzero(span == x[0]))
+                   for x in self.required[owner])
+
     def hits(self, words: W.Words):
         """(word, template, place in it) of all grams that are fingerprints."""
         found = []
@@ -181,7 +228,8 @@ def _scan(shared, names):
                     template, band = index.words[owner], int(index.bands[owner])
                     matched, first, last = align(
                         template, words.hash[base:end], low - base - band, high - base + band)
-                    if matched >= COVERAGE * len(template):
+                    if matched >= COVERAGE * len(template) and index.told(
+                            owner, words.hash[base + first:base + last]):
                         found[text].setdefault((first, last, owner), (matched, len(template)))
                 for own in found:
                     ranked = sorted(own.items(), key=lambda x: (-x[1][0], -x[1][1], index.names[x[0][2]]))
@@ -201,13 +249,15 @@ def _scan(shared, names):
 
 
 def with_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, text_col: str = "text",
-                  found_col: str = "licenses") -> DataFrame:
+                  found_col: str = "licenses", required: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """The other columns of ``docs`` with the licenses found: name, span of words (one past
     its end), matched words and their share of the template."""
+    if required is None:
+        required = REQUIRED if templates is None else {}
     templates = TEMPLATES if templates is None else templates
     if sum(len(t.encode()) for t in templates.values()) > TEMPLATE_BYTES:
         raise ValueError(f"templates of more than {TEMPLATE_BYTES} bytes")
-    shared = prepared(docs.sparkSession).sparkContext.broadcast(Index(templates))
+    shared = prepared(docs.sparkSession).sparkContext.broadcast(Index(templates, required))
     rest = [c for c in docs.columns if c not in (text_col, found_col)]
     inner = docs.select(F.col(f"`{text_col}`").alias("x"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
     schema = inner.drop("x").withColumn("found", F.lit(None).cast(FOUND)).schema

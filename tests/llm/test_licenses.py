@@ -60,3 +60,17 @@ def test_odd_rows(spark, clashing):
     assert names[4] == names[5] == ["one"] and names[7] == names[9] == ["base", "twin"] and names[1] == names[14] == []
     assert op.with_licenses(empty(clashing)).count() == 0
     assert op.with_licenses(clashing, {}).where("size(licenses) > 0").count() == 0
+
+
+def _names(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {texts[r.doc_id]: {x.license for x in r.licenses} for r in op.with_licenses(df).collect()}
+
+
+def test_versions_and_variants_are_told_apart(spark):
+    expected = {op.TEMPLATES[n]: {n} for n in op.TEMPLATES}
+    gpl = op.TEMPLATES["GPL-3.0-header"]
+    expected |= {gpl.replace("version 3", "version 1"): set(), gpl.replace("GNU General", "GNU Other General"): set(),
+                 "Licensed under CC BY-XX 4.0.": set(), "Licensed under CC BY-NC 3.0.": set(),
+                 "Released under the Other License.": set(), "Licensed under the Apache License, Version 1.1.": set()}
+    assert _names(spark, list(expected)) == expected
