@@ -2,7 +2,8 @@
 
 Words are those of letters and digits in lower case. Of every ``SPAN`` consecutive word
 ``GRAM``-grams of a template the one with the smallest hash is a fingerprint; the inverted
-index has its templates and places. Every gram of a document probes the index. Hits of a
+index has its templates and places. A template of at most ``SHORT`` words has all its grams
+there, so short that a text with ``COVERAGE`` of its words has one of them unbroken. Every gram of a document probes the index. Hits of a
 template whose diagonals (place in the document less place in the template) differ by at
 most its band, an eighth of its words and ``BAND`` at most, and whose places are no further
 apart than the template is long form a candidate, whose words are aligned with the template's inside that band: the longest common
@@ -18,6 +19,7 @@ licenses; a template without words is never found; equal templates are both name
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -30,6 +32,7 @@ from quotelake.llm.store import prepared
 
 GRAM = 3
 SPAN = 4
+SHORT = 64
 BAND = 8
 COVERAGE = 0.8
 TEMPLATE_BYTES = 16 << 20
@@ -124,9 +127,9 @@ class Index:
             count = len(words.hash)
             if not count:
                 continue
-            size = min(GRAM, count)
+            size = _gram_size(count)
             grams = _grams(words, size)[:count - size + 1]
-            width = min(SPAN, len(grams))
+            width = 1 if count <= SHORT else min(SPAN, len(grams))
             at = np.unique(W.sliding_argmin(grams, width))
             keys.append(grams[at])
             owners.append(np.full(len(at), number))
@@ -137,7 +140,7 @@ class Index:
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners, self.places = keys[order].astype(np.uint64), owners[order], places[order]
         # Sizes of grams in use: short templates have shorter ones.
-        self.grams = sorted({min(GRAM, int(s)) for s in self.sizes if s})
+        self.grams = sorted({_gram_size(int(s)) for s in self.sizes if s})
 
     def told(self, owner: int, span: np.ndarray) -> bool:
         """Whether the words have all phrases of the template."""
@@ -179,6 +182,12 @@ class Index:
             np.minimum.reduceat(diagonal, first).tolist(), np.maximum.reduceat(diagonal, first).tolist()))
 
 
+def _gram_size(count: int) -> int:
+    """Words of a gram: what lacks the words that COVERAGE lets go leaves one gram whole."""
+    lost = count - math.ceil(COVERAGE * count)
+    return max(1, min(GRAM, (count - lost) // (lost + 1)))
+
+
 def _grams(words: W.Words, size: int) -> np.ndarray:
     return W.gram_hashes(words, size)
 

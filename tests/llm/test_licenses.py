@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 
@@ -74,3 +75,20 @@ def test_versions_and_variants_are_told_apart(spark):
                  "Licensed under CC BY-XX 4.0.": set(), "Licensed under CC BY-NC 3.0.": set(),
                  "Released under the Other License.": set(), "Licensed under the Apache License, Version 1.1.": set()}
     assert _names(spark, list(expected)) == expected
+
+
+def test_every_edit_of_a_word_of_a_short_template(spark):
+    texts = {}
+    for name, text in op.TEMPLATES.items():
+        words = text.split()
+        if len(words) > op.SHORT:
+            continue
+        must = {w for x in op.REQUIRED.get(name, ()) for w in re.findall("[a-z0-9]+", x.lower())}
+        for k, word in enumerate(words):
+            if must.isdisjoint(re.findall("[a-z0-9]+", word.lower())):
+                if len(re.findall("[a-z0-9]+", word.lower())) == 1:
+                    texts[" ".join(words[:k] + words[k + 1:])] = name
+                    texts[" ".join(words[:k] + ["xyz"] + words[k + 1:])] = name
+                texts[" ".join(words[:k] + ["xyz"] + words[k:])] = name
+    found = _names(spark, list(texts))
+    assert [t for t, name in texts.items() if found[t] != {name}] == []
