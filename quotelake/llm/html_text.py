@@ -10,8 +10,11 @@ child sequences.
 
 What an element says of itself weighs in: navigation, headers, footers, asides, forms and the
 like, by tag, role, or a word of class or id, keep only the share ``NOISE`` of their
-importance; an article or main part keeps only that share of what it lacks. Others are judged
-where at least ``PAGES`` pages have them. Nodes below ``LEAST`` are noise branches and leave
+importance; an article or main part keeps only that share of what it lacks. As ``NOISE`` is
+below ``LEAST``, and 1 - ``NOISE`` above it, names alone decide these. Words that tell of a state
+or topic (has-sidebar, category-social, comments-open) do not count, in articles and headings
+and in ids of sections only names that are such words throughout do, and ids of headings are
+anchors. Others are judged by entropy where at least ``PAGES`` pages have them. Nodes below ``LEAST`` are noise branches and leave
 every page. If a page has an article or main part, its text is what is left of that. Plain
 text elements of an article have no node of their own: they stay or go with what they are in.
 
@@ -67,11 +70,31 @@ _NOISE_WORDS = frozenset(
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup "
     "share sharing social related recommended recommendations teaser teasers widget login search pagination "
     "pager toolbar masthead topbar topnav sitenav copyright skip alert alerts toast disclaimer paywall".split())
+# Names that begin or end so tell of a state or topic of what they are on.
+_STATES = frozenset("has no not with without is category tag topic".split())
+_STATES_AFTER = frozenset("open closed enabled disabled".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN = frozenset(("article", "main"))
 _PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table tbody thead tfoot tr td th "
                    "figure figcaption caption header hgroup address".split())
 
 
+def _said(tag: str, classes: str, ids: str) -> set[str]:
+    """Words that the class and id of an element say of it."""
+    found: set[str] = set()
+    if tag in ("html", "body", "main"):
+        return found
+    for names, whole in ((classes, tag in _HEADINGS or tag == "article"),
+                         ("" if tag in _HEADINGS else ids, tag in ("article", "section"))):
+        for name in names.split():
+            words = _LETTERS.findall(name)
+            if len(words) > 1 and (words[0] in _STATES or words[-1] in _STATES_AFTER
+                                   or whole and not _NOISE_WORDS.issuperset(words)):
+                continue
+            found.update(words)
+    return found
+
+
 class _Open:
     """An open element; chain: the keys of the judged elements from the root to it."""
 
@@ -180,17 +203,22 @@ class Page:
             return
         above = self._stack[-1]
         names, role, hidden = "", "", False
+        classes, ids = "", ""
         if rest and ("=" in rest or "hidden" in rest):
             for name, a, b, c in _ATTRIBUTE.findall(rest):
                 name, value = name.lower(), a or b or c
                 if name in ("class", "id"):
                     names += " " + value.lower()
+                    if name == "class":
+                        classes += " " + value.lower()
+                    else:
+                        ids += " " + value.lower()
                 elif name == "role":
                     role = value.lower()
                 elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
                         name == "style" and re.search(r"display\s*:\s*none", value)):
                     hidden = True
-        words = set(_LETTERS.findall(names)) if tag not in ("html", "body", "main") else ()
+        words = _said(tag, classes, ids) if names else ()
         marked = (hidden or role in _NOISE_ROLES or not _NOISE_WORDS.isdisjoint(words)
                   or ("header" in words and not above.main and tag not in _MAIN))
         article = (tag in _MAIN or role == "main" or "articlebody" in rest.lower()) and not marked

@@ -64,3 +64,16 @@ def test_odd_pages(spark):
     out = op.with_main_text(df)
     assert out.columns == ["page_id", "url", "host", "noise", "node", "c0", "text"] and out.count() == len(pages)
     assert op.with_main_text(empty(df)).count() == 0
+
+
+def test_states_topics_and_anchors_mark_nothing(spark):
+    text = sentence(1, 30)
+    pages = [f"<article class='post {c}'><p>{text}</article>" for c in (
+        "category-social", "tag-search", "comments-open", "has-sidebar", "related-work")]
+    pages += [f"<div class='content no-sidebar'><p>{text}</div>", f"<section id='related-work'><p>{text}</section>"]
+    pages = [NAV + p for p in pages]
+    heading = f"{NAV}<article><h2 id='social-impact'>T</h2><p>{text}</article>"
+    gone = [f"<p>{text}<div class='{c}'>gone</div>" for c in ("sidebar", "cookie-notice", "related-posts", "nav-item")]
+    gone += [f"<p>{text}<section id='comments'>gone</section>", f"<p>{text}<article class='comment'>gone</article>"]
+    found = _texts(spark, [(i, f"http://h{i}.b/", p) for i, p in enumerate([heading, *pages, *gone])])
+    assert found[0] == "T\n" + text and all(found[i] == text for i in range(1, len(found)))
