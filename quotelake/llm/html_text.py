@@ -14,8 +14,9 @@ importance; an article or main part keeps only that share of what it lacks. As `
 below ``LEAST``, and 1 - ``NOISE`` above it, names alone decide these. Words that tell of a state
 or topic (has-sidebar, category-social, comments-open) do not count, in articles and headings
 and in ids of sections only names that are such words throughout do, and ids of headings are
-anchors. Others are judged by entropy where at least ``PAGES`` pages have them. Nodes below ``LEAST`` are noise branches and leave
-every page. If a page has an article or main part, its text is what is left of that. Plain
+anchors. Others are judged by entropy where at least ``PAGES`` different pages have them. Nodes
+below ``LEAST`` are noise branches and leave every page; if a page has nothing else, only those
+leave it that say so of themselves. Equal pages of a host count once. If a page has an article or main part, its text is what is left of that. Plain
 text elements of an article have no node of their own: they stay or go with what they are in.
 
 Defined results: null and empty html have no text; a page without a host shares the tree of
@@ -242,6 +243,9 @@ class Page:
     def text(self, noise: frozenset[int]) -> str:
         """The main text, without branches whose nodes are noise on this site."""
         clean = [(t, main) for t, main, keys in self.blocks if noise.isdisjoint(keys)]
+        if not clean:
+            noise = frozenset(key for key in noise if key in self.styles and self.styles[key][1])
+            clean = [(t, main) for t, main, keys in self.blocks if noise.isdisjoint(keys)]
         inside = [t for t, main in clean if main]
         return "\n".join(inside or [t for t, _ in clean])
 
@@ -293,9 +297,18 @@ def host_of(url: str):
         F.coalesce(F.col(f"`{url}`"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1))
 
 
+def _different(pages: DataFrame) -> DataFrame:
+    """Each html of a host once; only pages that have copies are shuffled."""
+    keyed = pages.withColumn("h", F.xxhash64("host", "html"))
+    copied = stored(keyed.groupBy("h").count().where("count > 1").select("h"), "copied")
+    one = keyed.join(copied, "h", "left_semi").groupBy("h").agg(
+        F.first("host").alias("host"), F.first("html").alias("html"))
+    return keyed.join(copied, "h", "left_anti").select("host", "html").unionByName(one.select("host", "html"))
+
+
 def importance(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The style trees: host, node, label, pages, presentation, content and importance."""
-    seen = pages.select(host_of(url_col).alias("host"), F.col(f"`{html_col}`").alias("html")).mapInArrow(
+    seen = _different(pages.select(host_of(url_col).alias("host"), F.col(f"`{html_col}`").alias("html"))).mapInArrow(
         _tree, "host string, node long, label int, kind int, value long")
     counts = seen.groupBy("host", "node", "label", "kind", "value").agg(F.count("*").alias("k"))
     k = F.col("k")

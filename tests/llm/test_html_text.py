@@ -77,3 +77,19 @@ def test_states_topics_and_anchors_mark_nothing(spark):
     gone += [f"<p>{text}<section id='comments'>gone</section>", f"<p>{text}<article class='comment'>gone</article>"]
     found = _texts(spark, [(i, f"http://h{i}.b/", p) for i, p in enumerate([heading, *pages, *gone])])
     assert found[0] == "T\n" + text and all(found[i] == text for i in range(1, len(found)))
+
+
+def test_copies_of_a_page_without_an_article_stay(spark):
+    pages, expected = [], {}
+    for copies in (7, 8, 30):
+        text = sentence(copies, 30)
+        page = f"<body>{NAV}<div class='content'><p>{text}</div></body>"
+        for k in range(copies):
+            pages.append((100 * copies + k, f"http://h{copies}.example/{k}", page))
+            expected[100 * copies + k] = text
+    for k in range(12):     # copies beside pages that only share a line without a name
+        body = sentence(k // 2 if k < 4 else k, 20)
+        pages += [(9000 + 10 * k + j, "http://m.example/", f"<div class='a1'>Best site ever</div><div class='b2'>{body}</div>")
+                  for j in range(8 if k == 0 else 1)]
+        expected |= {9000 + 10 * k + j: body for j in range(8 if k == 0 else 1)}
+    assert _texts(spark, pages) == expected
