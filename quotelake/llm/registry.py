@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.llm import sql
 from quotelake.llm.decontamination import op4_decontamination
+from quotelake.llm.fill_in_middle import op13_fill_in_middle
 from quotelake.llm.html_text import op5_html_text
 from quotelake.llm.jaccard_join import op2_jaccard_join
 from quotelake.llm.licenses import op7_license_scan
@@ -29,8 +30,14 @@ QUERIES = (
     op8_token_files,
     op9_kd_shards,
     op10_quality_rules,
+    op13_fill_in_middle,
 )
-ORACLES = {"op2_jaccard_join": sql.OP2, "op3_substring_dedup": sql.OP3, "op4_decontamination": sql.OP4}
+ORACLES = {
+    "op2_jaccard_join": sql.OP2,
+    "op3_substring_dedup": sql.OP3,
+    "op4_decontamination": sql.OP4,
+    "op13_fill_in_middle": sql.OP13,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -73,3 +73,24 @@ named AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS names FROM found WHER
 SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(names), 0) AS n_items,
   sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM listed LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+_MARK = " OR ".join(f"contains(text, '{mark}')" for mark in ("<P>", "<S>", "<M>"))
+OP13 = f"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+    [CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), p, 8) AS BIGINT)
+     FOR p IN [1, 9, 17, 25]] AS h
+  FROM documents),
+cuts AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN n = 0 OR {_MARK} OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1) AS suffix
+  FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts"""
