@@ -12,6 +12,7 @@ from quotelake.llm.fill_in_middle import op13_fill_in_middle
 from quotelake.llm.html_text import op5_html_text
 from quotelake.llm.jaccard_join import op2_jaccard_join
 from quotelake.llm.licenses import op7_license_scan
+from quotelake.llm.line_dedup import op11_line_dedup
 from quotelake.llm.quality import op10_quality_rules
 from quotelake.llm.sentencepieces import op6_sentencepiece
 from quotelake.llm.sharding import op9_kd_shards
@@ -30,12 +31,14 @@ QUERIES = (
     op8_token_files,
     op9_kd_shards,
     op10_quality_rules,
+    op11_line_dedup,
     op13_fill_in_middle,
 )
 ORACLES = {
     "op2_jaccard_join": sql.OP2,
     "op3_substring_dedup": sql.OP3,
     "op4_decontamination": sql.OP4,
+    "op11_line_dedup": sql.OP11,
     "op13_fill_in_middle": sql.OP13,
 }
 

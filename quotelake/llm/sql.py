@@ -94,3 +94,18 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
   sha256(text) AS restored_sha256
 FROM parts"""
+
+_LINE_KEY = (r"translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),"
+             " 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+OP11 = rf"""
+WITH listed AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM listed),
+keyed AS (SELECT doc_id, pos, line, {_LINE_KEY} AS key FROM placed),
+common AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT doc_id, pos, line, coalesce(doc_id <> last, FALSE) AS gone FROM keyed LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
