@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.llm import sql
+from quotelake.llm.alignment import op12_tokenizer_alignment
 from quotelake.llm.decontamination import op4_decontamination
 from quotelake.llm.fill_in_middle import op13_fill_in_middle
 from quotelake.llm.html_text import op5_html_text
@@ -32,6 +33,7 @@ QUERIES = (
     op9_kd_shards,
     op10_quality_rules,
     op11_line_dedup,
+    op12_tokenizer_alignment,
     op13_fill_in_middle,
 )
 ORACLES = {
