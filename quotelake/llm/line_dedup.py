@@ -27,6 +27,8 @@ of a new one are replaced.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -100,7 +102,7 @@ def _notes(hashes: list[np.ndarray], blocks: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-def _noted(blocks: int, min_chars: int):
+def _noted(blocks: int, min_chars: int, at_once: int):
     def noted(batches):
         held, count = [], 0
         for batch in batches:
@@ -109,7 +111,7 @@ def _noted(blocks: int, min_chars: int):
                 hashes = hashes[first_of_text(text, hashes)]
                 held.append(hashes)
                 count += len(hashes)
-                if count >= HASHES:
+                if count >= at_once:
                     yield _notes(held, blocks)
                     held, count = [], 0
         if count:
@@ -124,7 +126,7 @@ def _merged(batches):
 
     def row():
         return pa.RecordBatch.from_pydict({
-            "block": pa.array([block], pa.int32()), "bits": [np.packbits(twice, bitorder="little").tobytes()]})
+            "block": pa.array([block], pa.int32()), "bits": [zlib.compress(np.packbits(twice, bitorder="little").tobytes(), 1)]})
 
     for batch in batches:
         for own, one, two in zip(*(column.to_pylist() for column in batch.columns)):
@@ -150,13 +152,13 @@ def twice_seen(texts: DataFrame, text_col: str, min_chars: int = MIN_CHARS,
     wanted = -(-size // (min_chars + 1) * 8 // BLOCK_BITS)
     blocks = 1 << max(0, min(wanted, filter_bytes * 8 // BLOCK_BITS, BLOCK_BITS) - 1).bit_length()
     notes = text.where("text is not null").mapInArrow(
-        freeing(_noted(blocks, min_chars)), "block int, once binary, twice binary")
+        freeing(_noted(blocks, min_chars, HASHES)), "block int, once binary, twice binary")
     merged = stored(notes.repartition("block").sortWithinPartitions("block").mapInArrow(
         freeing(_merged), "block int, bits binary"), "filter").toArrow()
     # At most filter_bytes, whatever the size of the table.
     whole = np.zeros((blocks, BLOCK_BITS // 8), np.uint8)
     for block, bits in zip(merged.column(0).to_pylist(), merged.column(1).to_pylist()):
-        whole[block] = np.frombuffer(bits, np.uint8)
+        whole[block] = np.frombuffer(zlib.decompress(bits), np.uint8)
     return whole.tobytes(), blocks
 
 
