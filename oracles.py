@@ -8,6 +8,18 @@ START, END = "2024-01-08 12:45:00", "2024-01-20 21:00:00"
 CYCLES = 3555
 HALF = "2024-01-16 00:00:00"
 TICKERS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW", "MISSING1")
+# Report query -> title of its section.
+SECTIONS = {
+    "report_01_overview": "01 overview", "report_02_throughput": "02 throughput",
+    "report_03_prices": "03 prices by symbol", "report_04a_bronze_quality": "04a bronze quality",
+    "report_04b_silver_quality": "04b silver quality", "report_04c_rejects": "04c rejected rows",
+    "report_04d_repeats": "04d repeated quotes", "report_05_span": "05 observed span",
+    "report_06_stage_latency": "06 stage latency", "report_07_recent": "07 recent samples",
+    "report_08_partitions": "08 partitions", "report_09_gold_operational": "09 gold operational",
+    "report_10_gold_financial": "10 gold financial", "report_11_percentiles": "11 latency percentiles",
+    "report_12_source_lag": "12 source lag", "report_13_scores": "13 quality scores",
+    "report_14_coverage": "14 coverage", "report_15_gaps": "15 gaps",
+}
 
 
 def _after(moment: str, seconds: str) -> str:
@@ -470,7 +482,7 @@ UNION ALL SELECT 'gold.prices_by_quote_5min', count(*) FROM gold_financial"""),
             "bronze silver quarantine gold_operational gold_financial", """
 SELECT 'bronze/quotes' AS table_path, 'kafka_date' AS partitions, 0::INTEGER AS differences,
   count(*) AS rows FROM bronze
-UNION ALL SELECT 'silver/quotes', 'kafka_date,symbol,trade_date', 0, count(*) FROM silver
+UNION ALL SELECT 'silver/quotes', 'kafka_date', 0, count(*) FROM silver
 UNION ALL SELECT 'silver/quotes_rejected', 'kafka_date', 0, count(*) FROM quarantine
 UNION ALL SELECT 'gold/prices_by_ingest_5min', 'window_date', 0, count(*) FROM gold_operational
 UNION ALL SELECT 'gold/prices_by_quote_5min', 'window_date', 0, count(*) FROM gold_financial"""),
@@ -519,6 +531,26 @@ SELECT silver.* EXCLUDE (kafka_time, ingest_time, silver_time), last < TIMESTAMP
 FROM silver JOIN (
   SELECT symbol, quote_time, "regularMarketPrice" AS price, max(kafka_time) AS last
   FROM judged WHERE accepted GROUP BY ALL) USING (symbol, quote_time, price)""")
+    sql["stream_late_while_running"] = sql["stream_silver_reconciled"]
+    sql["stream_silver_by_day"] = sql["stream_silver"]
+    # A quote is passed on once the watermark, 15 minutes behind in whole milliseconds, reaches it.
+    sql["stream_silver_earliest"] = _with("silver", """
+SELECT * FROM silver WHERE epoch_us(quote_time) <=
+  (SELECT (epoch_us(max(quote_time)) // 1000 - 900000) * 1000 FROM silver)""")
+    sql["gold_stream_with_late"] = sql["gold_financial"]
+    sql["gold_registered"] = sql["gold_financial"]
+    sql["gold_default"] = sql["gold_operational"]
+    # The same sections over the session of one day.
+    session = ((START, "2024-01-10 12:45:00"), (END, "2024-01-10 21:00:00"), (str(CYCLES), "99"))
+    counts = ["SELECT '00 window' AS section, 1::BIGINT AS rows"]
+    for name, title in SECTIONS.items():
+        section = sql[name]
+        for old, new in session:
+            section = section.replace(old, new)
+        counts.append(f"SELECT '{title}', count(*) FROM ({section})")
+    sql["report_export"] = " UNION ALL ".join(counts)
+    sql["log_files"] = f"""SELECT log_topic, event, count(*) AS rows FROM ({sql["log_topics"]}) GROUP BY ALL
+UNION ALL SELECT 'lines', NULL, count(*) FROM events"""
     sql["stream_published"] = f"""SELECT key, quotes, fields, took, count(*) AS messages
 FROM ({sql["publish_messages"]}) GROUP BY ALL"""
     sql["stream_refused"] = sql["edge_refused"]

@@ -8,21 +8,13 @@ from pyspark.sql import functions as F
 from quotelake.operators.silver import to_silver
 from quotelake.schema import SILVER_KEY
 
-LATE = "late"
-
 
 def lost_quotes(bronze: DataFrame, silver: DataFrame, clock: Column | None = None) -> DataFrame:
     """Silver rows that the stored Bronze asks for and the stored Silver lacks.
 
-    Both tables are batches. Bronze rows are accepted and reduced as in ``to_silver``; what
-    has no Silver row of its key was late. A null price or time is never accepted, so plain
-    equality of the keys is enough.
+    Both tables are batches, and the Silver stream has read all of these Bronze rows. They
+    are accepted and reduced as in ``to_silver``; what has no Silver row of its key was late.
+    A null price or time is never accepted, so plain equality of the keys is enough.
     """
     return to_silver(bronze, clock=clock).join(
         silver.select(*SILVER_KEY), list(SILVER_KEY), "left_anti")
-
-
-def late_counts(lost: DataFrame) -> DataFrame:
-    """Lost quotes per symbol and trade date, with the reason under which they are kept."""
-    return lost.groupBy("symbol", "trade_date").agg(F.count(F.lit(1)).alias("rows")).withColumn(
-        "rejection_reason", F.lit(LATE))

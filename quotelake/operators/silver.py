@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from quotelake.functions.columns import optional_column, stamp
 from quotelake.functions.times import event_time
-from quotelake.operators.dedup import drop_copies, keep_first
+from quotelake.operators.dedup import drop_copies, keep_earliest, keep_first
 from quotelake.operators.rules import accepted, row_rules
 from quotelake.schema import SILVER_COLUMNS, SILVER_FROM_BRONZE, SILVER_KEY
 
 _ORDER_PARTITION, _ORDER_OFFSET = "_partition", "_offset"
+SURVIVORS = ("seen", "earliest")
 
 
 def typed_quotes(bronze: DataFrame, clock: Column | None = None,
@@ -37,18 +38,25 @@ def typed_quotes(bronze: DataFrame, clock: Column | None = None,
 
 def to_silver(bronze: DataFrame, *, watermark: str = "15 minutes", clock: Column | None = None,
               strict_parse: bool = False, reject_nan: bool = False, strict_time: bool = False,
-              lanes: int | None = 8) -> DataFrame:
+              lanes: int | None = 8, survivor: str = "seen") -> DataFrame:
     """Valid quotes, one per (symbol, quote_time, price).
 
     Rows are filtered before the watermark is declared, so a rejected row never moves
     it. A stream drops rows behind the watermark (``streaming.sinks.ProgressLog`` counts
     them, ``operators.late`` finds them);
-    a batch keeps the earliest copy by (kafka_time, offset, partition).
+    a batch keeps the earliest copy by (kafka_time, offset, partition). A stream keeps the
+    copy it has ``seen`` first and passes it on at once, or with ``survivor="earliest"`` the
+    one that a batch keeps, which it passes on when the watermark is past the quote.
     """
+    if survivor not in SURVIVORS:
+        raise ValueError(f"survivor must be one of {SURVIVORS}, got {survivor!r}")
     rules = row_rules(bronze, strict_parse=strict_parse, reject_nan=reject_nan,
                       strict_time=strict_time)
     quotes = typed_quotes(bronze.filter(accepted(rules)), clock, strict_time)
-    if bronze.isStreaming:
+    if bronze.isStreaming and survivor == "earliest":
+        single = keep_earliest(quotes.withWatermark("quote_time", watermark), SILVER_KEY,
+                               ["kafka_time", _ORDER_OFFSET, _ORDER_PARTITION])
+    elif bronze.isStreaming:
         single = drop_copies(
             quotes.withWatermark("quote_time", watermark), SILVER_KEY,
             F.xxhash64("kafka_time", _ORDER_PARTITION, _ORDER_OFFSET), lanes)

@@ -26,6 +26,8 @@ def build_lake(spark: SparkSession, messages: DataFrame, root: str, *,
     bronze = lake.read_table(spark, root, lake.BRONZE, fmt)
     store(to_quarantine(bronze), lake.QUARANTINE)
     store(to_silver(bronze, clock=silver_clock), lake.SILVER)
+    if lake.table_exists(spark, root, lake.SILVER_LATE):
+        store(lake.read_table(spark, root, lake.SILVER, fmt).limit(0), lake.SILVER_LATE)
     silver = lake.read_table(spark, root, lake.SILVER, fmt)
     for spec, refine in ((lake.GOLD_OPERATIONAL, to_gold_operational),
                          (lake.GOLD_FINANCIAL, to_gold_financial)):

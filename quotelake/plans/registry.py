@@ -13,13 +13,13 @@ from pyspark.sql import types as T
 from quotelake.functions.columns import keep_where
 from quotelake.operators import edge, logs, measures, series
 from quotelake.operators.bronze import to_bronze
-from quotelake.operators.gold import to_gold_financial, to_gold_operational
+from quotelake.operators.gold import to_gold, to_gold_financial, to_gold_operational
 from quotelake.operators.quarantine import reason_codes, row_accounting, to_quarantine
 from quotelake.operators.silver import to_silver, typed_quotes
 from quotelake.plans.build import build_lake
 from quotelake.plans.catalogue import catalogue
 from quotelake.plans.dashboard import panels, score_panels
-from quotelake.plans.report import sections
+from quotelake.plans.report import export_report, sections
 from quotelake.plans.window import ReportWindow, session_windows
 from quotelake.schema import (
     BRONZE_COLUMNS, EDGE_FLAG_FIELDS, EDGE_TEXT_FIELDS, MESSAGE_SCHEMA, NUMBER_FIELDS, SILVER_COLUMNS,
@@ -29,11 +29,12 @@ from quotelake.session import configure, shared_dir
 from quotelake.sources import from_events as source
 from quotelake.sources import lake
 from quotelake.sources.kafka import message_files_sink, message_files_stream
+from quotelake.sources.log_files import read_log_lines, start_topic_tables, stream_log_lines
 from quotelake.sources.layout import (
     layout_differences, planned_layout, stored_file_layout,
 )
 from quotelake.streaming import jobs
-from quotelake.streaming.sinks import ALL_AVAILABLE, gold_stream
+from quotelake.streaming.sinks import ALL_AVAILABLE, ensure_table, gold_stream, write_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +44,8 @@ TICKERS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW", "MISSING1")
 REPORT_WINDOW = ReportWindow.local("2024-01-08 09:45", "2024-01-20 18:00")
 NOW = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
 NOW_HALF = datetime(2024, 1, 16, tzinfo=timezone.utc)
+NOW_LATER = datetime(2024, 1, 23, tzinfo=timezone.utc)
+EXPORT_DAY = "2024-01-10"
 
 _stored: dict[tuple, str] = {}
 _opened: dict[str, lake.Lake] = {}
@@ -179,14 +182,102 @@ def _halves_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which table each quote of that Silver is in."""
-    root = _halves_root(spark, sf_dir)
+    return _by_table(spark, _halves_root(spark, sf_dir))
+
+
+def _by_table(spark: SparkSession, root: str) -> DataFrame:
+    """Which table each quote of a streamed Silver is in."""
     shown = [c for c in SILVER_COLUMNS if c not in ("kafka_time", "ingest_time", "silver_time")]
     parts = [lake.read_table(spark, root, spec).select(*shown, F.lit(late).alias("late"))
              for spec, late in ((lake.SILVER, False), (lake.SILVER_LATE, True))]
     return naive(_union(parts))
 
 
+def _while_running_root(spark: SparkSession, sf_dir: str) -> str:
+    """Layers of a lake in which the late job runs while Bronze is ahead of Silver.
+
+    Bronze gets its third quarter, then its last one, then the earlier half, which is late.
+    Before Silver reads a part the late job runs, and again behind it, twice at the end.
+    """
+    configure(spark)
+
+    def run(root: str) -> None:
+        clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock(), source.gold_clock())
+        flow = jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks)
+        arrival = F.col("kafka_time")
+        parts = [(arrival >= F.lit(NOW_HALF)) & (arrival < F.lit(NOW_LATER)), arrival >= F.lit(NOW_LATER),
+                 arrival < F.lit(NOW_HALF)]
+        for part in parts:
+            lake.write_table(_bronze(spark, sf_dir).filter(part), root, lake.BRONZE)
+            jobs.append_lost_quotes(flow)
+            jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+        jobs.drain(lambda: jobs.start_gold_financial(flow, ALL_AVAILABLE))
+        for _ in range(2):
+            jobs.append_lost_quotes(flow)
+        jobs.drain(lambda: jobs.start_gold_financial(flow, ALL_AVAILABLE))
+    return _place(spark, sf_dir, "while_running", run)
+
+
+def _late_while_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_table(spark, _while_running_root(spark, sf_dir))
+
+
+def _gold_with_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of that lake: windows count late quotes, whose Silver stream had let them go."""
+    return naive(even_average(lake.read_table(spark, _while_running_root(spark, sf_dir), lake.GOLD_FINANCIAL)))
+
+
+def _backfilled(survivor: str, without: tuple[str, ...] = ()) -> Query:
+    """Silver from a stored Bronze backlog, five days a batch."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def run(root: str) -> None:
+            clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock())
+            flow = jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks, survivor=survivor)
+            lake.write_table(_bronze(spark, sf_dir), root, lake.BRONZE)
+            jobs.backfill_silver(flow, 5)
+        configure(spark)
+        root = _place(spark, sf_dir, f"backfill_{survivor}", run)
+        return naive(lake.read_table(spark, root, lake.SILVER).drop(*without))
+    return query
+
+
+def _gold_registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered Gold table that was written three times and cleared of older snapshots, as any
+    reader of the catalog sees it."""
+    silver = _lake(spark, sf_dir).silver
+
+    def run(root: str) -> None:
+        for spec in lake.TABLES:
+            ensure_table(spark, root, spec)
+        prefix = _prefix(root)
+        lake.register_tables(spark, root, prefix=prefix)
+        for batch, part in enumerate((F.col("kafka_time") < F.lit(NOW_HALF), F.col("kafka_time") < F.lit(NOW_LATER),
+                                      F.lit(True))):
+            gold = to_gold_financial(silver.filter(part), clock=source.gold_clock())
+            write_gold(gold, batch, root, lake.GOLD_FINANCIAL, "complete", "registered", prefix)
+        jobs.vacuum_gold(jobs.Flow(spark, root, f"{root}/checkpoints"), keep=1)
+    root = _place(spark, sf_dir, "gold_registered", run)
+    stored = spark.table(lake.qualified(lake.GOLD_FINANCIAL, _prefix(root)))
+    return naive(even_average(stored.select(*lake.GOLD_FINANCIAL.columns)))
+
+
+def _prefix(root: str) -> str:
+    return f"lake_{abs(hash(root)):x}_"
+
+
+def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every section of an exported report, read back."""
+    tables = lake_root(spark, sf_dir)
+
+    def run(root: str) -> None:
+        lake.register_tables(spark, tables, prefix=_prefix(tables))
+        export_report(spark, EXPORT_DAY, root, prefix=_prefix(tables), tickers=TICKERS)
+    root = _place(spark, sf_dir, "export", run)
+    return _union([
+        spark.read.parquet(f"{root}/{title.replace(' ', '_')}").agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(title).alias("section"), "rows") for title in ("00 window", *_REPORT.values())])
+
+
 def _edge_root(spark: SparkSession, sf_dir: str) -> str:
     """Responses as files, streamed through the gate to message files and refused rows."""
     configure(spark)
@@ -254,6 +345,8 @@ def _layers() -> dict[str, Query]:
         "gold_operational": lambda s, d: naive(even_average(
             to_gold_operational(_silver(s, d), clock=source.gold_clock()))),
         "gold_financial": flagship,
+        "gold_default": lambda s, d: naive(even_average(
+            to_gold(_silver(s, d), clock=source.gold_clock()))),
     }
 
 
@@ -265,6 +358,13 @@ def _streams() -> dict[str, Query]:
         "stream_silver": _streamed(lake.SILVER, ("kafka_time", "ingest_time", "silver_time")),
         "stream_quarantine": _streamed(lake.QUARANTINE, ("raw_json",)),
         "stream_silver_reconciled": _reconciled,
+        "stream_late_while_running": _late_while_running,
+        "stream_silver_by_day": _backfilled("seen", ("kafka_time", "ingest_time", "silver_time")),
+        # The copy that a batch keeps, so all clocks are compared; quotes that the watermark has not
+        # passed at the end are still held.
+        "stream_silver_earliest": _backfilled("earliest"),
+        "gold_stream_with_late": _gold_with_late,
+        "gold_registered": _gold_registered,
         "stream_published": _published,
         "stream_refused": _refused_stream,
         "gold_stream_complete": _gold_streamed(
@@ -332,6 +432,7 @@ def _reports() -> dict[str, Query]:
         **{f"catalogue_{name}": metric(name) for name in _CATALOGUE},
         "gaps_all": lambda s, d: naive(series.message_gaps(_lake(s, d).bronze, limit=None)),
         **{f"dashboard_{name}": panel(name) for name in _PANELS},
+        "report_export": _exported,
         "dashboard_scores": lambda s, d: naive(score_panels(_lake(s, d).silver, F.lit(NOW))),
     }
 
@@ -381,7 +482,7 @@ def _edge() -> dict[str, Query]:
 def _catalog() -> dict[str, Query]:
     def registered(s: SparkSession, d: str) -> DataFrame:
         root = lake_root(s, d)
-        prefix = f"lake_{abs(hash(root)):x}_"
+        prefix = _prefix(root)
         names = lake.register_tables(s, root, prefix=prefix)
         counts = [s.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name.removeprefix(prefix)).alias("table_name"), "rows") for name in names]
@@ -427,7 +528,24 @@ def _logs() -> dict[str, Query]:
     def entries(s: SparkSession, d: str) -> DataFrame:
         return logs.parse_log_lines(lines(s, d))
 
+    def files(s: SparkSession, d: str) -> str:
+        """Log files, and the topic tables that a stream makes of them."""
+        def run(root: str) -> None:
+            lines(s, d).select("value").write.text(f"{root}/lines")
+            start_topic_tables(stream_log_lines(s, f"{root}/lines"), f"{root}/topics", f"{root}/checkpoint",
+                               ALL_AVAILABLE).awaitTermination()
+        configure(s)
+        return _place(s, d, "log_files", run)
+
+    def topic_tables(s: SparkSession, d: str) -> DataFrame:
+        root = files(s, d)
+        kept = s.read.parquet(f"{root}/topics").groupBy("log_topic", "event").agg(F.count(F.lit(1)).alias("rows"))
+        read = read_log_lines(s, f"{root}/lines").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit("lines").alias("log_topic"), F.lit(None).cast("string").alias("event"), "rows")
+        return _union([kept, read])
+
     return {
+        "log_files": topic_tables,
         "log_topics": lambda s, d: logs.by_topic(entries(s, d)).select(
             "event_id", "event", "log_topic"),
         "log_alerts": lambda s, d: naive(logs.alerts(entries(s, d)).select(

@@ -99,14 +99,14 @@ GOLD_COLUMNS = (
     "window_start", "window_end", "symbol", "avg_price", "min_price", "max_price",
     "samples", "time_basis", "gold_time",
 )
-# Days of the Kafka time let report windows skip folders; within them Silver keeps the
-# symbol and trade date.
+# Days of the Kafka time let report windows skip folders. Symbols are no folders: files of a
+# day follow its bytes, and inside them rows are clustered (sources.lake.write_table).
 BRONZE_PARTITIONS = ("kafka_date",)
-SILVER_PARTITIONS = ("kafka_date", "symbol", "trade_date")
+SILVER_PARTITIONS = ("kafka_date",)
 GOLD_PARTITIONS = ("window_date",)
-# When a Gold row was written; the newest of a window counts.
-GOLD_VERSION = "written"
 GOLD_KEY = ("window_date", "window_start", "symbol")
+# What tells a changed window; its times do not.
+GOLD_VALUES = ("avg_price", "min_price", "max_price", "samples", "time_basis")
 SILVER_KEY = ("symbol", "quote_time", "price")
 
 # Type of every stored column, whatever table it is in.
@@ -118,7 +118,7 @@ COLUMN_TYPES = {
     "window_start": "timestamp", "window_end": "timestamp", "avg_price": "double",
     "min_price": "double", "max_price": "double", "samples": "bigint",
     "time_basis": "string", "gold_time": "timestamp", "window_date": "string",
-    "kafka_date": "string", "written": "bigint",
+    "kafka_date": "string",
     **dict(SILVER_FROM_BRONZE.values()),
     **{field.name: field.dataType.simpleString() for field in QUOTE_SCHEMA},
 }

@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.schema import (
-    BRONZE_COLUMNS, BRONZE_PARTITIONS, GOLD_COLUMNS, GOLD_KEY, GOLD_PARTITIONS, GOLD_VERSION,
+    BRONZE_COLUMNS, BRONZE_PARTITIONS, GOLD_COLUMNS, GOLD_PARTITIONS,
     QUARANTINE_COLUMNS, SILVER_COLUMNS, SILVER_PARTITIONS, ddl,
 )
+from quotelake.sources import files, snapshots
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Name, columns and partition columns of one table; ``version`` names a column that
-    tells the newest of several rows of a window."""
+    """Name, columns and partition columns of one table. ``snapshots``: its days are replaced
+    as a whole (``sources.snapshots``). ``lookup``: columns that readers ask for by value."""
 
     schema: str
     name: str
     columns: tuple[str, ...]
     partitions: tuple[str, ...] = ()
-    version: str | None = None
+    snapshots: bool = False
+    lookup: tuple[str, ...] = ()
 
     @property
     def path(self) -> str:
@@ -31,19 +33,16 @@ class TableSpec:
 
     @property
     def stored_columns(self) -> tuple[str, ...]:
-        added = ((self.version,) if self.version else ()) + self.partitions
-        return self.columns + tuple(c for c in added if c not in self.columns)
+        return self.columns + tuple(c for c in self.partitions if c not in self.columns)
 
 
 BRONZE = TableSpec("bronze", "quotes", BRONZE_COLUMNS, BRONZE_PARTITIONS)
-SILVER = TableSpec("silver", "quotes", SILVER_COLUMNS, SILVER_PARTITIONS)
+SILVER = TableSpec("silver", "quotes", SILVER_COLUMNS, SILVER_PARTITIONS, lookup=("symbol",))
 QUARANTINE = TableSpec("silver", "quotes_rejected", QUARANTINE_COLUMNS, BRONZE_PARTITIONS)
-GOLD_OPERATIONAL = TableSpec("gold", "prices_by_ingest_5min", GOLD_COLUMNS, GOLD_PARTITIONS,
-                             GOLD_VERSION)
-GOLD_FINANCIAL = TableSpec("gold", "prices_by_quote_5min", GOLD_COLUMNS, GOLD_PARTITIONS,
-                           GOLD_VERSION)
+GOLD_OPERATIONAL = TableSpec("gold", "prices_by_ingest_5min", GOLD_COLUMNS, GOLD_PARTITIONS, True)
+GOLD_FINANCIAL = TableSpec("gold", "prices_by_quote_5min", GOLD_COLUMNS, GOLD_PARTITIONS, True)
 # Quotes behind the Silver stream's watermark, found again in batch; not one of the five.
-SILVER_LATE = TableSpec("silver", "quotes_late", SILVER_COLUMNS, SILVER_PARTITIONS)
+SILVER_LATE = TableSpec("silver", "quotes_late", SILVER_COLUMNS, SILVER_PARTITIONS, lookup=("symbol",))
 TABLES = (BRONZE, SILVER, QUARANTINE, GOLD_OPERATIONAL, GOLD_FINANCIAL)
 # Partition column -> the time whose day it is.
 DAY_OF = {"kafka_date": "kafka_time", "window_date": "window_start"}
@@ -53,52 +52,50 @@ def location(root: str, spec: TableSpec) -> str:
     return f"{root.rstrip('/')}/{spec.path}"
 
 
+def table_exists(spark: SparkSession, root: str, spec: TableSpec) -> bool:
+    """Whether the table's folder is there."""
+    return files.exists(spark, location(root, spec))
+
+
 def placed(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The stored columns of a table: with its days, and for Gold the time of writing."""
+    """The stored columns of a table, with its days."""
     for column in spec.partitions:
         if column in DAY_OF:
             df = df.withColumn(column, F.date_format(DAY_OF[column], "yyyy-MM-dd"))
-    if spec.version:
-        df = df.withColumn(spec.version, F.lit(time.time_ns() // 1000))
     return df.select(*spec.stored_columns)
 
 
-def newest(stored: DataFrame, spec: TableSpec) -> DataFrame:
-    """The newest row of each window; other tables as they are. The key holds the day, so a
-    filter on it still prunes folders."""
-    if not spec.version:
-        return stored
-    rest = [c for c in stored.columns if c not in GOLD_KEY]
-    last = stored.groupBy(*GOLD_KEY).agg(
-        F.max_by(F.struct(*rest), spec.version).alias("row"))
-    return last.select(*[c if c in GOLD_KEY else F.col(f"row.{c}").alias(c) for c in stored.columns])
-
-
-def shown(stored: DataFrame, spec: TableSpec, partitions: bool = False) -> DataFrame:
-    """The columns of a layer in order, from all rows that are stored."""
-    rows = newest(stored, spec)
-    return rows.select(*spec.columns, *[
-        c for c in spec.partitions if partitions and c not in spec.columns])
-
-
 def stored_rows(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet") -> DataFrame:
-    """All rows of a stored table, older versions of Gold windows included."""
+    """All columns of a stored table."""
+    place = location(root, spec)
+    if fmt == "parquet" and spec.snapshots:
+        return snapshots.read(spark, place, spec.stored_columns)
     reader = spark.read.format(fmt)
     if fmt == "parquet":
         # Declared, so that partition values such as 2024-01-05 stay text.
         reader = reader.schema(ddl(spec.stored_columns))
-    return reader.load(location(root, spec)).select(*spec.stored_columns)
+    return reader.load(place).select(*spec.stored_columns)
 
 
 def read_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet",
                partitions: bool = False) -> DataFrame:
     """A stored table with its columns in order, followed by its days if asked for."""
-    return shown(stored_rows(spark, root, spec, fmt), spec, partitions)
+    return stored_rows(spark, root, spec, fmt).select(*spec.columns, *[
+        c for c in spec.partitions if partitions and c not in spec.columns])
+
+
+def all_silver(spark: SparkSession, root: str, fmt: str = "parquet", partitions: bool = False) -> DataFrame:
+    """Silver with the quotes that came too late for its stream, each quote once."""
+    silver = read_table(spark, root, SILVER, fmt, partitions)
+    if not table_exists(spark, root, SILVER_LATE):
+        return silver
+    return silver.unionByName(read_table(spark, root, SILVER_LATE, fmt, partitions))
 
 
 def stream_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stored table as a stream of appended rows.
+                 max_files_per_trigger: int | None = None,
+                 days: Sequence[str] | None = None) -> DataFrame:
+    """A stored table as a stream of appended rows, of some ``days`` only if they are given.
 
     ``max_files_per_trigger`` bounds a micro-batch of a job without a watermark. In front
     of one it would lose rows: files are not in the order of their quotes, so the
@@ -109,7 +106,10 @@ def stream_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "pa
         reader = reader.schema(ddl(spec.stored_columns))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(location(root, spec)).select(*spec.columns)
+    place = location(root, spec)
+    if days:
+        place += f"/{spec.partitions[0]}={{{','.join(days)}}}"
+    return reader.load(place).select(*spec.columns)
 
 
 def write_table(df: DataFrame, root: str, spec: TableSpec, fmt: str = "parquet",
@@ -117,16 +117,29 @@ def write_table(df: DataFrame, root: str, spec: TableSpec, fmt: str = "parquet",
     """Batch write in the table's layout; ``overwrite`` replaces the whole table.
 
     Tables are rebalanced on their partition columns: few files per partition, and
-    adaptive execution splits a partition that is too large for a task. Rows are ordered
-    by their time inside each file, which keeps the file statistics that report windows
-    prune on narrow. A parquet table a stream appends to is not written in batch as well:
-    its readers follow the stream's own file log.
+    adaptive execution splits a partition that is too large for a task, so the files of a
+    day follow its bytes. Inside each file rows are ordered by the hour of their time, by
+    the columns that are looked up, then by time: pages and row groups have narrow bounds
+    both of times and of symbols, and a Bloom filter tells what a row group lacks. A parquet
+    table a stream appends to is not written in batch as well: its readers follow the
+    stream's own file log. A table of snapshots is always replaced as a whole.
     """
-    rows = placed(df, spec).hint("rebalance", *spec.partitions)
     order = next(DAY_OF[c] for c in spec.partitions if c in DAY_OF)
-    (rows.sortWithinPartitions(*spec.partitions, order)
-     .write.format(fmt).mode(mode).option("partitionOverwriteMode", "static")
-     .partitionBy(*spec.partitions).save(location(root, spec)))
+    rows, place = placed(df, spec), location(root, spec)
+    if spec.snapshots and fmt == "parquet":
+        if mode != "overwrite":
+            raise ValueError(f"{spec.path} is written by days (sources.snapshots)")
+        snapshots.publish(rows, place, order, snapshots.latest(df.sparkSession, place))
+        return
+    (rows.hint("rebalance", *spec.partitions)
+     .sortWithinPartitions(*spec.partitions, *[F.date_trunc("hour", order)] * bool(spec.lookup), *spec.lookup, order)
+     .write.format(fmt).mode(mode).options(partitionOverwriteMode="static", **lookup_options(spec))
+     .partitionBy(*spec.partitions).save(place))
+
+
+def lookup_options(spec: TableSpec) -> dict[str, str]:
+    """Writer options: Bloom filters of the columns that are looked up."""
+    return {f"parquet.bloom.filter.enabled#{column}": "true" for column in spec.lookup}
 
 
 @dataclass(frozen=True)
@@ -141,8 +154,12 @@ class Lake:
 
 
 def open_lake(spark: SparkSession, root: str, fmt: str = "parquet") -> Lake:
-    """The stored tables under ``root``, with their days."""
-    return Lake(*(read_table(spark, root, spec, fmt, True) for spec in TABLES))
+    """The stored tables under ``root``, with their days; late quotes are part of Silver."""
+    return Lake(*(_layer(spark, root, spec, fmt) for spec in TABLES))
+
+
+def _layer(spark: SparkSession, root: str, spec: TableSpec, fmt: str) -> DataFrame:
+    return all_silver(spark, root, fmt, True) if spec == SILVER else read_table(spark, root, spec, fmt, True)
 
 
 def qualified(spec: TableSpec, prefix: str = "") -> str:
@@ -168,7 +185,7 @@ def catalog_lake(spark: SparkSession, prefix: str = "") -> Lake:
     tables = []
     for spec in TABLES:
         root, fmt = _registered(spark, spec, prefix)
-        tables.append(read_table(spark, root, spec, fmt, True))
+        tables.append(_layer(spark, root, spec, fmt))
     return Lake(*tables)
 
 
@@ -195,6 +212,27 @@ def register_tables(spark: SparkSession, root: str, fmt: str = "parquet",
             layout += f" PARTITIONED BY ({', '.join(f'`{p}`' for p in spec.partitions)})"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified(spec, prefix)} {layout} "
                   f"LOCATION '{location(root, spec)}'")
-        if spec.partitions and fmt == "parquet":
+        if fmt == "parquet" and spec.snapshots:
+            register_days(spark, root, spec, prefix)
+        elif fmt == "parquet" and spec.partitions:
             spark.catalog.recoverPartitions(qualified(spec, prefix))
     return [qualified(spec, prefix) for spec in TABLES]
+
+
+def register_days(spark: SparkSession, root: str, spec: TableSpec, prefix: str = "") -> None:
+    """Points the partitions of a registered table to the snapshots of its newest manifest.
+
+    A day changes its folder in one step, so any reader of the catalog sees each window
+    once. Gold jobs do this after each batch if they are told the prefix.
+    """
+    table, place = qualified(spec, prefix), location(root, spec)
+    manifest = snapshots.latest(spark, place) or snapshots.Manifest()
+    known = {row[0].split("=", 1)[-1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for day, held in sorted(manifest.days.items()):
+        folder = f"{place}/{snapshots.PLACE % (day, held.snapshot)}"
+        day_of = f"PARTITION ({snapshots.DAY}='{day}')"
+        spark.sql(f"ALTER TABLE {table} {day_of} SET LOCATION '{folder}'" if day in known
+                  else f"ALTER TABLE {table} ADD IF NOT EXISTS {day_of} LOCATION '{folder}'")
+    for day in sorted(known - {*manifest.days}):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({snapshots.DAY}='{day}')")
+    spark.catalog.refreshTable(table)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from quotelake.operators.logs import LAYOUT_DIFFERS, LAYOUT_FITS
 from quotelake.schema import ddl
+from quotelake.sources import snapshots
 from quotelake.sources.lake import TableSpec, location
 
 # How a missing or still empty table shows when it is read.
@@ -85,6 +86,10 @@ def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec,
     columns, in order. Files of several partitionings are a mismatch of their own.
     """
     place = location(root, spec)
+    if spec.snapshots and fmt == "parquet":
+        # Its readers open no file but those that the manifest names.
+        manifest = snapshots.latest(spark, place)
+        return manifest and layout_of(T.StructType.fromDDL(manifest.layout), spec.partitions)
     try:
         reader = spark.read.format(fmt)
         frame = (reader.option("mergeSchema", "true") if fmt == "parquet" else reader).load(place)
@@ -122,7 +127,7 @@ def require_layout(spark: SparkSession, root: str, spec: TableSpec, planned: Dat
     if stored is None:
         return
     made = layout_of(planned.schema)
-    added = {c: p for c, p in planned_layout(spec).items() if p.partition or c == spec.version}
+    added = {c: p for c, p in planned_layout(spec).items() if p.partition}
     found = layout_differences(stored, {**made, **added})
     if checks:
         record_check(spark, checks, spec, found)

@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from quotelake.operators.silver import SURVIVORS
 from quotelake.session import configure
 from quotelake.sources.kafka import (
     kafka_stream, message_files_sink, message_files_stream, topic_sink,
@@ -23,7 +24,7 @@ STARTS = {
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="quotelake.streaming")
-    parser.add_argument("job", choices=["edge", "bronze", *STARTS, "late"])
+    parser.add_argument("job", choices=["edge", "bronze", *STARTS, "late", "backfill", "vacuum"])
     parser.add_argument("--root", required=True, help="folder of the lake tables")
     parser.add_argument("--checkpoints", required=True, help="folder of offsets and state")
     parser.add_argument("--format", default="parquet", choices=["parquet", "delta"])
@@ -35,6 +36,9 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--progress", help="folder that gets a line for every batch")
     parser.add_argument("--max-offsets", type=int, help="messages per batch (bronze)")
     parser.add_argument("--max-files", type=int, help="files per batch (bronze, quarantine)")
+    parser.add_argument("--days", type=int, default=1, help="days of Bronze per batch (backfill)")
+    parser.add_argument("--survivor", default="seen", choices=SURVIVORS, help="copy that is kept (silver)")
+    parser.add_argument("--registered", help="prefix of the catalog schemas that Gold is registered in")
     parser.add_argument("--gold-mode", default="complete", choices=GOLD_MODES)
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     options = parser.parse_args(given)
@@ -47,10 +51,14 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     return options
 
 
-def start(spark: SparkSession, options: argparse.Namespace):
-    flow = jobs.Flow(spark, options.root, options.checkpoints, options.format,
+def flow_of(spark: SparkSession, options: argparse.Namespace) -> jobs.Flow:
+    return jobs.Flow(spark, options.root, options.checkpoints, options.format,
                      max_files_per_trigger=options.max_files, gold_mode=options.gold_mode,
-                     checks=options.checks)
+                     checks=options.checks, survivor=options.survivor, registered=options.registered)
+
+
+def start(spark: SparkSession, options: argparse.Namespace):
+    flow = flow_of(spark, options)
     trigger = {"trigger": ALL_AVAILABLE} if options.once else {}
     if options.progress:
         spark.streams.addListener(ProgressLog(spark, options.progress))
@@ -73,8 +81,11 @@ if __name__ == "__main__":
     chosen = arguments()
     session = configure(SparkSession.builder.appName(f"quotelake-{chosen.job}").getOrCreate())
     if chosen.job == "late":
-        flow = jobs.Flow(session, chosen.root, chosen.checkpoints, chosen.format)
-        print(jobs.append_lost_quotes(flow).count(), "late quotes kept")
+        print(jobs.append_lost_quotes(flow_of(session, chosen)).count(), "late quotes kept")
+    elif chosen.job == "backfill":
+        print(jobs.backfill_silver(flow_of(session, chosen), chosen.days), "runs over Bronze")
+    elif chosen.job == "vacuum":
+        print(jobs.vacuum_gold(flow_of(session, chosen)), "snapshots removed")
     else:
         for query in start(session, chosen):
             query.awaitTermination()

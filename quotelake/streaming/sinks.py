@@ -1,35 +1,34 @@
-"""Streaming writers: appended tables, and Gold kept current by appended versions."""
+"""Streaming writers: appended tables, and Gold kept current by snapshots of its days."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from quotelake.schema import GOLD_KEY, ddl
-from quotelake.sources.lake import TableSpec, location, placed, read_table, write_table
+from quotelake.sources import files, snapshots
+from quotelake.sources.lake import (
+    DAY_OF, TableSpec, location, lookup_options, placed, register_days, table_exists,
+)
 
 FIVE_MINUTES = {"processingTime": "5 minutes"}
 ALL_AVAILABLE = {"availableNow": True}
 GOLD_MODES = ("complete", "update", "append")
-# What tells a changed window; its times do not.
-GOLD_VALUES = ("avg_price", "min_price", "max_price", "samples", "time_basis")
 PROGRESS = ("query string, batch_id long, input_rows long, dropped_rows long, state_rows long, "
             "watermark string, started string")
 
 
-def table_exists(spark: SparkSession, root: str, spec: TableSpec) -> bool:
-    """Whether the table's folder is there."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(location(root, spec))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def ensure_table(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet") -> None:
     """Create the table if absent, so that a downstream stream can start first. A table that
     is there is left alone."""
+    if spec.snapshots and fmt == "parquet":
+        snapshots.create(spark, location(root, spec), spec.stored_columns)
+        return
     if table_exists(spark, root, spec):
         return
     empty = spark.createDataFrame([], ddl(spec.stored_columns))
@@ -42,70 +41,128 @@ def _triggered(writer: DataStreamWriter, name: str, checkpoint: str,
     return writer.trigger(**trigger) if trigger else writer
 
 
-def gathered(df: DataFrame, spec: TableSpec, writers: int) -> DataFrame:
-    """Rows of one partition value brought to at most ``writers`` tasks.
+def gathered(df: DataFrame, spec: TableSpec, writers: int | None) -> DataFrame:
+    """Rows of one day brought together, so that a trigger does not leave tasks x days files.
 
-    Left as they come, the rows of each partition sit in every task, and each trigger
-    would leave tasks x partitions small files. Several writers share a partition value,
-    so that one that holds most rows does not end up in a single task; ``writers`` is to
-    follow the rows that the largest partition value gets in a trigger.
+    Without state in the stream, adaptive execution does it by size: small days share a task,
+    a day that holds most rows is split. A stream with state has no adaptive execution; there
+    ``writers`` tasks share the rows of a day, a number that is to follow what the largest day
+    gets in a trigger.
     """
+    if writers is None:
+        return df.hint("rebalance", *spec.partitions)
     lane = F.pmod(F.xxhash64(*[c for c in df.columns if c not in spec.partitions]), F.lit(writers))
     return df.repartition(*spec.partitions, lane)
 
 
 def append_stream(df: DataFrame, root: str, spec: TableSpec, name: str, checkpoint: str,
                   trigger: dict | None = None, fmt: str = "parquet",
-                  writers: int = 4) -> StreamingQuery:
-    """Append new rows; without a trigger, batches follow each other at once.
-
-    ``writers`` bounds the files per partition value and trigger.
-    """
+                  writers: int | None = None) -> StreamingQuery:
+    """Append new rows; without a trigger, batches follow each other at once. ``writers`` as in
+    ``gathered``."""
     writer = gathered(placed(df, spec), spec, writers).writeStream.format(fmt).outputMode("append")
-    return _triggered(writer.partitionBy(*spec.partitions), name, checkpoint, trigger).start(
-        location(root, spec))
+    return _triggered(writer.options(**lookup_options(spec)).partitionBy(*spec.partitions), name,
+                      checkpoint, trigger).start(location(root, spec))
+
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of the query that a checkpoint belongs to; a new checkpoint has a new one."""
+    return json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
 
-def _changed(batch: DataFrame, root: str, spec: TableSpec, fmt: str) -> DataFrame:
-    """Windows of a complete result that are new or differ from the table."""
-    rows = placed(batch, spec)
-    keys = list(GOLD_KEY)
-    have = read_table(batch.sparkSession, root, spec, fmt, True).select(
-        *keys, F.struct(*GOLD_VALUES).alias("have"))
-    differs = ~F.struct(*GOLD_VALUES).eqNullSafe(F.col("have"))
-    return rows.join(have, keys, "left").filter(differs).select(*spec.columns)
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the jobs inside a batch; the session of a stream with state has
+    it turned off, which the stream itself needs."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
 
-def _versions(root: str, spec: TableSpec, fmt: str, mode: str) -> Callable[[DataFrame, int], None]:
-    """Appends the windows that a batch changed.
 
-    Nothing is replaced, so a crash at any moment leaves the rows that were there, and a
-    batch that comes again adds rows that say the same. Readers take the newest row of a
-    window; rows of one day are written by as many tasks as their size asks for.
+def gold_days(rows: DataFrame, base: snapshots.Manifest, place: str,
+              mode: str) -> tuple[DataFrame | None, list[str]]:
+    """The rows of days that a batch changes, None if there are none, and the days that stay.
+
+    A complete result is compared with the manifest by the digests of its days, so that no
+    stored window is read; a result of changed windows takes the others of its days from
+    their snapshots.
     """
-    def write(batch: DataFrame, _: int) -> None:
-        rows = _changed(batch, root, spec, fmt) if mode == "complete" else batch
-        write_table(rows, root, spec, fmt, "append")
-    return write
+    digests = snapshots.day_digests(rows)
+    if mode == "complete":
+        changed = snapshots.changed_days(digests, base)
+        stay = [day for day in digests if day not in changed]
+        if not changed and {*digests} == {*base.days}:
+            return None, stay
+        return snapshots.of_days(rows, changed), stay
+    touched = sorted(digests)
+    if not touched:
+        return None, [*base.days]
+    stored = snapshots.read(rows.sparkSession, place, rows.columns, base, touched)
+    others = stored.join(rows.select(*GOLD_KEY), list(GOLD_KEY), "left_anti").select(*rows.columns)
+    return rows.unionByName(others), [day for day in base.days if day not in digests]
+
+
+def write_gold(batch: DataFrame, batch_id: int, root: str, spec: TableSpec, mode: str, writer: str,
+               registered: str | None = None) -> None:
+    """Brings a Gold table to the state after a batch, in one step; a batch that is in the table
+    already changes nothing. With ``registered``, the prefix of its catalog table, that table
+    follows."""
+    spark, place = batch.sparkSession, location(root, spec)
+    base = snapshots.latest(spark, place) or snapshots.Manifest()
+    if not base.holds(writer, batch_id):
+        rows = placed(batch, spec).persist()
+        try:
+            with _adaptive(spark):
+                found, stay = gold_days(rows, base, place, mode)
+                if found is not None:
+                    snapshots.publish(found, place, DAY_OF[snapshots.DAY], base, stay, writer, batch_id)
+        finally:
+            rows.unpersist()
+    if registered is not None:
+        register_days(spark, root, spec, registered)
+
+
+def _replaced(batch: DataFrame, root: str, spec: TableSpec, mode: str, writer: str, batch_id: int) -> None:
+    """The same for a Delta table, whose own log replaces days in one step."""
+    rows = placed(batch, spec).persist()
+    try:
+        days = sorted(snapshots.day_digests(rows))
+        if mode != "complete":
+            stored = snapshots.of_days(batch.sparkSession.read.format("delta").load(location(root, spec)), days)
+            rows = rows.unionByName(stored.join(rows.select(*GOLD_KEY), list(GOLD_KEY), "left_anti").select(*rows.columns))
+        if days:
+            (rows.write.format("delta").mode("overwrite").partitionBy(*spec.partitions)
+             .options(txnAppId=writer, txnVersion=batch_id,
+                      replaceWhere=f"{snapshots.DAY} IN ({', '.join(repr(day) for day in days)})")
+             .save(location(root, spec)))
+    finally:
+        rows.unpersist()
 
 
 def gold_stream(gold: DataFrame, root: str, spec: TableSpec, name: str, checkpoint: str,
                 mode: str = "complete", trigger: dict | None = None,
-                fmt: str = "parquet") -> StreamingQuery:
+                fmt: str = "parquet", registered: str | None = None) -> StreamingQuery:
     """Keep a Gold table current.
 
-    ``complete`` looks at every window per trigger and appends those that changed: late
+    ``complete`` looks at every window per trigger and replaces the days that changed: late
     rows always count, state never expires. ``update`` gets the changed windows only and
     lets state expire. ``append`` writes a window once, after the watermark has passed it.
-    A repeated batch leaves the same windows in each mode.
+    A repeated batch leaves the same windows in each mode, and each window is there once.
     """
     if mode not in GOLD_MODES:
         raise ValueError(f"mode must be one of {GOLD_MODES}, got {mode!r}")
-    if mode == "append":
-        return append_stream(gold, root, spec, name, checkpoint, trigger, fmt)
     ensure_table(gold.sparkSession, root, spec, fmt)
-    writer = gold.writeStream.outputMode(mode).foreachBatch(_versions(root, spec, fmt, mode))
-    return _triggered(writer, name, checkpoint, trigger).start()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = stream_id(batch.sparkSession, checkpoint)
+        if fmt == "parquet":
+            write_gold(batch, batch_id, root, spec, mode, writer, registered)
+        else:
+            _replaced(batch, root, spec, mode, writer, batch_id)
+    return _triggered(gold.writeStream.outputMode(mode).foreachBatch(write), name, checkpoint, trigger).start()
 
 
 def _progress_row(progress: dict) -> dict:

@@ -121,3 +121,40 @@ def test_build_can_be_run_again(spark, root):
         counts.append([tables.bronze.count(), tables.silver.count(), tables.quarantine.count(),
                        tables.gold_operational.count(), tables.gold_financial.count()])
     assert counts[0] == counts[1] and all(counts[0])
+
+
+def scanned(frame):
+    """Rows that the scan of a plan has put out, after it ran."""
+    execution = frame._jdf.queryExecution()
+    frame._jdf.collectAsList()
+    return execution.executedPlan().collectLeaves().apply(0).metrics().get("numOutputRows").get().value()
+
+
+def test_files_follow_bytes_and_a_symbol_is_looked_up(spark, root):
+    """Many symbols make no files of their own; a filter on one skips row groups, and a Bloom filter
+    skips those that only might hold it."""
+    import glob
+
+    filler = spark.createDataFrame([], lake.ddl(lake.SILVER.columns))
+    rows = spark.range(0, 40000, 1, 8).selectExpr(
+        "concat('S', lpad(cast(pmod(id * 7919, 2000) * 2 AS string), 5, '0')) symbol",
+        "cast(id AS double) price", "sha2(cast(id AS string), 512) long_name",
+        "timestamp_seconds(1704190000 + id % 7200) kafka_time", "'2024-01-02' trade_date")
+    whole = filler.unionByName(rows, allowMissingColumns=True)
+    spark.conf.set("parquet.block.size", str(1 << 20))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        lake.write_table(whole, root, lake.SILVER)
+        assert len(glob.glob(f"{lake.location(root, lake.SILVER)}/kafka_date=2024-01-02/*.parquet")) == 1
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        silver = lake.read_table(spark, root, lake.SILVER).select("symbol", "price")
+        one = silver.filter("symbol = 'S00400'")
+        assert one.count() == 20 and scanned(one) < 20000
+        # Odd numbers lie between the bounds of some row group, and in none.
+        assert [scanned(silver.filter(f"symbol = 'S{odd:05d}'")) for odd in (401, 1999, 3001)] == [0, 0, 0]
+        # Bounds of time are kept narrow as well.
+        late = lake.read_table(spark, root, lake.SILVER).filter("kafka_time >= timestamp_seconds(1704190000 + 7000)")
+        assert late.count() == 40000 // 7200 * 200 + max(0, 40000 % 7200 - 7000) and scanned(late.select("price")) < 30000
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -49,7 +49,7 @@ def test_report_window_and_columns_reach_the_scan(tables):
     text = plan(sections(tables, registry.REPORT_WINDOW)["03 prices by symbol"]())
     assert "GreaterThanOrEqual(kafka_time,2024-01-08" in text
     assert "LessThan(kafka_time,2024-01-20" in text
-    assert "ReadSchema: struct<kafka_time:timestamp,price:double>" in text
+    assert "ReadSchema: struct<kafka_time:timestamp,symbol:string,price:double>" in text
 
 
 def test_windows_skip_the_folders_of_other_days(tables):

@@ -12,11 +12,10 @@ from quotelake.operators.quarantine import to_quarantine
 from quotelake.operators.silver import to_silver
 from quotelake.schema import QUOTE_FIELDS, ddl
 from quotelake.sources import from_events as source
-from quotelake.sources import lake
+from quotelake.sources import lake, snapshots
 from quotelake.sources.kafka import message_files_stream
 from quotelake.operators import logs
-from quotelake.operators.late import late_counts
-from quotelake.streaming import jobs, sinks
+from quotelake.streaming import committed, jobs, sinks
 from quotelake.streaming.sinks import ALL_AVAILABLE, batch_progress, gold_stream
 
 UTC = timezone.utc
@@ -212,9 +211,29 @@ def test_files_per_partition_and_trigger_are_bounded(spark, root):
     jobs.drain(lambda: jobs.start_bronze(
         flow, message_files_stream(spark, f"{root}/messages"), ALL_AVAILABLE))
     jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
-    folders = glob.glob(f"{root}/silver/quotes/kafka_date=*/symbol=*/trade_date=*")
-    files = glob.glob(f"{root}/silver/quotes/kafka_date=*/symbol=*/trade_date=*/*.parquet")
-    assert len(folders) > 100 and len(files) == len(folders)
+    for table in ("bronze", "silver"):
+        folders = glob.glob(f"{root}/{table}/quotes/kafka_date=*")
+        files = glob.glob(f"{root}/{table}/quotes/kafka_date=*/*.parquet")
+        assert len(folders) > 20 and len(files) == len(folders)
+
+
+def test_a_hot_day_is_written_by_as_many_tasks_as_its_rows_ask_for(spark, root):
+    """A live trigger, whose rows are all of one day: its files follow its bytes."""
+    import glob
+
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 60000, 1, 12).selectExpr(
+        "'t' topic", "0 partition", "id offset", "'A' key", "timestamp_seconds(1704190000 + id % 50000) timestamp",
+        "sha2(cast(id AS string), 512) value")
+    rows.write.parquet(f"{root}/messages")
+    counts = []
+    for place, bytes_ in (("large", "64m"), ("small", "512k")):
+        spark.conf.set(size, bytes_)
+        flow = jobs.Flow(spark, f"{root}/{place}", f"{root}/{place}/checkpoints")
+        jobs.drain(lambda: jobs.start_bronze(flow, message_files_stream(spark, f"{root}/messages"), ALL_AVAILABLE))
+        counts.append(len(glob.glob(f"{root}/{place}/bronze/quotes/kafka_date=2024-01-02/*.parquet")))
+    spark.conf.unset(size)
+    assert counts[0] == 1 and counts[1] >= 4
 
 
 def windows(spark, *rows):
@@ -228,46 +247,113 @@ def stored_windows(spark, root):
     return sorted((r.symbol, r.window_start, r.samples, r.avg_price) for r in frame.collect())
 
 
+def put(spark, root, rows, batch, mode="update", writer="w", registered=None):
+    sinks.write_gold(windows(spark, *rows), batch, root, lake.GOLD_FINANCIAL, mode, writer, registered)
+
+
+def manifest(spark, root):
+    return snapshots.latest(spark, lake.location(root, lake.GOLD_FINANCIAL))
+
+
 @pytest.mark.parametrize("mode", ["complete", "update"])
 def test_a_repeated_batch_leaves_the_same_gold(spark, root, mode):
     """After a crash between the write and the checkpoint, the batch comes again."""
     sinks.ensure_table(spark, root, lake.GOLD_FINANCIAL)
-    write = sinks._versions(root, lake.GOLD_FINANCIAL, "parquet", mode)
     rows = (("A", 1.0, 1, 0), ("B", 2.0, 1, 0), ("A", 3.0, 2, 0))
-    write(windows(spark, *rows), 0)
-    first = stored_windows(spark, root)
-    write(windows(spark, *rows), 0)
+    put(spark, root, rows, 0, mode)
+    first, version = stored_windows(spark, root), manifest(spark, root).version
+    put(spark, root, rows, 0, mode)
     assert stored_windows(spark, root) == first and len(first) == 3
     more = (*rows, ("A", 5.0, 1, 1))
     for _ in range(2):
-        write(windows(spark, *(more if mode == "complete" else more[::3])), 1)
+        put(spark, root, more if mode == "complete" else more[::3], 1, mode)
     assert [row[2:] for row in stored_windows(spark, root)] == [(2, 3.0), (1, 3.0), (1, 2.0)]
-    if mode == "complete":
-        versions = lake.stored_rows(spark, root, lake.GOLD_FINANCIAL)
-        assert versions.count() == 4
+    now = manifest(spark, root)
+    assert now.version == version + 1 and (now.writer, now.batch) == ("w", 1)
+    # The second day was not written again.
+    assert now.days["2024-01-02"].snapshot < now.days["2024-01-01"].snapshot
+    assert lake.stored_rows(spark, root, lake.GOLD_FINANCIAL).count() == 3
 
 
-def test_a_crash_while_gold_is_written_loses_nothing(spark, root):
-    """Files of a broken write that were kept, and those that were not, leave every window."""
-    import glob
-    import os
-
+def test_a_crash_while_gold_is_written_changes_nothing(spark, root):
+    """Files without a manifest are not read, whatever part of them is there."""
     sinks.ensure_table(spark, root, lake.GOLD_FINANCIAL)
-    write = sinks._versions(root, lake.GOLD_FINANCIAL, "parquet", "update")
-    write(windows(spark, ("A", 1.0, 1, 0), ("B", 2.0, 2, 0)), 0)
-    first = stored_windows(spark, root)
-    have = set(glob.glob(f"{lake.location(root, lake.GOLD_FINANCIAL)}/*/*.parquet"))
-    batch = windows(spark, ("A", 1.0, 1, 0), ("A", 3.0, 1, 1), ("B", 4.0, 2, 0))
-    write(batch, 1)
-    new = sorted(set(glob.glob(f"{lake.location(root, lake.GOLD_FINANCIAL)}/*/*.parquet")) - have)
-    for lost in new[1:]:
-        os.remove(lost)
-    spark.catalog.clearCache()
-    assert len(stored_windows(spark, root)) == len(first)
-    write(batch, 1)
+    put(spark, root, (("A", 1.0, 1, 0), ("B", 2.0, 2, 0)), 0)
+    first, before = stored_windows(spark, root), manifest(spark, root)
+    batch = (("A", 1.0, 1, 0), ("A", 3.0, 1, 1), ("B", 4.0, 2, 0))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(snapshots.files, "create_text", lambda *_: False)
+        with pytest.raises(RuntimeError, match="written by another job"):
+            put(spark, root, batch, 1)
+    assert stored_windows(spark, root) == first and manifest(spark, root) == before
+    put(spark, root, batch, 1)
     assert [row[2:] for row in stored_windows(spark, root)] == [(2, 2.0), (1, 4.0)]
 
 
+def test_versions_ask_no_clock(spark, root, monkeypatch):
+    """A machine whose clock is behind still replaces what another has written."""
+    import time
+
+    sinks.ensure_table(spark, root, lake.GOLD_FINANCIAL)
+    put(spark, root, (("A", 1.0, 1, 0),), 0)
+    for name in ("time", "time_ns"):
+        monkeypatch.setattr(time, name, lambda: 0)
+    put(spark, root, (("A", 7.0, 1, 0),), 1)
+    assert [row[2:] for row in stored_windows(spark, root)] == [(1, 7.0)]
+
+
+def test_a_new_checkpoint_starts_over(spark, root):
+    """Batch ids of another query do not count."""
+    sinks.ensure_table(spark, root, lake.GOLD_FINANCIAL)
+    put(spark, root, (("A", 1.0, 1, 0),), 5)
+    put(spark, root, (("A", 2.0, 1, 0), ("A", 2.0, 3, 0)), 0, "complete", "other")
+    assert [row[2:] for row in stored_windows(spark, root)] == [(1, 2.0), (1, 2.0)]
+    # A complete result is the table: days that it lacks go.
+    put(spark, root, (("A", 2.0, 3, 0),), 1, "complete", "other")
+    assert len(stored_windows(spark, root)) == 1
+
+
+def test_only_changed_days_are_written(spark, root):
+    sinks.ensure_table(spark, root, lake.GOLD_FINANCIAL)
+    rows = [("A", 1.0, day, 0) for day in range(1, 10)]
+    put(spark, root, rows, 0, "complete")
+    changed = lake.placed(windows(spark, *rows, ("A", 3.0, 4, 1), ("B", 1.0, 7, 0)), lake.GOLD_FINANCIAL)
+    place = lake.location(root, lake.GOLD_FINANCIAL)
+    found, stay = sinks.gold_days(changed, manifest(spark, root), place, "complete")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "IN (2024-01-04,2024-01-07)" in plan.replace(" IN (", "IN (") and "Join" not in plan
+    assert len(stay) == 7
+    # An update opens the snapshots of its own days only.
+    part = lake.placed(windows(spark, ("B", 1.0, 7, 0)), lake.GOLD_FINANCIAL)
+    found, stay = sinks.gold_days(part, manifest(spark, root), place, "update")
+    assert {name.split("window_date=")[1][:10] for name in found.inputFiles()} == {"2024-01-07"}
+    same, _ = sinks.gold_days(lake.placed(windows(spark, *rows), lake.GOLD_FINANCIAL), manifest(spark, root), place,
+                              "complete")
+    assert same is None
+
+
+def test_registered_gold_is_current_and_vacuum_removes_the_rest(spark, root):
+    import glob
+
+    for spec in lake.TABLES:
+        sinks.ensure_table(spark, root, spec)
+    lake.register_tables(spark, root, prefix="cur_")
+    stale = lake.read_table(spark, root, lake.GOLD_FINANCIAL)
+    for batch, price in enumerate((1.0, 2.0, 3.0)):
+        put(spark, root, (("A", price, 1, 0), ("A", price, 1 + batch, 0)), batch, "complete", registered="cur_")
+        table = spark.table("cur_gold.prices_by_quote_5min")
+        assert sorted((r.window_date, r.avg_price) for r in table.collect()) == sorted({
+            (f"2024-01-0{day}", price) for day in (1, 1 + batch)})
+    place = lake.location(root, lake.GOLD_FINANCIAL)
+    under_way = f"{place}/window_date=2024-01-01/v=000000000099-attempt"
+    table.limit(1).drop("window_date").write.parquet(under_way)
+    assert len(snapshots.vacuum(spark, place, keep=1)) == 3
+    left = glob.glob(f"{place}/window_date=*/v=*")
+    assert len(left) == 3 and under_way in left
+    assert len(stored_windows(spark, root)) == 2 and stale.count() == 0
+    assert lake.register_tables(spark, root, prefix="cur_") and table.count() == 2
+
+
 def test_bounded_files_are_refused_in_front_of_a_watermark(spark, root):
     flow = jobs.Flow(spark, root, f"{root}/checkpoints", max_files_per_trigger=1)
     for start in (jobs.start_silver, jobs.start_gold_operational, jobs.start_gold_financial):
@@ -293,7 +379,85 @@ def test_late_quotes_are_kept_once_and_every_batch_is_logged(spark, root):
     counts = [jobs.append_lost_quotes(flow).count() for _ in range(2)]
     stored = lake.read_table(spark, root, lake.SILVER)
     assert counts[0] == counts[1] > 0 and counts[0] + stored.count() == whole.count()
-    assert late_counts(lake.read_table(spark, root, lake.SILVER_LATE)).agg(
-        F.sum("rows")).first()[0] == counts[0]
+    assert lake.all_silver(spark, root).count() == whole.count()
     logged = spark.read.schema(sinks.PROGRESS).json(f"{root}/progress")
     assert logged.filter("query = 'silver'").agg(F.sum("dropped_rows")).first()[0] >= counts[0]
+
+
+def bronze_rows(spark):
+    return to_bronze(source.quote_messages(source.read_events(spark, SMALL)), source.ingest_clock())
+
+
+def test_what_silver_has_yet_to_read_is_not_late(spark, root):
+    """Bronze ahead of Silver, then both; a broken run of the late job is repeated."""
+    bronze, flow = bronze_rows(spark), flow_for(spark, root)
+    assert jobs.append_lost_quotes(flow).count() == 0
+    later = F.col("kafka_time") >= "2024-01-16"
+    lake.write_table(bronze.filter(later), root, lake.BRONZE)
+    jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    lake.write_table(bronze.filter(~later), root, lake.BRONZE)
+    assert jobs.append_lost_quotes(flow).count() == 0
+    jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    with pytest.MonkeyPatch.context() as patch:
+        def broken(*_):
+            raise OSError("lost")
+        patch.setattr(jobs.files, "create_text", broken)
+        with pytest.raises(OSError, match="lost"):
+            jobs.append_lost_quotes(flow)
+    late = jobs.append_lost_quotes(flow)
+    known = late.unionByName(lake.read_table(spark, root, lake.SILVER))
+    keys = ["symbol", "quote_time", "price"]
+    assert late.count() > 0 and known.count() == known.select(keys).distinct().count()
+    assert known.count() == to_silver(bronze, clock=source.silver_clock()).count()
+
+
+def test_the_late_job_opens_only_days_of_files_that_are_not_judged(spark, root):
+    bronze, flow = bronze_rows(spark), flow_for(spark, root)
+    for day in ("2024-01-05", "2024-01-06", "2024-01-07"):
+        lake.write_table(bronze.filter(F.to_date("kafka_time") == day), root, lake.BRONZE)
+        jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    assert committed.finished_entry(spark, flow.checkpoint("silver")) == 2
+    rows = jobs.unjudged_bronze(flow, 0, 1)
+    assert {str(r.day) for r in rows.select(F.to_date("kafka_time").alias("day")).distinct().collect()} == {"2024-01-06"}
+    assert "PartitionFilters: [isnotnull(kafka_date" in plan_of(rows) and "2024-01-05" not in plan_of(rows)
+    jobs.append_lost_quotes(flow)
+    assert jobs.unjudged_bronze(flow, 2, 2).count() == 0
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().toString()
+
+
+def test_the_log_of_a_source_is_read_behind_its_compaction(spark, root):
+    flow = flow_for(spark, root)
+    with pytest.MonkeyPatch.context():
+        spark.conf.set("spark.sql.streaming.fileSource.log.compactInterval", "2")
+        for batch in range(5):
+            lake.write_table(bronze_rows(spark).filter(F.col("offset") % 5 == batch), root, lake.BRONZE)
+            jobs.drain(lambda: jobs.start_quarantine(flow, ALL_AVAILABLE))
+        spark.conf.unset("spark.sql.streaming.fileSource.log.compactInterval")
+    checkpoint = flow.checkpoint("quarantine")
+    last = committed.finished_entry(spark, checkpoint)
+    files = committed.read_files(spark, checkpoint, committed.NOTHING, last)
+    assert last == 4 and files.count() == len(lake.stored_rows(spark, root, lake.BRONZE).inputFiles())
+    assert {r.entry for r in committed.read_files(spark, checkpoint, 1, 3).collect()} == {2, 3}
+
+
+def test_a_backlog_in_order_of_its_days_drops_nothing(spark, root):
+    """The same files in any other order would lose rows; live operation goes on from there."""
+    bronze, flow = bronze_rows(spark), flow_for(spark, root)
+    early = F.col("kafka_time") < "2024-01-20"
+    lake.write_table(bronze.filter(early), root, lake.BRONZE)
+    assert jobs.backfill_silver(flow, 7) == 3
+    assert jobs.backfill_silver(flow, 7) == 1
+    lake.write_table(bronze.filter(~early), root, lake.BRONZE)
+    jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    keys = ["symbol", "quote_time", "price", "trade_date"]
+    assert as_set(lake.read_table(spark, root, lake.SILVER).select(keys)) == as_set(
+        to_silver(bronze, clock=source.silver_clock()).select(keys))
+    assert jobs.append_lost_quotes(flow).count() == 0
+
+
+def test_unknown_survivor_is_refused(spark):
+    with pytest.raises(ValueError, match="survivor must be one of"):
+        to_silver(bronze_rows(spark), survivor="last")
