@@ -8,6 +8,9 @@ START, END = "2024-01-08 12:45:00", "2024-01-20 21:00:00"
 CYCLES = 3555
 HALF = "2024-01-16 00:00:00"
 TICKERS = ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW", "MISSING1")
+KEPT_PANELS = ("overall_score", "validity", "completeness", "freshness", "latency", "messages_per_minute",
+               "latest_quotes", "latency_series")
+KEPT_METRICS = ("silver_quality", "stage_latency", "latency_percentiles", "silver_throughput")
 # Report query -> title of its section.
 SECTIONS = {
     "report_01_overview": "01 overview", "report_02_throughput": "02 throughput",
@@ -537,6 +540,10 @@ FROM silver JOIN (
     sql["stream_silver_earliest"] = _with("silver", """
 SELECT * FROM silver WHERE epoch_us(quote_time) <=
   (SELECT (epoch_us(max(quote_time)) // 1000 - 900000) * 1000 FROM silver)""")
+    for name in KEPT_PANELS:
+        sql[f"kept_{name}"] = sql[f"dashboard_{name}"]
+    for name in KEPT_METRICS:
+        sql[f"kept_{name}"] = sql[f"catalogue_{name}"]
     sql["gold_stream_with_late"] = sql["gold_financial"]
     sql["gold_registered"] = sql["gold_financial"]
     sql["gold_default"] = sql["gold_operational"]

@@ -28,11 +28,11 @@ def _rows(name: str = "rows") -> Column:
     return F.count(F.lit(1)).alias(name)
 
 
-def _stage_seconds(stage: str) -> Column:
+def stage_seconds(stage: str) -> Column:
     return seconds_between(*STAGES[stage])
 
 
-def _all_present(columns: Sequence[str]) -> Column:
+def all_present(columns: Sequence[str]) -> Column:
     present = F.lit(True)
     for name in columns:
         present = present & F.col(name).isNotNull()
@@ -78,13 +78,16 @@ def bronze_quality(bronze: DataFrame) -> DataFrame:
 
 def silver_residue(silver: DataFrame, stamp_col: str = "ingest_time") -> DataFrame:
     """One row: Silver rows that still break a rule; every count should be 0."""
-    return silver.agg(
-        _rows(),
+    return silver.agg(_rows(), *residue_counts(stamp_col))
+
+
+def residue_counts(stamp_col: str) -> list[Column]:
+    return [
         F.count_if(is_blank(F.col("symbol"))).alias("invalid_symbols"),
         F.count_if(F.col("price").isNull() | (F.col("price") <= 0)).alias("invalid_prices"),
         F.count_if(F.col("quote_time").isNull()).alias("invalid_quote_times"),
         F.count_if(F.col(stamp_col).isNull()).alias("invalid_stamps"),
-    )
+    ]
 
 
 def reject_counts(quarantine: DataFrame) -> DataFrame:
@@ -100,7 +103,7 @@ def repeated_quotes(bronze: DataFrame) -> DataFrame:
     return (
         bronze.select("symbol", F.col("regularMarketTime").alias("quote_time_raw"),
                       F.col("regularMarketPrice").alias("price"))
-        .filter(_all_present(["symbol", "quote_time_raw", "price"]))
+        .filter(all_present(["symbol", "quote_time_raw", "price"]))
         .groupBy("symbol", "quote_time_raw", "price").agg(_rows("occurrences"))
         .filter(F.col("occurrences") > 1)
         .orderBy(F.desc("occurrences"), "symbol", "quote_time_raw", "price")
@@ -119,14 +122,14 @@ def observed_span(silver: DataFrame) -> DataFrame:
 
 def stage_latency(silver: DataFrame, extremes: bool = True) -> DataFrame:
     """Mean seconds per stage and symbol, slowest Kafka-to-Silver mean first."""
-    means = [F.round(F.avg(_stage_seconds(stage)), 2).alias(f"avg_{stage}_s")
+    means = [F.round(F.avg(stage_seconds(stage)), 2).alias(f"avg_{stage}_s")
              for stage in STAGES]
     bounds = [
-        F.min(_stage_seconds("kafka_to_silver")).alias("min_kafka_to_silver_s"),
-        F.max(_stage_seconds("kafka_to_silver")).alias("max_kafka_to_silver_s"),
+        F.min(stage_seconds("kafka_to_silver")).alias("min_kafka_to_silver_s"),
+        F.max(stage_seconds("kafka_to_silver")).alias("max_kafka_to_silver_s"),
     ] if extremes else []
     return (
-        silver.filter(_all_present(CLOCKS)).groupBy("symbol")
+        silver.filter(all_present(CLOCKS)).groupBy("symbol")
         .agg(_rows("samples"), *means, *bounds)
         .orderBy(F.desc("avg_kafka_to_silver_s"), "symbol")
     )
@@ -136,11 +139,11 @@ def recent_latency(silver: DataFrame, order_by: str = "ingest_time",
                    limit: int = 20) -> DataFrame:
     """The newest rows with their five stage times."""
     return (
-        silver.filter(_all_present(CLOCKS))
+        silver.filter(all_present(CLOCKS))
         .orderBy(F.desc(order_by), "symbol", "quote_time", "price")
         .limit(limit)
         .select("symbol", "price", *CLOCKS,
-                *[_stage_seconds(stage).alias(f"{stage}_s") for stage in STAGES])
+                *[stage_seconds(stage).alias(f"{stage}_s") for stage in STAGES])
     )
 
 
@@ -152,16 +155,20 @@ def partition_rows(silver: DataFrame) -> DataFrame:
     )
 
 
-def _histogram(df: DataFrame, value: Column, keys: Sequence[str]) -> DataFrame:
-    """Rows per (keys, whole-second value) with the running and the full count.
+def seconds_counts(df: DataFrame, value: Column, keys: Sequence[str]) -> DataFrame:
+    """Rows (``n``) per keys and whole-second ``value``.
 
     The counts combine on the map side, so what is shuffled and sorted per key is the
     set of distinct seconds, never the rows.
     """
-    counts = (
+    return (
         df.select(*keys, value.alias("value")).filter(F.col("value").isNotNull())
         .groupBy(*keys, "value").agg(_rows("n"))
     )
+
+
+def _histogram(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts per (keys, value) with the running and the full count."""
     ordered = Window.partitionBy(*keys).orderBy("value")
     ends = Window.unboundedPreceding, Window.unboundedFollowing
     return counts.withColumns({
@@ -178,11 +185,16 @@ def _percentile(rank: int) -> Column:
 def latency_percentiles(silver: DataFrame, keys: Sequence[str] = ("symbol",),
                         ranks: Mapping[str, int] = PERCENTILES) -> DataFrame:
     """Exact percentiles of the Kafka-to-Silver seconds, with the number of rows."""
-    seconds = _stage_seconds("kafka_to_silver")
+    return percentiles_of(seconds_counts(silver, stage_seconds("kafka_to_silver"), keys), keys, ranks)
+
+
+def percentiles_of(counts: DataFrame, keys: Sequence[str] = ("symbol",),
+                   ranks: Mapping[str, int] = PERCENTILES) -> DataFrame:
+    """The same from rows counted per second."""
     if not keys:
-        return _whole_percentiles(silver, seconds, ranks)
+        return _whole_percentiles(counts, ranks)
     result = (
-        _histogram(silver, seconds, keys)
+        _histogram(counts, keys)
         .groupBy(*keys)
         .agg(*[_percentile(rank).alias(name) for name, rank in ranks.items()],
              F.sum("n").alias("samples"))
@@ -190,15 +202,13 @@ def latency_percentiles(silver: DataFrame, keys: Sequence[str] = ("symbol",),
     return result.orderBy(F.desc("p95"), *keys)
 
 
-def _whole_percentiles(df: DataFrame, value: Column, ranks: Mapping[str, int]) -> DataFrame:
+def _whole_percentiles(counts: DataFrame, ranks: Mapping[str, int]) -> DataFrame:
     """The same over all rows in one row, without all distinct seconds in one task.
 
     Counts per strip of ``STRIP`` seconds, of which there are few, tell in which strip each
     rank lies; seconds are counted out inside those strips only.
     """
-    counts = (
-        df.select(value.alias("value")).filter(F.col("value").isNotNull())
-        .groupBy("value").agg(_rows("n")).withColumn("strip", F.floor(F.col("value") / STRIP)))
+    counts = counts.withColumn("strip", F.floor(F.col("value") / STRIP))
     before = Window.orderBy("strip").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(1))
     strips = counts.groupBy("strip").agg(F.sum("n").alias("held")).withColumns({
@@ -221,7 +231,7 @@ def _whole_percentiles(df: DataFrame, value: Column, ranks: Mapping[str, int]) -
 def source_lag(silver: DataFrame, limit_seconds: int = SOURCE_LAG_SECONDS) -> DataFrame:
     """Per symbol: rows the source delivered late, their share, and the p95 lag."""
     return (
-        _histogram(silver, _stage_seconds("source_to_kafka"), ["symbol"])
+        _histogram(seconds_counts(silver, stage_seconds("source_to_kafka"), ["symbol"]), ["symbol"])
         .groupBy("symbol")
         .agg(
             F.sum(F.when(F.col("value") > limit_seconds, F.col("n")).otherwise(0))
@@ -244,14 +254,22 @@ def quality_scores(silver: DataFrame, keys: Sequence[str] = (),
     negative time is not fresh. The overall score is the mean of the first three. One
     pass over the table; an empty table scores null.
     """
-    latency = _stage_seconds("kafka_to_silver")
-    counted = silver.groupBy(*keys).agg(
+    return scores(silver.groupBy(*keys).agg(*score_counts(limit_seconds)), keys)
+
+
+def score_counts(limit_seconds: int = LATENCY_LIMIT_SECONDS) -> list[Column]:
+    """Aggregates over Silver rows that the scores are made from."""
+    return [
         _rows(),
         F.count_if(F.col("symbol").isNotNull() & (F.col("price") > 0)).alias("valid"),
         F.count_if(F.col("market_cap") > 0).alias("complete"),
-        F.count_if(latency.between(0, limit_seconds)).alias("fresh"),
+        F.count_if(stage_seconds("kafka_to_silver").between(0, limit_seconds)).alias("fresh"),
         F.count_if(F.col("change").isNotNull()).alias("changed"),
-    )
+    ]
+
+
+def scores(counted: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The scores of counted rows."""
     rows = F.col("rows")
     parts = [share(F.col(name), rows) for name in ("valid", "complete", "fresh")]
     return counted.select(

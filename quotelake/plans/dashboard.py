@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.columns import stamp
-from quotelake.operators import measures, series
+from quotelake.operators import measures, partials, series
 from quotelake.schema import LATENCY_ALARM_SECONDS, LATENCY_LIMIT_SECONDS
 
 # Score -> lowest yellow and lowest green value (one step means no yellow).
@@ -54,6 +54,33 @@ def latency_panel(silver: DataFrame) -> DataFrame:
         *[latency_band(F.col(p)).alias(f"{p}_band") for p in measures.PERCENTILES])
 
 
+def kept_panels(kept: partials.Kept, clock: Column | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """The panels, and the catalogue's measures of all of Silver, from partial aggregates."""
+    def score(name: str) -> DataFrame:
+        return partials.quality_scores(kept).select(
+            stamp(clock).alias("time"), name, score_band(F.col(name), *SCORE_STEPS[name]).alias("band"))
+
+    def latency() -> DataFrame:
+        return partials.latency_percentiles(kept, ()).select(
+            *measures.PERCENTILES,
+            *[latency_band(F.col(p)).alias(f"{p}_band") for p in measures.PERCENTILES])
+
+    return {
+        "overall_score": lambda: score("overall_pct"),
+        "validity": lambda: score("validity_pct"),
+        "completeness": lambda: score("completeness_pct"),
+        "freshness": lambda: score("freshness_pct"),
+        "latency": latency,
+        "messages_per_minute": lambda: partials.messages_per_minute(kept),
+        "latest_quotes": lambda: partials.latest_quotes(kept),
+        "latency_series": lambda: partials.ingest_latency_series(kept),
+        "silver_quality": lambda: partials.silver_residue(kept),
+        "stage_latency": lambda: partials.stage_latency(kept),
+        "latency_percentiles": lambda: partials.latency_percentiles(kept).drop("samples"),
+        "silver_throughput": lambda: partials.throughput(kept).limit(5),
+    }
+
+
 def panels(silver: DataFrame, clock: Column | None = None) -> dict[str, Callable[[], DataFrame]]:
     """Panel name -> job."""
     return {

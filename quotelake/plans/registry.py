@@ -18,7 +18,7 @@ from quotelake.operators.quarantine import reason_codes, row_accounting, to_quar
 from quotelake.operators.silver import to_silver, typed_quotes
 from quotelake.plans.build import build_lake
 from quotelake.plans.catalogue import catalogue
-from quotelake.plans.dashboard import panels, score_panels
+from quotelake.plans.dashboard import kept_panels, panels, score_panels
 from quotelake.plans.report import export_report, sections
 from quotelake.plans.window import ReportWindow, session_windows
 from quotelake.schema import (
@@ -34,6 +34,7 @@ from quotelake.sources.layout import (
     layout_differences, planned_layout, stored_file_layout,
 )
 from quotelake.streaming import jobs
+from quotelake.streaming.partials import keep_partials, open_partials
 from quotelake.streaming.sinks import ALL_AVAILABLE, ensure_table, gold_stream, write_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -410,6 +411,21 @@ _PANELS = (
 )
 
 
+# Panels and catalogue measures that are made from partial aggregates.
+_KEPT_PANELS = _PANELS
+_KEPT_METRICS = ("silver_quality", "stage_latency", "latency_percentiles", "silver_throughput")
+
+
+def _kept(name: str) -> Query:
+    """A panel from partials that a stream over the stored Silver table has kept, eight files a batch."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        silver = lake.stream_table(spark, lake_root(spark, sf_dir), lake.SILVER, max_files_per_trigger=8)
+        root = _place(spark, sf_dir, "partials", lambda root: keep_partials(
+            silver, root, f"{root}/checkpoint", ALL_AVAILABLE).awaitTermination())
+        return naive(kept_panels(open_partials(spark, root), F.lit(NOW))[name]())
+    return query
+
+
 def _shown(df: DataFrame) -> DataFrame:
     return naive(even_average(df) if "time_basis" in df.columns and "avg_price" in df.columns
                  else df)
@@ -432,6 +448,7 @@ def _reports() -> dict[str, Query]:
         **{f"catalogue_{name}": metric(name) for name in _CATALOGUE},
         "gaps_all": lambda s, d: naive(series.message_gaps(_lake(s, d).bronze, limit=None)),
         **{f"dashboard_{name}": panel(name) for name in _PANELS},
+        **{f"kept_{name}": _kept(name) for name in (*_KEPT_PANELS, *_KEPT_METRICS)},
         "report_export": _exported,
         "dashboard_scores": lambda s, d: naive(score_panels(_lake(s, d).silver, F.lit(NOW))),
     }

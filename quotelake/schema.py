@@ -119,6 +119,13 @@ COLUMN_TYPES = {
     "min_price": "double", "max_price": "double", "samples": "bigint",
     "time_basis": "string", "gold_time": "timestamp", "window_date": "string",
     "kafka_date": "string",
+    # Partial aggregates of a day.
+    **dict.fromkeys((
+        "rows", "valid", "complete", "fresh", "changed", "invalid_symbols", "invalid_prices", "invalid_quote_times",
+        "invalid_stamps", "samples", "source_to_kafka", "kafka_to_bronze", "bronze_to_silver", "kafka_to_silver",
+        "source_to_silver", "value", "n", "lag", "lag_rows"), "bigint"),
+    "last": "struct<quote_time: timestamp, silver_time: timestamp, price: double>",
+    "clock": "string", "minute": "timestamp",
     **dict(SILVER_FROM_BRONZE.values()),
     **{field.name: field.dataType.simpleString() for field in QUOTE_SCHEMA},
 }

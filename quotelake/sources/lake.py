@@ -129,7 +129,7 @@ def write_table(df: DataFrame, root: str, spec: TableSpec, fmt: str = "parquet",
     if spec.snapshots and fmt == "parquet":
         if mode != "overwrite":
             raise ValueError(f"{spec.path} is written by days (sources.snapshots)")
-        snapshots.publish(rows, place, order, snapshots.latest(df.sparkSession, place))
+        snapshots.publish(rows, place, snapshots.latest(df.sparkSession, place))
         return
     (rows.hint("rebalance", *spec.partitions)
      .sortWithinPartitions(*spec.partitions, *[F.date_trunc("hour", order)] * bool(spec.lookup), *spec.lookup, order)
@@ -229,10 +229,10 @@ def register_days(spark: SparkSession, root: str, spec: TableSpec, prefix: str =
     manifest = snapshots.latest(spark, place) or snapshots.Manifest()
     known = {row[0].split("=", 1)[-1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     for day, held in sorted(manifest.days.items()):
-        folder = f"{place}/{snapshots.PLACE % (day, held.snapshot)}"
-        day_of = f"PARTITION ({snapshots.DAY}='{day}')"
+        folder = f"{place}/{snapshots.GOLD.folder(day, held.snapshot)}"
+        day_of = f"PARTITION ({snapshots.GOLD.day}='{day}')"
         spark.sql(f"ALTER TABLE {table} {day_of} SET LOCATION '{folder}'" if day in known
                   else f"ALTER TABLE {table} ADD IF NOT EXISTS {day_of} LOCATION '{folder}'")
     for day in sorted(known - {*manifest.days}):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({snapshots.DAY}='{day}')")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({snapshots.GOLD.day}='{day}')")
     spark.catalog.refreshTable(table)

@@ -19,6 +19,7 @@ STARTS = {
     "quarantine": jobs.start_quarantine,
     "gold_operational": jobs.start_gold_operational,
     "gold_financial": jobs.start_gold_financial,
+    "partials": jobs.start_partials,
 }
 
 

@@ -19,6 +19,7 @@ from quotelake.operators.silver import to_silver
 from quotelake.sources import files, lake, snapshots
 from quotelake.sources.layout import require_layout
 from quotelake.streaming.committed import NOTHING, finished_entry, plain_path, read_files
+from quotelake.streaming.partials import keep_partials, vacuum_partials
 from quotelake.streaming.sinks import (
     ALL_AVAILABLE, FIVE_MINUTES, append_stream, ensure_table, gold_stream, stream_id,
 )
@@ -173,6 +174,12 @@ def unjudged_bronze(flow: Flow, after: int, upto: int) -> DataFrame:
     return rows.join(listed.select(F.col("path").alias("file_path")), "file_path", "left_semi").select(*lake.BRONZE.columns)
 
 
+def start_partials(flow: Flow, trigger: dict | None = FIVE_MINUTES) -> StreamingQuery:
+    """Silver and its late quotes to the partial aggregates that panels are made from."""
+    silver = flow.upstream(lake.SILVER, watermark=False).unionByName(flow.upstream(lake.SILVER_LATE, watermark=False))
+    return keep_partials(silver, flow.root, flow.checkpoint("partials"), trigger)
+
+
 def append_lost_quotes(flow: Flow) -> DataFrame:
     """Batch: the accepted quotes that the Silver stream left behind its watermark, written beside
     it under ``silver/quotes_late`` in Silver's layout; returns all of them.
@@ -198,9 +205,9 @@ def append_lost_quotes(flow: Flow) -> DataFrame:
 
 
 def vacuum_gold(flow: Flow, keep: int = 2) -> int:
-    """Removes the snapshots of both Gold tables that the last ``keep`` manifests do not name;
-    returns their number."""
-    return sum(len(snapshots.vacuum(flow.spark, lake.location(flow.root, spec), keep))
+    """Removes the snapshots of both Gold tables and of the partials that the last ``keep``
+    manifests do not name; returns their number."""
+    return vacuum_partials(flow.spark, flow.root, keep) + sum(len(snapshots.vacuum(flow.spark, lake.location(flow.root, spec), keep))
                for spec in lake.TABLES if spec.snapshots)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from quotelake.schema import GOLD_KEY, ddl
 from quotelake.sources import files, snapshots
 from quotelake.sources.lake import (
-    DAY_OF, TableSpec, location, lookup_options, placed, register_days, table_exists,
+    TableSpec, location, lookup_options, placed, register_days, table_exists,
 )
 
 FIVE_MINUTES = {"processingTime": "5 minutes"}
@@ -71,7 +71,7 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 @contextmanager
-def _adaptive(spark: SparkSession) -> Iterator[None]:
+def adaptive(spark: SparkSession) -> Iterator[None]:
     """Adaptive execution for the jobs inside a batch; the session of a stream with state has
     it turned off, which the stream itself needs."""
     before = spark.conf.get("spark.sql.adaptive.enabled")
@@ -115,10 +115,10 @@ def write_gold(batch: DataFrame, batch_id: int, root: str, spec: TableSpec, mode
     if not base.holds(writer, batch_id):
         rows = placed(batch, spec).persist()
         try:
-            with _adaptive(spark):
+            with adaptive(spark):
                 found, stay = gold_days(rows, base, place, mode)
                 if found is not None:
-                    snapshots.publish(found, place, DAY_OF[snapshots.DAY], base, stay, writer, batch_id)
+                    snapshots.publish(found, place, base, stay, writer, batch_id)
         finally:
             rows.unpersist()
     if registered is not None:
@@ -136,7 +136,7 @@ def _replaced(batch: DataFrame, root: str, spec: TableSpec, mode: str, writer: s
         if days:
             (rows.write.format("delta").mode("overwrite").partitionBy(*spec.partitions)
              .options(txnAppId=writer, txnVersion=batch_id,
-                      replaceWhere=f"{snapshots.DAY} IN ({', '.join(repr(day) for day in days)})")
+                      replaceWhere=f"{snapshots.GOLD.day} IN ({', '.join(repr(day) for day in days)})")
              .save(location(root, spec)))
     finally:
         rows.unpersist()

@@ -14,8 +14,9 @@ from quotelake.schema import QUOTE_FIELDS, ddl
 from quotelake.sources import from_events as source
 from quotelake.sources import lake, snapshots
 from quotelake.sources.kafka import message_files_stream
-from quotelake.operators import logs
+from quotelake.operators import logs, measures, partials
 from quotelake.streaming import committed, jobs, sinks
+from quotelake.streaming import partials as kept_partials
 from quotelake.streaming.sinks import ALL_AVAILABLE, batch_progress, gold_stream
 
 UTC = timezone.utc
@@ -461,3 +462,47 @@ def test_a_backlog_in_order_of_its_days_drops_nothing(spark, root):
 def test_unknown_survivor_is_refused(spark):
     with pytest.raises(ValueError, match="survivor must be one of"):
         to_silver(bronze_rows(spark), survivor="last")
+
+
+def quotes(spark, *rows):
+    """Silver rows of (symbol, price, day, minute)."""
+    frame = spark.createDataFrame(
+        [(s, p, datetime(2024, 1, day, 10, minute, tzinfo=UTC)) for s, p, day, minute in rows],
+        "symbol string, price double, kafka_time timestamp")
+    return frame.selectExpr(
+        "*", "kafka_time AS quote_time", "CAST(NULL AS double) AS market_cap", "CAST(NULL AS double) AS change",
+        "kafka_time + INTERVAL 30 SECONDS AS ingest_time", "kafka_time + INTERVAL 90 SECONDS AS silver_time")
+
+
+def test_partials_add_up_once_and_open_only_their_days(spark, root):
+    first = quotes(spark, ("A", 1.0, 1, 0), ("A", -1.0, 1, 1), ("B", 2.0, 2, 0))
+    second = quotes(spark, ("A", 3.0, 2, 5), (None, 3.0, 2, 5))
+    kept_partials.add_batch(first, 0, root, "w")
+    days = snapshots.latest(spark, f"{root}/metrics/day_counts").days
+    for _ in range(2):
+        kept_partials.add_batch(second, 1, root, "w")
+    kept = kept_partials.open_partials(spark, root)
+    whole = first.unionByName(second)
+    assert as_set(partials.quality_scores(kept)) == as_set(measures.quality_scores(whole))
+    assert as_set(partials.latency_percentiles(kept)) == as_set(measures.latency_percentiles(whole))
+    assert as_set(partials.ingest_latency_series(kept)) == as_set(measures.ingest_latency_series(whole))
+    assert as_set(partials.silver_residue(kept)) == as_set(measures.silver_residue(whole, "silver_time"))
+    now = snapshots.latest(spark, f"{root}/metrics/day_counts").days
+    assert now["2024-01-01"] == days["2024-01-01"] and now["2024-01-02"] != days["2024-01-02"]
+    kept_partials.add_batch(first.limit(0), 2, root, "w")
+    none = kept_partials.open_partials(spark, f"{root}/none")
+    assert as_set(partials.quality_scores(none)) == as_set(measures.quality_scores(first.limit(0)))
+    assert kept_partials.vacuum_partials(spark, root, keep=1) == 3
+
+
+def test_partials_count_late_quotes(spark, root):
+    bronze, flow = bronze_rows(spark), flow_for(spark, root)
+    later = F.col("kafka_time") >= "2024-01-16"
+    for part in (later, ~later):
+        lake.write_table(bronze.filter(part), root, lake.BRONZE)
+        jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
+    jobs.drain(lambda: jobs.start_partials(flow, ALL_AVAILABLE))
+    jobs.append_lost_quotes(flow)
+    jobs.drain(lambda: jobs.start_partials(flow, ALL_AVAILABLE))
+    found = partials.silver_residue(kept_partials.open_partials(spark, root)).first()
+    assert found["rows"] == lake.all_silver(spark, root).count() == to_silver(bronze, clock=source.silver_clock()).count()
