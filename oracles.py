@@ -481,6 +481,14 @@ UNION ALL SELECT 'silver.quotes', count(*) FROM silver
 UNION ALL SELECT 'silver.quotes_rejected', count(*) FROM quarantine
 UNION ALL SELECT 'gold.prices_by_ingest_5min', count(*) FROM gold_operational
 UNION ALL SELECT 'gold.prices_by_quote_5min', count(*) FROM gold_financial"""),
+        "layer_days": _with(
+            "bronze silver quarantine gold_operational gold_financial", " UNION ALL ".join(
+                f"SELECT '{path}' AS table_path, strftime({clock}, '%Y-%m-%d') AS day, count(*) AS rows FROM {name} GROUP BY 2"
+                for path, clock, name in (
+                    ("bronze/quotes", "kafka_time", "bronze"), ("silver/quotes", "kafka_time", "silver"),
+                    ("silver/quotes_rejected", "kafka_time", "quarantine"),
+                    ("gold/prices_by_ingest_5min", "window_start", "gold_operational"),
+                    ("gold/prices_by_quote_5min", "window_start", "gold_financial")))),
         "layout_guard": _with(
             "bronze silver quarantine gold_operational gold_financial", """
 SELECT 'bronze/quotes' AS table_path, 'kafka_date' AS partitions, 0::INTEGER AS differences,

@@ -528,7 +528,10 @@ def _catalog() -> dict[str, Query]:
         return lake.read_table(s, root, lake.BRONZE).agg(F.count(F.lit(1)).alias("rows")).select(
             F.explode(listed).alias("found"), "rows").select("found.*", "rows")
 
-    return {"register_tables": registered, "layout_guard": guarded, "layout_mismatch": mismatched}
+    def layer_days(s: SparkSession, d: str) -> DataFrame:
+        return _union([lake.footer_counts(s, lake_root(s, d), spec) for spec in lake.TABLES])
+
+    return {"layer_days": layer_days, "register_tables": registered, "layout_guard": guarded, "layout_mismatch": mismatched}
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

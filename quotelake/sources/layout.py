@@ -7,22 +7,26 @@ column in which they differ makes one row.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake.operators.logs import LAYOUT_DIFFERS, LAYOUT_FITS
 from quotelake.schema import ddl
-from quotelake.sources import snapshots
+from quotelake.sources import files, snapshots
 from quotelake.sources.lake import TableSpec, location
 
-# How a missing or still empty table shows when it is read.
-_ABSENT = ("PATH_NOT_FOUND", "nable to infer schema", "UNABLE_TO_INFER_SCHEMA",
-           "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
+# How a missing table shows when it is read.
+_ABSENT = ("PATH_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
+FINGERPRINTS = "_layout"
+OVERLAP = 3_600_000
 CHECK_SCHEMA = ("timestamp string, level string, service string, event string, message string, "
                 "erro string")
 
@@ -78,35 +82,84 @@ def stored_layout(spark: SparkSession, table: str) -> Layout | None:
             for c in columns}
 
 
-def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec,
-                       fmt: str = "parquet") -> Layout | None:
-    """Layout of all files of a table; None where nothing has been written yet.
+def stored_file_layout(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet",
+                       since: int = 0) -> Layout | None:
+    """Layout of the files of a table that were modified from ``since`` on (milliseconds); None
+    where there are none.
 
     Directory levels ``name=value`` between the table folder and a file are its partition
     columns, in order. Files of several partitionings are a mismatch of their own.
     """
+    return _files_layout(spark, root, spec, fmt, since)[0]
+
+
+def _files_layout(spark: SparkSession, root: str, spec: TableSpec, fmt: str,
+                  since: int) -> tuple[Layout | None, int]:
+    """The layout, and when the newest of these files was modified."""
     place = location(root, spec)
-    if spec.snapshots and fmt == "parquet":
+    if fmt == "delta":
+        return _delta_layout(spark, place), 0
+    if spec.snapshots:
         # Its readers open no file but those that the manifest names.
         manifest = snapshots.latest(spark, place)
-        return manifest and layout_of(T.StructType.fromDDL(manifest.layout), spec.partitions)
+        return manifest and layout_of(T.StructType.fromDDL(manifest.layout), spec.partitions), 0
+    if not files.exists(spark, place):
+        return None, 0
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").option(
+        "modifiedAfter", f"{datetime.fromtimestamp(since / 1000, timezone.utc):%Y-%m-%dT%H:%M:%S}").option("timeZone", "UTC")
+    # Paths are listed, contents are not read; one row per partitioning comes back.
+    below = F.regexp_replace(F.regexp_extract("path", f"/{spec.path}/(.*)$", 1), "[^/]*$", "")
+    levels = F.transform(F.filter(F.split(below, "/"), lambda part: part.contains("=")),
+                         lambda part: F.substring_index(part, "=", 1))
+    found = (reader.format("binaryFile").load(place).groupBy(levels.alias("levels"))
+             .agg(F.unix_millis(F.max("modificationTime")).alias("newest")).collect())
+    if not found:
+        return None, 0
+    if len(found) > 1:
+        raise LayoutMismatch(
+            f"{spec.path} holds files of several partitionings: {sorted(tuple(row.levels) for row in found)}")
     try:
-        reader = spark.read.format(fmt)
-        frame = (reader.option("mergeSchema", "true") if fmt == "parquet" else reader).load(place)
+        frame = reader.format("parquet").option("mergeSchema", "true").load(place)
+    except (PySparkException, Py4JJavaError) as problem:
+        raise LayoutMismatch(f"{spec.path} can not be read as one table: {str(problem)[:1000]}") from problem
+    order = list(found[0].levels)
+    inside = {c: p for c, p in layout_of(frame.schema).items() if c not in order}
+    return {**inside, **{c: Place("string", order.index(c) + 1) for c in order}}, found[0].newest
+
+
+def _delta_layout(spark: SparkSession, place: str) -> Layout | None:
+    try:
+        schema = spark.read.format("delta").load(place).schema
     except PySparkException as problem:
         if any(mark in str(problem) for mark in _ABSENT):
             return None
-        raise LayoutMismatch(f"{spec.path} can not be read as one table: {problem}") from problem
-    if fmt == "delta":
-        detail = spark.sql(f"DESCRIBE DETAIL delta.`{place}`").select("partitionColumns").first()
-        return layout_of(frame.schema, list(detail[0]))
-    levels = {
-        tuple(part.split("=", 1)[0] for part in file.rsplit(f"/{spec.path}/", 1)[-1].split("/")[:-1]
-              if "=" in part)
-        for file in frame.inputFiles()}
-    if len(levels) > 1:
-        raise LayoutMismatch(f"{spec.path} holds files of several partitionings: {sorted(levels)}")
-    return layout_of(frame.schema, levels.pop() if levels else ())
+        raise
+    detail = spark.sql(f"DESCRIBE DETAIL delta.`{place}`").select("partitionColumns").first()
+    return layout_of(schema, list(detail[0]))
+
+
+def known_layout(spark: SparkSession, root: str, spec: TableSpec) -> tuple[Layout | None, int]:
+    """The newest fingerprint of a table: its layout, and up to when its files were looked at."""
+    found = files.names(spark, f"{location(root, spec)}/{FINGERPRINTS}/*.json")
+    if not found:
+        return None, 0
+    read = json.loads(files.read_text(spark, found[-1]))
+    return {c: Place(*place) for c, place in read.items()}, int(found[-1].rsplit("/", 1)[-1].removesuffix(".json"))
+
+
+def checked_layout(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet") -> Layout | None:
+    """Layout of a table, with the footers of the files since its last fingerprint only.
+
+    Files are looked at again for ``OVERLAP`` before that, as a file can be put in its place
+    a while after it was written. A file that differs from the fingerprint is a mismatch.
+    """
+    known, upto = known_layout(spark, root, spec)
+    new, newest = _files_layout(spark, root, spec, fmt, max(0, upto - OVERLAP))
+    if known and new and layout_differences(known, new):
+        raise LayoutMismatch(f"{spec.path} holds files of several layouts: {layout_differences(known, new)}")
+    if new and newest > upto:
+        files.create_text(spark, f"{location(root, spec)}/{FINGERPRINTS}/{newest:015d}.json", json.dumps(new))
+    return known or new
 
 
 def record_check(spark: SparkSession, place: str, spec: TableSpec, differences: list[tuple]) -> None:
@@ -123,7 +176,7 @@ def require_layout(spark: SparkSession, root: str, spec: TableSpec, planned: Dat
                    fmt: str = "parquet", checks: str | None = None) -> None:
     """Stop before a stream starts on a table of another layout; no table passes. With
     ``checks`` every outcome is appended to the log lines in that folder."""
-    stored = stored_file_layout(spark, root, spec, fmt)
+    stored = checked_layout(spark, root, spec, fmt)
     if stored is None:
         return
     made = layout_of(planned.schema)

@@ -9,8 +9,10 @@ from quotelake.plans import registry
 from quotelake.plans.report import export_report
 from quotelake.sources import lake
 from quotelake.streaming.sinks import ensure_table
+from quotelake.sources import layout
 from quotelake.sources.layout import (
-    LayoutMismatch, Place, layout_differences, planned_layout, require_layout, stored_layout,
+    LayoutMismatch, Place, known_layout, layout_differences, planned_layout, require_layout, stored_file_layout,
+    stored_layout,
 )
 
 BASE = {"symbol": Place("string", 1), "price": Place("double"), "day": Place("string", 2)}
@@ -42,6 +44,7 @@ def test_guard_on_files(spark, root):
     for wrong in (full.withColumn("price", full.price.cast("string")), full.withColumn("other", full.price)):
         with pytest.raises(LayoutMismatch, match="another layout"):
             require_layout(spark, root, lake.SILVER, wrong.drop("price") if "other" in wrong.columns else wrong)
+    assert known_layout(spark, root, lake.SILVER)[0] == stored_file_layout(spark, root, lake.SILVER)
     # One file elsewhere among many is enough.
     full.limit(1).write.parquet(f"{place}/extra=1")
     with pytest.raises(LayoutMismatch, match="one table|several partitionings"):
@@ -158,3 +161,44 @@ def test_files_follow_bytes_and_a_symbol_is_looked_up(spark, root):
     finally:
         spark.conf.unset("parquet.block.size")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_the_guard_reads_no_footer_of_old_files(spark, root, monkeypatch):
+    """A fingerprint answers for files it has seen; a foreign one among the new files is found."""
+    import glob
+
+    planned = spark.createDataFrame([], lake.ddl(lake.SILVER.columns))
+    row = planned.unionByName(spark.range(1).selectExpr("'A' symbol", "timestamp '2024-01-01' kafka_time"),
+                              allowMissingColumns=True)
+    for _ in range(2):
+        lake.write_table(row, root, lake.SILVER)
+    require_layout(spark, root, lake.SILVER, planned)
+    place = lake.location(root, lake.SILVER)
+    # Files from before the fingerprint are not opened any more, not even these broken ones.
+    upto = known_layout(spark, root, lake.SILVER)[1]
+    for name in glob.glob(f"{place}/kafka_date=*/*.parquet"):
+        os.truncate(name, 10)
+        os.utime(name, (upto / 1000 - 2 * layout.OVERLAP / 1000,) * 2)
+    require_layout(spark, root, lake.SILVER, planned)
+    lake.write_table(row, root, lake.SILVER)
+    require_layout(spark, root, lake.SILVER, planned)
+    assert known_layout(spark, root, lake.SILVER)[1] > upto
+    spark.range(1).selectExpr("id AS price").write.mode("append").parquet(f"{place}/kafka_date=2024-01-02")
+    for _ in range(2):
+        with pytest.raises(LayoutMismatch, match="one table|several layouts"):
+            require_layout(spark, root, lake.SILVER, planned)
+
+
+def test_the_archive_holds_the_package(tmp_path):
+    import subprocess
+    import sys
+    import zipfile
+
+    from quotelake.package import archive
+
+    place = archive(str(tmp_path / "q.zip"))
+    assert {"quotelake/schema.py", "quotelake/streaming/__main__.py"} <= set(zipfile.ZipFile(place).namelist())
+    code = "import quotelake.schema as s; print(s.__file__)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": place, "PATH": os.environ["PATH"]},
+                         capture_output=True, text=True, check=True).stdout
+    assert out.startswith(place)

@@ -123,3 +123,12 @@ def test_responses_and_log_lines_are_parsed_once(spark):
 def test_topic_filter_of_stored_partitions_prunes_folders(tables):
     one = tables.silver.filter((F.col("symbol") == "CLICK") & (F.col("trade_date") == "2024-01-05"))
     assert re.search(r"PartitionFilters: \[.*symbol.*trade_date.*\]", plan(one))
+
+
+def test_rows_of_days_come_from_footers(spark):
+    root = registry.lake_root(spark, SMALL)
+    for spec in lake.TABLES:
+        counts = lake.footer_counts(spark, root, spec)
+        text = plan(counts)
+        assert "PushedAggregation: [COUNT(*)]" in text and "count(*):bigint>" in text and "symbol" not in text
+        assert counts.agg({"rows": "sum"}).first()[0] == lake.read_table(spark, root, spec).count()
