@@ -45,6 +45,15 @@ def create_text(spark: SparkSession, place: str, text: str) -> bool:
     return files.rename(draft, path)
 
 
+def put_text(spark: SparkSession, place: str, text: str) -> None:
+    """Writes a small file, in place of an older one."""
+    files, path = _at(spark, place)
+    files.mkdirs(path.getParent())
+    stream = files.create(path, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
 def remove(spark: SparkSession, place: str) -> None:
     files, path = _at(spark, place)
     files.delete(path, True)

@@ -183,14 +183,16 @@ def batch_progress(query: StreamingQuery) -> list[dict]:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends a row for every batch of every query to a table of JSON lines.
+    """A row for every batch of every query, in a table of JSON lines.
 
-    Dropped rows reach neither Silver nor quarantine; this is where they show, and
+    Each run of a query has one file an hour, written again with each batch: no Spark job
+    runs for it, and files do not grow in number with the batches. Dropped rows reach neither Silver nor quarantine; this is where they show, and
     ``operators.late.lost_quotes`` finds them. Add it with ``spark.streams.addListener``.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
+        self.place, self.lines = {}, {}
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -198,7 +200,13 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         progress = json.loads(event.progress.json)
         row = {"query": progress.get("name"), "started": progress.get("timestamp"), **_progress_row(progress)}
-        self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").json(self.path)
+        run, hour = progress["runId"], progress["timestamp"][:13].replace(":", "")
+        if self.place.get(run) != hour:
+            self.place[run], self.lines[run] = hour, []
+        self.lines[run].append(json.dumps(row))
+        files.put_text(self.spark, f"{self.path}/{row['query'] or 'query'}-{run}-{hour}.json",
+                       "\n".join(self.lines[run]) + "\n")
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.place.pop(str(event.runId), None)
+        self.lines.pop(str(event.runId), None)
