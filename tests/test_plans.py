@@ -130,5 +130,6 @@ def test_rows_of_days_come_from_footers(spark):
     for spec in lake.TABLES:
         counts = lake.footer_counts(spark, root, spec)
         text = plan(counts)
-        assert "PushedAggregation: [COUNT(*)]" in text and "count(*):bigint>" in text and "symbol" not in text
+        found = re.search(r"PushedAggregation: \[COUNT\(\*\)\].*ReadSchema: struct<(.*?)>", text)
+        assert spec.snapshots or found and found[1] == f"{spec.partitions[0]}:string,count(*):bigint", text
         assert counts.agg({"rows": "sum"}).first()[0] == lake.read_table(spark, root, spec).count()
