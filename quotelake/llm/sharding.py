@@ -10,9 +10,11 @@ bins of each node's range, the bin that holds the quantile becomes the range, an
 value holds too much, the unit's hash goes on as a further dimension. The driver sees one
 line per node and bin, a bounded number; documents are only ever aggregated.
 
-A unit of the tree is all documents of one text, with the metadata of the first of them, so
-that copies stay in one shard. Texts whose copies hold more than ``HEAVY`` of a shard are
-split into their documents, so that a hot text cannot make a shard large.
+A unit is all documents of one text, with the metadata of the first of them, so that copies
+stay in one shard. Units of more than ``HEAVY`` of a shard would make a cut uneven: they are
+placed first, the largest into the emptiest shard, and the tree shares the other units out by
+the room that is left. Only a text whose copies are more than a whole shard is split into its
+documents.
 
 Defined results: a document weighs the UTF-8 bytes of its text plus one; a null text weighs
 one; null metadata comes before all values; slots follow the ids, null first, and equal ids
@@ -21,6 +23,7 @@ the text's checksum.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,23 +52,39 @@ def _weighted(docs: DataFrame, dimensions: Mapping[str, Column], id_col: str, te
         *[F.coalesce(c.cast("double"), F.lit(-1.0)).alias(f"d{i}") for i, c in enumerate(dimensions.values())])
 
 
-def _units(rows: DataFrame, dims: list[str], heavy: float) -> tuple[DataFrame, DataFrame]:
-    """Rows with their unit, and the units with metadata and weight."""
+def _units(rows: DataFrame, dims: list[str], most: float) -> tuple[DataFrame, DataFrame]:
+    """Rows with their unit, and the units with metadata and weight; texts of more than
+    ``most`` bytes are split into their documents."""
     groups = stored(rows.groupBy("copies").agg(
         F.sum("size").alias("w"),
         F.min(F.struct(F.col("doc_id").isNotNull().alias("n"), "doc_id", *dims)).alias("head")), "copies")
-    large = groups.where(F.col("w") > heavy).select("copies")
+    large = groups.where(F.col("w") > most).select("copies")
     alone = F.xxhash64("copies", "doc_id")
     rows = stored(rows.join(large.withColumn("large", F.lit(True)), "copies", "left")
                   .withColumn("unit", F.when(F.col("large"), alone).otherwise(F.col("copies")))
                   .drop("large", "copies"), "rows")
-    light = groups.where(F.col("w") <= heavy).select(
+    light = groups.where(F.col("w") <= most).select(
         F.col("copies").alias("unit"), *[F.col(f"head.{d}").alias(d) for d in dims], "w")
     single = rows.join(light.select("unit"), "unit", "left_anti").groupBy("unit").agg(
         *[F.min(d).alias(d) for d in dims], F.sum("size").alias("w"))
     return rows, light.unionByName(single)
 
 
+def _packed(units: list, n: int, share: float) -> tuple[dict[int, int], list[float]]:
+    """The shard of each (unit, weight), the heaviest first into the emptiest, and the room
+    that is left in each shard."""
+    loads = [(0, shard) for shard in range(n)]
+    placed = {}
+    for unit, weight in sorted(units, key=lambda u: (-u[1], u[0])):
+        load, shard = loads[0]
+        placed[unit] = shard
+        heapq.heapreplace(loads, (load + weight, shard))
+    room = [0.0] * n
+    for load, shard in loads:
+        room[shard] = max(0.0, share - load)
+    return placed, room
+
+
 class _Cut:
     """The search for one node's cut: a range of one dimension, then of the unit's hash."""
 
@@ -143,40 +162,46 @@ def kd_shards(docs: DataFrame, dimensions: Mapping[str, Column], n_shards: int |
     n = n_shards or max(1, -(-total // target_bytes))
     if n > MOST_SHARDS:
         raise ValueError(f"more than {MOST_SHARDS} shards; raise target_bytes")
-    rows, units = _units(rows, dims, HEAVY * total / n)
+    share = total / n
+    rows, units = _units(rows, dims, share)
+    # At most DRIVER_ROWS units are that heavy.
+    heavy = max(HEAVY, n / DRIVER_ROWS) * share
+    packed, room = _packed([tuple(r) for r in units.where(F.col("w") > heavy).select("unit", "w").collect()], n, share)
     # The hash of a unit as a number from -1 to 1.
-    units = stored(units.select("unit", F.lit(1).cast("long").alias("node"),
-                                (F.col("unit") / F.lit(float(2 ** 63))).alias("tie"), "w", *dims), "units")
-    shards = {1: n}
+    units = stored(units.where(F.col("w") <= heavy).select(
+        "unit", F.lit(1).cast("long").alias("node"), (F.col("unit") / F.lit(float(2 ** 63))).alias("tie"), "w", *dims),
+        "units")
+    # Node -> its first shard and their number.
+    shards = {1: (0, n)}
     extent = None
-    while any(k > 1 for k in shards.values()):
+    while any(k > 1 for _, k in shards.values()):
         stats = units.groupBy("node").agg(
             F.sum("w").alias("w"), *[f(d).alias(f"{f.__name__}_{d}") for d in dims for f in (F.min, F.max)]).collect()
         if extent is None:
             extent = [max((r[f"max_{d}"] - r[f"min_{d}"] for r in stats), default=0.0) for d in dims]
         cuts, new = [], {}
         by_node = {r.node: r for r in stats}
-        for node, k in shards.items():
+        for node, (first, k) in shards.items():
             row = by_node.get(node)
             if k == 1 or row is None:
-                new[node] = k
+                new[node] = first, k
                 continue
             width = [(row[f"max_{d}"] - row[f"min_{d}"]) / (e or 1.0) for d, e in zip(dims, extent)]
             dim = max(range(len(dims)), key=lambda i: width[i])
+            half = k // 2
+            left, both = sum(room[first:first + half]), sum(room[first:first + k])
             cuts.append(_Cut(node, dim, row[f"min_{dims[dim]}"], row[f"max_{dims[dim]}"],
-                             row.w * (k // 2) / k, TOLERANCE * total / n))
-            new[2 * node], new[2 * node + 1] = k // 2, k - k // 2
+                             row.w * (left / both if both else half / k), TOLERANCE * share))
+            new[2 * node], new[2 * node + 1] = (first, half), (first + half, k - half)
         if not cuts:
             break
         units = _split(units, dims, cuts)
         shards = new
-    # Leaves from left to right; a node that has no documents keeps its numbers unused.
-    order = sorted(shards, key=lambda node: (bin(node)[3:], node))
-    first, at = {}, 0
-    for node in order:
-        first[node], at = at, at + shards[node]
-    names = docs.sparkSession.createDataFrame(list(first.items()), "node long, shard int")
-    placed = rows.join(units.join(F.broadcast(names), "node").select("unit", "shard"), "unit")
+    spark = docs.sparkSession
+    names = spark.createDataFrame([(node, first) for node, (first, _) in shards.items()], "node long, shard int")
+    heavies = spark.createDataFrame(list(packed.items()), "unit long, shard int")
+    homes = units.join(F.broadcast(names), "node").select("unit", "shard").unionByName(heavies)
+    placed = rows.join(homes, "unit")
     return _slotted(placed.select("doc_id", "size", "text_crc32", "shard"))
 
 
