@@ -1,7 +1,8 @@
 import html
 import re
 
-from common import SF, empty, sentence
+from common import SF, clashing, empty, odd, sentence  # noqa: F401
+from pyspark.sql import functions as F
 from quotelake.llm import html_text as op
 
 NAV = "<nav><ul><li>Home<li>News</ul></nav>"
@@ -93,3 +94,54 @@ def test_copies_of_a_page_without_an_article_stay(spark):
                   for j in range(8 if k == 0 else 1)]
         expected |= {9000 + 10 * k + j: body for j in range(8 if k == 0 else 1)}
     assert _texts(spark, pages) == expected
+
+
+def test_names_that_only_partly_tell_are_judged_by_the_site(spark):
+    pages, expected = [], {}
+    for n in (1, 2, 7, 8, 30):
+        for k in range(n):
+            own, i = sentence(100 * n + k, 25), 100 * n + k
+            parts = [f"<section class='social-impact'><p>{own} a</section>", f"<div class='share-price'>{own} b</div>",
+                     f"<p class='notice-period'>{own} c</p>", f"<div class='login-guide'>{own} d</div>"]
+            same = "<div class='widget-weather'>Sunny today</div><div class='x1'>Best site ever</div>"
+            pages.append((i, f"http://n{n}.example/{k}", f"<body>{NAV}{''.join(parts)}{same}</body>"))
+            lines = [f"{own} {x}" for x in "abcd"] + (["Sunny today", "Best site ever"] if n == 1 else [])
+            expected[i] = "\n".join(lines)
+    assert _texts(spark, pages) == expected
+
+
+def test_presentation_that_differs_counts(spark):
+    shapes = ("<b>x</b>", "<i>x</i>", "<u>x</u><b>y</b>", "<em>x</em>", "<tt>x</tt><i>y</i>", "<b>x</b><i>y</i>")
+    pages = [(i, "http://v.example/", f"<div class='v'>{shapes[i % 6]}</div><div class='w'>"
+              f"<b>x</b></div><div class='z'>{sentence(i, 9)}</div>") for i in range(24)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = sorted((round(r.presentation, 2), r.pages) for r in op.importance(df).collect())
+    assert rows == [(0.0, 24), (0.0, 24), (0.56, 24)]
+
+
+def test_numbered_elements_share_a_node_and_comments_differ(spark):
+    pages = [(i, "http://c.example/", f"<div class='body-{i}'>{sentence(i, 20)}</div>" + "".join(
+        f"<div id='comment-{50 * i + k}' class='comment depth-{k}'>{sentence(7 * i + k, 9)}</div>" for k in range(20)))
+        for i in range(30)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert op.importance(df).count() == 2
+    assert _texts(spark, pages) == {i: sentence(i, 20) for i in range(30)}
+
+
+def test_drawings_formulas_objects_and_what_is_left_open(spark):
+    found = _texts(spark, [(i, f"http://d{i}.example/", f"<article>{page}</article><footer>f</footer>") for i, page in enumerate((
+        '<p>one</p><svg><path d="x"><p>two</p><p>three</p>', "<p>Let <math><mi>x</mi><mo/></math> be</p>",
+        "<p>a <svg viewBox='0'><circle/><text>no</text></svg> b</p>", "<p>x</p><object data=f><p>instead</p></object><p>y</p>",
+        "<p>k</p><object data=f><p>open", "<p>v <video src=a>No player <p>here</p></video> w</p>",
+        "<p>s <select><option>1<option>2</select> t</p>", "<p>s <select><option>1<div>u</div>",
+        "<p>n</p><noscript><p>Turn it on</p></noscript><p>m</p>", "<div><canvas>old</div><p>new</p>"))])
+    assert [found[i] for i in range(10)] == [
+        "one\ntwo\nthree", "Let x be", "a b", "x\ninstead\ny", "k\nopen", "v w", "s t", "s\nu", "n\nm", "new"]
+
+
+def test_columns_with_clashing_names(spark, clashing):
+    pages = clashing.withColumn("url", F.lit("http://k.example/")).withColumn("html", F.concat(
+        F.lit("<nav>n</nav><p>"), F.col("text"))).withColumn("__noise", F.lit("mine")).withColumn("value", F.lit(1))
+    out = op.with_main_text(pages)
+    assert set(out.columns) == set(pages.columns) - {"html"} and out.count() == pages.count()
+    assert {r["__noise"] for r in out.collect()} == {"mine"}
