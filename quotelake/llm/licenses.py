@@ -135,6 +135,9 @@ class Index:
             owners.append(np.full(len(at), number))
             places.append(at)
         self.sizes = np.array([len(w) for w in self.words], np.int64)
+        # The first template of the same words.
+        first: dict[bytes, int] = {}
+        self.same = [first.setdefault(w.tobytes(), number) for number, w in enumerate(self.words)]
         self.bands = np.minimum(BAND, np.maximum(1, self.sizes // 8))
         keys, owners, places = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, owners, places))
         order = np.argsort(keys, kind="stable")
@@ -240,13 +243,15 @@ def _scan(shared, names):
                     if matched >= COVERAGE * len(template) and index.told(
                             owner, words.hash[base + first:base + last]):
                         found[text].setdefault((first, last, owner), (matched, len(template)))
-                for own in found:
+                for text, own in enumerate(found):
                     ranked = sorted(own.items(), key=lambda x: (-x[1][0], -x[1][1], index.names[x[0][2]]))
+                    # Which template has taken each word; templates of the same words share theirs.
+                    taken = np.full(words.bounds[text + 1] - words.bounds[text] if own else 0, -1, np.int32)
                     kept: list[dict] = []
                     for (first, last, owner), (matched, size) in ranked:
-                        if all(last <= k["low"] or first >= k["high"]
-                               or np.array_equal(index.words[owner], index.words[index.names.index(k["license"])])
-                               for k in kept):
+                        span, same = taken[first:last], index.same[owner]
+                        if ((span == -1) | (span == same)).all():
+                            span[:] = same
                             kept.append({"license": index.names[owner], "low": first, "high": last,
                                          "matched": matched, "coverage": matched / size})
                     lists.append(sorted(kept, key=lambda k: (k["low"], k["license"])))

@@ -1,7 +1,10 @@
 import random
 import re
+import time
+import types
 
 import numpy as np
+import pyarrow as pa
 
 from common import SF, clashing, empty, odd, sentence  # noqa: F401
 from quotelake.llm import licenses as op
@@ -92,3 +95,16 @@ def test_every_edit_of_a_word_of_a_short_template(spark):
                 texts[" ".join(words[:k] + ["xyz"] + words[k:])] = name
     found = _names(spark, list(texts))
     assert [t for t, name in texts.items() if found[t] != {name}] == []
+
+
+def test_many_licenses_in_one_text_take_time_in_proportion(spark):
+    names = sorted(SHORT.values())
+    index, times = op.Index(op.TEMPLATES), []
+    for lines in (500, 5_000):
+        text = "\n".join(f"{op.TEMPLATES[names[i % len(names)]]} and line {i} of others" for i in range(lines))
+        batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([1])], names=["x", "c0"])
+        started = time.process_time()
+        out = next(op._scan(types.SimpleNamespace(value=index), ["c0", "found"])([batch]))
+        times.append(time.process_time() - started)
+        assert [x["license"] for x in out.column(1).to_pylist()[0]] == [names[i % len(names)] for i in range(lines)]
+    assert times[1] < 25 * times[0]
