@@ -1,12 +1,15 @@
 """Token counts that follow edits.
 
-A document's pre-tokens are gathered in leaves of ``LEAF``; a segment tree over the leaves
+A document's pre-tokens are gathered in leaves of ``LEAF`` (edits may fill one up to
+``MOST``); a segment tree over the leaves
 keeps the characters and tokens below every node. An edit finds its first leaf by the
 characters before it, cuts pre-tokens anew from there, and stops at the first leaf border
 behind the edit where old and new pre-tokens end together: from a common border on they are
 the same, since a pre-token depends on nothing before its start, and on two characters
 behind its end at most. Only that region is encoded again; sums change on the paths above
-its leaves. Trees are a column, so they may be stored beside the texts and edited later.
+its leaves. While edits are applied the text is held as the texts of its leaves, so that an edit
+costs what it touches, not the text. Trees are a column, so they may be stored beside the
+texts and edited later.
 
 Edits (start, stop, text) are applied in order, with places in characters of the text as the
 edits before left it, and are clipped to it.
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from quotelake.llm.store import prepared
 
 LEAF = 32
+MOST = 16 * LEAF
 SEEN_BEHIND = 2             # characters that a pre-token's end may depend on
 CACHE = 1 << 18
 EDITS = "array<struct<start:int,stop:int,text:string>>"
@@ -101,49 +105,91 @@ class Tree:
                 at //= 2
 
 
-def _leaves(pieces: list[str], counter: Counter) -> tuple[list[int], list[int]]:
+def _leaves(pieces: list[str], counter: Counter, size: int = LEAF) -> tuple[list[int], list[int]]:
     known, tokens = counter.known, counter.tokens
     chars, sums = [], []
-    for at in range(0, len(pieces), LEAF):
-        part = pieces[at:at + LEAF]
+    for at in range(0, len(pieces), size):
+        part = pieces[at:at + size]
         chars.append(sum(map(len, part)))
         sums.append(sum(known.get(p) or tokens(p) for p in part))
     return chars or [0], sums or [0]
 
 
+class Draft:
+    """A text under edit, as the texts of its tree's leaves."""
+
+    def __init__(self, text: str, tree: Tree, counter: Counter):
+        self.tree, self.counter = tree, counter
+        ends = np.cumsum(tree.chars[tree.width:], dtype=np.int64).tolist()
+        self.parts = [text[a:b] for a, b in zip([0, *ends], ends)]
+
+    def text(self) -> str:
+        return "".join(self.parts)
+
+    def edit(self, start: int, stop: int, new: str) -> int:
+        """Puts ``new`` in place of the characters from start to stop and returns how many
+        characters were encoded again."""
+        tree, parts, last = self.tree, self.parts, self.tree.width
+        size = int(tree.chars[1])
+        start = min(max(start, 0), size)
+        stop = min(max(stop, start), size)
+        shift = len(new) - (stop - start)
+        first, before = tree.leaf_at(max(0, min(start - SEEN_BEHIND, size - 1)))
+        ahead, end = first, before
+        while end < stop or ahead == first:
+            end += len(parts[ahead])
+            ahead += 1
+        window = "".join(parts[first:ahead])
+        window = window[:start - before] + new + window[stop - before:]
+        pieces: list[str] = []
+        leaf, border, at, more, open_ = first, before, before, 1, True
+        while open_:
+            window += "".join(parts[ahead:ahead + more])
+            ahead, more = min(last, ahead + more), 2 * more
+            for match in self.counter.pattern.finditer(window, at - before):
+                if ahead < last and match.end() + SEEN_BEHIND > len(window):
+                    break       # what follows may change this one
+                pieces.append(match.group())
+                at = before + match.end()
+                while leaf < last and border < max(stop, at - shift):
+                    border += len(parts[leaf])
+                    leaf += 1
+                if border >= stop and at - shift == border:
+                    open_ = False
+                    break
+            else:
+                if ahead == last:
+                    leaf, open_ = last, False
+        self._replace(first, leaf, pieces)
+        return at - before
+
+    def _replace(self, first: int, leaf: int, pieces: list[str]) -> None:
+        """Puts pieces in place of the leaves from first to leaf."""
+        tree, parts, room = self.tree, self.parts, leaf - first
+        fits = room > 0 and len(pieces) <= MOST * room
+        size = max(LEAF, -(-len(pieces) // room)) if fits else LEAF
+        chars, tokens = _leaves(pieces, self.counter, size)
+        texts = ["".join(pieces[i:i + size]) for i in range(0, len(pieces), size)] or [""]
+        if fits:
+            for i in range(room):
+                c, t, text = (chars[i], tokens[i], texts[i]) if i < len(chars) else (0, 0, "")
+                parts[first + i] = text
+                node = tree.width + first + i
+                if tree.chars[node] != c or tree.tokens[node] != t:
+                    tree.put(first + i, c, t)
+            return
+        # More than the leaves may hold: the tree is laid out anew from leaf sums.
+        rows = list(zip(tree.chars[tree.width:].tolist(), tree.tokens[tree.width:].tolist(), parts))
+        rows = [r for r in rows[:first] if r[0]] + list(zip(chars, tokens, texts)) + [r for r in rows[leaf:] if r[0]]
+        self.tree = Tree.of_leaves([r[0] for r in rows], [r[1] for r in rows])
+        self.parts = [r[2] for r in rows] + [""] * (self.tree.width - len(rows))
+
+
 def edit(text: str, tree: Tree, start: int, stop: int, new: str, counter: Counter) -> tuple[str, Tree, int]:
     """The edited text, its tree, and how many characters were encoded again."""
-    start = min(max(start, 0), len(text))
-    stop = min(max(stop, start), len(text))
-    first, before = tree.leaf_at(max(0, min(start - SEEN_BEHIND, len(text) - 1)))
-    edited = text[:start] + new + text[stop:]
-    shift = len(edited) - len(text)
-    pieces: list[str] = []
-    leaf, border, at = first, before, before
-    old, last = tree.chars[tree.width:], tree.width
-    for match in counter.pattern.finditer(edited, before):
-        pieces.append(match.group())
-        at = match.end()
-        while leaf < last and border < max(stop, at - shift):
-            border += int(old[leaf])
-            leaf += 1
-        if border >= stop and at - shift == border:
-            break
-    else:
-        leaf = last
-    chars, tokens = _leaves(pieces, counter) if pieces else ([0], [0])
-    if len(chars) <= leaf - first:
-        pad = leaf - first - len(chars)
-        for i, (c, t) in enumerate(zip(chars + [0] * pad, tokens + [0] * pad)):
-            if old[first + i] != c or tree.tokens[tree.width + first + i] != t:
-                tree.put(first + i, c, t)
-        return edited, tree, at - before
-    # More leaves than there were: the tree is laid out anew from leaf sums.
-    own = tree.tokens[tree.width:]
-    kept = [(int(c), int(t)) for c, t in zip(old[:first], own[:first]) if c]
-    kept += list(zip(chars, tokens))
-    kept += [(int(c), int(t)) for c, t in zip(old[leaf:], own[leaf:]) if c]
-    return edited, Tree.of_leaves([c for c, _ in kept], [t for _, t in kept]), at - before
+    draft = Draft(text, tree, counter)
+    again = draft.edit(start, stop, new)
+    return draft.text(), draft.tree, again
 
 
 _made: dict[str, Counter] = {}
@@ -188,9 +234,10 @@ def _apply(shared, names):
             for i, (text, edits) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
                 tree = Tree(*(np.array(x[i].values, np.int32) for x in (chars, tokens)))
                 again, new = 0, text or ""
-                for e in edits or ():
-                    new, tree, size = edit(new, tree, e["start"] or 0, e["stop"] or 0, e["text"] or "", counter)
-                    again += size
+                if edits:
+                    draft = Draft(new, tree, counter)
+                    again = sum(draft.edit(e["start"] or 0, e["stop"] or 0, e["text"] or "") for e in edits)
+                    new, tree = draft.text(), draft.tree
                 texts.append(text if text is None and not new else new)
                 trees.append(tree)
                 counted.append(again)

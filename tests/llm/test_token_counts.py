@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 
@@ -36,6 +37,42 @@ def test_a_small_edit_encodes_little(spark):
     assert again < 2000
 
 
+def test_many_edits_of_one_draft():
+    rnd = random.Random(5)
+    parts = ["a", "b", " ", "  ", "\n", "'", "'ll", "é", "1", "22", ".", " word", "\t", "日", "long" * 40, " " * 70]
+    for _ in range(12):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.choice((0, 50, 3000))))
+        draft = op.Draft(text, op.Tree.of_text(text, COUNTER), COUNTER)
+        for _ in range(40):
+            start = rnd.randint(0, len(text) + 2)
+            stop = start + rnd.choice((0, 1, 40, 2000))
+            new = "".join(rnd.choice(parts) for _ in range(rnd.choice((0, 1, 30, 2500))))
+            draft.edit(start, stop, new)
+            cut = min(start, len(text))
+            text = text[:cut] + new + text[min(max(stop, cut), len(text)):]
+            tree = draft.tree
+            assert draft.text() == text and (tree.chars[1], tree.tokens[1]) == (len(text), _full(text))
+            assert [len(p) for p in draft.parts] == tree.chars[tree.width:].tolist()
+
+
+def test_edits_of_a_very_long_text_cost_what_they_touch():
+    times = []
+    for lines in (1_500, 15_000):
+        text = "".join(f"{i} mail to user{i}@mail.example.org from 10.0.{i % 256}.7 and go on with what comes\n"
+                       for i in range(lines))
+        counter = op.Counter(open(PATH, "rb").read(), PATTERN)
+        draft = op.Draft(text, op.Tree.of_text(text, counter), counter)
+        started, shift = time.process_time(), 0
+        for match in op.REDACTIONS.finditer(text):
+            new = f"<{match.lastgroup}> of somebody or other"
+            draft.edit(match.start() + shift, match.end() + shift, new)
+            shift += len(new) - (match.end() - match.start())
+        times.append(time.process_time() - started)
+        assert draft.text() == op.REDACTIONS.sub(lambda m: f"<{m.lastgroup}> of somebody or other", text)
+        assert draft.tree.tokens[1] == _full(draft.text())
+    assert times[1] < 25 * times[0]
+
+
 def test_query_equals_full_encoding(spark):
     rows = {r.doc_id: r for r in op.op1_token_counts(spark, SF).collect()}
     some = 0
