@@ -17,7 +17,8 @@ is fewer still over all languages. Only DataFrame operations are used.
 
 Defined results: a null text has no words and fails the limits; null languages and sources
 are values of their own; floors on the deviations keep rows that differ little from a group
-whose counts hardly vary, for shares their sampling error; equal rows get the same verdict.
+whose counts hardly vary, for shares their sampling error; equal rows get the same verdict;
+rows of a group without an estimate have no distance and are kept if they pass the limits.
 """
 
 from __future__ import annotations
@@ -252,7 +253,7 @@ def _group_key(*cols: str) -> Column:
 def verdicts(docs: DataFrame, keys: dict[str, Column], text_col: str = "text",
              lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: the ``keys`` (name -> expression over docs), COUNTS,
-    base_failed, distance (squared, null where base_failed) and kept."""
+    base_failed, distance (squared; null where base_failed or no estimate) and kept."""
     prepared(docs.sparkSession)
     keyed = docs.select(
         F.struct(*[c.alias(n) for n, c in keys.items()]).alias("key"),
@@ -262,13 +263,14 @@ def verdicts(docs: DataFrame, keys: dict[str, Column], text_col: str = "text",
     counted = stored(counted.select("*", *_features()), "counts")
     rows = stored(_assigned(counted.where("not base_failed")), "grouped")
     estimate = robust_estimates(stored(rows.select("grp", *FEATURES).distinct(), "unlike"))
-    far = rows.join(estimate, "grp").select("key", *COUNTS, "base_failed",
-                                            _distance().alias("distance"))
+    far = rows.join(estimate, "grp", "left").select("key", *COUNTS, "base_failed",
+                                                    _distance().alias("distance"))
     failed = counted.where("base_failed").select(
         "key", *COUNTS, "base_failed", F.lit(None).cast("double").alias("distance"))
     return (far.unionByName(failed)
             .select("key.*", *COUNTS, "base_failed", "distance",
-                    F.coalesce(F.col("distance") <= CUTOFF, F.lit(False)).alias("kept")))
+                    (~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True)))
+                    .alias("kept")))
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -6,6 +6,8 @@ import collections
 import hashlib
 import re
 
+import numpy as np
+
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -114,3 +116,61 @@ def counts(text):
 
 def sha(parts, by=b" "):
     return hashlib.sha256(by.join(parts)).hexdigest()
+
+
+def _law(mean, cov, error, floors):
+    """Centre, inverse Cholesky factor, mean error, log determinant of one group."""
+    low = np.linalg.cholesky(cov + np.diag(np.square(floors)) + np.diag([0, 0, 0, 0, error]))
+    return mean, np.linalg.inv(low), error, 2 * np.log(np.diag(low)).sum()
+
+
+def _squared(x, errors, law):
+    mean, inverse, error, _ = law
+    z = ((x - mean) @ inverse.T) ** 2
+    more = np.maximum(errors - error, 0) * inverse[4, 4] ** 2
+    return z[:, :4].sum(1) + z[:, 4] / (1 + more)
+
+
+def robust_law(x, floors, spread, near, near_spread, fall):
+    """Minimum covariance determinant of the different rows of one group: a half of them, from
+    four starts, then all rows near to the best half."""
+    x = np.unique(x, axis=0)
+    errors = 0.75 * np.exp(-x[:, 0])
+
+    def rank(values, share):
+        return np.sort(values, axis=0)[max(int(np.ceil(share * len(values))) - 1, 0)]
+
+    def moments(rows, wider):
+        return _law(x[rows].mean(0), wider * np.cov(x[rows].T, bias=True), errors[rows].mean(), floors)
+
+    q = np.array([rank(x, k / 20) for k in range(21)])
+    halves = [min((q[k + 10, i] - q[k, i], (q[k + 10, i] + q[k, i]) / 2) for k in range(11)) for i in range(5)]
+    cov = np.diag([(length / 1.349) ** 2 for length, _ in halves])
+    best = None
+    for centre in (q[10], np.array([m for _, m in halves]), q[5], q[15]):
+        law, size = _law(centre, cov, errors.mean(), floors), np.inf
+        while True:
+            d = _squared(x, errors, law)
+            law = moments(d <= rank(d, 0.5), spread)
+            if law[3] > size - fall:
+                break
+            size = law[3]
+        if best is None or law[3] < best[3]:
+            best = law
+    return moments(_squared(x, errors, best) <= near, near_spread)
+
+
+def distances(rows, least, **limits):
+    """Squared distance of each (lang, source, features) from the law of its group: those of its
+    language and source, if these have ``least`` different rows, or of its language, or all."""
+    groups = [(lang, source) for lang, source, _ in rows]
+    x = np.array([f for _, _, f in rows])
+    for wider in (lambda g: (g[0],), lambda g: ()):
+        counts = {g: len(np.unique(x[[h == g for h in groups]], axis=0)) for g in set(groups)}
+        level = 2 if wider(("", "")) else 1
+        groups = [wider(g) if len(g) == level and counts[g] < least else g for g in groups]
+    out = np.zeros(len(rows))
+    for g in set(groups):
+        own = np.array([h == g for h in groups])
+        out[own] = _squared(x[own], 0.75 * np.exp(-x[own, 0]), robust_law(x[own], **limits))
+    return out

@@ -1,6 +1,8 @@
+import math
 import random
 
 import brute
+import pytest
 from common import SF, clashing, empty, odd  # noqa: F401
 from pyspark.sql import functions as F
 from quotelake.llm import quality as op
@@ -16,9 +18,35 @@ def _check(rows, docs):
     assert not any(r.kept for r in rows if r.base_failed)
 
 
+def _check_verdicts(rows, places):
+    """Distances and verdicts against plain numpy; ``places``: doc_id -> (lang, source)."""
+    rows = [r for r in rows if not r.base_failed]
+    features = [(math.log(r.n_words), r.word_chars / r.n_words, math.sqrt(r.n_symbols / r.word_chars),
+                 math.log1p(r.n_dup_lines), r.n_repeat_words / r.n_words) for r in rows]
+    expected = brute.distances(
+        [(*places[r.doc_id], f) for r, f in zip(rows, features)], op.LEAST, floors=op.FLOORS,
+        spread=op.SPREAD, near=op.NEAR, near_spread=op.NEAR_SPREAD, fall=op.FALL)
+    for r, d in zip(rows, expected):
+        assert r.distance == pytest.approx(d, rel=1e-6, abs=1e-9), r.doc_id
+        assert r.kept == (d <= op.CUTOFF)
+
+
 def test_query_equals_brute_force(spark):
-    docs = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    _check(op.op10_quality_rules(spark, SF).collect(), docs)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    rows = op.op10_quality_rules(spark, SF).collect()
+    _check(rows, [r.text for r in docs])
+    _check_verdicts(rows, {r.doc_id: (r.lang, r.source) for r in docs})
+
+
+def test_rows_of_a_group_without_an_estimate_stay(spark, monkeypatch):
+    rows = [(i, t, lang, s) for i, t, lang, s in _group(random.Random(9), "en", 8, 0, False, 0, _symbols)]
+    df = spark.createDataFrame([*rows, (9, "few words", "en", "s")],
+                               "doc_id long, text string, lang string, source string")
+    made = op.robust_estimates
+    monkeypatch.setattr(op, "robust_estimates", lambda rows: made(rows).limit(0))
+    got = {r.doc_id: r for r in op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()}
+    assert len(got) == 9 and all(got[i].kept and got[i].distance is None for i in range(8))
+    assert not got[9].kept
 
 
 def test_odd_rows(spark, clashing):
@@ -39,7 +67,9 @@ def test_outliers_of_their_group_go_and_no_others(spark):
         rows.append((i, " ".join(unit), "en", f"s{i % 3}"))
     rows += [(1000 + i, t, "xx", None) for i, (_, t, _, _) in enumerate(rows[1:20])]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r.kept for r in op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()}
+    verdicts = op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()
+    _check_verdicts(verdicts, {i: (lang, source) for i, _, lang, source in rows})
+    got = {r.doc_id: r.kept for r in verdicts}
     assert all(got[i] == (i % 30 != 0) for i in range(900)) and all(got[1000 + i] for i in range(19))
 
 
@@ -102,5 +132,7 @@ def test_a_null_source_is_a_group_of_its_own(spark):
     rows = [(i, t, "en", None) for i, t, _, _ in _group(rnd, "en", 300, 0, False, 0, _symbols)]
     rows += [(i, t, "en", f"small{i % 6}") for i, t, _, _ in _group(rnd, "en", 0, 120, False, 1000, _symbols)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = {r.doc_id: r.kept for r in op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()}
+    verdicts = op.verdicts(df, {"doc_id": F.col("doc_id")}).collect()
+    _check_verdicts(verdicts, {i: (lang, source) for i, _, lang, source in rows})
+    got = {r.doc_id: r.kept for r in verdicts}
     assert sum(got[i] for i in range(300)) >= 297 and sum(got[1000 + i] for i in range(120)) >= 118
