@@ -136,27 +136,29 @@ def _error() -> Column:
 def _whitened(moments: DataFrame) -> DataFrame:
     """Per group the centre m, the inverse u of the Cholesky factor of the covariance, and
     the logarithm ``size`` of its determinant."""
-    df = moments
-    for i in _DIM:
-        df = df.withColumn(f"c{i}{i}", F.col(f"c{i}{i}") + FLOORS[i] ** 2
-                           + (F.col("error") if i == _DIM[-1] else F.lit(0.0)))
-    for i in _DIM:
-        for j in range(i + 1):
-            rest = F.col(f"c{i}{j}")
-            for k in range(j):
-                rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            df = df.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j
-                               else rest / F.col(f"l{j}{j}"))
-    for i in _DIM:
-        for j in range(i, -1, -1):
-            if i == j:
-                u = 1 / F.col(f"l{i}{i}")
-            else:
-                u = F.lit(0.0)
-                for k in range(j, i):
-                    u = u - F.col(f"l{i}{k}") * F.col(f"u{k}{j}")
-                u = u / F.col(f"l{i}{i}")
-            df = df.withColumn(f"u{i}{j}", u)
+    # Cells that need no other of their step are made together, in one projection.
+    df = moments.withColumns({
+        f"c{i}{i}": F.col(f"c{i}{i}") + FLOORS[i] ** 2
+        + (F.col("error") if i == _DIM[-1] else F.lit(0.0)) for i in _DIM})
+    for j in _DIM:
+        for cells in ([j], range(j + 1, len(_DIM))):
+            made = {}
+            for i in cells:
+                rest = F.col(f"c{i}{j}")
+                for k in range(j):
+                    rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
+                made[f"l{i}{j}"] = (F.sqrt(F.greatest(rest, F.lit(1e-12))) if i == j
+                                    else rest / F.col(f"l{j}{j}"))
+            df = df.withColumns(made) if made else df
+    df = df.withColumns({f"u{i}{i}": 1 / F.col(f"l{i}{i}") for i in _DIM})
+    for below in _DIM[1:]:
+        made = {}
+        for i in _DIM[below:]:
+            u = F.lit(0.0)
+            for k in range(i - below, i):
+                u = u - F.col(f"l{i}{k}") * F.col(f"u{k}{i - below}")
+            made[f"u{i}{i - below}"] = u / F.col(f"l{i}{i}")
+        df = df.withColumns(made)
     size = F.lit(0.0)
     for i in _DIM:
         size = size + 2 * F.log(F.col(f"l{i}{i}"))
