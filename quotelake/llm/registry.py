@@ -15,7 +15,7 @@ from quotelake.llm.jaccard_join import op2_jaccard_join
 from quotelake.llm.licenses import op7_license_scan
 from quotelake.llm.line_dedup import op11_line_dedup
 from quotelake.llm.quality import op10_quality_rules
-from quotelake.llm.sentencepieces import op6_sentencepiece
+from quotelake.llm.sentencepieces import op6_best_path, op6_sentencepiece
 from quotelake.llm.sharding import op9_kd_shards
 from quotelake.llm.substring_dedup import op3_substring_dedup
 from quotelake.llm.token_counts import op1_token_counts
@@ -35,6 +35,7 @@ QUERIES = (
     op11_line_dedup,
     op12_tokenizer_alignment,
     op13_fill_in_middle,
+    op6_best_path,
 )
 ORACLES = {
     "op2_jaccard_join": sql.OP2,

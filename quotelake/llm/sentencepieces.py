@@ -8,7 +8,8 @@ probe the sorted keys of the pieces, and
 * unigram models take the best path by Viterbi: for each end the vectorised maximum over all
   starts, with its start as backpointer;
 * BPE models, whose ids are defined by merges and not by a best path, take in each step the
-  vectorised best merge of every word.
+  vectorised best merge of every word. Their best path by Viterbi, the pieces of the highest
+  sum of scores, is made on request; of equal sums the one with the longest last piece.
 
 Ids equal those of the sentencepiece library. Covered are models with identity
 normalisation, whose white space is kept, and a dummy prefix or none.
@@ -106,10 +107,12 @@ def _hash(body: bytes) -> int:
 
 
 class Encoder:
-    """Encodes runs of texts and remembers the words it has met, up to a bound."""
+    """Encodes runs of texts and remembers the words it has met, up to a bound; with
+    ``best_path`` by Viterbi for any model, else by merges where the model is BPE."""
 
-    def __init__(self, model: PieceModel):
+    def __init__(self, model: PieceModel, best_path: bool = False):
         self.model = model
+        self.merges = model.bpe and not best_path
         self._forget()
 
     def _forget(self) -> None:
@@ -183,7 +186,7 @@ class Encoder:
             step = max(1, CELLS // (size * min(size, self.model.longest)))
             for part in range(0, len(rows), step):
                 own = rows[part:part + step]
-                if self.model.bpe and size > LONG:
+                if self.merges and size > LONG:
                     for r in own.tolist():
                         pieces = _merged_alone(self.model, data[start[r]:end[r]].tobytes())
                         out_word.append(np.full(len(pieces), r))
@@ -191,7 +194,7 @@ class Encoder:
                         out_to.append(start[r] + np.array([b for _, b in pieces]))
                     continue
                 place = edges[first[own][:, None] + np.arange(size + 1)]
-                cuts = (self._merge if self.model.bpe else self._best)(sums, place)
+                cuts = (self._merge if self.merges else self._best)(sums, place)
                 row, a = np.nonzero(cuts[:, :-1])
                 # The next cut of the same word ends the piece.
                 flat = np.flatnonzero(cuts.ravel())
@@ -322,15 +325,17 @@ def decoded(model: PieceModel, ids: np.ndarray, bounds: np.ndarray) -> list[byte
     return [body[a + (lead if body[a:a + 1] == b" " else 0):b] for a, b in zip(edges[:-1], edges[1:])]
 
 
-_made: dict[int, Encoder] = {}
+_made: dict[tuple[int, bool], Encoder] = {}
 
 
-def _encoder(blob) -> Encoder:
-    """The encoder of a broadcast model, one for each Python worker."""
-    if blob.id not in _made:
-        _made.clear()
-        _made[blob.id] = Encoder(PieceModel(blob.value))
-    return _made[blob.id]
+def _encoder(blob, best_path: bool = False) -> Encoder:
+    """The encoders of a broadcast model, one of a kind for each Python worker."""
+    if (blob.id, best_path) not in _made:
+        other = _made.get((blob.id, not best_path))
+        if not other:
+            _made.clear()
+        _made[blob.id, best_path] = Encoder(other.model if other else PieceModel(blob.value), best_path)
+    return _made[blob.id, best_path]
 
 
 class _Shared:
@@ -346,10 +351,10 @@ class _Shared:
         return self._broadcast.value
 
 
-def _encode(blob, names, decode: bool = False):
+def _encode(blob, names, decode: bool = False, best_path: bool = False):
     """Adds the ids of each text, and with ``decode`` the text of these ids."""
     def batch_encode(batches):
-        encoder = _encoder(blob)
+        encoder = _encoder(blob, best_path)
         for batch in batches:
             ids, sizes, texts = [], [], []
             # The white space sign itself counts as a blank.
@@ -413,22 +418,32 @@ def with_text(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: st
 
 
 def with_ids_and_text(df: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids",
-                      decoded_col: str = "decoded") -> DataFrame:
-    """Adds the ids of each text and the text that they decode to, in one pass."""
+                      decoded_col: str = "decoded", best_path: bool = False) -> DataFrame:
+    """Adds the ids of each text and the text that they decode to, in one pass; with
+    ``best_path`` the ids of the highest sum of scores, which a unigram model's are anyway."""
     blob = _Shared(prepared(df.sparkSession), model_path)
     return _mapped(df, text_col, {ids_col: "array<int>", decoded_col: "string"},
-                   lambda names: _encode(blob, names, True))
+                   lambda names: _encode(blob, names, True, best_path))
 
 
-def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    """Per document: its ids counted and digested, and whether they decode to its text."""
+def _digests(spark, sf_dir: str, best_path: bool) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    both = with_ids_and_text(docs, path)
+    both = with_ids_and_text(docs, path, best_path=best_path)
     return both.select(
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
         F.crc32(F.array_join("ids", ",")).alias("ids_crc32"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"))
+
+
+def op6_sentencepiece(spark, sf_dir: str) -> DataFrame:
+    """Per document: its ids counted and digested, and whether they decode to its text."""
+    return _digests(spark, sf_dir, False)
+
+
+def op6_best_path(spark, sf_dir: str) -> DataFrame:
+    """As op6_sentencepiece, for the ids of the best path by Viterbi over the model's scores."""
+    return _digests(spark, sf_dir, True)

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import public_tokenizers
 import pyarrow as pa
@@ -66,6 +67,61 @@ def test_viterbi_equals_the_library():
         _same(model.SerializeToString(), _random_texts("abcé  zz日"))
 
 
+def _best_path(model, text):
+    """Ids of the path with the highest sum of scores over the whole text: a plain search."""
+    if text is None or not text:
+        return []
+    text = " " + text.replace("▁", " ")
+    pieces = {p.piece.replace("▁", " "): (p.score, i) for i, p in enumerate(model.pieces) if p.type == 1}
+    longest, lowest = max(map(len, pieces)), min(score for score, _ in pieces.values()) - 10
+    spare = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
+    best = [(0.0, 0)]
+    for j in range(1, len(text) + 1):
+        own = []
+        for i in range(max(0, j - longest), j):
+            score = pieces.get(text[i:j], (lowest if i == j - 1 else None,))[0]
+            if score is not None:
+                own.append((best[i][0] + score, -i))
+        top = max(own)
+        best.append((top[0], -top[1]))
+    out, j = [], len(text)
+    while j:
+        i = best[j][1]
+        piece = pieces.get(text[i:j])
+        out[:0] = [piece[1]] if piece else [spare[b] for b in text[i:j].encode()]
+        j = i
+    return out
+
+
+def _proto():
+    model = proto.ModelProto()
+    model.ParseFromString(open(PATH, "rb").read())
+    return model
+
+
+def test_best_path_of_a_bpe_model_equals_a_plain_search():
+    model = _proto()
+    encoder = op.Encoder(op.PieceModel(open(PATH, "rb").read()), best_path=True)
+    texts = ["", " ", "  a  b ", "\n\n x\ty", "ü𝄞日本語  ", "x" * 300, "ab" * 100 + " " * 90 + "q",
+             "the" * 40, *_random_texts("abt he\nn ü日1.,'", 200)]
+    for run in W.runs(pa.array(texts), 500):
+        ids, bounds = encoder.encode(run)
+        for i in range(run.count):
+            text = texts[run.first + i]
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == _best_path(model, text), text
+
+
+def test_query_has_the_best_path(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    model = _proto()
+    rows = op.op6_best_path(spark, SF).collect()
+    assert len(rows) == len(texts) and all(r.round_trip for r in rows)
+    for r in rows[::5]:
+        expected = _best_path(model, texts[r.doc_id])
+        assert r.n_tokens == len(expected)
+        assert texts[r.doc_id] is None or r.ids_crc32 == zlib.crc32(",".join(map(str, expected)).encode())
+
+
 def test_query_round_trips(spark):
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
