@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Counts of rows come from file footers where a table is read through the newer interface.
     "spark.sql.parquet.aggregatePushdown": "true",
+    # Stored documents unpack to about ten times their bytes, twice that with their parsed fields:
+    # a task that reads so much still holds its rows in memory and spills nothing.
+    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -4,6 +4,7 @@ import os
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from quotelake.plans import registry
 from quotelake.plans.report import export_report
@@ -202,3 +203,27 @@ def test_the_archive_holds_the_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": place, "PATH": os.environ["PATH"]},
                          capture_output=True, text=True, check=True).stdout
     assert out.startswith(place)
+
+
+def test_events_are_dealt_out_before_they_grow_into_documents(spark, tmp_path, monkeypatch):
+    """One file of one row group is one task as it is stored."""
+    from quotelake.sources import from_events as source
+
+    monkeypatch.setattr(source, "EVENTS_PER_TASK", 100)
+    stored = spark.read.parquet(f"{SMALL}/events.parquet").coalesce(1)
+    stored.write.parquet(f"{tmp_path}/events.parquet")
+    assert spark.read.parquet(f"{tmp_path}/events.parquet").rdd.getNumPartitions() == 1
+    events = source.read_events(spark, str(tmp_path))
+    sizes = [row["n"] for row in events.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == stored.count() and max(sizes) <= 160
+    assert sorted(r.event_id for r in events.collect()) == sorted(r.event_id for r in stored.collect())
+
+
+def test_a_task_reads_a_bounded_share_of_stored_documents(spark, tmp_path):
+    """Stored documents unpack to many times their bytes, so the bytes of a split are few."""
+    spark.range(0, 120_000, 1, 8).selectExpr("concat(sha2(cast(id AS string), 512), sha2(cast(-id AS string), 512)) value") \
+        .coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(f"{tmp_path}/messages")
+    tasks = spark.read.parquet(f"{tmp_path}/messages").rdd.getNumPartitions()
+    size = sum(os.path.getsize(f"{tmp_path}/messages/{name}") for name in os.listdir(f"{tmp_path}/messages"))
+    assert size > 15 << 20 and tasks >= 3
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes").removesuffix("m")) == 16
