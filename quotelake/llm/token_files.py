@@ -16,7 +16,9 @@ only its attempt has. Names and sizes of finished files make the manifest, so a
 lost task left behind is never read. Files lie in the shared folder.
 
 Different words of a run of texts are encoded once, by the tokenizers library; white space
-always parts tokens of the tokenizer used here. Defined results: a null text is an empty
+always parts tokens of the tokenizer used here. Many words go to the library as one text, with a
+mark between any two: a word of one id. Where that id is found more often than the mark was set, the
+words are encoded one by one. Defined results: a null text is an empty
 one; each document ends with the end id, so an empty one has one id.
 """
 
@@ -40,6 +42,8 @@ FOOT = 6 * 8
 BLOCK_IDS = 1 << 15
 READ_DOCS = 2048            # documents that one task row reads
 CACHE_WORDS = 1 << 21     # of about 30 bytes each
+JOINED_WORDS = 64         # words that the library gets as one text
+MARK = "\x01"             # between them
 
 
 def bits_for(vocabulary: int) -> int:
@@ -147,6 +151,17 @@ class Reader:
         self.file.close()
 
 
+def mark_id(tokenizer) -> int | None:
+    """Id of the mark between words; None where a text with marks does not fall into words."""
+    def encoded(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    own, word = encoded(MARK), encoded("a")
+    if tokenizer.truncation or tokenizer.padding or len(own) != 1 or encoded(f"a {MARK} a {MARK} ") != 2 * (word + own):
+        return None
+    return own[0]
+
+
 class WordEncoder:
     """Encodes runs of texts by their different words; remembers words up to a bound."""
 
@@ -156,6 +171,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.end_id = end_id
+        self.mark = mark_id(self.tokenizer)
         self._forget()
 
     def _forget(self) -> None:
@@ -164,6 +180,27 @@ class WordEncoder:
         self.size = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
+    def _lists(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and the number of each word's."""
+        if self.mark is None:
+            lists = self._lists(words)
+            return np.concatenate(lists), np.fromiter(map(len, lists), np.int32, len(lists))
+        parts = [words[at:at + JOINED_WORDS] for at in range(0, len(words), JOINED_WORDS)]
+        flat, sizes = [], []
+        for part, ids in zip(parts, self._lists([f" {MARK} ".join([*part, ""]) for part in parts])):
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) == len(part):
+                flat.append(np.delete(ids, ends))
+                sizes.append((np.diff(ends, prepend=-1) - 1).astype(np.int32))
+            else:    # a word has the mark in it
+                lists = self._lists(part)
+                flat.extend(lists)
+                sizes.append(np.fromiter(map(len, lists), np.int32, len(lists)))
+        return np.concatenate(flat), np.concatenate(sizes)
+
     def encode(self, run: W.Run) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the run's texts with the end id behind each, and their sizes."""
         words = W.words_of(run)
@@ -175,16 +212,12 @@ class WordEncoder:
                 self._forget()
                 new[:] = True
             body, own = run.data.tobytes(), first[new]
-            found = self.tokenizer.encode_batch_fast(
-                [body[a:b].decode("utf-8", "replace") for a, b in
-                 zip(words.start[own].tolist(), words.end[own].tolist())], add_special_tokens=False)
-            lists = [x.ids for x in found]
-            sizes = np.fromiter(map(len, lists), np.int32, len(lists))
+            flat, sizes = self._words([body[a:b].decode("utf-8", "replace") for a, b in
+                                       zip(words.start[own].tolist(), words.end[own].tolist())])
             place = np.searchsorted(self.known, unique[new])
             self.at = np.insert(self.at, place, len(self.ids) + np.cumsum(sizes) - sizes)
             self.size = np.insert(self.size, place, sizes)
             self.known = np.insert(self.known, place, unique[new])
-            flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
             self.ids = np.concatenate((self.ids, flat))
         slot = np.searchsorted(self.known, unique)[which]
         size = self.size[slot].astype(np.int64)

@@ -63,3 +63,30 @@ def test_bits_and_random_access(bits, tmp_path):
 
 def test_fewest_bits():
     assert [op.bits_for(n) for n in (1, 2, 3, 256, 257, 49408)] == [1, 1, 2, 8, 9, 16]
+
+
+def test_many_words_are_one_text_for_the_library():
+    """Words that hold the mark or special tokens are encoded as if alone."""
+    import pyarrow as pa
+
+    from quotelake.llm import words as W
+
+    tokenizer = Tokenizer.from_file(PATH)
+    with open(PATH, encoding="utf-8") as file:
+        encoder = op.WordEncoder(file.read(), 1)
+    assert encoder.mark is not None
+    asked = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.append(len(texts))
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counted()
+    plain = " ".join(f"w{n}" for n in range(5000))
+    odd = ["x\x01y \x01 z\x01\x01", "\x01", "x<|startoftext|>y <|endoftext|>", "<|startoftext|> <|startoftext|><|startoftext|>", "<|startof text|> <|", "", "\u0301a e\u0301", None]
+    for texts in ([plain], odd):
+        ids, sizes = encoder.encode(next(W.runs(pa.array(texts))))
+        expected = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+        assert ids.tolist() == [i for x in expected for i in x] and sizes.tolist() == [len(x) for x in expected]
+        assert texts is odd or sum(asked) <= 5000 / op.JOINED_WORDS + 1
