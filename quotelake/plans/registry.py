@@ -6,7 +6,7 @@ import threading
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,17 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.quote_messages(_events(spark, sf_dir))
 
 
+def _stored_messages(spark: SparkSession, sf_dir: str) -> str:
+    """Message files, made once for all lakes that read them in parts or as a stream."""
+    return _place(spark, sf_dir, "messages", lambda root: _messages(spark, sf_dir).write.parquet(root))
+
+
+def _bronze_part(spark: SparkSession, sf_dir: str, part: Callable[[Column], Column]) -> DataFrame:
+    """Bronze of the stored messages for which ``part`` of their arrival holds; no others are parsed."""
+    messages = spark.read.schema(MESSAGE_SCHEMA).parquet(_stored_messages(spark, sf_dir))
+    return to_bronze(messages.filter(part(F.col("timestamp"))), source.ingest_clock())
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(_messages(spark, sf_dir), source.ingest_clock())
 
@@ -124,10 +135,9 @@ def stream_root(spark: SparkSession, sf_dir: str) -> str:
     configure(spark)
 
     def run(root: str) -> None:
-        _messages(spark, sf_dir).write.parquet(f"{root}/messages")
         clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock())
         flow = jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks)
-        messages = message_files_stream(spark, f"{root}/messages")
+        messages = message_files_stream(spark, _stored_messages(spark, sf_dir))
         jobs.drain(lambda: jobs.start_bronze(flow, messages, ALL_AVAILABLE))
         jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE),
                    lambda: jobs.start_quarantine(flow, ALL_AVAILABLE))
@@ -174,9 +184,8 @@ def _halves_root(spark: SparkSession, sf_dir: str) -> str:
     def run(root: str) -> None:
         clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock())
         flow = jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks)
-        late = F.col("kafka_time") >= F.lit(NOW_HALF)
-        for part in (late, ~late):
-            lake.write_table(_bronze(spark, sf_dir).filter(part), root, lake.BRONZE)
+        for part in (lambda arrival: arrival >= F.lit(NOW_HALF), lambda arrival: arrival < F.lit(NOW_HALF)):
+            lake.write_table(_bronze_part(spark, sf_dir, part), root, lake.BRONZE)
             jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
         jobs.append_lost_quotes(flow)
     return _place(spark, sf_dir, "halves", run)
@@ -205,11 +214,10 @@ def _while_running_root(spark: SparkSession, sf_dir: str) -> str:
     def run(root: str) -> None:
         clocks = jobs.Clocks(source.ingest_clock(), source.silver_clock(), source.gold_clock())
         flow = jobs.Flow(spark, root, f"{root}/checkpoints", clocks=clocks)
-        arrival = F.col("kafka_time")
-        parts = [(arrival >= F.lit(NOW_HALF)) & (arrival < F.lit(NOW_LATER)), arrival >= F.lit(NOW_LATER),
-                 arrival < F.lit(NOW_HALF)]
+        parts = [lambda arrival: (arrival >= F.lit(NOW_HALF)) & (arrival < F.lit(NOW_LATER)),
+                 lambda arrival: arrival >= F.lit(NOW_LATER), lambda arrival: arrival < F.lit(NOW_HALF)]
         for part in parts:
-            lake.write_table(_bronze(spark, sf_dir).filter(part), root, lake.BRONZE)
+            lake.write_table(_bronze_part(spark, sf_dir, part), root, lake.BRONZE)
             jobs.append_lost_quotes(flow)
             jobs.drain(lambda: jobs.start_silver(flow, ALL_AVAILABLE))
         jobs.drain(lambda: jobs.start_gold_financial(flow, ALL_AVAILABLE))

@@ -133,3 +133,15 @@ def test_rows_of_days_come_from_footers(spark):
         found = re.search(r"PushedAggregation: \[COUNT\(\*\)\].*ReadSchema: struct<(.*?)>", text)
         assert spec.snapshots or found and found[1] == f"{spec.partitions[0]}:string,count(*):bigint", text
         assert counts.agg({"rows": "sum"}).first()[0] == lake.read_table(spark, root, spec).count()
+
+
+def test_parts_of_bronze_come_from_messages_made_once(spark):
+    """Lakes that get Bronze in parts write no message twice, and parse only those of the part."""
+    from datetime import datetime, timezone
+
+    noon = F.lit(datetime(2024, 1, 16, tzinfo=timezone.utc))
+    parts = [registry._bronze_part(spark, SMALL, keep) for keep in (lambda t: t >= noon, lambda t: t < noon)]
+    for part in parts:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "to_json" not in plan and "PushedFilters: [IsNotNull(timestamp)" in plan
+    assert sum(part.count() for part in parts) == registry._bronze(spark, SMALL).count()
