@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,7 @@ from quotelake.sources.layout import require_layout
 from quotelake.streaming.committed import NOTHING, finished_entry, plain_path, read_files
 from quotelake.streaming.partials import keep_partials, vacuum_partials
 from quotelake.streaming.sinks import (
-    ALL_AVAILABLE, FIVE_MINUTES, append_stream, ensure_table, gold_stream, stream_id,
+    ALL_AVAILABLE, FIVE_MINUTES, append_stream, ensure_table, gold_stream, stream_id, without_empty_batches,
 )
 
 # Days named one by one in a filter; beyond that it names their bounds.
@@ -130,7 +131,8 @@ def backfill_silver(flow: Flow, days_per_batch: int = 1) -> int:
     """Carries a stored Bronze backlog to Silver in the order of its days, ``days_per_batch`` at a
     time; returns the number of runs. A batch then holds a bounded share of the backlog, and
     no day's watermark drops rows of another. Afterwards ``start_silver`` goes on from the
-    same checkpoint. Days that are finished are not opened again.
+    same checkpoint. Days that are finished are not opened again. Only the last run ends with
+    a batch without rows, which brings the state up to the watermark.
     """
     place = lake.location(flow.root, lake.BRONZE)
     days = [name.rsplit("=", 1)[-1] for name in files.names(flow.spark, f"{place}/kafka_date=*")]
@@ -139,7 +141,9 @@ def backfill_silver(flow: Flow, days_per_batch: int = 1) -> int:
     last = read.agg(F.max(_day_of(F.col("path")))).first()[0] or ""
     days = [day for day in days if day >= last]
     for at in range(0, len(days), days_per_batch):
-        drain(lambda: start_silver(flow, ALL_AVAILABLE, days[at:at + days_per_batch]))
+        last_run = at + days_per_batch >= len(days)
+        with nullcontext() if last_run else without_empty_batches(flow.spark):
+            drain(lambda: start_silver(flow, ALL_AVAILABLE, days[at:at + days_per_batch]))
     return -(-len(days) // days_per_batch)
 
 

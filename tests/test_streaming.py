@@ -461,6 +461,24 @@ def test_a_backlog_in_order_of_its_days_drops_nothing(spark, root):
     assert jobs.append_lost_quotes(flow).count() == 0
 
 
+@pytest.mark.parametrize("survivor", ["seen", "earliest"])
+def test_a_backfill_opens_its_state_for_one_batch_without_rows(spark, root, survivor):
+    """A batch for each run, and one after the last; the setting of the session is back."""
+    flow = jobs.Flow(spark, root, f"{root}/checkpoints", survivor=survivor,
+                     clocks=jobs.Clocks(source.ingest_clock(), source.silver_clock()))
+    bronze = bronze_rows(spark)
+    lake.write_table(bronze, root, lake.BRONZE)
+    runs = jobs.backfill_silver(flow, 16)
+    assert runs == 2 and len(jobs.files.names(spark, f"{flow.checkpoint('silver')}/commits/*")) == runs + 1
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+    passed, whole = lake.read_table(spark, root, lake.SILVER), to_silver(bronze, clock=source.silver_clock())
+    if survivor == "earliest":
+        # The newest quotes are still held.
+        whole = whole.filter(F.col("quote_time") <= passed.agg(F.max("quote_time")).first()[0])
+    keys = ["symbol", "quote_time", "price"]
+    assert as_set(passed.select(keys)) == as_set(whole.select(keys))
+
+
 def test_unknown_survivor_is_refused(spark):
     with pytest.raises(ValueError, match="survivor must be one of"):
         to_silver(bronze_rows(spark), survivor="last")
