@@ -167,7 +167,8 @@ def _gold_streamed(mode: str, spec: lake.TableSpec, refine: Callable) -> Query:
 def _audit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored Bronze and quarantine rows whose audit text is the message as it was sent."""
     root = stream_root(spark, sf_dir)
-    sent = _messages(spark, sf_dir).select("offset", F.sha2("value", 256).alias("sent"))
+    sent = spark.read.schema(MESSAGE_SCHEMA).parquet(_stored_messages(spark, sf_dir)).select(
+        "offset", F.sha2("value", 256).alias("sent"))
     parts = [
         lake.read_table(spark, root, spec).select(
             "offset", F.sha2("raw_json", 256).alias("kept"), F.lit(spec.name).alias("table_name"))

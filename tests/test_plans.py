@@ -145,3 +145,9 @@ def test_parts_of_bronze_come_from_messages_made_once(spark):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "to_json" not in plan and "PushedFilters: [IsNotNull(timestamp)" in plan
     assert sum(part.count() for part in parts) == registry._bronze(spark, SMALL).count()
+
+
+def test_audit_texts_are_held_against_the_messages_that_were_sent(spark):
+    """The stream's own message files, which are not made a second time."""
+    plan = registry._audit_texts(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan and "sha2" in plan
