@@ -233,7 +233,8 @@ def _digest(batches):
             size = np.where(gone, 0, words.end - words.start + 1)
             stop = np.cumsum(size)
             place = np.repeat(words.start - (stop - size), size) + np.arange(int(size.sum()))
-            flat = run.data[np.minimum(place, max(len(run.data) - 1, 0))] if len(place) else run.data[:0]
+            # Taken by places, so a copy: run.data itself is read-only, also where no word is kept.
+            flat = run.data[np.minimum(place, len(run.data) - 1)]
             flat[stop[~gone] - 1] = 0x20
             edges = np.r_[0, stop][words.bounds]
             body = flat.tobytes()

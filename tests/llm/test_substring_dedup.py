@@ -18,6 +18,21 @@ def test_query_equals_brute_force(spark):
         assert (found[i].n_words, found[i].n_removed, found[i].kept_sha256) == (len(own), sum(gone), kept)
 
 
+def test_query_on_runs_without_kept_words(spark, odd, tmp_path):
+    """Runs of texts that keep no word: a long copy is a run of its own, 15 repeats 14."""
+    whole = odd.where("doc_id is not null and doc_id <> 20")
+    for name, docs in (("odd", whole), ("blank", odd.where("doc_id in (2, 3)")), ("none", odd.where("doc_id in (1, 2)"))):
+        docs.select("doc_id", "text").write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        rows = _rows(docs)
+        found = {r.doc_id: r for r in op.op3_substring_dedup(spark, f"{tmp_path}/{name}").collect()}
+        assert len(found) == len(rows)
+        for (i, text), gone in zip(rows, brute.repeats(rows)):
+            own = brute.words(text)
+            kept = brute.sha([w for w, g in zip(own, gone) if not g])
+            assert (found[i].n_words, found[i].n_removed, found[i].kept_sha256) == (len(own), sum(gone), kept)
+        assert name != "odd" or found[15].n_removed == found[15].n_words == 60000
+
+
 def test_odd_rows(spark, clashing):
     docs = _rows(clashing)
     expected = sorted((str(i), str(t), sum(g)) for (i, t), g in zip(docs, brute.repeats(docs)))
