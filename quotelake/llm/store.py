@@ -15,6 +15,7 @@ from quotelake.session import configure, shared_dir
 # A batch holds this many rows on its way to Python; long texts are cut into runs
 # of whole rows again (words.runs), so a batch costs its text and little more.
 BATCH_ROWS = 1000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -29,12 +30,20 @@ def folder(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/quotelake-llm/{spark.sparkContext.applicationId}/{kind}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, kind: str) -> DataFrame:
+def stored(df: DataFrame, kind: str, clean: bool = False) -> DataFrame:
     """The rows written to the shared folder and read again: computed once, safe from
-    the loss of an executor."""
+    the loss of an executor. ``clean`` removes the shuffle files of the write at its end;
+    otherwise they stay until the driver happens to collect its garbage."""
     spark = df.sparkSession
     path = folder(spark, kind)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    if clean:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if clean:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,3 +1,6 @@
+import time
+from pathlib import Path
+
 import brute
 from common import SF, clashing, empty, odd, sentence  # noqa: F401
 from quotelake.llm import substring_dedup as op
@@ -63,3 +66,16 @@ def test_cut_keeps_layout_rows_and_columns(spark, clashing):
 
 def test_empty_table(spark, odd):
     assert op.with_repeats(empty(odd)).count() == 0 and op.without_repeats(empty(odd)).count() == 0
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    """All steps are written when the spans come back; only their tables are left."""
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    left = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    before, key = left(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    op.repeated_spans(spark.read.parquet(f"{SF}/documents.parquet"))
+    end = time.time() + 10
+    while left() - before and time.time() < end:  # executors remove them a little later
+        time.sleep(0.1)
+    assert not left() - before and spark.conf.get(key) == was
